@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtext.llm import bpe, packing, sharding, tokenfiles
-from loomtext.llm.runtime import table
+from loomtext.llm import bpe, packing, quality, sharding, tokenfiles, toxicity
+from loomtext.llm.runtime import remainder, table
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +23,24 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), tree, tree.grow())
 
 
+def _judged(spark: SparkSession, sf_dir: str, kind, modulus: int, out: int) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = kind.fit(docs, labels.where(remainder("doc_id", modulus) != out))
+    return kind.score(docs, model).select("doc_id", (remainder("doc_id", modulus) == out).alias("held_out"), "score", "predicted")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, toxicity, 5, 0)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, quality, 3, 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_token_files, op6_sharding, op9_packing)
+    f.__name__: f for f in (op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op9_packing, op10_quality)
 }
