@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtext.llm import bpe, packing, quality, sharding, tokenfiles, toxicity
+from loomtext.llm import bpe, ngramjoin, packing, quality, sharding, tokenfiles, toxicity
 from loomtext.llm.runtime import remainder, table
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), ["n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -42,5 +46,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op9_packing, op10_quality)
+    f.__name__: f for f in (op2_ngram_join, op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op9_packing, op10_quality)
 }
