@@ -26,4 +26,20 @@ WITH RECURSIVE words AS (
 SELECT doc_id, n AS n_shingles, component_id FROM sizes JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = doc_id
 """
 
-SQL: dict[str, str] = {"op2_ngram_join": _NGRAMS}
+_NEARDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a
+), comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), n AS (SELECT a, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+SQL: dict[str, str] = {"op2_ngram_join": _NGRAMS, "op8_neardup": _NEARDUP}

@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, ngramjoin, packing, quality, sharding, tokenfiles, toxicity
+from loomtext.llm import bpe, curves, neardup, ngramjoin, packing, quality, sharding, tokenfiles, toxicity
 from loomtext.llm.runtime import remainder, table
 
 
+def op1_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(table(spark, sf_dir, "documents"), n=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
 
@@ -37,6 +42,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir, toxicity, 5, 0)
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.join(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -46,5 +55,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_join, op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op9_packing, op10_quality)
+    f.__name__: f for f in (op1_curves, op2_ngram_join, op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op8_neardup, op9_packing, op10_quality)
 }
