@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
 from loomtext.llm.toxicity import SAMPLE, sample
@@ -218,7 +219,7 @@ def learn(x: np.ndarray, y: np.ndarray) -> Model:
 def _feature_rows(docs: DataFrame, keep: Sequence[str], then=None) -> DataFrame:
     names = list(keep)
     src = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name in names)
+    made = ["score"] if then is not None else FEATURES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +230,7 @@ def _feature_rows(docs: DataFrame, keep: Sequence[str], then=None) -> DataFrame:
             else:
                 yield pa.RecordBatch.from_arrays([*own, pa.array(then.value.score(x))], [*names, "score"])
 
-    return src.mapInArrow(run, f"{fields}, " + ("score double" if then is not None else ", ".join(f"{f} double" for f in FEATURES)))
+    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in made)]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = SAMPLE) -> Model:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, curves, neardup, ngramjoin, packing, quality, sharding, tokenfiles, toxicity
+from loomtext.llm import bpe, curves, neardup, ngramjoin, packing, pagetext, quality, sharding, tokenfiles, toxicity
 from loomtext.llm.runtime import remainder, table
 
 
@@ -23,6 +23,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def op4_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents"))).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -55,5 +59,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curves, op2_ngram_join, op3_bpe, op5_token_files, op6_sharding, op7_toxicity, op8_neardup, op9_packing, op10_quality)
+    f.__name__: f for f in (op1_curves, op2_ngram_join, op3_bpe, op4_page_text, op5_token_files, op6_sharding, op7_toxicity, op8_neardup, op9_packing, op10_quality)
 }

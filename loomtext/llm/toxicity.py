@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
 from loomtext.llm.runtime import stash
@@ -204,8 +205,7 @@ def raw_scores(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataF
             x = [1 - math.exp(-sum(h[5] for h in hits) / 3) for hits in m.spans(batch.column("_text").to_pylist())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(x, pa.float64())], [*names, "x"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema if f.name in names)
-    return src.mapInArrow(run, f"{fields}, x double")
+    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in names), T.StructField("x", T.DoubleType())]))
 
 
 _matchers: dict[int, tuple[Model, Matcher]] = {}
