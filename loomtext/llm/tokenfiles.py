@@ -213,7 +213,8 @@ def _segments(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: in
         size = 0
 
         def row() -> pa.RecordBatch:
-            ids = np.concatenate(held).astype("<u2" if max(int(x.max()) for x in held) < 1 << 16 else "<u4")
+            ids = np.concatenate(held)  # never empty: each document ends with an id
+            ids = ids.astype("<u2" if int(ids.max()) < 1 << 16 else "<u4")
             values = [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([ids.tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(values, ["part", "before", "n", "doc_ids", "counts", "ids"])
 
