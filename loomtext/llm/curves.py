@@ -93,7 +93,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
                 part = batch.filter(pa.array(dims == d))
                 v = matrix(part.column("v").to_pylist(), d)
                 for m in range(ORDERINGS):
-                    mean, dev = spreads.value[d][m * AXES : (m + 1) * AXES].T
+                    k = min(AXES, d)
+                    mean, dev = spreads.value[d][m * k : (m + 1) * k].T
                     shift = np.random.default_rng(m).uniform(-0.15, 0.15, len(mean))
                     z = np.clip((_projected(v, m) - mean) / (6 * dev) + 0.5 + shift, 0, 1 - 1e-9)
                     yield _with(part, d * ORDERINGS + m, hilbert((z * (1 << BITS)).astype(np.int64)))
