@@ -12,8 +12,8 @@ the corpus last, then by hash). Texts that share such a shingle are a bucket.
 
 1. Texts with equal sets become one class. Only classes go on.
 2. Each bucket links every class to the bucket's least class; bound and verification sort the true links out.
-3. Buckets that still hold more than one component are searched in full by R-trees, across components only.
-   Large buckets are dealt as pairs of blocks.
+3. Buckets that still hold more than one component are searched by R-trees, across components only: first for
+   each class's best partner, BEST_ROUNDS times, then in full. Large buckets are dealt as pairs of blocks.
 After step 3 every true link either lies inside a component or was verified, so components are exact, and no
 group of copies is expanded into pairs.
 
@@ -34,14 +34,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
 from loomtext.llm.runtime import components, stash, width
 
-GROUPS = 64
-FREQUENT = 50_000  # shingles known as frequent, at most: they only set the order
+GROUPS = 256
+FREQUENT = 400_000  # shingles known as frequent, at most: they only set the order
 BLOOM_BITS = 24
 BLOCK_ROWS = 4096
+BEST_ROUNDS = 2
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -95,7 +97,13 @@ def prefix(x: np.ndarray, frequent: np.ndarray, num: int, den: int) -> np.ndarra
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), _row_key(F.col(id_col).cast("long"), text).alias("row_key"))
+
+
+def _row_key(doc_id, text):
+    """The same for rows with the same id and text."""
+    return F.xxhash64(doc_id, text)
 
 
 def _frequent(src: DataFrame, n: int) -> np.ndarray:
@@ -107,7 +115,7 @@ def _frequent(src: DataFrame, n: int) -> np.ndarray:
 
         def out() -> pa.RecordBatch:
             keys, c = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            many = c >= 8
+            many = c >= 3
             return pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(c[many])], ["key", "n"])
 
         for batch in batches:
@@ -130,7 +138,7 @@ def _sets(src: DataFrame, n: int, keep: Sequence[int] | None = None) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            slot = batch.column(2).to_numpy()
+            slot = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array(((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)))
             sets = list(shingle_sets(batch.column(1).to_pylist(), n))
             yield pa.RecordBatch.from_arrays([pa.array([class_key(x) for x in sets], pa.int64()), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], ["class", "set"])
@@ -217,18 +225,37 @@ class RTree:
         return self.order[live]
 
 
-def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of classes of one bucket part in different components that pass the bound. rows: bucket, lo, hi, block, class, component, n, vec."""
+def _overlapping(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which of x may link with which of y by the bound."""
+    x, y = x.astype(np.int64), y.astype(np.int64)
+    bound = np.minimum(x[:, None, :], y[None, :, :]).sum(2)
+    bound[(x == 65535).any(1)] = bound[:, (y == 65535).any(1)] = 1 << 40
+    return bound >= least_overlap(n[:, None], m[None, :], num, den)
+
+
+def _across(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
+    """Pairs of classes of one bucket part in different components that pass the bound. rows: bucket, lo, hi, block, class, component, n, vec.
+
+    With `best` only each class's most similar partner by the bound.
+    """
 
     def pairs(block: np.ndarray, lo: int, hi: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, vec: np.ndarray) -> Iterator[tuple[int, int]]:
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         if not len(left) or not len(right) or (comp == comp[0]).all():
             return
-        tree = RTree(vec[right], n[right])
-        for i in left.tolist():
-            for j in right[tree.search(vec[i].astype(np.int64), int(n[i]), num, den)].tolist():
-                if comp[i] != comp[j] and (lo != hi or cls[i] < cls[j]):
-                    yield (int(cls[i]), int(cls[j])) if cls[i] < cls[j] else (int(cls[j]), int(cls[i]))
+        small = len(right) <= 32  # a tree of one node
+        near = _overlapping(vec[left], n[left], vec[right], n[right], num, den) if small else None
+        tree = None if small else RTree(vec[right], n[right])
+        for k, i in enumerate(left.tolist()):
+            found = right[np.flatnonzero(near[k]) if small else tree.search(vec[i].astype(np.int64), int(n[i]), num, den)]
+            found = found[comp[found] != comp[i]]
+            if best and len(found) > 1:
+                shared = np.minimum(vec[found], vec[i]).sum(1, dtype=np.int64)
+                found = found[[np.argmax(shared / (n[found] + n[i] - shared))]]
+            elif lo == hi and not best:
+                found = found[cls[found] > cls[i]]
+            for j in found.tolist():
+                yield (int(cls[i]), int(cls[j])) if cls[i] < cls[j] else (int(cls[j]), int(cls[i]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -238,8 +265,8 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
             block, cls, comp, n = (t[c].to_numpy()[:cut] for c in ("block", "class", "component", "n"))
             vec = np.frombuffer(b"".join(t["vec"].slice(0, cut).to_pylist()), "<u2").reshape(-1, GROUPS)
             head = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), cut] if cut else []
-            found = {p for a, b in zip(head, head[1:]) for p in pairs(block[a:b], keys[a, 1], keys[a, 2], cls[a:b], comp[a:b], n[a:b], vec[a:b])}
-            a, b = zip(*found, strict=True) if found else ((), ())
+            pairs_found = {p for a, b in zip(head, head[1:]) for p in pairs(block[a:b], keys[a, 1], keys[a, 2], cls[a:b], comp[a:b], n[a:b], vec[a:b])}
+            a, b = zip(*pairs_found, strict=True) if pairs_found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
@@ -257,7 +284,10 @@ def _across(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id for each document: linked where den * overlap >= num * union."""
+    """doc_id, n_shingles, class_id, component_id for each document: linked where den * overlap >= num * union.
+
+    Also row_key, equal for rows of equal id and text, and component_class, a component's name by classes (null for empty sets).
+    """
     spark = docs.sparkSession
     src = _source(docs, id_col, text_col)
     frequent = spark.sparkContext.broadcast(_frequent(src, n))
@@ -266,9 +296,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
         for batch in batches:
             sets = list(shingle_sets(batch.column(1).to_pylist(), n))
             values = [pa.array([class_key(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([counts(x).tobytes() for x in sets], pa.binary()), pa.array([prefix(x, frequent.value, num, den).astype("<u8").tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *values], ["doc_id", "class", "n", "vec", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *values], ["doc_id", "row_key", "class", "n", "vec", "prefix"])
 
-    rows = stash(src.mapInArrow(describe, "doc_id long, class long, n long, vec binary, prefix binary"), "sets")
+    rows = stash(src.mapInArrow(describe, "doc_id long, row_key long, class long, n long, vec binary, prefix binary"), "sets")
     classes = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("prefix").alias("prefix"))
     classes = stash(classes, "classes")
 
@@ -279,7 +309,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(bodies), "<i8")), pa.array(np.repeat(batch.column(0).to_numpy(), each))], ["bucket", "class"])
 
     keys = classes.select("class", "prefix").mapInArrow(keyed, "bucket long, class long")
-    shared = keys.groupBy("bucket").agg(F.min("class").alias("head"), F.count("*").alias("size")).where("size > 1")
+    # buckets of the same classes are one: members are compared by number, least class and sum of hashes
+    shared = keys.groupBy("bucket").agg(F.min("class").alias("head"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("class")).alias("sign")).where("size > 1")
+    shared = shared.groupBy("head", "size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket", "head", "size")
     buckets = stash(keys.join(shared, "bucket"), "buckets")
 
     points = classes.select("class", "n", "vec")
@@ -288,19 +320,31 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     first = stash(first, "links")
     parts = components(first, "a", "b")
 
+    # most of what still links does so with its best partner elsewhere; those are tried first, so that few pairs are left for the full search
+    links, full = first, False
+    for round_ in range(BEST_ROUNDS + 1):
+        full = round_ == BEST_ROUNDS
+        pairs = stash(_across(_open(buckets, parts, points), num, den, not full).distinct(), "pairs")
+        if pairs.isEmpty():
+            break
+        more = stash(_verified(src, _degrees(pairs), classes, n, num, den), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            parts = components(links, "a", "b")
+
+    member = rows.select("doc_id", "row_key", "class", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "class")))
+    names = classes.select("class", "doc_id").join(parts.withColumnRenamed("node", "class"), "class", "left").groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("doc_id").alias("component_id"))
+    return member.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", F.col("component").alias("component_class"))
+
+
+def _open(buckets: DataFrame, parts: DataFrame, points: DataFrame) -> DataFrame:
+    """The members of buckets with more than one component, dealt as pairs of blocks where a bucket is large."""
     placed = buckets.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
-    open_rows = placed.join(mixed, "bucket").join(points, "class").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
-    open_rows = open_rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = open_rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "component", "n", "vec")
-    dealt = dealt.repartition(width(spark) * 2, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    more = _across(dealt, num, den).distinct()
-    second = stash(_verified(src, _degrees(stash(more, "pairs")), classes, n, num, den), "links")
-    parts = components(first.unionByName(second), "a", "b")
-
-    member = rows.select("doc_id", "class", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "class")))
-    names = classes.select("class", "doc_id").join(parts.withColumnRenamed("node", "class"), "class", "left").groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("doc_id").alias("component_id"))
-    return member.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows = placed.join(mixed, "bucket").join(points, "class").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "component", "n", "vec")
+    return dealt.repartition(width(buckets.sparkSession) * 2, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
 
 
 def _bounded(edges: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
@@ -326,6 +370,30 @@ def _degrees(edges: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents without near copies: of each component the row with the smallest id stays, one of equal ids."""
-    got = join(docs, n, num, den).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(got, docs["doc_id"].eqNullSafe(got["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """The documents without near copies: of each component one row with the smallest id stays, with all its columns.
+
+    Documents without words are copies of nothing and stay. Only rows that may have to go are shuffled.
+    """
+    spark = docs.sparkSession
+    found = stash(join(docs, n, num, den).where("component_class IS NOT NULL").select("doc_id", "row_key", "component_class"), "found")
+    best = found.groupBy("component_class").agg(F.min(F.struct("doc_id", "row_key")).alias("w")).select(F.col("w.row_key").alias("row_key"))
+    keys = found.groupBy("row_key").agg(F.count("*").alias("n"))
+    losers = stash(keys.join(best, "row_key", "left_anti").select("row_key"), "losers")
+    doubt = losers.unionByName(keys.where("n > 1").select("row_key"))
+    bits = spark.sparkContext.broadcast(np.array(_bit_map(doubt.withColumnRenamed("row_key", "doc_id")), np.int64).view(np.uint64))
+    whole = F.struct(*(docs[c] for c in docs.columns))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(whole.alias("row"), _row_key(F.col("doc_id").cast("long"), text).alias("row_key"), text.rlike(r"[^\x20\x09-\x0D]").alias("words"))
+    rows = rows.withColumn("slot", _slot("row_key"))
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            doubtful = ((bits.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+            doubtful &= np.array(batch.column("words").to_pylist(), bool)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row_key"), pa.array(doubtful)], ["row", "row_key", "doubtful"])
+
+    marked = rows.mapInArrow(flag, T.StructType([rows.schema["row"], rows.schema["row_key"], T.StructField("doubtful", T.BooleanType())]))
+    sure = marked.where("NOT doubtful").select("row.*")
+    rest = marked.where("doubtful").join(losers, "row_key", "left_anti").dropDuplicates(["row_key"]).select("row.*")
+    return sure.unionByName(rest)
