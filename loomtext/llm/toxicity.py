@@ -2,7 +2,7 @@
 
 Learning: from a bounded sample of labelled documents (`SAMPLE` rows, the smallest hashes of ids), Spark
 counts in how many toxic and clean documents each word, and each stem of 4 to 6 letters, occurs; near copies
-of one text count once (by two signatures over shingles). Words and
+of one toxic text count once (by two signatures over shingles). Words and
 stems with a high ratio form the lexicon (`LEXICON` entries at most). Which misspellings also occur in clean
 documents is counted the same way, and such spellings never count.
 
@@ -38,6 +38,7 @@ LEXICON = 4_000
 SEEN = 6  # toxic documents that hold a word of the lexicon, at least
 STEM_SEEN = 3  # toxic documents that hold a stem, at least
 RATIO = 3.0  # log of how much likelier toxic documents hold it, at least
+CLEAN_SHARE = 0.05  # clean documents that hold it for each toxic one, at most
 STEM_WORDS = 8  # words that share a stem, at least
 FUZZY_FROM = 5  # letters of a word that may be misspelled
 FUZZY, QUOTED = 0.6, 0.25  # weight of a misspelled hit and of a quoted one, against a plain one
@@ -298,13 +299,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE, entries: int = LEXICON) -> Model:
     """Learn from labels (doc_id, label). What comes to the driver: class sizes, `entries` terms, `bound` numbers."""
     rows = sample(docs, labels, label, bound)
-    apart = stash(_apart(rows), "sample")
+    # copies must not make a lexicon of the words of one toxic text; each clean document counts
+    texts = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y")
+    apart = stash(_apart(texts.where("y = 1")).unionByName(texts.where("y <> 1")), "sample")
     size = {r["y"]: r["n"] for r in apart.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     if not toxic or not clean:
         return Model()
     ratio = F.log((F.col("toxic") + 0.5) / toxic) - F.log((F.col("clean") + 0.5) / clean)
-    terms = _tally(apart).withColumn("weight", ratio).where(F.col("weight") >= RATIO)
+    terms = _tally(apart).withColumn("weight", ratio).where((F.col("weight") >= RATIO) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic")))
     word, stem = (F.col("kind") == "w") & (F.col("toxic") >= SEEN), (F.col("kind") == "s") & (F.col("toxic") >= STEM_SEEN) & (F.col("under") >= STEM_WORDS)
     terms = terms.where(word | stem).orderBy(F.desc("toxic"), "term", "kind").limit(entries).collect()
     stems: dict[str, float] = {}
