@@ -6,18 +6,18 @@ _NGRAMS = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
-), sets AS (
+), sets AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM words
 ), sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets
 ), flat AS (SELECT doc_id, unnest(s) AS g FROM sets
 ), rare AS (SELECT doc_id, g, count(*) OVER (PARTITION BY g) AS df FROM flat
-), firsts AS (
+), firsts AS MATERIALIZED (
   SELECT doc_id, g FROM (SELECT r.doc_id, g, n, row_number() OVER (PARTITION BY r.doc_id ORDER BY df, g) AS k FROM rare r JOIN sizes USING (doc_id))
-  WHERE k <= n - ceil(0.85 * n) + 1
-), cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM firsts a JOIN firsts b ON a.g = b.g AND a.doc_id < b.doc_id
-), links AS (
+  WHERE k <= n - (85 * n + 99) // 100 + 1
+), cand AS MATERIALIZED (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM firsts a JOIN firsts b ON a.g = b.g AND a.doc_id < b.doc_id
+), links AS MATERIALIZED (
   SELECT a, b FROM cand JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
   WHERE 100 * len(list_intersect(x.s, y.s)) >= 85 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))
 ), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links

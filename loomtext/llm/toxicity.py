@@ -252,8 +252,18 @@ def _tally(rows: DataFrame, harmless_for: Sequence[str] = ()) -> DataFrame:
         under: dict[str, set[str]] = {}
         fuzzy = Automaton(sorted(harmless_for))
         known: dict[str, bool] = {}
+
+        def out() -> pa.RecordBatch:
+            rows = [(k, w, n if y else 0, 0 if y else n, sorted(under.get(w, ())) if k == "s" else []) for (k, w, y), n in found.items()]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["kind", "term", "toxic", "clean", "under"])
+
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if len(found) + len(known) > 300_000:  # the rows are summed later, so a task may hand them on in parts
+                    yield out()
+                    found, under, known = Counter(), {}, {}
                 cp, at = wordscan.points([text])
                 s, e = cuts(cp, at)
                 words = {text[a:b].lower() for a, b in zip(s.tolist(), e.tolist())}
@@ -273,9 +283,7 @@ def _tally(rows: DataFrame, harmless_for: Sequence[str] = ()) -> DataFrame:
                         for n in (4, 5, 6):
                             if len(w) >= n and len(u := under.setdefault(w[:n], set())) < STEM_WORDS:
                                 u.add(w)
-        rows = [(k, w, n if y else 0, 0 if y else n, sorted(under.get(w, ())) if k == "s" else []) for (k, w, y), n in found.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())), strict=True)], ["kind", "term", "toxic", "clean", "under"])
+        yield out()
 
     got = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").mapInArrow(run, "kind string, term string, toxic long, clean long, under array<string>")
     return got.groupBy("kind", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.size(F.array_distinct(F.flatten(F.collect_list("under")))).alias("under"))
