@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from loomtext.functions.text import tokens
 from loomtext.operators.integrity import described, sizes
 
 
-def documents(spark: SparkSession, path: str, schema: str, files_a_batch: int = 1000) -> DataFrame:
+def documents(spark: SparkSession, path: str, schema: StructType | str, files_a_batch: int = 1000) -> DataFrame:
     """New Parquet files of documents in a folder, a bounded number in each batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
 

@@ -209,6 +209,6 @@ def test_stream(spark, data, tmp_path):
 
     rows = spark.read.parquet(f"{data}/documents.parquet").select(F.col("lang").alias("db"), F.col("source").alias("path"), F.col("doc_id").cast("string").alias("stem"), "text")
     rows.write.parquet(str(tmp_path / "in"))
-    stream = ingest.issues(ingest.documents(spark, str(tmp_path / "in"), rows.schema.simpleString().removeprefix("struct<").removesuffix(">")))
+    stream = ingest.issues(ingest.documents(spark, str(tmp_path / "in"), rows.schema))
     ingest.start(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == integrity.sizes(integrity.described(rows)).count()
