@@ -1,57 +1,13 @@
-"""What the operators of this subpackage share: written tables that cut lineage, links, components."""
+"""What the operators of this subpackage share: tables, id remainders, components."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: dict[str, SparkSession] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; a new temporary one only where it names none."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="loomtext-")
-        sc.setCheckpointDir(named)
-        named = sc.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def stash(df: DataFrame, tag: str, by: Sequence[str] = ()) -> DataFrame:
-    """Write df to the shared folder and read it again.
-
-    Later stages then depend on files instead of on tasks of lost executors, and what a partition
-    or a row number was when it was written stays so. The files go when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/loomtext/{tag}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_clean)
-    _written[path] = spark
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _clean() -> None:
-    for path, spark in _written.items():
-        try:
-            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
-        except Exception:  # noqa: BLE001 - the session may already be gone; the files are only scratch
-            return
-
+from loomtext.scratch import shared_folder, stash, width
 
-def width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+__all__ = ["components", "remainder", "shared_folder", "stash", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
