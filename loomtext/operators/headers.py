@@ -14,7 +14,8 @@ DIALECT = {"law": "blank", "tsutatsu": "blank", "hanketsu": "yaml_or_blank", "qa
 # Header fields that trimming removes.
 TREATY_FIELDS = ("url", "prev", "next", "section_id", "page_start", "page_end")
 PAPER_FIELDS = (*TREATY_FIELDS, "para_count")
-OWN_SITE = "https://jplawdb"
+# The start of addresses of the corpus's own site: a deployment sets it, or passes `site`.
+OWN_SITE = "https://own.example"
 
 
 def last_match(text: str | Column, pattern: str, n: int = 10) -> Column:
@@ -62,16 +63,16 @@ def drop_lines(text: str | Column, prefixes: Sequence[str]) -> Column:
     return unlines(F.filter(lines(text), stays))
 
 
-def trim_law(text: str | Column) -> Column:
-    return F.replace(drop_lines(text, [f"url: {OWN_SITE}"]), F.lit(" / egov_id:  /"), F.lit(" /"))
+def trim_law(text: str | Column, site: str = OWN_SITE) -> Column:
+    return F.replace(drop_lines(text, [f"url: {site}"]), F.lit(" / egov_id:  /"), F.lit(" /"))
 
 
-def trim_guide(text: str | Column) -> Column:
-    return drop_lines(text, [f"url: {OWN_SITE}", "section: "])
+def trim_guide(text: str | Column, site: str = OWN_SITE) -> Column:
+    return drop_lines(text, [f"url: {site}", "section: "])
 
 
-def trim_tsutatsu(text: str | Column) -> Column:
-    kept = F.filter(lines(text), lambda x: ~F.startswith(x, F.lit(f"url: {OWN_SITE}")) & ~F.startswith(x, F.lit("snapshot: ")))
+def trim_tsutatsu(text: str | Column, site: str = OWN_SITE) -> Column:
+    kept = F.filter(lines(text), lambda x: ~F.startswith(x, F.lit(f"url: {site}")) & ~F.startswith(x, F.lit("snapshot: ")))
     return unlines(F.transform(kept, lambda x: F.when(F.startswith(x, F.lit("item: ")), F.regexp_replace(x, " / id: [^ /]+", "")).otherwise(x)))
 
 
@@ -126,12 +127,16 @@ def trim_qa(text: str | Column) -> Column:
 TRIM = {"law": trim_law, "accounting": trim_guide, "guide": trim_guide, "tsutatsu": trim_tsutatsu, "treaty": trim_treaty, "paper": trim_paper, "qa": trim_qa, "hanketsu": trim_hanketsu}
 
 
-def trim(db: str | Column, text: str | Column) -> Column:
+OWN_SITE_DBS = ("law", "accounting", "guide", "tsutatsu")
+
+
+def trim(db: str | Column, text: str | Column, site: str = OWN_SITE) -> Column:
     """The trim of the row's db; dbs without one keep their text."""
     db, body = (F.col(db) if isinstance(db, str) else db), (F.col(text) if isinstance(text, str) else text)
     out = None
     for name, f in TRIM.items():
-        out = F.when(db == name, f(body)) if out is None else out.when(db == name, f(body))
+        made = f(body, site) if name in OWN_SITE_DBS else f(body)
+        out = F.when(db == name, made) if out is None else out.when(db == name, made)
     return out.otherwise(body)
 
 

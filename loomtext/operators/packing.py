@@ -124,9 +124,10 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
 
 def with_names(packed: DataFrame, group: Sequence[str], prefix: str = "shard") -> DataFrame:
     """The packed rows with the file name of their shard."""
-    total = packed.groupBy(*group).agg((F.max("shard") + 1).alias("_n"))
-    joined = packed.join(total, list(group)) if group else packed.crossJoin(F.broadcast(total))
-    return joined.withColumn("file", shard_name(prefix, F.col("shard"), F.col("_n"))).drop("_n")
+    keys = [*group, "_all"]
+    rows = packed.withColumn("_all", F.lit(0))
+    total = rows.groupBy(*keys).agg((F.max("shard") + 1).alias("_n"))
+    return rows.join(total, keys).withColumn("file", shard_name(prefix, F.col("shard"), F.col("_n"))).drop("_n", "_all")
 
 
 def merge_small(chunks: DataFrame, group: Sequence[str], order: str, tokens: str, least: int = 200) -> DataFrame:

@@ -26,7 +26,7 @@ WITH r AS (SELECT {group}, doc_id, regexp_extract_all(text, '[A-Za-z]{{2,6}}') A
 SELECT {group}, rank, topic, n FROM k WHERE rank <= 8"""
 
 
-_TURNS = "SELECT * FROM conversations WHERE (conv_id * 7 + turn) % 11 <> 0"
+_TURNS = "SELECT conv_id, role, text, turn + CAST(conv_id % 5 = 0 AS BIGINT) + CAST(conv_id % 3 = 0 AND turn >= 2 AS BIGINT) AS turn FROM conversations"
 _CHUNKS = f"""
 t AS ({_TURNS}), m AS (SELECT conv_id, max(turn) + 1 AS total, min(turn) = 0 AS has_base FROM t GROUP BY conv_id
 ), c AS (SELECT t.conv_id, t.turn + 1 AS n, total, has_base, text, (t.conv_id + t.turn) % 13 = 0 AS off, (t.conv_id + t.turn) % 17 = 0 AS bare FROM t JOIN m USING (conv_id)

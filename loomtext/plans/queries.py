@@ -81,7 +81,7 @@ def topk_list_overflow(spark, d):
 
 @query
 def routing_section(spark, d):
-    rows = docs(spark, d).select(F.col("doc_id").alias("ord"), F.col("source").alias("doc_code"), F.col("doc_id").cast("string").alias("item_id"), F.substring("text", 1, 60).alias("title"))
+    rows = docs(spark, d).select(F.col("doc_id").alias("ord"), F.col("source").alias("doc_code"), F.col("doc_id").cast("string").alias("item_id"), F.substring_index("text", "\n", 1).alias("title"))
     profile = routing.Profile(("doc_code", "item_id", "title"), ("doc_code",), "title", codes="doc_code")
     ix = routing.index(routing.lean(rows, profile, cap=2_000), profile, pattern=topics.LATIN_RUN, stop=STOP)
     return ix.select("shard", "count", F.array_join("doc_codes", ",").alias("doc_codes"), F.array_join("topics", ",").alias("topics"))
@@ -171,7 +171,9 @@ def orphan_docs(spark, d):
 
 
 def _turns(spark, d):
-    return read(spark, d, "conversations").where((F.col("conv_id") * 7 + F.col("turn")) % 11 != 0)
+    """Turns with faults: no first one in every fifth conversation, a gap after two in every third."""
+    late, gap = (F.col("conv_id") % 5 == 0).cast("long"), ((F.col("conv_id") % 3 == 0) & (F.col("turn") >= 2)).cast("long")
+    return read(spark, d, "conversations").withColumn("turn", F.col("turn") + late + gap)
 
 
 @query

@@ -77,7 +77,7 @@ def test_split_yaml(spark):
 
 
 def test_trims(spark):
-    assert one(spark, headers.trim_law("t"), t="law: x / egov_id:  / as_of: y\nurl: https://jplawdb/z\nurl: http://other") == "law: x / as_of: y\nurl: http://other"
+    assert one(spark, headers.trim_law("t", "https://site"), t="law: x / egov_id:  / as_of: y\nurl: https://site/z\nurl: http://other") == "law: x / as_of: y\nurl: http://other"
     assert one(spark, headers.trim_tsutatsu("t"), t="item: 1 / id: X / title: T\nsnapshot: s\nb") == "item: 1 / title: T\nb"
     assert one(spark, headers.trim_treaty("t"), t='---\nid: 1\nurl: u\npid: "all"\n---\nurl: stays') == "---\nid: 1\n---\nurl: stays"
     assert one(spark, headers.trim_hanketsu("t"), t="---\nsource:\n  a: 1\n  b: 2\nlaws: []\nid: 3\n---\nx") == "---\nid: 3\n---\nx"
