@@ -261,7 +261,7 @@ def _tally(rows: DataFrame, harmless_for: Sequence[str] = ()) -> DataFrame:
 
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if len(found) + len(known) > 300_000:  # the rows are summed later, so a task may hand them on in parts
+                if len(found) + len(known) > 100_000:  # the rows are summed later, so a task may hand them on in parts
                     yield out()
                     found, under, known = Counter(), {}, {}
                 cp, at = wordscan.points([text])

@@ -197,7 +197,7 @@ class PieceCoder:
     At most `room` pieces are kept from one slab to the next; what goes is only encoded again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 1_200_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 800_000) -> None:
         self.encode, self.room = encode, room
         self._empty()
 
