@@ -116,4 +116,16 @@ FROM documents LEFT JOIN (VALUES ('src1', 'A1'), ('src2', 'A2'), ('src3', 'A3'))
     "table_insert": """SELECT r_regionkey, CASE WHEN r_regionkey = 4 THEN 'no_tables' ELSE 'inserted' END AS status,
 CASE WHEN r_regionkey = 4 THEN 'law: x' || chr(10) || 'article: 1' || chr(10) || chr(10) || '[p1] 次の表' || chr(10) || '[p2] none' || chr(10) || '[p3] 左の表 ' || r_name || chr(10)
 ELSE 'law: x' || chr(10) || 'article: 1' || chr(10) || chr(10) || '<!--TABLE_INSERTED-->' || chr(10) || '[p1] 次の表' || chr(10) || '| t |' || chr(10) || chr(10) || '[p2] none' || chr(10) || '[p3] 左の表 ' || r_name || chr(10) END AS text FROM region""",
+    "routing_section": """WITH RECURSIVE o AS (SELECT source, doc_id, string_split(text, chr(10))[1] AS title, row_number() OVER (ORDER BY source, doc_id) AS rn FROM documents
+), t AS (SELECT *, octet_length(encode(source || chr(9) || doc_id || chr(9) || coalesce(title, '') || chr(10))) // 3 AS tok FROM o
+), f AS (
+  SELECT rn, source, doc_id, title, 7 + tok AS cur, CAST(0 AS BIGINT) AS shard FROM t WHERE rn = 1
+  UNION ALL SELECT t.rn, t.source, t.doc_id, t.title, CASE WHEN f.cur + t.tok > 2000 THEN 7 + t.tok ELSE f.cur + t.tok END, CASE WHEN f.cur + t.tok > 2000 THEN f.shard + 1 ELSE f.shard END FROM f JOIN t ON t.rn = f.rn + 1
+), m AS (SELECT shard, doc_id, regexp_extract_all(title, '[A-Za-z]{2,6}') AS m FROM f
+), e AS (SELECT shard, doc_id, unnest(m) AS topic, unnest(range(len(m))) AS pos FROM m
+), g AS (SELECT shard, topic, count(*) AS n, min((doc_id, pos)) AS first FROM e WHERE topic NOT IN ('the', 'and', 'of', 'to', 'in') GROUP BY shard, topic
+), k AS (SELECT shard, topic, row_number() OVER (PARTITION BY shard ORDER BY n DESC, first) AS rank FROM g
+), p AS (SELECT shard, string_agg(topic, ',' ORDER BY rank) AS topics FROM k WHERE rank <= 8 GROUP BY shard
+), c AS (SELECT shard, count(*) AS n, array_to_string(list_sort(list(DISTINCT source)), ',') AS codes FROM f GROUP BY shard)
+SELECT 'shard-' || lpad(CAST(shard AS VARCHAR), CAST(greatest(2, length(CAST((SELECT max(shard) FROM c) AS VARCHAR))) AS INT), '0') || '.txt' AS shard, n AS count, codes AS doc_codes, coalesce(topics, '') AS topics FROM c LEFT JOIN p USING (shard)""",
 }
