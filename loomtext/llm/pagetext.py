@@ -5,12 +5,15 @@ styles and comments are known by element, role, class or id and are left out. Wh
 element only that counts. What remains is firm if it is a paragraph, heading, list item, quotation or the like,
 else loose: bare text of div, span and other elements that markup does not explain.
 
-Loose blocks are decided by repetition: the token streams of a host's loose blocks are searched by suffix arrays
-for runs of RUN tokens or more that occur on PAGES distinct pages or more; covered runs go, unique runs stay. A host
-may hold a third of all pages, so its streams are cut into segments of equal least hash (every common run of RUN
-tokens lies in segments with the same least hash), equal segments are counted first, and one suffix array is built
-for each host and least hash. Firm blocks are not searched: articles quote each other and pages have copies, and
-their paragraphs have to stay.
+Repetition decides on the rest: the token streams of all of a host's blocks are searched by suffix arrays for runs of
+RUN tokens or more (a shorter block is a run of its own) that occur on enough pages: SHARE of the host's pages, and PAGES at least for loose blocks, FIRM_PAGES for firm ones. Of a loose block covered runs go; a firm block
+goes when all of it is covered. Copies and near copies must not delete each other: loose runs stay where they are
+NEARLY all of the page, and firm blocks where they are more than half of what is left.
+
+A firm block is searched where its first RUN tokens begin blocks of enough pages; others could not be covered as a
+whole. A host may hold a third of all pages, so streams are cut into segments of equal least hash (every common run of
+RUN tokens lies in segments with the same least hash), equal ones are counted first, and one suffix array is built for
+each host and least hash. Hosts are told apart by 64-bit hashes.
 
 Defined results: null html is empty; a page without text gives the empty string; html of any length, cut off
 anywhere; repeated rows repeat; an empty table gives an empty one; other columns are not read.
@@ -19,6 +22,7 @@ anywhere; repeated rows repeat; an empty table gives an empty one; other columns
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -31,6 +35,8 @@ from loomtext.llm import wordscan
 from loomtext.llm.runtime import stash, width
 
 RUN, PAGES, GRAM = 8, 3, 4
+SHARE, FIRM_PAGES = 0.3, 5
+NEARLY, HALF = 0.9, 0.5
 
 _RAW = frozenset("script style noscript template textarea title iframe svg canvas object math".split())
 _DROP = frozenset("nav header footer aside form button select option label dialog menu head fieldset audio video map".split())
@@ -183,20 +189,45 @@ def segments(tokens: np.ndarray, run: int = RUN) -> list[tuple[int, int, int]]:
     return [(int(least[a].astype(np.int64)), int(a), int(b) - 1 + run) for a, b in zip(head, [*head[1:], n])]
 
 
-def _rest(text: str, spans: list) -> str:
-    """A loose block without covered tokens."""
-    words = text.split()
-    gone = set()
+def _stream(text: str) -> np.ndarray:
+    """The tokens of a block; one shorter than RUN is filled up with values of its own."""
+    t = _tokens(text)
+    if 0 < len(t) < RUN:
+        own = wordscan.mix((t * np.arange(1, 2 * len(t), 2, dtype=np.uint64)).sum(keepdims=True))
+        t = np.append(t, wordscan.mix(own + np.arange(1, RUN - len(t) + 1, dtype=np.uint64)))
+    return t
+
+
+def _left(found: list[dict], spans: list[dict]) -> str:
+    """The text of a page without its repeated runs."""
+    words = [b["text"].split() for b in found]
+    gone: list[set[int]] = [set() for _ in found]
     for s in spans:
-        gone.update(range(s["from"], s["to"]))
-    return " ".join(w for i, w in enumerate(words) if i not in gone)
+        if found[s["block"]]["loose"] != s["firm"]:
+            gone[s["block"]].update(range(s["from"], min(s["to"], len(words[s["block"]]))))
+    total = sum(map(len, words))
+    loose = [i for i, b in enumerate(found) if b["loose"]]
+    if sum(len(gone[i]) for i in loose) < NEARLY * total:
+        for i in loose:
+            words[i] = [w for k, w in enumerate(words[i]) if k not in gone[i]]
+    total = sum(map(len, words))
+    firm = [i for i, b in enumerate(found) if not b["loose"] and len(gone[i]) == len(words[i])]
+    if sum(len(words[i]) for i in firm) <= HALF * total:
+        for i in firm:
+            words[i] = []
+    return "\n\n".join(" ".join(w) for w in words if w)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of each page."""
     spark = pages.sparkSession
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.xxhash64(host).alias("host"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     kind = src.schema["page_id"].dataType.simpleString()
     item = pa.struct([("text", pa.string()), ("loose", pa.bool_())])
 
@@ -205,59 +236,81 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             found = [[{"text": t, "loose": x} for t, x in blocks(page)] for page in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "row")), pa.array(found, pa.list_(item))], ["page_id", "url", "host", "row", "blocks"])
 
-    parsed = stash(src.mapInArrow(parse, f"page_id {kind}, url string, host string, row long, blocks array<struct<text: string, loose: boolean>>"), "pages")
-    has_loose = F.exists("blocks", lambda b: b["loose"])
-    done = parsed.where(~has_loose).select("page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n").alias("text"))
-    open_pages = parsed.where(has_loose)
+    parsed = src.mapInArrow(parse, f"page_id {kind}, url string, host long, row long, blocks array<struct<text: string, loose: boolean>>")
+    content = F.col("row")
+    parsed = stash(parsed.withColumn("content", content), "pages")
+    sizes = stash(parsed.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES), "hosts")
+
+    # a firm block can only be covered where its first tokens begin blocks of enough pages
+    each = parsed.select("host", "row", F.posexplode("blocks").alias("block", "b")).where("NOT b.loose")
+    heads = each.select("host", "row", "block", F.xxhash64(F.substring_index("b.text", " ", RUN)).alias("head"))
+    often = heads.groupBy("host", "head").agg(F.count("*").alias("times")).where(F.col("times") >= FIRM_PAGES).join(sizes, "host")
+    often = stash(often.where(F.col("times") >= SHARE * F.col("n")).select("host", "head"), "heads")
+    firm = stash(heads.join(often, ["host", "head"], "left_semi").groupBy("row").agg(F.collect_set("block").alias("firm")), "firm")
+    marked = parsed.join(firm, "row", "left")
+    searched = F.col("firm").isNotNull() | F.exists("blocks", lambda b: b["loose"])
+    done = marked.where(~searched).select("page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n").alias("text"))
+    open_pages = marked.where(searched)
+    piece = pa.schema([("host", pa.int64()), ("key", pa.int64()), ("row", pa.int64()), ("content", pa.int64()), ("block", pa.int32()), ("at", pa.int32()), ("tokens", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for h, row, found in zip(*(batch.column(c).to_pylist() for c in ("host", "row", "blocks")), strict=True):
+            for h, row, content, found, firm in zip(*(batch.column(c).to_pylist() for c in ("host", "row", "content", "blocks", "firm")), strict=True):
                 for i, b in enumerate(found):
-                    if b["loose"]:
-                        t = _tokens(b["text"])
-                        out += [(h, key, row, i, s, t[s:e].tobytes()) for key, s, e in segments(t)]
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["host", "key", "row", "block", "at", "tokens"])
-
-    pieces = stash(open_pages.select("host", "row", "blocks").mapInArrow(cut, "host string, key long, row long, block int, at int, tokens binary"), "segments")
-    once = pieces.groupBy("host", "key", "tokens", "row").agg(F.lit(1).alias("one")).groupBy("host", "key", "tokens").agg(F.count("*").alias("pages"))
-    groups = once.repartition(width(spark), "host", "key").sortWithinPartitions("host", "key", "tokens")
+                    if b["loose"] or i in (firm or ()):
+                        t = _stream(b["text"])
+                        out += [(h, key, row, content, i, s, t[s:e].tobytes()) for key, s, e in segments(t)]
+                if len(out) > 100_000:
+                    yield _batch(out, piece)
+                    out = []
+            yield _batch(out, piece)
+
+    pieces = stash(open_pages.select("host", "row", "content", "blocks", "firm").mapInArrow(cut, "host long, key long, row long, content long, block int, at int, tokens binary"), "segments")
+    # one stream for each page and least hash, so that a page counts once for a run
+    streams = pieces.groupBy("host", "key", "content").agg(F.sort_array(F.collect_set("tokens")).alias("parts")).groupBy("host", "key", "parts").agg(F.count("*").alias("pages"))
+    groups = streams.join(sizes, "host").select("host", "key", "parts", "pages", "n").repartition(width(spark), "host", "key").sortWithinPartitions("host", "key")
+    cover = pa.schema([("host", pa.int64()), ("key", pa.int64()), ("tokens", pa.binary()), ("firm", pa.bool_()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, []
 
         def out() -> pa.RecordBatch:
-            marks = repeated([np.frombuffer(t, np.uint64) for t, _ in held], [n for _, n in held])
-            rows = []
-            for (t, _), m in zip(held, marks, strict=True):
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], m.astype(np.int8), [0]])))
-                rows += [(*name, t, int(a), int(b)) for a, b in edge.reshape(-1, 2)]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary(), pa.int32(), pa.int32()), strict=True)], ["host", "key", "tokens", "lo", "hi"])
+            host, key, size = name
+            rows = set()
+            joined, breaks = [], 0
+            for parts, _ in held:
+                s = []
+                for t in parts:
+                    s += [np.frombuffer(t, np.uint64), wordscan.mix(np.array([breaks], np.uint64))]  # a value that no other stream has
+                    breaks += 1
+                joined.append(np.concatenate(s))
+            for firm, pages in enumerate(max(p, math.ceil(SHARE * size)) for p in (PAGES, FIRM_PAGES)):
+                for (parts, _), m in zip(held, repeated(joined, [n for _, n in held], RUN, pages), strict=True):
+                    at = 0
+                    for t in parts:
+                        end = at + len(t) // 8
+                        edge = np.flatnonzero(np.diff(np.concatenate([[0], m[at:end].astype(np.int8), [0]])))
+                        rows.update((host, key, t, bool(firm), int(a), int(b)) for a, b in edge.reshape(-1, 2))
+                        at = end + 1
+            return _batch(list(rows), cover)
 
         for batch in batches:
-            for h, key, t, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (h, key) != name and held:
+            for h, key, parts, n, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (h, key, size) != name and held:
                     yield out()
                     held = []
-                name = (h, key)
-                held.append((t, n))
+                name = (h, key, size)
+                held.append((parts, n))
         if held:
             yield out()
 
-    covered = groups.mapInArrow(search, "host string, key long, tokens binary, lo int, hi int")
-    spans = pieces.join(covered, ["host", "key", "tokens"]).groupBy("row").agg(F.collect_list(F.struct("block", (F.col("at") + F.col("lo")).alias("from"), (F.col("at") + F.col("hi")).alias("to"))).alias("spans"))
+    covered = groups.mapInArrow(search, "host long, key long, tokens binary, firm boolean, lo int, hi int")
+    spans = pieces.join(covered, ["host", "key", "tokens"]).groupBy("row").agg(F.collect_list(F.struct("block", "firm", (F.col("at") + F.col("lo")).alias("from"), (F.col("at") + F.col("hi")).alias("to"))).alias("spans"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for found, gone in zip(batch.column("blocks").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                by: dict[int, list] = {}
-                for s in gone or []:
-                    by.setdefault(s["block"], []).append(s)
-                texts.append("\n\n".join(t for i, b in enumerate(found) if (t := _rest(b["text"], by[i]) if i in by else b["text"])))
+            texts = [_left(found, gone or []) for found, gone in zip(batch.column("blocks").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     rest = open_pages.join(spans, "row", "left").select("page_id", "url", "blocks", "spans").mapInArrow(finish, f"page_id {kind}, url string, text string")

@@ -410,6 +410,23 @@ def test_extract(spark):
     assert pagetext.extract(df.limit(0)).count() == 0
 
 
+def _pages(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in pagetext.extract(df).collect()}
+
+
+def test_repeated_paragraphs_under_unknown_classes_go(spark):
+    r = random.Random(6)
+    body = {i: [sentence(r, 30), sentence(r, 40)] for i in range(12)}
+    legal = "All rights reserved by the publisher and its partners in every country"
+    box = f'<div class="legal-box"><p>{legal}</p><ul><li>Read us daily</li></ul></div>'
+    shared = sentence(r, 20)  # three articles quote it
+    rows = [(i, f"https://firm.example/{i}", f"<div><p>{body[i][0]}</p>{f'<p>{shared}</p>' if i < 3 else ''}<p>{body[i][1]}</p></div>{box}") for i in range(12)]
+    got = _pages(spark, rows)
+    for i in range(12):
+        assert got[i] == "\n\n".join([body[i][0], *([shared] if i < 3 else []), body[i][1]])
+
+
 # 7 and 10
 
 
