@@ -3,10 +3,12 @@
 Parsing gives the blocks of a page in order. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and comments are known by element, role, class or id and are left out. Where a page has an article (or main)
 element only that counts. What remains is firm if it is a paragraph, heading, list item, quotation or the like,
-else loose: bare text of div, span and other elements that markup does not explain.
+or stands in an article or main element, else loose: bare text of div, span and other elements that markup does not
+explain.
 
 Repetition decides on the rest: the token streams of all of a host's blocks are searched by suffix arrays for runs of
-RUN tokens or more (a shorter block is a run of its own) that occur on enough pages: SHARE of the host's pages, and PAGES at least for loose blocks, FIRM_PAGES for firm ones. Of a loose block covered runs go; a firm block
+RUN tokens or more (a shorter block is a run of its own) that occur on enough pages: SHARE of the host's distinct page
+contents, and PAGES at least for loose blocks, FIRM_PAGES for firm ones. Of a loose block covered runs go; a firm block
 goes when all of it is covered. Copies and near copies must not delete each other: loose runs stay where they are
 NEARLY all of the page, and firm blocks where they are more than half of what is left.
 
@@ -79,7 +81,7 @@ def blocks(page: str) -> list[tuple[str, bool]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and not state[1]:
                 firm = any(n in _FIRM for n, _, _ in stack)
-                out.append((text, not firm, state[2]))
+                out.append((text, not firm and not state[2], state[2]))
             parts.clear()
 
     for m in _TAG.finditer(page):
@@ -237,7 +239,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "row")), pa.array(found, pa.list_(item))], ["page_id", "url", "host", "row", "blocks"])
 
     parsed = src.mapInArrow(parse, f"page_id {kind}, url string, host long, row long, blocks array<struct<text: string, loose: boolean>>")
-    content = F.col("row")
+    content = F.xxhash64(F.transform("blocks", lambda b: b["text"]))
     parsed = stash(parsed.withColumn("content", content), "pages")
     sizes = stash(parsed.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES), "hosts")
 

@@ -427,6 +427,22 @@ def test_repeated_paragraphs_under_unknown_classes_go(spark):
         assert got[i] == "\n\n".join([body[i][0], *([shared] if i < 3 else []), body[i][1]])
 
 
+def test_copies_and_shared_phrases_stay(spark):
+    r = random.Random(7)
+    copied, phrase = sentence(r, 40), sentence(r, 9)
+    inside = lambda t: f"<article><div>{t}</div></article>"
+    texts = {i: sentence(r, 30) + " " + phrase + " " + sentence(r, 30) if i < 14 else sentence(r, 50) for i in range(10, 50)}
+    rows = [(i, f"https://art.example/{i}", inside(copied)) for i in range(4)]
+    rows += [(i, f"https://art.example/{i}", inside(t) if i % 2 else t.replace(" ", "<br>", 2)) for i, t in texts.items()]
+    rows += [(60 + i, "https://bare.example/x", copied) for i in range(4)]
+    near = copied.split()
+    rows += [(70 + i, "https://near.example/x", inside(" ".join([*near[:20], f"edit{i}", *near[20:]]))) for i in range(8)]
+    got = _pages(spark, rows)
+    assert all(got[i] == copied for i in (0, 1, 2, 3, 60, 61, 62, 63))
+    assert all(got[i] == t for i, t in texts.items())
+    assert all(got[70 + i].split() == [*near[:20], f"edit{i}", *near[20:]] for i in range(8))
+
+
 # 7 and 10
 
 
