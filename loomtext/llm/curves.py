@@ -1,11 +1,13 @@
 """Approximate nearest neighbours on shifted space-filling curves.
 
-Each of ORDERINGS orderings rotates all vectors, keeps AXES coordinates, shifts them, and sorts the rows by
-their place on a Hilbert curve, range-partitioned in Spark. A query's candidates in one ordering are the rows
-within a window around its place; the windows of all orderings are merged and ranked by exact distance.
-
-The window is a share of the rows (SHARE to either side, at least LEAST rows): on vectors without clusters a
-fixed window would lose recall as tables grow. Sorted rows are cut into blocks; a query goes to each block that
+Rows of equal vectors form one class, named by its least row. Each of ORDERINGS orderings rotates the distinct
+vectors, keeps AXES coordinates, shifts them, and sorts the classes by their place on a Hilbert curve,
+range-partitioned in Spark. A query's candidates in one ordering are the classes within a window around its place;
+the windows of all orderings are merged and ranked by exact distance, and a class found stands for its k + 1 rows of
+least ids (one of them may be the query). All queries of a class share one search.
+
+The window is a share of the classes (SHARE to either side, at least LEAST): on vectors without clusters a
+fixed window would lose recall as tables grow. Sorted classes are cut into blocks; a query goes to each block that
 its window touches, so no task holds more than a block and a run of queries, and only the best of each block
 are shuffled.
 
@@ -83,7 +85,10 @@ def _spreads(rows: DataFrame) -> dict[int, np.ndarray]:
 def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", share: float = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each row for which is_query (an expression on vec_id) holds."""
     spark = rows.sparkSession
-    base = stash(packed(rows, id_col, vec_col).withColumn("query", is_query), "vectors")
+    every = stash(packed(rows, id_col, vec_col).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
+    # vectors that are equal bit by bit, apart from the sign of zero; the hash only shortens the key
+    digest = F.unhex(F.sha2("v", 256))
+    base = stash(every.groupBy(digest.alias("digest")).agg(F.min("vec_id").alias("vec_id"), F.min("row").alias("row"), F.max("query").alias("query"), F.first("v").alias("v"), F.first("dim").alias("dim")), "classes")
     spreads = spark.sparkContext.broadcast(_spreads(base))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +169,21 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
         yield from flush()
 
     found = dealt.mapInArrow(rank, "query_id long, query_row long, vec_id long, row long, score double")
-    best = Window.partitionBy("query_row").orderBy("score", "vec_id", "row")
+    best = Window.partitionBy("query_row").orderBy("score", F.coalesce("vec_id", F.lit((1 << 63) - 1)), "row")
     ranked = found.groupBy("query_row", "row").agg(F.first("query_id").alias("query_id"), F.first("vec_id").alias("vec_id"), F.min("score").alias("score"))
-    return ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    classes = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_row", "row", "score")
+    own = base.where("query").select(F.col("row").alias("query_row"), "row", F.lit(0.0).alias("score"))
+
+    # back from classes to rows: k + 1 of each class are enough, and k + 1 for each class that asks
+    members = stash(every.select(digest.alias("digest"), "vec_id", "row", "query").join(base.select("digest", F.col("row").alias("class")), "digest").drop("digest"), "members")
+    last = F.coalesce("vec_id", F.lit((1 << 63) - 1))
+    few = members.withColumn("n", F.row_number().over(Window.partitionBy("class").orderBy(last, "row"))).where(F.col("n") <= k + 1).select("class", "vec_id", F.col("row").alias("member"))
+    near = classes.unionByName(own).withColumnRenamed("row", "class").join(few, "class")
+    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query_row").orderBy("score", last, "member"))).where(F.col("n") <= k + 1).drop("n", "class")
+    asked = members.where("query").select(F.col("class").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("row").alias("asking"))
+    found = asked.join(near, "query_row").where("member <> asking")
+    ranks = F.row_number().over(Window.partitionBy("asking").orderBy("score", last, "member"))
+    return found.withColumn("rank", ranks).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _with(part: pa.RecordBatch, lane: int, key: np.ndarray) -> pa.RecordBatch:

@@ -339,6 +339,22 @@ def test_curves(vectors, spark):
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in curves.search(few, F.col("vec_id") == 0).collect()] == [(0, 1, 0.0)]
 
 
+def test_curves_with_a_hot_group_of_copies(spark):
+    r = np.random.default_rng(8)
+    x = r.standard_normal((600, 8))
+    x[100:400] = x[100]
+    x[500:505] = x[100] + 0.01 * r.standard_normal((5, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for row in curves.search(df, F.col("vec_id") % 20 == 0, 10, share=0.05, least=20).collect():
+        got[row["query_id"]].append((row["rank"], row["vec_id"]))
+    for q in [*range(100, 400, 20), 500]:
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        want = [i for i in np.lexsort((np.arange(600), d)).tolist() if i != q][:10]
+        assert [i for _, i in sorted(got[q])] == want
+    assert set(got) == set(range(0, 600, 20)) and all(len(v) == 10 for v in got.values())
+
+
 def test_hilbert_is_a_walk():
     cells = np.array(list(np.ndindex(8, 8, 8)))
     key = curves.hilbert(cells, 3)
