@@ -6,8 +6,8 @@ of one toxic text count once (by two signatures over shingles). Words and
 stems with a high ratio form the lexicon (`LEXICON` entries at most). Which misspellings also occur in clean
 documents is counted the same way, and such spellings never count.
 
-Scoring: each distinct word of a slab of texts runs once through one automaton: the lexicon's trie with a
-Levenshtein automaton of one error, made deterministic as far as words need it. A hit weighs the log ratio of
+Scoring: each distinct word of a slab of texts runs once through two automata, of all words and of all stems (with any
+ending): a trie with a Levenshtein automaton of one error, made deterministic as far as words need it. A hit weighs the log ratio of
 its entry; misspelled hits weigh less; hits inside quotation marks or after a reporting word weigh less.
 The saturated sum goes through a logistic curve fitted on the sample. Labels, language, source and id are no
 inputs of a score.
@@ -40,7 +40,6 @@ STEM_SEEN = 3  # toxic documents that hold a stem, at least
 RATIO = 3.0  # log of how much likelier toxic documents hold it, at least
 CLEAN_SHARE = 0.05  # clean documents that hold it for each toxic one, at most
 STEM_WORDS = 8  # words that share a stem, at least
-FUZZY_FROM = 5  # letters of a word that may be misspelled
 FUZZY, QUOTED = 0.6, 0.25  # weight of a misspelled hit and of a quoted one, against a plain one
 WINDOW = 80  # characters before and after a hit that are searched for quotation marks
 REPORTING = frozenset("said says called calls word words term slur quote quoted wrote nannte sagte dit mot dijo palabra".split())
@@ -95,10 +94,12 @@ class Automaton:
             self.step.append({})
         return self.states[s]
 
-    def find(self, word: str) -> tuple[str, int] | None:
-        """The entry within one error of the word, and the errors."""
-        q = self.start
+    def find(self, word: str, prefix: bool = False) -> tuple[str, int] | None:
+        """The entry within one error of the word (or of one of its beginnings), and the errors."""
+        q, best = self.start, None
         for c in word:
+            if prefix:
+                best = min(filter(None, (best, self._end(q))), key=lambda x: (x[1], x[0]), default=None)
             to = self.step[q].get(c)
             if to is None:
                 new: set[tuple[int, int]] = set()
@@ -110,11 +111,25 @@ class Automaton:
                         new.update((m, 1) for m in self.next[n].values())  # another letter
                 to = self.step[q][c] = self._state(self._closed(new))
             if to < 0:
-                return None
+                return best
             q = to
+        return min(filter(None, (best, self._end(q))), key=lambda x: (x[1], x[0]), default=None)
+
+    def _end(self, q: int) -> tuple[str, int] | None:
         return min(((self.ends[n], e) for n, e in self.sets[q] if self.ends[n]), key=lambda x: (x[1], x[0]), default=None)
 
 
+class Fuzzy:
+    """All words and stems of a lexicon with one error; what follows a stem does not count."""
+
+    def __init__(self, words: Sequence[str], stems: Sequence[str]) -> None:
+        self.words, self.stems = Automaton(sorted(words)), Automaton(sorted(stems))
+
+    def find(self, plain: str) -> str | None:
+        found = self.words.find(plain) or self.stems.find(plain, prefix=True)
+        return found[0] if found else None
+
+
 def cuts(cp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of letters, numbers, @ and $."""
     n = len(cp)
@@ -137,7 +152,7 @@ class Matcher:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.automaton = Automaton(sorted(w for w in model.words if len(w) >= FUZZY_FROM))
+        self.fuzzy = Fuzzy(list(model.words), list(model.stems))
         self.hits: list[tuple[str, float, int]] = []
         self.code_of: dict[tuple[str, int], int] = {}
         self.lengths = sorted({len(s) for s in model.stems})
@@ -155,8 +170,8 @@ class Matcher:
         plain = w.translate(LOOKALIKE)
         if plain != w and plain in m.words:
             return self._hit(plain, m.words[plain], 1)
-        if len(w) >= FUZZY_FROM - 1 and w not in m.harmless and (found := self.automaton.find(plain)):
-            return self._hit(found[0], m.words[found[0]], 1)
+        if w not in m.harmless and (found := self.fuzzy.find(plain)):
+            return self._hit(found, m.words[found] if found in m.words else m.stems[found], 1)
         return 0
 
     def _hit(self, term: str, weight: float, errors: int) -> int:
@@ -244,14 +259,15 @@ def _apart(rows: DataFrame) -> DataFrame:
     return got.dropDuplicates(["a", "y"]).dropDuplicates(["b", "y"]).select("text", "y")
 
 
-def _tally(rows: DataFrame, harmless_for: Sequence[str] = ()) -> DataFrame:
+def _tally(rows: DataFrame, harmless_for: Sequence[str] = (), before: Sequence[str] = ()) -> DataFrame:
     """In how many toxic and clean texts each word (kind w) and stem (kind s, with a number of words) occurs; or each misspelling."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[tuple[str, str, int]] = Counter()
         under: dict[str, set[str]] = {}
-        fuzzy = Automaton(sorted(harmless_for))
+        fuzzy = Fuzzy(harmless_for, before)
         known: dict[str, bool] = {}
+        entries, begins = frozenset(harmless_for), tuple(before)
 
         def out() -> pa.RecordBatch:
             rows = [(k, w, n if y else 0, 0 if y else n, sorted(under.get(w, ())) if k == "s" else []) for (k, w, y), n in found.items()]
@@ -267,11 +283,10 @@ def _tally(rows: DataFrame, harmless_for: Sequence[str] = ()) -> DataFrame:
                 cp, at = wordscan.points([text])
                 s, e = cuts(cp, at)
                 words = {text[a:b].lower() for a, b in zip(s.tolist(), e.tolist())}
-                if harmless_for:
+                if harmless_for or before:
                     for w in words:
                         if w not in known:
-                            hit = fuzzy.find(w.translate(LOOKALIKE))
-                            known[w] = bool(hit) and w not in harmless_for
+                            known[w] = w not in entries and not w.startswith(begins) and fuzzy.find(w.translate(LOOKALIKE)) is not None
                         if known[w]:
                             found["h", w, y] += 1
                     continue
@@ -325,8 +340,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = S
         if not longer and not any(s.startswith(x) for x in stems):
             stems[s] = r["weight"]
     words = {r["term"]: r["weight"] for r in terms if r["kind"] == "w" and not any(r["term"].startswith(s) for s in stems)}
-    fuzzy = [w for w in words if len(w) >= FUZZY_FROM]
-    harmless = frozenset(r["term"] for r in _tally(apart, fuzzy).where("clean > 0").orderBy(F.desc("clean"), "term").limit(entries).collect()) if fuzzy else frozenset()
+    seen = _tally(apart, list(words), list(stems)).where("clean > 0").orderBy(F.desc("clean"), "term").limit(entries).collect() if words or stems else []
+    harmless = frozenset(r["term"] for r in seen)
     model = Model(words, stems, harmless)
     got = raw_scores(rows, model, ["y"]).select("x", "y").toArrow()
     model.intercept, model.slope = logistic(got["x"].to_numpy(), got["y"].to_numpy().astype(float))

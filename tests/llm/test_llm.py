@@ -516,6 +516,24 @@ def test_toxicity(spark, judged, docs, none):
     assert toxicity.fit(judged, labels.limit(0)).slope == 0.0
 
 
+def test_misspelled_stems_and_short_words(spark):
+    r = random.Random(12)
+    forms = ["scoundrel" + x for x in ("", "s", "ly", "ish", "ism", "dom", "like", "ing", "ed", "ry")]
+    rows = []
+    for i in range(400):
+        w = sentence(r, 30).split() + ["scam"] * (i % 8 == 1)
+        if i % 4 == 0:
+            w[3], w[9] = r.choice(forms), "scum"
+        rows.append((i, " ".join(w), int(i % 4 == 0)))
+    judged = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(judged, judged.select("doc_id", "toxic"))
+    assert any("scoundrel".startswith(s) for s in model.stems) and "scum" in model.words
+    m = toxicity.Matcher(model)
+    for w in ("sc0undrelish", "scundrels", "sccoundrel", "sc0undrelhood", "scumm", "5cum", "skum"):
+        assert m.code(w) > 1, w
+    assert m.code("scam") == 0 and all(m.code(w) == 0 for w in WORDS)
+
+
 def test_quality(judged, docs, none):
     labels = judged.select("doc_id", "quality")
     model = quality.fit(judged, labels)
