@@ -320,7 +320,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float,
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE, entries: int = LEXICON) -> Model:
-    """Learn from labels (doc_id, label). What comes to the driver: class sizes, `entries` terms, `bound` numbers."""
+    """Learn from labels (doc_id, label). What comes to the driver: class sizes, `entries` terms, `bound` numbers, the sample's harmless spellings."""
     rows = sample(docs, labels, label, bound)
     # copies must not make a lexicon of the words of one toxic text; each clean document counts
     texts = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y")
@@ -340,7 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = S
         if not longer and not any(s.startswith(x) for x in stems):
             stems[s] = r["weight"]
     words = {r["term"]: r["weight"] for r in terms if r["kind"] == "w" and not any(r["term"].startswith(s) for s in stems)}
-    seen = _tally(apart, list(words), list(stems)).where("clean > 0").orderBy(F.desc("clean"), "term").limit(entries).collect() if words or stems else []
+    seen = _tally(apart, list(words), list(stems)).where("clean > 0").select("term").collect() if words or stems else []
     harmless = frozenset(r["term"] for r in seen)
     model = Model(words, stems, harmless)
     got = raw_scores(rows, model, ["y"]).select("x", "y").toArrow()

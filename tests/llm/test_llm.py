@@ -534,6 +534,15 @@ def test_misspelled_stems_and_short_words(spark):
     assert m.code("scam") == 0 and all(m.code(w) == 0 for w in WORDS)
 
 
+def test_harmless_spellings_have_no_cap_of_their_own(spark):
+    r = random.Random(13)
+    near = ["blockhea" + c for c in "lmnprst"]
+    rows = [(i, sentence(r, 20) + (" blockhead" if i % 4 == 0 else " " + near[i % 7]), int(i % 4 == 0)) for i in range(200)]
+    judged = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(judged, judged.select("doc_id", "toxic"), entries=1)
+    assert list(model.words) == ["blockhead"] and set(near) <= model.harmless
+
+
 def test_quality(judged, docs, none):
     labels = judged.select("doc_id", "quality")
     model = quality.fit(judged, labels)
