@@ -237,6 +237,7 @@ def _matcher(model: Model) -> Matcher:
 def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE) -> DataFrame:
     """doc_id, text, y of `bound` labelled documents at most: those with the smallest hashes of ids."""
     known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # labels of other documents must not use up the bound
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)  # `bound` rows: small enough to broadcast
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 

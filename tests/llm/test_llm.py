@@ -543,6 +543,11 @@ def test_harmless_spellings_have_no_cap_of_their_own(spark):
     assert list(model.words) == ["blockhead"] and set(near) <= model.harmless
 
 
+def test_sample_ignores_labels_of_other_documents(spark, judged):
+    labels = judged.select("doc_id", "toxic").union(spark.range(10_000, 20_000).selectExpr("id", "0"))
+    assert toxicity.sample(judged, labels, "toxic", 100).count() == 100
+
+
 def test_quality(judged, docs, none):
     labels = judged.select("doc_id", "quality")
     model = quality.fit(judged, labels)
