@@ -6,45 +6,71 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: dict[str, SparkSession] = {}
+_path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; a new temporary one only where it names none."""
+    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir.
+
+    Where it names none, a local session gets a temporary folder; on a cluster, where executors could not read
+    that, it is an error.
+    """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="loomtext-")
-        sc.setCheckpointDir(named)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomtext-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
 
 
+def claim(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder, whose files go when the driver ends."""
+    path = f"{shared_folder(spark)}/loomtext/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_clean)
+    _written[path] = spark
+    return path
+
+
 def stash(df: DataFrame, tag: str, by: Sequence[str] = ()) -> DataFrame:
     """Write df to the shared folder and read it again.
 
     Later stages then depend on files instead of on tasks of lost executors, and what a partition
-    or a row number was when it was written stays so. The files go when the driver ends.
+    or a row number was when it was written stays so. The files go when the driver ends, or with `release`.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/loomtext/{tag}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_clean)
-    _written[path] = spark
+    path = claim(spark, tag)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _path_of[back] = path
+    return back
+
+
+def release(*stashed: DataFrame) -> None:
+    """Delete tables that `stash` gave and that nothing reads any more."""
+    for df in stashed:
+        if path := _path_of.pop(df, None):
+            _delete(path, _written.pop(path))
+
+
+def _delete(path: str, spark: SparkSession) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(conf).delete(at, True)
 
 
 def _clean() -> None:
     for path, spark in _written.items():
         try:
-            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            _delete(path, spark)
         except Exception:  # noqa: BLE001 - the session may already be gone; the files are only scratch
             return
 
