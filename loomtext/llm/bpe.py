@@ -261,7 +261,7 @@ def encode_decode(docs: DataFrame, outputs: Iterable[str] = ("ids",), id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = loaded(path)
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
             got: list[list] = [[] for _ in names]
             for ids in v.encode(batch.column(1).to_pylist()):
                 for values, name in zip(got, names, strict=True):

@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen, split = encoder(path), np.zeros(capacity + 1, np.int64).tolist(), TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
             source, rows = [], []
             for i, ids in enumerate(encode(batch.column(1).to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

@@ -234,7 +234,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     item = pa.struct([("text", pa.string()), ("loose", pa.bool_())])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column("html")):
             found = [[{"text": t, "loose": x} for t, x in blocks(page)] for page in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "row")), pa.array(found, pa.list_(item))], ["page_id", "url", "host", "row", "blocks"])
 

@@ -219,7 +219,7 @@ def _segments(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: in
             return pa.RecordBatch.from_arrays(values, ["part", "before", "n", "doc_ids", "counts", "ids"])
 
         end = np.array([end_id], np.uint32)
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
             for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                 if held and size + len(ids) + 1 > FILE_IDS:
                     yield row()

@@ -1,7 +1,7 @@
 """Whole-text scans over numpy arrays: cut many texts at once and name every piece by a 64-bit hash.
 
 The words of a text are never looped over one by one in Python. A slab of texts becomes one array of
-code points; classes, cuts and polynomial hashes come from array operations, and only pieces with a
+code points; classes, cuts and hashes come from array operations, and only pieces with a
 hash that was not met before are handled as strings.
 """
 
@@ -13,13 +13,15 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # The Unicode characters with the property White_Space.
 WHITE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 SLAB = 600_000
-_P = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+SLICE_BYTES = 2 << 20
+_PLACE, _LENGTH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @cache
@@ -47,23 +49,6 @@ def classes() -> np.ndarray:
     return out
 
 
-class _Powers:
-    def __init__(self) -> None:
-        self.up = np.ones(1, np.uint64)
-        self.down = np.ones(1, np.uint64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n + 1:
-            for name, p in (("up", _P), ("down", pow(_P, -1, 1 << 64))):
-                x = np.full(n + 1, p, np.uint64)
-                x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
-        return self.up, self.down
-
-
-_powers = _Powers()
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(31))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -74,11 +59,23 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each units[start:end]."""
-    up, down = _powers.get(len(units))
+    """A 64-bit hash of each units[start:end]; the ranges are in order and don't overlap.
+
+    A unit is mixed with its place before anything is summed. Sums of units times powers would be faster, but modulo
+    2 ** 64 they are equal for simple patterns, such as a Thue-Morse word of 1,024 letters and its mirror image.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    base = np.zeros(len(units) + 1, np.int64)
+    base[starts] = starts
+    np.maximum.accumulate(base, out=base)
+    place = (np.arange(len(units)) - base[:-1]).astype(np.uint64)
+    place += np.uint64(1)
+    place *= _PLACE
+    place += units
     total = np.zeros(len(units) + 1, np.uint64)
-    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * up[: len(units)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    np.cumsum(mix(place), out=total[1:])
+    return mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
 
 
 def slabs(texts: Sequence[str], size: int = SLAB) -> Iterator[tuple[int, int]]:
@@ -93,6 +90,17 @@ def slabs(texts: Sequence[str], size: int = SLAB) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def small(batches: Iterator[pa.RecordBatch], texts: Callable[[pa.RecordBatch], pa.Array], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have about `size` bytes (or in rows of their own), so that a task holds few texts as strings."""
+    for batch in batches:
+        total = np.cumsum(np.append(0, pc.fill_null(pc.binary_length(texts(batch)), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        at = 0
+        while at < len(batch):
+            stop = max(at + 1, int(np.searchsorted(total, total[at] + size, "right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """All code points of the texts, and where each text starts, with the end at last."""
     cp = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
@@ -191,26 +199,60 @@ def spread(offset: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(offset - (ends - length), length) + np.arange(total)
 
 
+class _Buffer:
+    """An array that grows at its end."""
+
+    def __init__(self) -> None:
+        self.data, self.used = np.zeros(1 << 12, np.uint32), 0
+
+    def add(self, x: np.ndarray) -> int:
+        """Where x starts."""
+        at, end = self.used, self.used + len(x)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[:at], np.zeros(max(end, 2 * len(self.data)) - at, np.uint32)])
+        self.data[at:end] = x
+        self.used = end
+        return at
+
+
 class PieceCoder:
-    """Ids of pieces, kept by hash; `encode` gets the strings of the pieces that are new.
+    """Ids of pieces; `encode` gets the strings of the pieces that are new.
 
-    At most `room` pieces are kept from one slab to the next; what goes is only encoded again.
+    Pieces are found by hash and then compared letter by letter, so equal hashes of different pieces change nothing:
+    such pieces are encoded on their own. About `room` bytes are kept from one slab to the next; what goes is only
+    encoded again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 800_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 48 << 20) -> None:
         self.encode, self.room = encode, room
-        self._empty()
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.cols = np.zeros((4, 0), np.int64)  # of each key: first letter, letters, first id, ids
+        self.letters, self.ids = _Buffer(), _Buffer()
+
+    def _bytes(self) -> int:
+        return self.keys.nbytes + self.cols.nbytes + 4 * (self.letters.used + self.ids.used)
+
+    def _strings(self, cp: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        letters = cp[spread(s, n)]
+        text = letters.tobytes().decode("utf-32-le")
+        cut = np.append(0, np.cumsum(n)).tolist()
+        return letters, [text[a:b] for a, b in zip(cut, cut[1:])]
 
-    def _empty(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.encode(pieces)
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum())), n
 
     def __call__(self, cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each piece has."""
         if not len(s):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.keys) > self.room:
-            self._empty()
+        if self._bytes() > self.room:
+            self.forget()
+        lens = e - s
         keys, where, back = np.unique(hashes(cp, s, e), return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
@@ -219,21 +261,22 @@ class PieceCoder:
         fresh = np.flatnonzero(~known)
         if len(fresh):
             w = where[fresh]
-            lens = (e - s)[w]
-            text = cp[spread(s[w], lens)].tobytes().decode("utf-32-le")
-            cut = np.append(0, np.cumsum(lens)).tolist()
-            ids = self.encode([text[a:b] for a, b in zip(cut, cut[1:])])
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(flat)] = flat
-            offset = self.used + np.cumsum(n) - n
-            self.used += len(flat)
-            self.at = np.insert(self.at, at[fresh], offset)
-            self.n = np.insert(self.n, at[fresh], n)
+            letters, pieces = self._strings(cp, s[w], lens[w])
+            ids, n = self._encoded(pieces)
+            cols = np.stack([self.letters.add(letters) + np.cumsum(lens[w]) - lens[w], lens[w], self.ids.add(ids) + np.cumsum(n) - n, n])
+            self.cols = np.insert(self.cols, at[fresh], cols, axis=1)
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             at = np.searchsorted(self.keys, keys)
-        each = at[back.reshape(-1)]
-        n = self.n[each]
-        return self.flat[spread(self.at[each], n)], n
+        first, size, start, n = self.cols[:, at[back.reshape(-1)]]
+        same = size == lens
+        k = np.flatnonzero(same)
+        differ = np.flatnonzero(cp[spread(s[k], lens[k])] != self.letters.data[spread(first[k], lens[k])])
+        if len(differ):
+            same[k[np.searchsorted(np.cumsum(lens[k]), differ, "right")]] = False
+        flat = self.ids.data
+        if not same.all():
+            own = np.flatnonzero(~same)
+            ids, m = self._encoded(self._strings(cp, s[own], lens[own])[1])
+            start[own], n[own] = self.ids.used + np.cumsum(m) - m, m
+            flat = np.concatenate([flat[: self.ids.used], ids])
+        return flat[spread(start, n)], n
