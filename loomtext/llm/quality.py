@@ -10,7 +10,7 @@ Labels, language, source and id are no inputs of a score.
 
 Defined results: a null or empty text has all features 0 and a score like any other; texts are whole; each
 row gives a row, repeated rows repeat; an empty table gives an empty one; without labels of both kinds every
-document gets the share of label 1, or 0.5; null labels are left out; other columns are not read.
+document gets the share of label 1, or 0.5; null labels and documents with contrary labels are left out; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
+from loomtext.llm.runtime import scored
 from loomtext.llm.toxicity import SAMPLE, sample
 
 FEATURES = ("log_words", "word_length", "distinct_words", "repeated_next", "distinct_lines", "letters", "capitals", "digits", "symbols", "bars", "capital_words", "words_a_line", "distinct_bigrams")
@@ -216,21 +217,15 @@ def learn(x: np.ndarray, y: np.ndarray) -> Model:
     return m
 
 
-def _feature_rows(docs: DataFrame, keep: Sequence[str], then=None) -> DataFrame:
-    names = list(keep)
+def _feature_rows(docs: DataFrame, names: Sequence[str]) -> DataFrame:
     src = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
-    made = ["score"] if then is not None else FEATURES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column("_text")):
             x = features(batch.column("_text").to_pylist())
-            own = [batch.column(c) for c in names]
-            if then is None:
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c) for c in x.T)], [*names, *FEATURES])
-            else:
-                yield pa.RecordBatch.from_arrays([*own, pa.array(then.value.score(x))], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(c) for c in x.T)], [*names, *FEATURES])
 
-    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in made)]))
+    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in FEATURES)]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = SAMPLE) -> Model:
@@ -240,7 +235,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int =
     return learn(x, got["y"].to_numpy().astype(float))
 
 
+def _scores(docs: DataFrame, model: Model, names: Sequence[str] | None) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = scored(docs, names, lambda: lambda texts: shared.value.score(features(texts)))
+    return rows.withColumnRenamed("x", "score").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, the columns to keep, score and predicted: one pass without a shuffle."""
-    rows = _feature_rows(docs, ["doc_id", *keep], docs.sparkSession.sparkContext.broadcast(model))
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return _scores(docs, model, ["doc_id", *keep])
+
+
+def score_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """row (a struct of all columns), score and predicted."""
+    return _scores(docs, model, None)

@@ -1,13 +1,19 @@
-"""What the operators of this subpackage share: tables, id remainders, components."""
+"""What the operators of this subpackage share: tables, id remainders, scores of texts, components."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomtext.scratch import shared_folder, stash, width
+from loomtext.llm.wordscan import small
+from loomtext.scratch import claim, release, shared_folder, stash, width
 
-__all__ = ["components", "remainder", "shared_folder", "stash", "table", "width"]
+__all__ = ["claim", "components", "release", "remainder", "scored", "shared_folder", "stash", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +26,25 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % modulus
 
 
+def scored(docs: DataFrame, names: Sequence[str] | None, scorer: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
+    """The columns `names` (null: all, as a struct `row`) and x, the score of the text; scorer() gives a task its function.
+
+    Each text goes to Python once: with whole rows the function reads it inside the struct.
+    """
+    if names is None:
+        src, own, text = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")), ["row"], lambda b: b.column("row").field("text")
+    else:
+        src, own, text = docs.select(*names, docs["text"].alias("_text")), list(names), lambda b: b.column("_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer()
+        for batch in small(batches, text):
+            x = score([t or "" for t in text(batch).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(x, pa.float64())], [*own, "x"])
+
+    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in own), T.StructField("x", T.DoubleType())]))
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of `edges` reaches.
 

@@ -3,8 +3,8 @@
 Learning: from a bounded sample of labelled documents (`SAMPLE` rows, the smallest hashes of ids), Spark
 counts in how many toxic and clean documents each word, and each stem of 4 to 6 letters, occurs; near copies
 of one toxic text count once (by two signatures over shingles). Words and
-stems with a high ratio form the lexicon (`LEXICON` entries at most). Which misspellings also occur in clean
-documents is counted the same way, and such spellings never count.
+stems with a high ratio form the lexicon, all of them: the sample bounds their number. Which misspellings also
+occur in clean documents is read from the same counts, and such spellings never count.
 
 Scoring: each distinct word of a slab of texts runs once through two automata, of all words and of all stems (with any
 ending): a trie with a Levenshtein automaton of one error, made deterministic as far as words need it. A hit weighs the log ratio of
@@ -14,33 +14,32 @@ inputs of a score.
 
 Defined results: a null or empty text has no hits and gets the curve's lowest score; texts are whole; each row
 gives a row, repeated rows repeat; an empty table gives an empty one; without labels of both kinds nothing is
-toxic; null labels are left out; other columns are not read.
+toxic; null labels and documents with contrary labels are left out; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
-from loomtext.llm.runtime import stash
+from loomtext.llm.runtime import scored, stash
 
 SAMPLE = 20_000
-LEXICON = 4_000
 SEEN = 6  # toxic documents that hold a word of the lexicon, at least
 STEM_SEEN = 3  # toxic documents that hold a stem, at least
 RATIO = 3.0  # log of how much likelier toxic documents hold it, at least
 CLEAN_SHARE = 0.05  # clean documents that hold it for each toxic one, at most
 STEM_WORDS = 8  # words that share a stem, at least
 FUZZY, QUOTED = 0.6, 0.25  # weight of a misspelled hit and of a quoted one, against a plain one
+STATES = 10_000  # of an automaton that are kept, about; what goes is only made again
 WINDOW = 80  # characters before and after a hit that are searched for quotation marks
 REPORTING = frozenset("said says called calls word words term slur quote quoted wrote nannte sagte dit mot dijo palabra".split())
 # Letters that look like the key are often written as it.
@@ -72,6 +71,10 @@ class Automaton:
                     self.ends.append("")
                 n = self.next[n][c]
             self.ends[n] = w
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop the states that words have needed so far."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.step: list[dict[str, int]] = []
@@ -96,6 +99,8 @@ class Automaton:
 
     def find(self, word: str, prefix: bool = False) -> tuple[str, int] | None:
         """The entry within one error of the word (or of one of its beginnings), and the errors."""
+        if len(self.sets) > STATES:
+            self._forget()
         q, best = self.start, None
         for c in word:
             if prefix:
@@ -209,19 +214,15 @@ def _in_quotes(text: str, lo: int, hi: int) -> bool:
     return mark != '"' or before.count('"') % 2 == 1
 
 
-def raw_scores(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
-    """doc_id, saturated sum of hits, and the columns to keep."""
+def raw_scores(docs: DataFrame, model: Model, names: Sequence[str] | None = ("doc_id",)) -> DataFrame:
+    """The columns `names` (null: all, as a struct `row`) and x, the saturated sum of hits."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", *keep]
-    src = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scorer():
         m = _matcher(shared.value)
-        for batch in batches:
-            x = [1 - math.exp(-sum(h[5] for h in hits) / 3) for hits in m.spans(batch.column("_text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(x, pa.float64())], [*names, "x"])
+        return lambda texts: [1 - math.exp(-sum(h[5] for h in hits) / 3) for hits in m.spans(texts)]
 
-    return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in names), T.StructField("x", T.DoubleType())]))
+    return scored(docs, names, scorer)
 
 
 _matchers: dict[int, tuple[Model, Matcher]] = {}
@@ -235,8 +236,8 @@ def _matcher(model: Model) -> Matcher:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE) -> DataFrame:
-    """doc_id, text, y of `bound` labelled documents at most: those with the smallest hashes of ids."""
-    known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
+    """doc_id, text, y of `bound` labelled documents at most: those with the smallest hashes of ids. Documents with contrary labels are left out."""
+    known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"), F.max(F.col(label).cast("int")).alias("other")).where("y = other").drop("other")
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # labels of other documents must not use up the bound
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)  # `bound` rows: small enough to broadcast
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
@@ -246,7 +247,7 @@ def _apart(rows: DataFrame) -> DataFrame:
     """text and y without most near copies: of texts that share the least hash of their word 3-grams one stays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(0)):
             signs: list[list[int]] = [[], []]
             for text in batch.column(0).to_pylist():
                 cp, at = wordscan.points([text])
@@ -260,51 +261,75 @@ def _apart(rows: DataFrame) -> DataFrame:
     return got.dropDuplicates(["a", "y"]).dropDuplicates(["b", "y"]).select("text", "y")
 
 
-def _tally(rows: DataFrame, harmless_for: Sequence[str] = (), before: Sequence[str] = ()) -> DataFrame:
-    """In how many toxic and clean texts each word (kind w) and stem (kind s, with a number of words) occurs; or each misspelling."""
+def _tally(rows: DataFrame) -> DataFrame:
+    """kind (w a word, s a stem), term, in how many toxic and clean texts it occurs, and the words of toxic texts that share a stem (STEM_WORDS at most)."""
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+
+    def counted(owner: np.ndarray, ids: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+        """For each id in how many clean and toxic texts it occurs."""
+        both = np.unique(owner * n + ids)
+        return np.stack([np.bincount(both % n, weights, n) for weights in (~y[both // n], y[both // n])]).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[tuple[str, str, int]] = Counter()
-        under: dict[str, set[str]] = {}
-        fuzzy = Fuzzy(harmless_for, before)
-        known: dict[str, bool] = {}
-        entries, begins = frozenset(harmless_for), tuple(before)
+        number: dict[str, int] = {}
+        stems: dict[str, int] = {}
+        under: list[tuple[int, ...]] = []  # the stems of each word
+        totals = [np.zeros((2, 0), np.int64), np.zeros((2, 0), np.int64)]
+
+        def named(pieces: list[str]) -> list[list[int]]:
+            out = []
+            for w in map(str.lower, pieces):
+                if w not in number:
+                    number[w] = len(under)
+                    under.append(tuple(stems.setdefault(w[:n], len(stems)) for n in (4, 5, 6) if len(w) >= n))
+                out.append([number[w]])
+            return out
 
         def out() -> pa.RecordBatch:
-            rows = [(k, w, n if y else 0, 0 if y else n, sorted(under.get(w, ())) if k == "s" else []) for (k, w, y), n in found.items()]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["kind", "term", "toxic", "clean", "under"])
-
-        for batch in batches:
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if len(found) + len(known) > 100_000:  # the rows are summed later, so a task may hand them on in parts
-                    yield out()
-                    found, under, known = Counter(), {}, {}
-                cp, at = wordscan.points([text])
-                s, e = cuts(cp, at)
-                words = {text[a:b].lower() for a, b in zip(s.tolist(), e.tolist())}
-                if harmless_for or before:
-                    for w in words:
-                        if w not in known:
-                            known[w] = w not in entries and not w.startswith(begins) and fuzzy.find(w.translate(LOOKALIKE)) is not None
-                        if known[w]:
-                            found["h", w, y] += 1
-                    continue
-                found.update(("w", w, y) for w in words if len(w) > 2)
-                stems = {w[:n] for w in words for n in (4, 5, 6) if len(w) >= n}
-                found.update(("s", p, y) for p in stems)
-                if y:
-                    for w in words:
-                        for n in (4, 5, 6):
-                            if len(w) >= n and len(u := under.setdefault(w[:n], set())) < STEM_WORDS:
-                                u.add(w)
+            share: dict[int, list[str]] = {}
+            for w, k in number.items():
+                for s in under[k] if totals[0][1, k] else ():
+                    share.setdefault(s, []).append(w)
+            some = [(kind, w, int(of[1, k]), int(of[0, k]), share.get(k, [])[:STEM_WORDS] if kind == "s" else []) for kind, words, of in (("w", number, totals[0]), ("s", stems, totals[1])) for w, k in words.items()]
+            columns = list(zip(*some, strict=True)) or [()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["kind", "term", "toxic", "clean", "under"])
+
+        coder = wordscan.PieceCoder(named)
+        for batch in wordscan.small(batches, lambda b: b.column(0)):
+            if len(number) > 100_000:  # the rows are summed later, so a task may hand them on in parts
+                yield out()
+                number.clear(), stems.clear(), under.clear(), coder.forget()
+                totals = [x[:, :0] for x in totals]
+            cp, at = wordscan.points(batch.column(0).to_pylist())
+            s, e = cuts(cp, at)
+            ids = coder(cp, s, e)[0].astype(np.int64)
+            owner, y = np.searchsorted(at, s, "right") - 1, batch.column(1).to_numpy() == 1
+            own = [(owner, ids)]
+            each = np.array([len(x) for x in under], np.int64)
+            flat = np.fromiter(chain.from_iterable(under), np.int64, int(each.sum()))
+            own.append((np.repeat(owner, each[ids]), flat[wordscan.spread((np.cumsum(each) - each)[ids], each[ids])]))
+            for k, ((o, i), n) in enumerate(zip(own, (len(number), len(stems)), strict=True)):
+                new = counted(o, i, y, n) if n else totals[k]
+                new[:, : totals[k].shape[1]] += totals[k] if n else 0
+                totals[k] = new
         yield out()
 
     got = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").mapInArrow(run, "kind string, term string, toxic long, clean long, under array<string>")
     return got.groupBy("kind", "term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.size(F.array_distinct(F.flatten(F.collect_list("under")))).alias("under"))
 
 
+def _harmless(words: DataFrame, own: Sequence[str], stems: Sequence[str]) -> frozenset[str]:
+    """The words (a column term) that the automata take for misspellings, without entries and what begins with a stem."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fuzzy, entries, begins = Fuzzy(own, stems), frozenset(own), tuple(stems)
+        for batch in batches:
+            near = [w for w in batch.column(0).to_pylist() if w not in entries and not w.startswith(begins) and fuzzy.find(w.translate(LOOKALIKE)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["term"])
+
+    return frozenset(r["term"] for r in words.select("term").mapInArrow(run, "term string").collect())
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
     """Intercept and slope, by Newton's method with a small penalty on the slope."""
     a, b = 0.0, 0.0
@@ -320,39 +345,50 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float,
     return float(a), float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE, entries: int = LEXICON) -> Model:
-    """Learn from labels (doc_id, label). What comes to the driver: class sizes, `entries` terms, `bound` numbers, the sample's harmless spellings."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE, entries: int | None = None) -> Model:
+    """Learn from labels (doc_id, label). What comes to the driver is bounded by the sample alone: class sizes, the terms that pass the tests
+    (the `entries` most frequent ones, if that is given), harmless spellings and a number for each document."""
     rows = sample(docs, labels, label, bound)
     # copies must not make a lexicon of the words of one toxic text; each clean document counts
     texts = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y")
     apart = stash(_apart(texts.where("y = 1")).unionByName(texts.where("y <> 1")), "sample")
     size = {r["y"]: r["n"] for r in apart.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = size.get(1, 0), size.get(0, 0)
+    toxic, clean = size.get(1, 0), sum(n for y, n in size.items() if y != 1)
     if not toxic or not clean:
         return Model()
     ratio = F.log((F.col("toxic") + 0.5) / toxic) - F.log((F.col("clean") + 0.5) / clean)
-    terms = _tally(apart).withColumn("weight", ratio).where((F.col("weight") >= RATIO) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic")))
-    word, stem = (F.col("kind") == "w") & (F.col("toxic") >= SEEN), (F.col("kind") == "s") & (F.col("toxic") >= STEM_SEEN) & (F.col("under") >= STEM_WORDS)
-    terms = terms.where(word | stem).orderBy(F.desc("toxic"), "term", "kind").limit(entries).collect()
+    tally = stash(_tally(apart), "terms")
+    terms = tally.withColumn("weight", ratio).where((F.col("weight") >= RATIO) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic")))
+    word, stem = (F.col("kind") == "w") & (F.length("term") > 2) & (F.col("toxic") >= SEEN), (F.col("kind") == "s") & (F.col("toxic") >= STEM_SEEN) & (F.col("under") >= STEM_WORDS)
+    terms = terms.where(word | stem).orderBy(F.desc("toxic"), "term", "kind")
+    terms = (terms if entries is None else terms.limit(entries)).collect()
     stems: dict[str, float] = {}
     held = {r["term"]: r for r in terms if r["kind"] == "s"}
-    for s, r in sorted(held.items(), key=lambda x: len(x[0])):
+    for s, r in sorted(held.items(), key=lambda x: (len(x[0]), x[0])):
         longer = [t for t in held.values() if t["term"].startswith(s) and t["term"] != s and t["toxic"] >= 0.98 * r["toxic"]]
         if not longer and not any(s.startswith(x) for x in stems):
             stems[s] = r["weight"]
     words = {r["term"]: r["weight"] for r in terms if r["kind"] == "w" and not any(r["term"].startswith(s) for s in stems)}
-    seen = _tally(apart, list(words), list(stems)).where("clean > 0").select("term").collect() if words or stems else []
-    harmless = frozenset(r["term"] for r in seen)
+    harmless = _harmless(tally.where("kind = 'w' AND clean > 0"), list(words), list(stems)) if words or stems else frozenset()
     model = Model(words, stems, harmless)
     got = raw_scores(rows, model, ["y"]).select("x", "y").toArrow()
-    model.intercept, model.slope = logistic(got["x"].to_numpy(), got["y"].to_numpy().astype(float))
+    model.intercept, model.slope = logistic(got["x"].to_numpy(), (got["y"].to_numpy() == 1).astype(float))
     return model
 
 
+def _curve(rows: DataFrame, model: Model, *names: str) -> DataFrame:
+    p = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.col("x"))))
+    return rows.select(*names, p.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def score(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, the columns to keep, score and predicted."""
-    p = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.col("x"))))
-    return raw_scores(docs, model, keep).select("doc_id", *keep, p.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return _curve(raw_scores(docs, model, ["doc_id", *keep]), model, "doc_id", *keep)
+
+
+def score_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """row (a struct of all columns), score and predicted."""
+    return _curve(raw_scores(docs, model, None), model, "row")
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:
@@ -362,7 +398,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _matcher(shared.value)
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
             rows = [(i, *h) for i, hits in enumerate(m.spans(batch.column(1).to_pylist())) for h in hits]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             types = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.bool_(), pa.float64())
