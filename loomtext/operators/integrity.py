@@ -1,12 +1,13 @@
 """Integrity checks over documents and chunks as one long table of issues.
 
-Input: db, path, stem, text (null where a file could not be read). Every check is a filter or an equi-join; chunk
-groups meet their base by path and stem.
+Input: db, path, stem, text (null where a file could not be read). What a document shows by itself is one array that is
+exploded, so the input is read once for all these checks; a base and its chunks meet in one grouping by path and stem, which
+moves names and numbers only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import first_lines, strip, tokens
@@ -44,40 +45,82 @@ def described(docs: DataFrame) -> DataFrame:
     })
 
 
-def _issue(rows: DataFrame, check: str, detail) -> DataFrame:
+ISSUE = "struct<check: string, severity: string, subject: string, detail: string>"
+
+
+def _issue(check: str, detail: Column, path: Column | str = "path", stem: Column | str = "stem") -> Column:
     severity = "CRITICAL" if check in CRITICAL else "WARNING"
-    return rows.select(F.lit(check).alias("check"), F.lit(severity).alias("severity"), "db", F.concat_ws("/", "path", "stem").alias("subject"), detail.cast("string").alias("detail"))
+    return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), F.concat_ws("/", path, stem).alias("subject"), detail.cast("string").alias("detail"))
 
 
-def sizes(d: DataFrame, most: int = MAX_TOKENS, tiny: int = TINY) -> DataFrame:
+def _listed(*found: Column) -> Column:
+    """The issues that are there, of columns of one issue or none."""
+    return F.array_compact(F.array(*found))
+
+
+def _shown(rows: DataFrame, found: Column) -> DataFrame:
+    return rows.select("db", F.explode(found).alias("i")).select("i.check", "i.severity", "db", "i.subject", "i.detail")
+
+
+def _of_row(most: int = MAX_TOKENS, tiny: int = TINY) -> Column:
     empty = strip(F.coalesce("text", F.lit(""))) == ""
-    return (
-        _issue(d.where(F.col("tokens") > most), "over_limit", F.col("tokens"))
-        .unionByName(_issue(d.where(empty & F.col("text").isNotNull()), "empty_files", F.lit("")))
-        .unionByName(_issue(d.where((F.col("tokens") < tiny) & ~empty), "tiny_files", F.col("tokens")))
-        .unionByName(_issue(d.where("text IS NULL"), "read_error", F.lit("")))
+    return _listed(
+        F.when(F.col("tokens") > most, _issue("over_limit", F.col("tokens"))),
+        F.when(empty & F.col("text").isNotNull(), _issue("empty_files", F.lit(""))),
+        F.when((F.col("tokens") < tiny) & ~empty, _issue("tiny_files", F.col("tokens"))),
+        F.when(F.col("text").isNull(), _issue("read_error", F.lit(""))),
+        F.when(F.col("is_chunk") & F.col("n").isNull(), _issue("annotation_mismatch", F.lit("note but no number in the name"))),
+        F.when(F.col("is_chunk") & F.col("stem").rlike(r"_\d+_\d+$"), _issue("double_split", F.lit(""))),
     )
 
 
+def sizes(d: DataFrame, most: int = MAX_TOKENS, tiny: int = TINY) -> DataFrame:
+    """Issues of single documents: sizes, unreadable ones, notes and names of chunks."""
+    return _shown(d, _of_row(most, tiny))
+
+
 def chunks(d: DataFrame) -> DataFrame:
-    key = ["db", "path", "base"]
-    part = d.where("is_chunk AND n IS NOT NULL")
-    bases = d.where("NOT is_chunk").withColumn("total", F.when(F.col("note_n") == 1, F.col("note_total")))
-    groups = part.groupBy(*key).agg(F.sort_array(F.collect_list("n")).alias("found"))
-    orphans = _issue(part.join(bases, key, "left_anti"), "orphan_chunks", F.col("n"))
-    both = bases.join(groups, key)
-    want = F.when(F.col("total") >= 2, F.sequence(F.lit(2), F.greatest("total", F.lit(2)))).otherwise(F.array().cast("array<int>"))
-    missing = _issue(both.where(F.col("total").isNotNull() & (F.col("found") != want)), "missing_chunks", F.concat(F.lit("expected "), F.array_join(want, ","), F.lit(" found "), F.array_join("found", ",")))
-    unnoted = _issue(both.where("total IS NULL"), "annotation_mismatch", F.lit("chunks but no note in base"))
-    paired = part.join(bases.where("total IS NOT NULL").select(*key, "total"), key)
-    wrong = _issue(paired.where("NOT (note_n <=> n AND note_total <=> total)"), "annotation_mismatch", F.concat(F.lit("note "), F.coalesce("note_n", F.lit(-1)), F.lit("/"), F.coalesce("note_total", F.lit(-1)), F.lit(" expected "), "n", F.lit("/"), "total"))
-    nameless = _issue(d.where("is_chunk AND n IS NULL"), "annotation_mismatch", F.lit("note but no number in the name"))
-    double = _issue(d.where(F.col("is_chunk") & F.col("stem").rlike(r"_\d+_\d+$")), "double_split", F.lit(""))
-    remnants = _issue(bases.join(groups, key, "left_anti").where(F.coalesce("text", F.lit("")).rlike(r"--- split \d+/\d+")), "split_note_remnants", F.lit(""))
-    out = orphans
-    for x in (missing, unnoted, wrong, nameless, double, remnants):
-        out = out.unionByName(x)
-    return out
+    """Issues of bases and their chunks. A group is one document's files."""
+    noted = F.coalesce("text", F.lit("")).rlike(r"--- split \d+/\d+")
+    base = F.struct(F.when(F.col("note_n") == 1, F.col("note_total")).alias("total"), "stem", noted.alias("noted"))
+    groups = d.where("NOT is_chunk OR n IS NOT NULL").groupBy("db", "path", "base").agg(
+        F.collect_list(F.when(~F.col("is_chunk"), base)).alias("bases"),
+        F.sort_array(F.collect_list(F.when(F.col("is_chunk"), F.struct("n", "stem", "note_n", "note_total")))).alias("parts"),
+    )
+    found = F.transform("parts", lambda p: p["n"])
+
+    def of_base(b: Column) -> Column:
+        total, own = b["total"], b["stem"]
+        want = F.when(total >= 2, F.sequence(F.lit(2), F.greatest(total, F.lit(2)))).otherwise(F.array().cast("array<int>"))
+        wrong = F.filter("parts", lambda p: ~(p["note_n"].eqNullSafe(p["n"]) & p["note_total"].eqNullSafe(total)))
+        said = lambda p: F.concat(F.lit("note "), F.coalesce(p["note_n"], F.lit(-1)), F.lit("/"), F.coalesce(p["note_total"], F.lit(-1)), F.lit(" expected "), p["n"], F.lit("/"), total)
+        with_parts = F.concat(
+            _listed(
+                F.when(total.isNotNull() & (found != want), _issue("missing_chunks", F.concat(F.lit("expected "), F.array_join(want, ","), F.lit(" found "), F.array_join(found, ",")), stem=own)),
+                F.when(total.isNull(), _issue("annotation_mismatch", F.lit("chunks but no note in base"), stem=own)),
+            ),
+            F.when(total.isNotNull(), F.transform(wrong, lambda p: _issue("annotation_mismatch", said(p), stem=p["stem"]))).otherwise(F.array().cast(f"array<{ISSUE}>")),
+        )
+        return F.when(F.size("parts") > 0, with_parts).otherwise(_listed(F.when(b["noted"], _issue("split_note_remnants", F.lit(""), stem=own))))
+
+    orphans = F.transform("parts", lambda p: _issue("orphan_chunks", p["n"], stem=p["stem"]))
+    return _shown(groups, F.when(F.size("bases") == 0, orphans).otherwise(F.flatten(F.transform("bases", of_base))))
+
+
+def _with_lines(d: DataFrame, n: int = 30) -> DataFrame:
+    return d.withColumn("_lines", F.transform(first_lines(F.coalesce("text", F.lit("")), n), strip))
+
+
+def _trimmed() -> Column:
+    """One issue for each pattern of the row's db that one of its lines matches."""
+    def of(p: str) -> Column:
+        hit = F.filter("_lines", lambda x: x.rlike(p))
+        return F.when(F.size(hit) > 0, _issue("trim_violations", F.concat(F.lit(f"{p} "), F.substring(F.get(hit, F.lit(0)), 1, 60))))
+
+    out = F.array().cast(f"array<{ISSUE}>")
+    for db, ps in TRIM_PATTERNS.items():
+        out = F.when(F.col("db") == db, _listed(*map(of, ps))).otherwise(out)
+    return F.when(~F.col("is_chunk"), out).otherwise(F.array().cast(f"array<{ISSUE}>"))
 
 
 def patterns(spark: SparkSession) -> DataFrame:
@@ -86,16 +129,17 @@ def patterns(spark: SparkSession) -> DataFrame:
 
 
 def trims(d: DataFrame, table: DataFrame | None = None, n: int = 30) -> DataFrame:
-    """One issue for each base and pattern that one of its first n lines matches."""
-    table = patterns(d.sparkSession) if table is None else table
-    ls = d.where("NOT is_chunk").join(F.broadcast(table), "db").withColumn("_l", F.filter(F.transform(first_lines(F.coalesce("text", F.lit("")), n), strip), lambda x: F.rlike(x, F.col("pattern"))))
-    return _issue(ls.where(F.size("_l") > 0), "trim_violations", F.concat(F.col("pattern"), F.lit(" "), F.substring(F.element_at("_l", 1), 1, 60)))
+    """One issue for each base and pattern that one of its first n lines matches; with a table (db, pattern) of the caller's own, its patterns."""
+    if table is None:
+        return _shown(_with_lines(d, n), _trimmed())
+    ls = d.where("NOT is_chunk").join(table, "db").withColumn("_l", F.filter(F.transform(first_lines(F.coalesce("text", F.lit("")), n), strip), lambda x: F.rlike(x, F.col("pattern"))))
+    return _shown(ls, _listed(F.when(F.size("_l") > 0, _issue("trim_violations", F.concat(F.col("pattern"), F.lit(" "), F.substring(F.get("_l", F.lit(0)), 1, 60))))))
 
 
 def issues(docs: DataFrame) -> DataFrame:
-    """check, severity, db, subject, detail of everything wrong."""
+    """check, severity, db, subject, detail of everything wrong: one pass over the documents, one grouping of names and numbers."""
     d = described(docs)
-    return sizes(d).unionByName(chunks(d)).unionByName(trims(d))
+    return _shown(_with_lines(d), F.concat(_of_row(), _trimmed())).unionByName(chunks(d))
 
 
 def listing(found: DataFrame, n: int = 20) -> DataFrame:

@@ -3,19 +3,20 @@
 The fold over records looks sequential, but what a run of records does to a bin depends only on how full the bin is
 when the run begins. So the ordered records are range-partitioned and written; each partition tabulates, for every
 fill that it may be entered with, the fill it leaves and the bins it opens (fills meet after the first new bin, so
-few differ for long); the driver chains the tables of the partitions; and a second pass numbers the bins. No task
-holds a group, whatever its share of the rows.
+few differ for long, and a table is a few spans); the driver chains the tables as they come, one partition after the
+other; and a second pass numbers the bins. No task holds a group, whatever its share of the rows.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.functions.text import shard_name
 from loomtext.scratch import stash, width
@@ -23,20 +24,36 @@ from loomtext.scratch import stash, width
 CAP = 9_500
 
 
-def _run(fill: np.ndarray, opened: np.ndarray, tokens: Sequence[int], cap: int, head: int) -> tuple[np.ndarray, np.ndarray]:
-    """What records of these sizes make of bins with these fills (-1: no record yet)."""
-    fills, back = np.unique(fill, return_inverse=True)
-    new = np.zeros(len(fills), np.int64)
-    for t in tokens:
-        first = fills < 0
-        over = ~first & (fills + t > cap)
-        fills = np.where(first | over, head + t, fills + t)
-        new += over
-        if len(fills) > 1 and (over.any() or first.any()):
-            # entries with the same fill go on alike, but their counts of bins may differ
-            pairs, to = np.unique(np.stack([fills, new]), axis=1, return_inverse=True)
-            fills, new, back = pairs[0], pairs[1], to.reshape(-1)[back]
-    return fills[back], opened + new[back]
+@dataclass
+class _Span:
+    """Entries from `start` to the next span's: they open as many bins, and leave the same fill or (grown) their own fill and so much more."""
+
+    start: int
+    value: int
+    opened: int = 0
+    grown: bool = False
+
+
+def _step(spans: list[_Span], entries: int, tokens: int, cap: int, head: int) -> list[_Span]:
+    """What one more record makes of all entries. Entry 0: no record yet; entry i: a bin with the fill head + i - 1."""
+    out: list[_Span] = []
+
+    def put(s: _Span) -> None:
+        if not out or (out[-1].value, out[-1].opened, out[-1].grown) != (s.value, s.opened, s.grown):
+            out.append(s)
+
+    for s, end in zip(spans, [*(x.start for x in spans[1:]), entries], strict=True):
+        if s.grown:
+            fits = min(max(cap - tokens - head - s.value + 2, s.start), end)
+            if fits > s.start:
+                put(_Span(s.start, s.value + tokens, 0, True))
+            if fits < end:
+                put(_Span(fits, head + tokens, 1))
+        elif s.value < 0 or s.value + tokens > cap:
+            put(_Span(s.start, head + tokens, s.opened + (s.value >= 0)))
+        else:
+            put(_Span(s.start, s.value + tokens, s.opened))
+    return out
 
 
 def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Column, cap: int = CAP, header_tokens: int = 0) -> DataFrame:
@@ -51,7 +68,9 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
     keys = ["_group", *order, *(c for c in others if rows.schema[c].dataType.typeName() not in ("map", "variant"))]
     ordered = src.repartitionByRange(width(spark), *keys).sortWithinPartitions(*keys)
     ordered = stash(ordered.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "records")
-    narrow = ordered.select("_group", "_part", "_at", "_tok")
+    deal = lambda c: c.repartition(width(spark), "_part").sortWithinPartitions("_part", "_at")
+    last_fill = max(cap, header_tokens)
+    entries_of = last_fill - header_tokens + 2  # no record yet, and every fill from the header's size on
 
     def by_part(batches: Iterator[pa.RecordBatch], each) -> Iterator[pa.RecordBatch]:
         """Calls `each` with runs of rows of one part and group; parts are read whole and in order after the sort."""
@@ -63,39 +82,37 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
                     yield from each(int(p[a]), g[a], batch.slice(a, b - a))
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # entries: no record yet, and every fill from the header's size on
-        entry = np.append(-1, np.arange(header_tokens, max(cap, header_tokens) + 1))
         now: list = []
 
         def done() -> pa.RecordBatch:
-            part, g, fill, opened = now
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([g]), pa.array([fill.tolist()], pa.list_(pa.int64())), pa.array([opened.tolist()], pa.list_(pa.int64()))], ["part", "g", "fill", "opened"])
+            part, g, spans = now
+            lists = [pa.array([[int(getattr(s, c)) for s in spans]], pa.list_(pa.int64())) for c in ("start", "value", "opened", "grown")]
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([g]), *lists], ["part", "g", "start", "value", "opened", "grown"])
 
         def each(part, g, batch):
             nonlocal now
             if not now or now[:2] != [part, g]:
                 if now:
                     yield done()
-                now = [part, g, entry, np.zeros(len(entry), np.int64)]
-            now[2:] = _run(now[2], now[3], batch.column(3).to_pylist(), cap, header_tokens)
+                now = [part, g, [_Span(0, -1), _Span(1, 0, grown=True)]]
+            for t in batch.column(3).to_pylist():
+                now[2] = _step(now[2], entries_of, t, cap, header_tokens)
 
         yield from by_part(batches, each)
         if now:
             yield done()
 
-    dealt = narrow.repartition(width(spark), "_part").sortWithinPartitions("_part", "_at")
-    tables = dealt.mapInArrow(tabulate, "part int, g string, fill array<long>, opened array<long>").toLocalIterator()
-    # one small table for each partition and group that it holds; a partition holds some groups whole, which need no table
+    tables = deal(ordered.select("_group", "_part", "_at", "_tok")).mapInArrow(tabulate, "part int, g string, start array<long>, value array<long>, opened array<long>, grown array<long>")
+    # one row of a few spans for each partition and group that it holds; of those before only each group's last fill and count are kept
     entries: dict[tuple[int, str], tuple[int, int]] = {}
     last: dict[str, tuple[int, int]] = {}
-    for r in sorted(tables, key=lambda r: r["part"]):
+    for r in tables.orderBy("part").toLocalIterator():
         fill, count = last.get(r["g"], (-1, 0))
         entries[r["part"], r["g"]] = (fill, count)
-        k = 0 if fill < 0 else min(fill, max(cap, header_tokens) + 1) - header_tokens + 1
-        if k < len(r["fill"]):
-            last[r["g"]] = (r["fill"][k], count + r["opened"][k])
-        else:  # entered with a bin above the cap: the first record opens a new one
-            last[r["g"]] = (r["fill"][0], count + r["opened"][0] + 1)
+        # a bin above the cap: the first record opens a new one, as if none had been there
+        over = fill > last_fill
+        k = bisect.bisect_right(r["start"], 0 if fill < 0 or over else fill - header_tokens + 1) - 1
+        last[r["g"]] = (r["value"][k] + (fill if r["grown"][k] else 0), count + r["opened"][k] + over)
     shared = spark.sparkContext.broadcast(entries)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,12 +131,13 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
                 fill += t
                 out.append(shard)
             now[2:] = [fill, shard]
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(out, pa.int64())], ["_at", "shard"])
+            yield pa.RecordBatch.from_arrays([batch.column(4), pa.array(out, pa.int64())], ["_row", "shard"])
 
         yield from by_part(batches, each)
 
-    numbered = dealt.mapInArrow(number, "_at long, shard long")
-    return ordered.join(numbered, "_at").select(*rows.columns, "shard")
+    whole = deal(ordered.select("_group", "_part", "_at", "_tok", F.struct(*rows.columns).alias("_row")))
+    numbered = whole.mapInArrow(number, T.StructType([whole.schema["_row"], T.StructField("shard", T.LongType())]))
+    return numbered.select("_row.*", "shard")
 
 
 def with_names(packed: DataFrame, group: Sequence[str], prefix: str = "shard") -> DataFrame:
@@ -130,8 +148,32 @@ def with_names(packed: DataFrame, group: Sequence[str], prefix: str = "shard") -
     return rows.join(total, keys).withColumn("file", shard_name(prefix, F.col("shard"), F.col("_n"))).drop("_n", "_all")
 
 
+def _ranged(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows dealt by ranges of group and order, with the number of their range: a group may lie in many."""
+    rows = rows.withColumn("_group", F.to_json(F.struct(*group)))
+    ranged = rows.repartitionByRange(width(rows.sparkSession), "_group", *order)
+    return stash(ranged.withColumn("_part", F.spark_partition_id()), "ranges"), ["_group", "_part"]
+
+
+def _running(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column) -> DataFrame:
+    """The rows with `_sum`, the running sum of a number over a group: within a range, and of the ranges before it."""
+    rows = rows.withColumn("_value", value.cast("long"))
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    bases = rows.groupBy(*keys).agg(F.sum("_value").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = F.sum("_value").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_within", within).join(bases, list(keys)).withColumn("_sum", F.col("_base") + F.col("_within")).drop("_base", "_within", "_value")
+
+
+def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "ord") -> DataFrame:
+    """The rows with their place in the order of their group, from 1. No task holds a group. Ties are dealt in any order."""
+    ranged, keys = _ranged(rows, group, order)
+    return _running(ranged, keys, order, F.lit(1)).select(*rows.columns, F.col("_sum").alias(name))
+
+
 def merge_small(chunks: DataFrame, group: Sequence[str], order: str, tokens: str, least: int = 200) -> DataFrame:
     """Chunks below `least` tokens join the chunk before; the first never joins forward. Gives the number of the merged chunk."""
-    w = Window.partitionBy(*group).orderBy(order)
-    opens = (F.row_number().over(w) == 1) | (F.col(tokens) >= least)
-    return chunks.withColumn("_open", opens.cast("long")).withColumn("merged", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("_open")
+    ranged, keys = _ranged(chunks, group, [order])
+    # the first chunk opens one whatever its size
+    first = ranged.groupBy("_group").agg((F.min_by(F.coalesce(F.col(tokens) >= least, F.lit(False)), order)).alias("_first"))
+    got = _running(ranged, keys, [order], F.coalesce(F.col(tokens) >= least, F.lit(False)).cast("long")).join(first, "_group")
+    return got.select(*chunks.columns, (F.col("_sum") - F.col("_first").cast("long")).alias("merged"))

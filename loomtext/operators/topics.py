@@ -14,11 +14,17 @@ STOP = "の に を は が と で た て する から まで について 
 
 
 def runs(rows: DataFrame, group: Sequence[str], record: str, text: str, pattern: str = CJK_RUN, stop: Sequence[str] = STOP) -> DataFrame:
-    """group, topic, n and first (record, position): every run that is no stop word, counted."""
+    """group, topic, n and first (which orders by record and position): every run that is no stop word, counted."""
     each = rows.select(*group, F.col(record).alias("_rec"), F.posexplode(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))).alias("_pos", "topic"))
     if stop:
         each = each.where(~F.col("topic").isin(list(stop)))
-    return each.groupBy(*group, "topic").agg(F.count("*").alias("n"), F.min(F.struct("_rec", "_pos")).alias("first"))
+    kind = rows.schema[record].dataType.typeName()
+    if kind in ("byte", "short", "integer", "long"):
+        # one number for both, so that the aggregation can hash: a struct would have all runs sorted
+        first = F.col("_rec").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("_pos").cast("decimal(11,0)")
+    else:
+        first = F.struct("_rec", "_pos")
+    return each.groupBy(*group, "topic").agg(F.count("*").alias("n"), F.min(first).alias("first"))
 
 
 def top(rows: DataFrame, group: Sequence[str], record: str, text: str, k: int = 8, pattern: str = CJK_RUN, stop: Sequence[str] = STOP) -> DataFrame:
