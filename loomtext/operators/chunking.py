@@ -15,7 +15,8 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +44,7 @@ class Limits:
 def boundaries(body: str, db: str, heading: str = Limits.heading) -> list[list[int]]:
     """Offsets where the body may be cut, coarse to fine; neither its start nor its end."""
     at = lambda pattern, shift=0: [m.start() + shift for m in re.finditer(pattern, body, re.M) if m.start() > 0]
-    line_starts = [p + 1 for p, c in enumerate(body) if c == "\n" and p + 1 < len(body)]
+    line_starts = [m.end() for m in re.finditer("\n", body) if m.end() < len(body)]
     if db in MARKED:
         return [at(r"^\[p\d+\]"), at(r"^\[p\d+-i\d+\]"), line_starts]
     if db in HEADED:
@@ -51,24 +52,24 @@ def boundaries(body: str, db: str, heading: str = Limits.heading) -> list[list[i
     return [at(r"\n\n", 1), line_starts, line_starts]
 
 
-class _Sizes:
-    """Tokens of any span of a text."""
+class Sizes:
+    """Tokens of any span of a text, from the running sum of its UTF-8 bytes."""
 
     def __init__(self, text: str) -> None:
-        self.at = [0]
-        for c in text:
-            self.at.append(self.at[-1] + len(c.encode()))
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        each = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        self.at = np.append(0, np.cumsum(each))
 
     def __call__(self, a: int, b: int) -> int:
-        return (self.at[b] - self.at[a]) // 3
+        return int(self.at[b] - self.at[a]) // 3
 
     def furthest(self, a: int, budget: int) -> int:
         """The last offset to which a span from a keeps the budget."""
-        return bisect.bisect_right(self.at, self.at[a] + 3 * budget + 2) - 1
+        return int(np.searchsorted(self.at, self.at[a] + 3 * budget + 2, "right")) - 1
 
 
-def cut(body: str, budget: int, levels: list[list[int]]) -> list[str]:
-    size = _Sizes(body)
+def cut(body: str, budget: int, levels: list[list[int]], size: Sizes | None = None) -> list[str]:
+    size = size or Sizes(body)
 
     def spans(a: int, b: int, depth: int) -> Iterator[tuple[int, int]]:
         while depth < len(levels):
@@ -107,11 +108,11 @@ def merge_small(chunks: list[str], small: int = SMALL) -> list[str]:
     return out
 
 
-def halves(body: str, first: int, second: int, levels: list[list[int]]) -> list[str] | None:
+def halves(body: str, first: int, second: int, levels: list[list[int]], size: Sizes | None = None) -> list[str] | None:
     """The most even cut into two parts within the budgets, at the coarsest level that has one."""
     if min(first, second) < 100:
         return None
-    size, n = _Sizes(body), len(body)
+    size, n = size or Sizes(body), len(body)
     for own in levels:
         fits = [(abs(size(0, b) - size(b, n)), b) for b in own if size(0, b) <= first and size(b, n) <= second]
         if fits:
@@ -132,13 +133,13 @@ def split_text(stem: str, db: str, header: str, body: str, limits: Limits = Limi
         budget = limits.target - count(header) - NOTE
     if count(header + body) <= limits.target:
         return [whole]
-    levels = boundaries(body, db, limits.heading)
-    parts = merge_small(cut(body, budget, levels), limits.small)
+    levels, size = boundaries(body, db, limits.heading), Sizes(body)
+    parts = merge_small(cut(body, budget, levels, size), limits.small)
     if len(parts) <= 1:
         return [whole]
     if len(parts) >= 3:
         notes = [f"\n--- split 1/2 → next: {stem}_2.txt ---\n", f"--- split 2/2 of {stem}.txt ---\n"]
-        parts = halves(body, limits.most - count(header) - count(notes[0]) - MARGIN, limits.most - count(notes[1]) - MARGIN, levels) or parts
+        parts = halves(body, limits.most - count(header) - count(notes[0]) - MARGIN, limits.most - count(notes[1]) - MARGIN, levels, size) or parts
     n = len(parts)
     return [f"{header}{parts[0]}\n--- split 1/{n} → next: {stem}_2.txt ---\n", *(f"--- split {i}/{n} of {stem}.txt ---\n{p}" for i, p in enumerate(parts[1:], 2))]
 
@@ -183,25 +184,29 @@ def unsplit(chunks: DataFrame, base: str = "base_id", n: str = "chunk_n", text:
 
 
 def line_chunks(docs: DataFrame, budget: int, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, ord, chunk: the lines of each document packed in order under a byte budget, by a fold in the JVM."""
+    """doc, ord, chunk: the lines of each document packed in order under a byte budget, by a fold in the JVM.
+
+    The fold writes down only where chunks begin; a line's chunk is the number of beginnings up to it.
+    """
     ls = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    start = F.struct(F.lit(0).cast("long").alias("cur"), F.lit(-1).cast("long").alias("bin"), F.array().cast("array<bigint>").alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("cur"), F.lit(0).cast("long").alias("k"), F.array().cast("array<bigint>").alias("heads"))
 
     def step(acc: Column, size: Column) -> Column:
-        opens = (acc["bin"] < 0) | (acc["cur"] + size > budget)
-        number = acc["bin"] + opens.cast("long")
-        return F.struct(F.when(opens, size).otherwise(acc["cur"] + size).alias("cur"), number.alias("bin"), F.concat(acc["out"], F.array(number)).alias("out"))
+        opens = (acc["k"] == 0) | (acc["cur"] + size > budget)
+        heads = F.when(opens, F.array_append(acc["heads"], acc["k"])).otherwise(acc["heads"])
+        return F.struct(F.when(opens, size).otherwise(acc["cur"] + size).alias("cur"), (acc["k"] + 1).alias("k"), heads.alias("heads"))
 
     sizes = F.transform(ls, lambda x: (F.octet_length(x) + 1).cast("long"))
-    return docs.select(F.col(doc), F.posexplode(F.aggregate(sizes, start, step, lambda a: a["out"])).alias("ord", "chunk")).withColumn("ord", F.col("ord").cast("long"))
+    got = docs.select(F.col(doc), F.aggregate(sizes, start, step).alias("f"))
+    runs = got.select(doc, F.posexplode("f.heads").alias("chunk", "head"), "f.heads", "f.k")
+    end = F.coalesce(F.get("heads", F.col("chunk") + 1), F.col("k"))
+    return runs.select(doc, F.explode(F.sequence("head", end - 1)).alias("ord"), F.col("chunk").cast("long").alias("chunk"))
 
 
 def balanced_line(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, line, diff: the line after which a cut into two is most even in bytes; the earliest of equals."""
     ls = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     sizes = docs.select(F.col(doc), F.posexplode(F.transform(ls, lambda x: (F.octet_length(x) + 1).cast("long"))).alias("k", "b"), F.aggregate(F.transform(ls, lambda x: (F.octet_length(x) + 1).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.size(ls).alias("n"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy(doc).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     cuts = sizes.withColumn("left", F.sum("b").over(w)).where(F.col("k") < F.col("n") - 1).withColumn("diff", F.abs(2 * F.col("left") - F.col("total")))
     return cuts.groupBy(doc).agg(F.min(F.struct("diff", "k")).alias("m")).select(doc, (F.col("m.k") + 1).cast("long").alias("line"), F.col("m.diff").alias("diff"))
@@ -213,6 +218,32 @@ def process(docs: DataFrame, trimmed: Column, limits: Limits = Limits()) -> Data
     return split(whole.withColumn("text", trimmed).select("db", "stem", "text"), limits)
 
 
+def split_stats(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: str = "db", text: str = "text") -> DataFrame:
+    """scanned, oversized, split and created by db and in total (null db): documents that are no chunks, those above the limit, those split, the chunks of these."""
+    rows = split(docs, limits, stem, db, text)
+    base = (F.col("chunk_n") == 1) & ~((F.col("chunk_total") == 1) & is_chunk(F.coalesce(text, F.lit(""))))
+    made = F.col("chunk_total") > 1
+    return rows.rollup(db).agg(
+        F.count_if(base).alias("scanned"),
+        F.count_if(base & (made | (tokens(text) > limits.most))).alias("oversized"),
+        F.count_if(base & made).alias("split"),
+        F.count_if(made).alias("created"),
+    )
+
+
+def process_stats(docs: DataFrame, trimmed: Column, limits: Limits = Limits()) -> DataFrame:
+    """What `process` does by db and in total (null db): documents, those that were stored in chunks, tokens before and after trimming, chunks after.
+
+    docs: stored chunks (db, stem, base_id, chunk_n, text); `trimmed` is an expression on the joined text.
+    """
+    stored = docs.where("chunk_n = 1").select("base_id", "db", "stem", F.col("text").rlike(BASE_NOTE).alias("_noted"))
+    whole = unsplit(docs).drop("missing").join(stored, "base_id").withColumn("_after", trimmed)
+    before = whole.select("db", F.lit(1).alias("_doc"), F.col("_noted").cast("int").alias("_joined"), tokens("text").alias("_b"), tokens("_after").alias("_a"), F.lit(0).alias("_made"))
+    after = split(whole.select("db", "stem", F.col("_after").alias("text")), limits).select("db", F.lit(0).alias("_doc"), F.lit(0).alias("_joined"), F.lit(0).cast("long").alias("_b"), F.lit(0).cast("long").alias("_a"), F.lit(1).alias("_made"))
+    sums = {"documents": "_doc", "joined": "_joined", "tokens_before": "_b", "tokens_after": "_a", "chunks_after": "_made"}
+    return before.unionByName(after).rollup("db").agg(*(F.sum(c).alias(name) for name, c in sums.items()))
+
+
 def over_limit(docs: DataFrame, text: str = "text", most: int = MAX_TOKENS) -> DataFrame:
     """Documents above the limit, largest first."""
     return docs.withColumn("tokens", tokens(text)).where(F.col("tokens") > most).orderBy(F.desc("tokens"))

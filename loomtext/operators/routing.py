@@ -59,6 +59,13 @@ def index(packed: DataFrame, profile: Profile, group: Sequence[str] = (), ord_co
     return stats.join(tops, key, "left").withColumn("topics", F.coalesce("topics", empty)).withColumnRenamed("file", "shard")
 
 
+def papers(records: DataFrame, part: str = "part", ord_col: str = "ord", cap: int = CAP, **options) -> DataFrame:
+    """The index of the papers' three parts, each packed apart; records of other parts are left out."""
+    rows = records.where(F.col(part).isin(list(PAPER_PARTS)))
+    profile = PROFILES["paper"]
+    return index(lean(rows, profile, [part], ord_col, cap), profile, [part], ord_col, **options)
+
+
 def ranged(records: DataFrame, shard: str = "shard", ord_col: str = "ord", text: Sequence[str] = ("title", "topics", "keywords"), **options) -> DataFrame:
     """Shards that stay as they are: count, id range and topics."""
     rows = records.withColumn("_text", F.concat_ws(" ", *text))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import rstrip, strip
+from loomtext.operators.chunking import Limits, split
 from loomtext.operators.tree import SUPPLEMENT, Node, child_text, collect, first, parse, text_of
 
 RAW_GRID = "array<array<struct<t: string, rs: int>>>"
@@ -196,6 +197,15 @@ def status(text: Column | str, tables: Column | str) -> Column:
     return F.when(F.contains(t, F.lit(MARKER)), "already_done").when(md.isNull() | (F.size(md) == 0), "no_tables").when(~refs, "no_points").otherwise("inserted")
 
 
+def insert_and_split(docs: DataFrame, limits: Limits = Limits(), tables: str = "tables") -> DataFrame:
+    """Documents (db, stem, text, rendered tables) with their tables, split again where that made them too long; with the status of each.
+
+    One plan: what comes of a document decides where it goes, and only those above the limit leave the JVM.
+    """
+    done = docs.withColumns({"status": status("text", tables), "text": insert("text", tables)}).drop(tables)
+    return split(done, limits)
+
+
 def process_status(article: Column, mode: Column, source: Column, grids: Column, text: Column) -> Column:
     """The whole status of a document: what is missing first, else what inserting gives."""
     return (

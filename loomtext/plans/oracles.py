@@ -1,5 +1,8 @@
 """DuckDB SQL for the queries of this package; a few whose input is literal state their rows."""
 
+from loomtext.plans import chunked, dialects, routes, statutes, storage  # noqa: F401 - they register SQL of their own
+from loomtext.plans.registry import SQL as _REGISTERED
+
 _TOK = "octet_length(encode(text)) // 3"
 _LINES = "string_split(text, chr(10))"
 _TRIM = f"array_to_string(list_filter({_LINES}, lambda x: NOT starts_with(x, 'The') AND NOT starts_with(x, 'Le ') AND NOT starts_with(x, 'Der ')), chr(10))"
@@ -128,4 +131,4 @@ ELSE 'law: x' || chr(10) || 'article: 1' || chr(10) || chr(10) || '<!--TABLE_INS
 ), p AS (SELECT shard, string_agg(topic, ',' ORDER BY rank) AS topics FROM k WHERE rank <= 8 GROUP BY shard
 ), c AS (SELECT shard, count(*) AS n, array_to_string(list_sort(list(DISTINCT source)), ',') AS codes FROM f GROUP BY shard)
 SELECT 'shard-' || lpad(CAST(shard AS VARCHAR), CAST(greatest(2, length(CAST((SELECT max(shard) FROM c) AS VARCHAR))) AS INT), '0') || '.txt' AS shard, n AS count, codes AS doc_codes, coalesce(topics, '') AS topics FROM c LEFT JOIN p USING (shard)""",
-}
+} | _REGISTERED

@@ -2,38 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
 from loomtext.operators import chunking, headers, integrity, packing, pages, routing, tables, topics, tree
+from loomtext.plans import chunked, dialects, routes, statutes, storage  # noqa: F401 - they register their own queries
+from loomtext.plans.registry import QUERIES, docs, long, query, read
 from loomtext.sources import corpus, sinks
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+__all__ = ["QUERIES"]
+
 STOP = ["the", "and", "of", "to", "in"]
 BUDGET = 600
 
 
-def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents")
-
-
-def long(c):
-    return (F.col(c) if isinstance(c, str) else c).cast("long")
-
-
 # packing, topics, routing
 
 
@@ -93,8 +76,7 @@ def routing_section(spark, d):
 @query
 def qa_lean_sort(spark, d):
     c = read(spark, d, "conversations").select("role", "conv_id", "turn")
-    w = Window.partitionBy("role").orderBy("conv_id", "turn")
-    return c.withColumn("ord", long(F.row_number().over(w)))
+    return packing.numbered(c, ["role"], ["conv_id", "turn"])
 
 
 @query

@@ -73,16 +73,16 @@ def table_targets(docs: DataFrame, path: str | None = None, stem: str | None = N
     heads = docs.select("path", F.col("stem").alias("base"), parse("text").alias("h"))
     return rows.join(heads, ["path", "base"], "left").select(
         "path", "stem", "text", "is_chunk", *(F.coalesce(F.col(f"h.{c}"), F.lit("")).alias(c) for c in ("article", "egov_id", "law_num")), F.contains("text", F.lit(MARKER)).alias("already_done")
-    ).orderBy("path", "stem")
+    )
 
 
 def resolve(targets: DataFrame, ids: DataFrame, numbers: DataFrame, key: str = "path") -> DataFrame:
     """source and mode of each target: the header's id, the id table, the number table, the header's number; else unknown.
 
-    ids (key, id) and numbers (key, num) are small tables of laws, one row for each law.
+    ids (key, id) and numbers (key, num) are tables of laws, one row for each law; the planner broadcasts them if they are small.
     """
     has = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    rows = targets.join(F.broadcast(ids), key, "left").join(F.broadcast(numbers), key, "left")
+    rows = targets.join(ids, key, "left").join(numbers, key, "left")
     source = F.when(has("egov_id"), F.col("egov_id")).when(has("id"), F.col("id")).when(has("num"), F.col("num")).when(has("law_num"), F.col("law_num")).otherwise(F.lit(""))
     mode = F.when(has("egov_id") | has("id"), "v2").when(has("num") | has("law_num"), "v1").otherwise("unknown")
     return rows.withColumns({"source": source, "mode": mode}).drop("id", "num")
@@ -95,8 +95,9 @@ def landed(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return raw.select(F.url_decode(F.replace(F.url_decode(name), F.lit(suffix), F.lit(""))).alias("key"), F.col("value").alias("tree"))
 
 
-def json_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True)
+def json_documents(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """JSON documents: one a file, of any number of lines, or one a line."""
+    return spark.read.json(path, multiLine=whole_files)
 
 
 class RateLimiter:
