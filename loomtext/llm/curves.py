@@ -3,13 +3,15 @@
 Rows of equal vectors form one class, named by its least row. Each of ORDERINGS orderings rotates the distinct
 vectors, keeps AXES coordinates, shifts them, and sorts the classes by their place on a Hilbert curve,
 range-partitioned in Spark. A query's candidates in one ordering are the classes within a window around its place;
-the windows of all orderings are merged and ranked by exact distance, and a class found stands for its k + 1 rows of
+the windows of all orderings are merged and ranked, and a class found stands for its k + 1 rows of
 least ids (one of them may be the query). All queries of a class share one search.
 
-The window is a share of the classes (SHARE to either side, at least LEAST): on vectors without clusters a
-fixed window would lose recall as tables grow. Sorted classes are cut into blocks; a query goes to each block that
-its window touches, so no task holds more than a block and a run of queries, and only the best of each block
-are shuffled.
+What travels with the orderings is a code of a class, a byte for each coordinate. In a window the query's own vector meets
+the codes; the SURVIVORS nearest by code, over all orderings, are fetched whole and ranked by exact distance.
+
+A window holds WINDOW * n ** (2 / 3) of n classes, and a few more, to either side: the work of a query grows slower than
+the table. Sorted classes are cut into blocks; a query goes to each block that its window touches, so no task holds more
+than some blocks and a run of queries, and only the best of each block are shuffled.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors
 of different lengths are never compared; a query does not find its own row but finds rows with the same id or
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from loomtext.llm.runtime import stash, width
 from loomtext.llm.vectors import matrix, packed, rotation
 
-ORDERINGS, AXES, BITS = 12, 6, 8
-SHARE, LEAST, BLOCK = 0.05, 1024, 1024
+ORDERINGS, AXES, BITS = 18, 6, 8
+WINDOW, SURVIVORS, BLOCK = 0.75, 64, 1024
+_CODE_SPAN = 12  # deviations that the 256 values of a coordinate's code cover
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -63,15 +66,20 @@ def _projected(v: np.ndarray, m: int) -> np.ndarray:
     return v @ rotation(v.shape[1], 1000 + m)[:, :AXES]
 
 
+def _coordinates(v: np.ndarray) -> np.ndarray:
+    """The projected coordinates of all orderings, then the rotated ones that codes are made of."""
+    return np.concatenate([*(_projected(v, m) for m in range(ORDERINGS)), v @ rotation(v.shape[1], 999)], axis=1)
+
+
 def _spreads(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Mean and deviation of each projected coordinate over all rows, by vector length."""
+    """Mean and deviation of each of these coordinates over all rows, by vector length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for d in np.unique(dims).tolist():
                 v = matrix(batch.column(0).filter(pa.array(dims == d)).to_pylist(), d)
-                y = np.concatenate([_projected(v, m) for m in range(ORDERINGS)], axis=1)
+                y = _coordinates(v)
                 k = y.shape[1]
                 yield pa.RecordBatch.from_arrays([pa.array([d] * k, pa.int32()), pa.array(range(k), pa.int32()), pa.array([len(v)] * k, pa.int64()), pa.array(y.sum(0)), pa.array((y * y).sum(0))], ["dim", "axis", "n", "s", "q"])
 
@@ -82,11 +90,19 @@ def _spreads(rows: DataFrame) -> dict[int, np.ndarray]:
     return {d: np.array(x) for d, x in out.items()}
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows found for each row for which is_query (an expression on vec_id) holds."""
-    spark = rows.sparkSession
+def window(n: int, share: float, least: int) -> int:
+    """Classes to either side of a query's place that it looks at."""
+    return int(share * n ** (2 / 3)) + least
+
+
+def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", share: float = WINDOW, least: int | None = None, survivors: int = SURVIVORS) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows found for each row for which is_query (an expression on vec_id) holds.
+
+    A window has share * n ** (2 / 3) + least of n classes to either side (least: 4 k, if not given).
+    """
+    spark, survivors, least = rows.sparkSession, max(survivors, 4 * k), 4 * k if least is None else least
     every = stash(packed(rows, id_col, vec_col).withColumn("query", F.coalesce(is_query, F.lit(False))), "vectors")
-    # vectors that are equal bit by bit, apart from the sign of zero; the hash only shortens the key
+    # vectors that are equal bit by bit; the hash only shortens the key
     digest = F.unhex(F.sha2("v", 256))
     base = stash(every.groupBy(digest.alias("digest")).agg(F.min("vec_id").alias("vec_id"), F.min("row").alias("row"), F.max("query").alias("query"), F.first("v").alias("v"), F.first("dim").alias("dim")), "classes")
     spreads = spark.sparkContext.broadcast(_spreads(base))
@@ -96,57 +112,66 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
             dims = batch.column("dim").to_numpy()
             for d in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == d))
-                v = matrix(part.column("v").to_pylist(), d)
+                v, k = matrix(part.column("v").to_pylist(), d), min(AXES, d)
+                mean, dev = spreads.value[d].T
+                z = (_coordinates(v) - mean) / dev
+                codes = np.clip(np.floor(z[:, ORDERINGS * k :] * (256 / _CODE_SPAN)) + 128, 0, 255).astype(np.uint8)
+                codes = pa.array([c.tobytes() for c in codes], pa.binary())
                 for m in range(ORDERINGS):
-                    k = min(AXES, d)
-                    mean, dev = spreads.value[d][m * k : (m + 1) * k].T
-                    shift = np.random.default_rng(m).uniform(-0.15, 0.15, len(mean))
-                    z = np.clip((_projected(v, m) - mean) / (6 * dev) + 0.5 + shift, 0, 1 - 1e-9)
-                    yield _with(part, d * ORDERINGS + m, hilbert((z * (1 << BITS)).astype(np.int64)))
-
-    kinds = "lane long, key long, vec_id long, row long, query boolean, v binary"
-    placed = base.select("vec_id", "row", "query", "v", "dim").mapInArrow(order, kinds)
+                    shift = np.random.default_rng(m).uniform(-0.15, 0.15, k)
+                    at = np.clip(z[:, m * k : (m + 1) * k] / 6 + 0.5 + shift, 0, 1 - 1e-9)
+                    key = hilbert((at * (1 << BITS)).astype(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), d * ORDERINGS + m)), pa.array(key), part.column("row"), part.column("query"), codes], ["lane", "key", "row", "query", "code"])
+
+    placed = base.select("row", "query", "v", "dim").mapInArrow(order, "lane long, key long, row long, query boolean, code binary")
     placed = placed.repartitionByRange(width(spark), "lane", "key", "row").sortWithinPartitions("lane", "key", "row")
+    runs = pa.schema([("lane", pa.int64()), ("part", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("rows", pa.binary()), ("asks", pa.binary()), ("codes", pa.binary())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of consecutive classes of a lane, each a row, with their places among the lane's classes in this partition."""
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
-            lanes = batch.column("lane").to_numpy()
-            at = np.zeros(len(lanes), np.int64)
+            lanes, rows = batch.column("lane").to_numpy(), batch.column("row").to_numpy()
+            asks, codes = batch.column("query").to_numpy(zero_copy_only=False).astype(np.uint8), batch.column("code").to_pylist()
+            out = []
             for lane in np.unique(lanes).tolist():
-                own = np.flatnonzero(lanes == lane)
-                at[own] = seen.get(lane, 0) + np.arange(len(own))
-                seen[lane] = seen.get(lane, 0) + len(own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(at), pa.int32()), pa.array(at)], [*batch.schema.names, "part", "at"])
-
-    placed = stash(placed.mapInArrow(number, f"{kinds}, part int, at long"), "curve")
+                a, b = np.searchsorted(lanes, [lane, lane + 1]).tolist()
+                for s in range(a, b, BLOCK):
+                    e = min(s + BLOCK, b)
+                    out.append((lane, part, seen.get(lane, 0), e - s, rows[s:e].tobytes(), asks[s:e].tobytes(), b"".join(codes[s:e])))
+                    seen[lane] = seen.get(lane, 0) + e - s
+            yield _batch(out, runs)
+
+    placed = stash(placed.mapInArrow(number, "lane long, part int, at long, n long, rows binary, asks binary, codes binary"), "curve")
     # one row for each partition and lane
-    counts = sorted(map(tuple, placed.groupBy("lane", "part").agg(F.count("*")).collect()))
+    counts = sorted(map(tuple, placed.groupBy("lane", "part").agg(F.sum("n")).collect()))
     starts: dict[tuple[int, int], int] = {}
     totals: dict[int, int] = {}
     for lane, part, n in counts:
         starts[lane, part] = totals.get(lane, 0)
         totals[lane] = starts[lane, part] + n
-    shared = spark.sparkContext.broadcast((starts, {lane: max(least, int(share * n)) for lane, n in totals.items()}, totals))
+    shared = spark.sparkContext.broadcast((starts, {lane: window(n, share, least) for lane, n in totals.items()}, totals))
+    pieces = pa.schema([("lane", pa.int64()), ("block", pa.int64()), ("asks", pa.bool_()), ("asking", pa.int64()), ("pos", pa.int64()), ("rows", pa.binary()), ("codes", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs cut at the borders of blocks, and each query once for every block that its window touches."""
         starts, windows, totals = shared.value
         for batch in batches:
-            lane, part, query = batch.column("lane").to_numpy(), batch.column("part").to_numpy(), np.array(batch.column("query").to_pylist(), bool)
-            pos = batch.column("at").to_numpy() + np.array([starts[x] for x in zip(lane.tolist(), part.tolist())], np.int64)
-            w = np.array([windows[x] for x in lane.tolist()], np.int64)
-            last = np.array([totals[x] - 1 for x in lane.tolist()], np.int64)
-            lo, hi = np.maximum(pos - w, 0) // BLOCK, np.minimum(pos + w, last) // BLOCK
-            q = np.flatnonzero(query)
-            each = (hi - lo + 1)[q]
-            take = np.concatenate([np.arange(len(pos)), np.repeat(q, each)])
-            block = np.concatenate([pos // BLOCK, np.repeat(lo[q], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)])
-            asks = np.arange(len(take)) >= len(pos)
-            t = batch.select(["lane", "vec_id", "row", "v"]).take(pa.array(take))
-            yield pa.RecordBatch.from_arrays([*t.columns, pa.array(block), pa.array(pos[take]), pa.array(asks)], ["lane", "vec_id", "row", "v", "block", "pos", "asks"])
-
-    dealt = placed.mapInArrow(deal, "lane long, vec_id long, row long, v binary, block long, pos long, asks boolean")
-    dealt = dealt.repartition(width(spark) * 2, "lane", "block").sortWithinPartitions("lane", "block", "asks", "pos")
+            for lane, part, at, n, rows, asks, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first, size, out = starts[lane, part] + at, len(codes) // n, []
+                for block in range(first // BLOCK, (first + n - 1) // BLOCK + 1):
+                    a, b = max(block * BLOCK - first, 0), min((block + 1) * BLOCK - first, n)
+                    out.append((lane, block, False, None, first + a, rows[8 * a : 8 * b], codes[size * a : size * b]))
+                for i in np.flatnonzero(np.frombuffer(asks, np.uint8)).tolist():
+                    pos, w, own = first + i, windows[lane], rows[8 * i : 8 * i + 8]
+                    out += [(lane, block, True, int.from_bytes(own, "little"), pos, own, None) for block in range(max(pos - w, 0) // BLOCK, min(pos + w, totals[lane] - 1) // BLOCK + 1)]
+                yield _batch(out, pieces)
+
+    dealt = placed.mapInArrow(deal, "lane long, block long, asks boolean, asking long, pos long, rows binary, codes binary")
+    # a query travels as its own vector
+    query = base.where("query").select(F.col("row").alias("asking"), "v")
+    asking = dealt.where("asks").drop("codes").join(query, "asking").select("lane", "block", "asks", "pos", "rows", F.col("v").alias("codes"))
+    dealt = dealt.where("NOT asks").drop("asking").unionByName(asking).repartition(width(spark) * 2, "lane", "block").sortWithinPartitions("lane", "block", "asks", "pos")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value[1]
@@ -154,24 +179,38 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held and asked:
-                yield _best(held, asked, windows[key[0]], k)
+                yield _nearest(held, asked, key[0] // ORDERINGS, windows[key[0]], survivors, spreads.value)
             asked.clear()
 
         for batch in batches:
-            for lane, vec_id, row, v, block, pos, asks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lane, block, asks, pos, rows, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (lane, block) != key:
                     yield from flush()
                     key = (lane, block)
                     held.clear()
-                (asked if asks else held).append((vec_id, row, v, pos))
+                (asked if asks else held).append((pos, rows, codes))
                 if len(asked) >= 256:
                     yield from flush()
         yield from flush()
 
-    found = dealt.mapInArrow(rank, "query_id long, query_row long, vec_id long, row long, score double")
+    near = dealt.mapInArrow(rank, "query_row long, row long, gap float")
+    # the nearest by code over all orderings, then their vectors
+    near = near.groupBy("query_row", "row").agg(F.min("gap").alias("gap"))
+    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query_row").orderBy("gap", "row"))).where(F.col("n") <= survivors).select("query_row", "row")
+    whole = near.join(base.select(F.col("row").alias("query_row"), F.col("v").alias("q")), "query_row").join(base.select("row", "vec_id", "v", "dim"), "row")
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, score = batch.column("dim").to_numpy(), np.zeros(len(batch))
+            for d in np.unique(dims).tolist():
+                own = np.flatnonzero(dims == d)
+                q, v = (matrix(batch.column(c).take(pa.array(own)).to_pylist(), d) for c in ("q", "v"))
+                score[own] = np.sqrt(((v - q) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([batch.column("query_row"), batch.column("row"), batch.column("vec_id"), pa.array(score)], ["query_row", "row", "vec_id", "score"])
+
+    found = whole.select("query_row", "row", "vec_id", "dim", "q", "v").mapInArrow(exact, "query_row long, row long, vec_id long, score double")
     best = Window.partitionBy("query_row").orderBy("score", F.coalesce("vec_id", F.lit((1 << 63) - 1)), "row")
-    ranked = found.groupBy("query_row", "row").agg(F.first("query_id").alias("query_id"), F.first("vec_id").alias("vec_id"), F.min("score").alias("score"))
-    classes = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_row", "row", "score")
+    classes = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_row", "row", "score")
     own = base.where("query").select(F.col("row").alias("query_row"), "row", F.lit(0.0).alias("score"))
 
     # back from classes to rows: k + 1 of each class are enough, and k + 1 for each class that asks
@@ -186,27 +225,25 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
     return found.withColumn("rank", ranks).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _with(part: pa.RecordBatch, lane: int, key: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), lane)), pa.array(key), *(part.column(c) for c in ("vec_id", "row", "query", "v"))], ["lane", "key", "vec_id", "row", "query", "v"])
-
-
-def _best(held: list, asked: list, window: int, k: int) -> pa.RecordBatch:
-    """The k nearest rows of a block for each query, by exact distance among those that are near by the fast formula."""
-    dim = len(held[0][2]) // 8
-    x, q = matrix([r[2] for r in held], dim), matrix([r[2] for r in asked], dim)
-    pos, rows = (np.array([r[i] for r in held], np.int64) for i in (3, 1))
-    ids = np.array([(1 << 63) - 1 if r[0] is None else r[0] for r in held], np.int64)
-    xx, qq = (x * x).sum(1), (q * q).sum(1)
-    fast = qq[:, None] + xx - 2 * (q @ x.T)
-    out: list[tuple] = []
-    for i, (query_id, query_row, _, at) in enumerate(asked):
-        near = np.flatnonzero((np.abs(pos - at) <= window) & (rows != query_row))
-        d = fast[i, near]
-        if len(near) > k:
-            slack = 1e-9 * (qq[i] + float(xx.max()))
-            near = near[d <= np.partition(d, k - 1)[k - 1] + slack]
-        exact = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
-        for j in np.lexsort((rows[near], ids[near], exact))[:k].tolist():
-            out.append((query_id, query_row, held[near[j]][0], int(rows[near[j]]), float(exact[j])))
-    columns = list(zip(*out, strict=True)) or [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "query_row", "vec_id", "row", "score"])
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _nearest(held: list, asked: list, dim: int, window: int, most: int, spreads: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """For each query the classes of a block and of its window that are nearest by code, `most` at most."""
+    mean, dev = spreads[dim][-dim:].T
+    rows = np.concatenate([np.frombuffer(r, np.int64) for _, r, _ in held])
+    pos = np.concatenate([p + np.arange(len(r) // 8) for p, r, _ in held])
+    x = (np.concatenate([np.frombuffer(c, np.uint8) for _, _, c in held]).reshape(-1, dim) - 127.5) * (_CODE_SPAN / 256) * dev
+    q = matrix([v for _, _, v in asked], dim) @ rotation(dim, 999) - mean
+    gaps = (q * q).sum(1)[:, None] + (x * x).sum(1) - 2 * (q @ x.T)
+    out: list[list[np.ndarray]] = [[], [], []]
+    for i, (at, r, _) in enumerate(asked):
+        own = int.from_bytes(r, "little")
+        near = np.flatnonzero((np.abs(pos - at) <= window) & (rows != own))
+        if len(near) > most:
+            near = near[np.argpartition(gaps[i, near], most - 1)[:most]]
+        for values, v in zip(out, (np.full(len(near), own), rows[near], gaps[i, near].astype(np.float32)), strict=True):
+            values.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["query_row", "row", "gap"])

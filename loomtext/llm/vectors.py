@@ -18,13 +18,18 @@ def usable(c: str) -> Column:
 
 
 def packed(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """vec_id, row (a number of its own) and v (little-endian doubles) of usable rows. Stash it before using row."""
-    src = rows.where(usable(vec_col)).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"), F.monotonically_increasing_id().alias("row"))
+    """vec_id, row (a number of its own) and v (the components, little-endian: floats of a table of floats, else doubles) of usable rows.
+
+    Stash it before using row.
+    """
+    single = rows.schema[vec_col].dataType.simpleString() == "array<float>"
+    vector = F.col(vec_col) if single else F.col(vec_col).cast("array<double>")
+    src = rows.where(usable(vec_col)).select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("v"), F.monotonically_increasing_id().alias("row"))
 
     def run(batches):
         for batch in batches:
             v = batch.column(1)
-            flat, ends = v.flatten().to_numpy(zero_copy_only=False).astype("<f8"), v.offsets.to_numpy()
+            flat, ends = v.flatten().to_numpy(zero_copy_only=False).astype("<f4" if single else "<f8"), v.offsets.to_numpy()
             ends = (ends - ends[0]).tolist()
             body = pa.array([flat[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), body, pa.array(np.diff(ends), pa.int32())], ["vec_id", "row", "v", "dim"])
@@ -33,7 +38,9 @@ def packed(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def matrix(bodies, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(bodies), "<f8").reshape(-1, dim)
+    """The vectors as doubles."""
+    raw = b"".join(bodies)
+    return np.frombuffer(raw, "<f4" if len(raw) == 4 * dim * len(bodies) else "<f8").reshape(-1, dim).astype(np.float64)
 
 
 @cache
