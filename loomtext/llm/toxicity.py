@@ -137,19 +137,8 @@ class Fuzzy:
 
 def cuts(cp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of letters, numbers, @ and $."""
-    n = len(cp)
     kind = wordscan.classes()[cp]
-    word = np.zeros(n + 1, bool)
-    word[:n] = (kind == wordscan.LETTER) | (kind == wordscan.NUMBER) | (cp == 0x40) | (cp == 0x24)
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    head = at[:-1][at[:-1] < n]
-    begins[head] = word[head]
-    s = np.flatnonzero(begins)
-    stop = ~word
-    stop[at] = True
-    stops = np.flatnonzero(stop)
-    return s, stops[np.searchsorted(stops, s, "right")]
+    return wordscan.stretches((kind == wordscan.LETTER) | (kind == wordscan.NUMBER) | (cp == 0x40) | (cp == 0x24), at)
 
 
 class Matcher:
@@ -193,12 +182,13 @@ class Matcher:
             s, e = cuts(cp, at)
             codes, _ = self.coder(cp, s, e)
             codes = codes.astype(np.int64)
+            first = np.searchsorted(s, at[:-1]).tolist()
             out: list[list] = [[] for _ in part]
             for k in np.flatnonzero(codes > 1).tolist():
                 i = int(np.searchsorted(at, s[k], "right")) - 1
                 term, weight, errors = self.hits[codes[k] - 2]
                 lo, hi = int(s[k] - at[i]), int(e[k] - at[i])
-                said = bool((codes[max(0, k - 3) : k] == 1).any()) and s[max(0, k - 3)] >= at[i]
+                said = bool((codes[max(first[i], k - 3) : k] == 1).any())
                 quoted = said or _in_quotes(part[i], lo, hi)
                 out[i].append((lo, hi, term, errors, quoted, weight * (FUZZY if errors else 1) * (QUOTED if quoted else 1)))
             yield from out

@@ -176,11 +176,10 @@ def word_level_cuts(cp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return s[keep], e[keep]
 
 
-def blank_cuts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words (start, end) of UTF-8 bytes between the bytes 0x20 and 0x09 to 0x0D."""
-    n = len(raw)
-    word = np.zeros(n + 1, bool)
-    word[:n] = (raw != 0x20) & ((raw < 0x09) | (raw > 0x0D))
+def stretches(mask: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches (start, end) where the mask holds; each ends with its text."""
+    n = len(mask)
+    word = np.append(mask, False)
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     head = at[:-1][at[:-1] < n]
@@ -192,6 +191,11 @@ def blank_cuts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return s, stops[np.searchsorted(stops, s, "right")]
 
 
+def blank_cuts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words (start, end) of UTF-8 bytes between the bytes 0x20 and 0x09 to 0x0D."""
+    return stretches((raw != 0x20) & ((raw < 0x09) | (raw > 0x0D)), at)
+
+
 def spread(offset: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Indices of all elements of the ranges offset to offset + length, one range after the other."""
     ends = np.cumsum(length)
@@ -223,13 +227,13 @@ class PieceCoder:
     encoded again.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 48 << 20) -> None:
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], room: int = 64 << 20) -> None:
         self.encode, self.room = encode, room
         self.forget()
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.cols = np.zeros((4, 0), np.int64)  # of each key: first letter, letters, first id, ids
+        self.cols = np.zeros((4, 0), np.int32)  # of each key: first letter, letters, first id, ids
         self.letters, self.ids = _Buffer(), _Buffer()
 
     def _bytes(self) -> int:
@@ -264,10 +268,10 @@ class PieceCoder:
             letters, pieces = self._strings(cp, s[w], lens[w])
             ids, n = self._encoded(pieces)
             cols = np.stack([self.letters.add(letters) + np.cumsum(lens[w]) - lens[w], lens[w], self.ids.add(ids) + np.cumsum(n) - n, n])
-            self.cols = np.insert(self.cols, at[fresh], cols, axis=1)
+            self.cols = np.insert(self.cols, at[fresh], cols.astype(np.int32), axis=1)
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             at = np.searchsorted(self.keys, keys)
-        first, size, start, n = self.cols[:, at[back.reshape(-1)]]
+        first, size, start, n = self.cols[:, at[back.reshape(-1)]].astype(np.int64)
         same = size == lens
         k = np.flatnonzero(same)
         differ = np.flatnonzero(cp[spread(s[k], lens[k])] != self.letters.data[spread(first[k], lens[k])])
