@@ -132,3 +132,28 @@ def section_upsert(spark, d):
     old = F.when(F.col("doc_id") % 2 == 0, F.concat(title, F.lit(f" \n\n{routing.MARKER}\nold\nlines\n"))).otherwise(title)
     once = docs(spark, d).select("doc_id", routing.upsert(old, new).alias("once"), new.alias("_n"))
     return once.select("doc_id", "once", (routing.upsert("once", "_n") == F.col("once")).alias("same_again"))
+
+
+_PAGE_TEXT = "replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), chr(13) || chr(10), chr(10))"
+
+
+@held(f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split({_PAGE_TEXT}, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '' AND NOT starts_with(x, 'Copyright') AND NOT starts_with(x, 'ページの先頭')) AS w FROM pages)
+SELECT 'https://h/p' || page_id || '.htm' AS url, CAST(1 AS BIGINT) AS ord, page_id || '-1' AS item_id, '題' AS title, array_to_string(list_transform(w, lambda x, i: '[p' || i || '] ' || x), chr(10)) AS body FROM l WHERE len(w) > 0""")
+def page_items_whole(spark, d):
+    """Each whole page below a heading: one item of all its lines."""
+    from loomtext.operators import pages
+
+    n = F.col("page_id").cast("string")
+    html = F.concat(F.lit("<p>x</p>\n"), n, F.lit("の1（題）\n"), F.col("html"))
+    rows = read(spark, d, "pages").select(F.concat(F.lit("https://h/p"), n, F.lit(".htm")).alias("url"), html.alias("html"))
+    return pages.items(rows).select("url", long("ord").alias("ord"), "item_id", "title", "body")
+
+
+@held("""WITH r AS (SELECT source AS path, CAST(doc_id % 200 AS VARCHAR) AS stem, 'doc_code: ' || source || chr(10) || coalesce(text, '') AS text FROM documents
+), k AS (SELECT * FROM r WHERE path NOT IN ('src0', 'src2')
+), m AS (SELECT CASE path WHEN 'src0' THEN 'src1' ELSE 'moved' END AS path, stem, CASE WHEN path = 'src0' THEN regexp_replace(text, '(?m)^doc_code: src0$', 'doc_code: src1', 'g') ELSE regexp_replace(text, '(?m)^doc_code: src2$', 'doc_code: moved', 'g') END AS text FROM r WHERE path IN ('src0', 'src2'))
+SELECT path, stem, md5(text) AS text_md5 FROM k UNION ALL SELECT m.path, m.stem, md5(m.text) FROM m ANTI JOIN k ON m.path = k.path AND m.stem = k.stem""")
+def move_documents(spark, d):
+    """Collections renamed, with the whole texts of all their documents."""
+    rows = docs(spark, d).select(F.col("source").alias("path"), (F.col("doc_id") % 200).cast("string").alias("stem"), F.concat(F.lit("doc_code: "), "source", F.lit("\n"), F.coalesce("text", F.lit(""))).alias("text"))
+    return sinks.move_collections(rows, {"src0": "src1", "src2": "moved"}).select("path", "stem", F.md5(F.col("text").cast("binary")).alias("text_md5"))
