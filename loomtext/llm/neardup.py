@@ -29,7 +29,8 @@ from loomtext.llm.runtime import components, stash, width
 from loomtext.llm.vectors import matrix, packed, rotation, usable
 
 COSINE = 0.9
-BLOCKS, GRID, CELL_ROWS = 4, 2, 16384
+BLOCKS, GRID, CELL_ROWS = 4, 2, 65536
+TILE = 512
 _SEED = 77
 
 
@@ -82,44 +83,102 @@ class _Forest:
                 self.label[self.label == v] = self.label[i]
 
 
+def _near(w: np.ndarray, left: np.ndarray, right: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Tiles of (left rows, right rows) with the pairs whose squared distance in a block may be within its share.
+
+    One matrix product gives the distances: (w, |w|^2, 1) times (-2 w, 1, |w|^2). True stands for a tile of which more than a
+    sixteenth is near; then the pairs are left to the caller.
+    """
+    ww = (w * w).sum(1, keepdims=True)
+    one = np.ones_like(ww)
+    x, y = np.hstack([w, ww, one])[left], np.ascontiguousarray(np.hstack([-2 * w, one, ww])[right].T)
+    for s in range(0, len(left), TILE):
+        for r in range(0, len(right), TILE):
+            gap = x[s : s + TILE] @ y[:, r : r + TILE]
+            some = np.flatnonzero(gap.min(1) <= share + 1e-5)  # most rows have nothing near in a tile
+            if not len(some):
+                continue
+            i, j = np.nonzero(gap[some] <= share + 1e-5)
+            rows, columns = left[s : s + TILE], right[r : r + TILE]
+            if len(i) * 16 > gap.size:
+                yield rows, columns, True
+            else:
+                yield rows[some[i]], columns[j], False
+
+
 def _compare(block: int, dim: int, lo: int, hi: int, cls: np.ndarray, n: np.ndarray, home: np.ndarray, side: np.ndarray, v: np.ndarray, cosine: float) -> tuple[list, list]:
     """Links of each class by number, and tree links."""
     u = _units(v) @ rotation(dim, _SEED)
     parts = _edges_of(dim)
     shares = [(2 - 2 * cosine) * (b - a) / dim * (1 + 1e-6) + 1e-12 for a, b in parts]
     a, b = parts[block]
-    w = u[:, a:b].astype(np.float32)
-    ww = (w * w).sum(1)
-    left, right = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
     found, forest = np.zeros(len(cls), np.int64), _Forest(len(cls))
     norms = np.sqrt((v * v).sum(1))
-    step = max(1, (1 << 21) // max(1, len(right)))
-    for s in range(0, len(left), step):
-        rows = left[s : s + step]
-        near = ww[rows][:, None] + ww[right] - 2 * (w[rows] @ w[right].T) <= shares[block] + 1e-5
-        i, j = np.nonzero(near)
-        i, j = rows[i], right[j]
-        keep = (home[i] | home[j]) & ((i < j) if lo == hi else np.ones(len(i), bool))
-        i, j = i[keep], j[keep]
-        for p in range(0, len(i), 1 << 16):
-            x, y = i[p : p + (1 << 16)], j[p : p + (1 << 16)]
-            gap = (u[x] - u[y]) ** 2
-            mine = gap[:, a:b].sum(1) <= shares[block]
+
+    def count(x: np.ndarray, y: np.ndarray) -> None:
+        np.add.at(found, x, n[y])
+        np.add.at(found, y, n[x])
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        head = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else []
+        for h, e in zip(head, [*head[1:], len(x)]):
+            forest.join(int(x[h]), y[h:e])
+
+    def sparse(x: np.ndarray, y: np.ndarray) -> None:
+        for p in range(0, len(x), 1 << 15):
+            i, j = x[p : p + (1 << 15)], y[p : p + (1 << 15)]
+            mine = ((u[i, a:b] - u[j, a:b]) ** 2).sum(1) <= shares[block]
+            i, j = i[mine], j[mine]
+            gap = (u[i] - u[j]) ** 2
+            mine = (v[i] * v[j]).sum(1) / (norms[i] * norms[j]) >= cosine
             for (c, d), share in zip(parts[:block], shares, strict=False):
                 mine &= gap[:, c:d].sum(1) > share
-            mine &= (v[x] * v[y]).sum(1) / (norms[x] * norms[y]) >= cosine
-            x, y = x[mine], y[mine]
-            np.add.at(found, x, n[y])
-            np.add.at(found, y, n[x])
-            order = np.argsort(x, kind="stable")
-            x, y = x[order], y[order]
-            head = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else []
-            for h, e in zip(head, [*head[1:], len(x)]):
-                forest.join(int(x[h]), y[h:e])
+            count(i[mine], j[mine])
+
+    def dense(rows: np.ndarray, columns: np.ndarray) -> None:
+        """The same for all pairs of two sets, by matrix products; pairs near a border are looked at one by one."""
+        mine = np.ones((len(rows), len(columns)), bool)
+        doubt = np.zeros_like(mine)
+
+        def held(value: np.ndarray, bound: float, sign: int) -> None:
+            nonlocal mine, doubt
+            doubt |= np.abs(value - bound) < 1e-9
+            mine &= sign * value <= sign * bound
+
+        for k, (c, d) in enumerate(parts[: block + 1]):
+            x, y = u[rows, c:d], u[columns, c:d]
+            held((x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * (x @ y.T), shares[k], 1 if k == block else -1)
+        held((v[rows] / norms[rows, None]) @ (v[columns] / norms[columns, None]).T, cosine, -1)
+        i, j = np.nonzero(mine & ~doubt)
+        i, j = rows[i], columns[j]
+        keep = _once(i, j, home, lo == hi)
+        count(i[keep], j[keep])
+        i, j = np.nonzero(doubt)
+        i, j = rows[i], columns[j]
+        keep = _once(i, j, home, lo == hi)
+        sparse(i[keep], j[keep])
+
+    w = u[:, a:b].astype(np.float32)
+    # a pair counts where one of the two is at home; with both sides in one part each pair comes once
+    own, other = np.flatnonzero((side == lo) & home), np.flatnonzero(side == hi)
+    for x, y, full in _near(w, own, other, shares[block]):
+        if full:
+            dense(x, y)
+        else:
+            keep = _once(x, y, home, lo == hi)
+            sparse(x[keep], y[keep])
+    if lo != hi:
+        for x, y, full in _near(w, np.flatnonzero((side == lo) & ~home), np.flatnonzero((side == hi) & home), shares[block]):
+            dense(x, y) if full else sparse(x, y)
     some = np.flatnonzero(found)
     return [(int(cls[k]), int(found[k])) for k in some], [(int(cls[p]), int(cls[q])) for p, q in forest.links]
 
 
+def _once(i: np.ndarray, j: np.ndarray, home: np.ndarray, same_part: bool) -> np.ndarray:
+    """Of pairs with i at home: each once. In one part a pair of two at home comes twice."""
+    return (i < j) | ~home[j] if same_part else np.ones(len(i), bool)
+
+
 def join(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for each row."""
     spark = rows.sparkSession
@@ -128,7 +187,8 @@ def join(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec_co
 
     visits = classes.select("class", "n", "v", "dim").mapInArrow(lambda it: _cells(it, cosine), "dim int, block int, cell long, home boolean, class long, n long, v binary")
     sizes = visits.groupBy("dim", "block", "cell").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes")).where("homes > 0 AND rows > 1")
-    dealt = visits.join(sizes, ["dim", "block", "cell"]).withColumn("parts", F.ceil(F.col("rows") / CELL_ROWS).cast("int"))
+    # coordinates of unit vectors lie between -1 and 1, so a block has at most (2 / radius + 2) ** GRID cells at any number of vectors
+    dealt = visits.join(F.broadcast(stash(sizes, "cells")), ["dim", "block", "cell"]).withColumn("parts", F.ceil(F.col("rows") / CELL_ROWS).cast("int"))
     dealt = dealt.withColumn("side", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["dim", "block", "cell", "lo", "hi"]
     dealt = dealt.select("dim", "block", "cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "class", "n", "home", "side", "v")
