@@ -82,7 +82,8 @@ def trim_yaml(text: str | Column, fields: Sequence[str], drop_pid_all: bool = Fa
     Fields in `blocks` also lose the indented lines below them; `exact` lines go if equal.
     """
     ls = lines(text)
-    start = F.struct(F.lit(0).alias("marks"), F.lit(False).alias("cut"), F.array().cast("array<string>").alias("out"))
+    # the fold writes down only which lines go: a few of the header
+    start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("marks"), F.lit(False).alias("cut"), F.array().cast("array<int>").alias("gone"))
 
     def step(acc: Column, x: Column) -> Column:
         mark = strip(x) == "---"
@@ -95,9 +96,10 @@ def trim_yaml(text: str | Column, fields: Sequence[str], drop_pid_all: bool = Fa
         heads = name.isin(list(blocks)) if blocks else F.lit(False)
         below = acc["cut"] & x.rlike(r"^[ \t]")
         gone = inside & (goes | heads | below)
-        return F.struct(marks.alias("marks"), (inside & (heads | below)).alias("cut"), F.when(gone, acc["out"]).otherwise(F.concat(acc["out"], F.array(x))).alias("out"))
+        return F.struct((acc["k"] + 1).alias("k"), marks.alias("marks"), (inside & (heads | below)).alias("cut"), F.when(gone, F.array_append(acc["gone"], acc["k"])).otherwise(acc["gone"]).alias("gone"))
 
-    return unlines(F.aggregate(ls, start, step, lambda acc: acc["out"]))
+    gone = F.aggregate(ls, start, step, lambda acc: acc["gone"])
+    return unlines(F.filter(ls, lambda x, i: ~F.array_contains(gone, i)))
 
 
 def trim_treaty(text: str | Column) -> Column:

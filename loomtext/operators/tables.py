@@ -176,18 +176,17 @@ def insert(text: Column | str, tables: Column | str) -> Column:
     """
     t, md = (F.col(c) if isinstance(c, str) else c for c in (text, tables))
     is_ref = lambda b: b.rlike(r"^\[p\d+[^\]]*\]") & b.rlike(TABLE_REF)
-    start = F.struct(F.lit(0).alias("k"), F.lit("").alias("out"))
+    own = blocks(t)
+    numbers = F.filter(F.transform(own, lambda b, i: F.when(is_ref(b), i)), lambda i: i.isNotNull())
 
-    def step(acc: Column, b: Column) -> Column:
-        takes = is_ref(b) & (acc["k"] < F.size(md))
-        body = rstrip(b)
-        placed = F.concat(body, F.coalesce(F.get(md, acc["k"]), F.lit("")), F.substr(b, F.length(body) + 1))
-        return F.struct((acc["k"] + takes.cast("int")).alias("k"), F.concat(acc["out"], F.when(takes, placed).otherwise(b)).alias("out"))
+    def filled(b: Column, i: Column) -> Column:
+        k, body = F.array_position(numbers, i), rstrip(b)
+        return F.when((k > 0) & (k <= F.size(md)), F.concat(body, F.get(md, (k - 1).cast("int")), F.substr(b, F.length(body) + 1))).otherwise(b)
 
-    joined = F.aggregate(blocks(t), start, step)
-    ls = F.split(joined["out"], "\n", -1)
+    joined = F.array_join(F.transform(own, filled), "")
+    ls = F.split(joined, "\n", -1)
     at = F.array_position(F.transform(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), lambda x: strip(x) == ""), True)
-    marked = F.when(at > 0, F.array_join(F.array_insert(ls, F.greatest(at + 2, F.lit(1)).cast("int"), F.lit(MARKER)), "\n")).otherwise(joined["out"])
+    marked = F.when(at > 0, F.array_join(F.array_insert(ls, F.greatest(at + 2, F.lit(1)).cast("int"), F.lit(MARKER)), "\n")).otherwise(joined)
     return F.when(status(t, md) == "inserted", marked).otherwise(t)
 
 
