@@ -1,21 +1,24 @@
-"""Main text of web pages: containers by markup, leftovers by a suffix array over each host's pages.
+"""Main text of web pages: repeated passages by suffix arrays over each host's pages, the rest by markup.
 
-Parsing gives the blocks of a page in order. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and comments are known by element, role, class or id and are left out. Where a page has an article (or main)
-element only that counts. What remains is firm if it is a paragraph, heading, list item, quotation or the like,
-or stands in an article or main element, else loose: bare text of div, span and other elements that markup does not
-explain.
+Parsing gives the blocks of a page in order. Elements that say what they are (nav, header, footer, aside, form, script, style
+and the like, or such a role) are left out, and so is what is hidden. Where a page has an article (or main) element only that
+counts. A class or id with a word for boilerplate makes a block suspect, no more: suspect blocks go unless that would take
+nearly all of the page's text, as with a wrapper named has-sidebar; then the outermost suspect elements are cleared, one layer
+after the other. Suspect remarks of readers go whenever anything else is left.
 
-Repetition decides on the rest: the token streams of all of a host's blocks are searched by suffix arrays for runs of
-RUN tokens or more (a shorter block is a run of its own) that occur on enough pages: SHARE of the host's distinct page
-contents, and PAGES at least for loose blocks, FIRM_PAGES for firm ones. Of a loose block covered runs go; a firm block
-goes when all of it is covered. Copies and near copies must not delete each other: loose runs stay where they are
-NEARLY all of the page, and firm blocks where they are more than half of what is left.
+What remains is firm if it is a paragraph, heading, list item, quotation or the like, or stands in an article or main element,
+else loose: bare text of div, span and other elements that markup does not explain.
 
-A firm block is searched where its first RUN tokens begin blocks of enough pages; others could not be covered as a
-whole. A host may hold a third of all pages, so streams are cut into segments of equal least hash (every common run of
-RUN tokens lies in segments with the same least hash), equal ones are counted first, and one suffix array is built for
-each host and least hash. Hosts are told apart by 64-bit hashes.
+Repetition decides next: the token streams of all of a host's blocks are searched by suffix arrays for runs that occur on
+enough pages: SHARE of the host's distinct page contents, and PAGES at least for loose blocks, FIRM_PAGES for firm ones. A run
+has RUN tokens or more in loose blocks, FIRM_RUN in firm ones; a shorter block is a run of its own. Of a loose block covered
+runs go; a firm block goes when all of it is covered. Copies and near copies must not delete each other: loose runs stay where
+they are NEARLY all of the page, and firm blocks where they are more than half of what is left.
+
+Streams are cut into segments of equal least hash (every common run lies in segments with the same least hash). First only
+these hashes are counted, so that the tokens of segments that can't occur on enough pages are never written or moved; a host
+may hold a third of all pages, and one suffix array is built for each host and least hash. Hosts are told apart by 64-bit
+hashes.
 
 Defined results: null html is empty; a page without text gives the empty string; html of any length, cut off
 anywhere; repeated rows repeat; an empty table gives an empty one; other columns are not read.
@@ -34,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm import wordscan
-from loomtext.llm.runtime import stash, width
+from loomtext.llm.runtime import bit_map, marked, stash, width
 
-RUN, PAGES, GRAM = 8, 3, 4
+RUN, FIRM_RUN, PAGES, GRAM = 8, 32, 3, 4
 SHARE, FIRM_PAGES = 0.3, 5
 NEARLY, HALF = 0.9, 0.5
+CLEARED = 0.25  # of a page's text that must be left when suspect blocks go
 
 _RAW = frozenset("script style noscript template textarea title iframe svg canvas object math".split())
 _DROP = frozenset("nav header footer aside form button select option label dialog menu head fieldset audio video map".split())
@@ -46,42 +50,63 @@ _FIRM = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th caption fig
 _BLOCK = _FIRM | frozenset("div section article main body html ul ol dl table thead tbody tfoot tr figure details hr center".split()) | _DROP
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 _ENDS_P = _BLOCK
-_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer header masthead comment comments commentlist discussion disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login search pagination pager skip toc tags".split())
+_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer header masthead share sharing social related recommended newsletter subscribe subscription signup login search pagination pager skip toc tags".split())
+_REMARKS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>|<[/!?a-zA-Z][^<]*\Z""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _boilerplate(name: str, attrs: str) -> bool:
+GONE, REMARK, SUSPECT, PLAIN = range(4)
+
+
+def _kind(name: str, attrs: str) -> int:
+    """What an element's name and attributes say of its text."""
     if name in _DROP:
-        return True
-    if not attrs:
-        return False
-    for key, a, b, c, hidden in _ATTR.findall(attrs):
+        return GONE
+    kind = PLAIN
+    for key, a, b, c, hidden in _ATTR.findall(attrs) if attrs else ():
         key, value = key.lower(), (a or b or c).lower()
-        if hidden or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key == "role" and value in _ROLES:
-            return True
-        if key in ("class", "id") and name not in ("body", "html", "article", "main") and any(w in _WORDS for w in _SPLIT.split(value)):
-            return True
-    return False
+        if hidden or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value) or key == "role" and value in _ROLES:
+            return GONE
+        if key in ("class", "id") and name not in ("body", "html", "article", "main"):
+            words = _SPLIT.split(value)
+            kind = min(kind, REMARK if any(w in _REMARKS for w in words) else SUSPECT if any(w in _WORDS for w in words) else PLAIN)
+    return kind
+
+
+def _cleared(found: list[tuple[str, bool, tuple[int, ...], bool]]) -> list[tuple[str, bool]]:
+    """The blocks (text, loose, suspect elements around them from the outside in, remark) without suspect ones."""
+    size = [len(t) for t, *_ in found]
+    plain = sum(n for n, b in zip(size, found) if not b[3])
+    clear: set[int] = set()
+    while True:
+        good = [not b[3] and all(e in clear for e in b[2]) for b in found]
+        if not plain:  # remarks alone
+            good = [True] * len(found)
+        left = sum(n for n, g in zip(size, good) if g)
+        layer = {next(e for e in b[2] if e not in clear) for b, g in zip(found, good) if not g and not b[3]}
+        if left >= CLEARED * plain or not layer:
+            return [b[:2] for b, g in zip(found, good) if g]
+        clear |= layer
 
 
 def blocks(page: str) -> list[tuple[str, bool]]:
     """The text and looseness of each block of the main part of a page, in order."""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, inside boilerplate, inside the article
+    out: list[tuple[str, bool, bool, tuple[int, ...], bool]] = []
+    # element, left out, inside the article, suspect elements around, in remarks
+    top = ("", False, False, (), False)
+    stack: list[tuple[str, bool, bool, tuple[int, ...], bool]] = []
     parts: list[str] = []
-    state, skip, at, main = ("", False, False), "", 0, False
+    state, at, main = top, 0, False
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text and not state[1]:
-                firm = any(n in _FIRM for n, _, _ in stack)
-                out.append((text, not firm and not state[2], state[2]))
+                firm = any(x[0] in _FIRM for x in stack)
+                out.append((text, not firm and not state[2], *state[2:]))
             parts.clear()
 
     for m in _TAG.finditer(page):
@@ -117,15 +142,17 @@ def blocks(page: str) -> list[tuple[str, bool]]:
                         break
                     if stack[i][0] in _BLOCK:
                         break
-            up = stack[-1] if stack else ("", False, False)
-            inside = up[2] or name in ("article", "main")
-            main |= inside and not up[1]
-            stack.append((name, up[1] or _boilerplate(name, attrs), inside))
-        state = stack[-1] if stack else ("", False, False)
+            _, gone, inside, suspects, remark = stack[-1] if stack else top
+            kind = _kind(name, attrs)
+            if name in ("article", "main") and not gone and not remark:
+                inside, suspects = True, ()  # what wraps an article is no boilerplate
+                main = True
+            stack.append((name, gone or kind == GONE, inside, (*suspects, m.start()) if kind == SUSPECT else suspects, remark or kind == REMARK))
+        state = stack[-1] if stack else top
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return [(t, loose) for t, loose, inside in out if inside or not main]
+    return _cleared([(t, loose, suspects, remark) for t, loose, inside, suspects, remark in out if inside or not main])
 
 
 def suffix_array(x: np.ndarray) -> np.ndarray:
@@ -169,35 +196,76 @@ def repeated(streams: Sequence[np.ndarray], weights: Sequence[int], run: int = R
     return [covered[s : s + n] for s, n in zip(starts.tolist(), lens.tolist())]
 
 
-def _tokens(text: str) -> np.ndarray:
-    cp, at = wordscan.points([text])
-    kind = wordscan.classes()[cp]
-    word = np.append(kind != wordscan.SPACE, False)
-    begins = np.flatnonzero(word & ~np.append(False, word[:-1]))
-    ends = np.flatnonzero(~word & np.append(False, word[:-1]))
-    return wordscan.hashes(cp, begins, ends)
-
-
-def segments(tokens: np.ndarray, run: int = RUN) -> list[tuple[int, int, int]]:
-    """(least hash, first token, end) of the stretches whose windows of `run` tokens share their least GRAM-gram."""
-    n = len(tokens) - run + 1
-    if n <= 0:
-        return []
-    grams = np.zeros(len(tokens) - GRAM + 1, np.uint64)
-    for j in range(GRAM):
-        grams = wordscan.mix(grams * np.uint64(0x9E3779B97F4A7C15) + tokens[j : j + len(grams)])
-    least = np.lib.stride_tricks.sliding_window_view(grams, run - GRAM + 1).min(1)
-    head = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    return [(int(least[a].astype(np.int64)), int(a), int(b) - 1 + run) for a, b in zip(head, [*head[1:], n])]
-
-
-def _stream(text: str) -> np.ndarray:
-    """The tokens of a block; one shorter than RUN is filled up with values of its own."""
-    t = _tokens(text)
-    if 0 < len(t) < RUN:
-        own = wordscan.mix((t * np.arange(1, 2 * len(t), 2, dtype=np.uint64)).sum(keepdims=True))
-        t = np.append(t, wordscan.mix(own + np.arange(1, RUN - len(t) + 1, dtype=np.uint64)))
-    return t
+def _windows_least(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` neighbours."""
+    size = 1
+    while 2 * size <= width:
+        x = np.minimum(x[: len(x) - size], x[size:])
+        size *= 2
+    rest = width - size
+    return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
+
+
+class Segments:
+    """The tokens of many blocks as 64-bit hashes, cut into segments whose windows of a run of tokens share their least GRAM-gram.
+
+    A block shorter than a run is one segment, filled up with values of its own.
+    """
+
+    def __init__(self, texts: Sequence[str], loose: np.ndarray) -> None:
+        cp, at = wordscan.points(texts)
+        s, e = wordscan.stretches(wordscan.classes()[cp] != wordscan.SPACE, at)
+        self.tokens = wordscan.hashes(cp, s, e)
+        self.first = np.searchsorted(s, at)
+        found = [self._cut(np.flatnonzero(loose), RUN), self._cut(np.flatnonzero(~loose), FIRM_RUN)]
+        self.block, self.key, self.start, self.end = (np.concatenate(c) for c in zip(*found, strict=True))
+        self.loose = loose
+
+    def _cut(self, blocks: np.ndarray, run: int) -> tuple[np.ndarray, ...]:
+        a, b = self.first[blocks], self.first[blocks + 1]
+        whole = (b > a) & (b - a < run)
+        own = [np.zeros(0, np.int64)] * 4
+        if whole.any():
+            x, y = a[whole], b[whole]
+            i = wordscan.spread(x, y - x)
+            place = (i - np.repeat(x, y - x)).astype(np.uint64)
+            mixed = wordscan.mix(wordscan.mix(self.tokens[i]) + (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+            names = wordscan.mix(np.add.reduceat(mixed, np.cumsum(y - x) - (y - x)))
+            own = [blocks[whole], names.view(np.int64), x, y]
+        long = b - a >= run
+        if not long.any():
+            return (*own[:1], own[1] ^ run, *own[2:])
+        blocks, a, b = blocks[long], a[long], b[long]
+        grams = np.zeros(len(self.tokens) - GRAM + 1, np.uint64)
+        for j in range(GRAM):
+            grams = wordscan.mix(grams * np.uint64(0x9E3779B97F4A7C15) + self.tokens[j : j + len(grams)])
+        least = _windows_least(grams, run - GRAM + 1)
+        n = b - a - run + 1  # windows of each block
+        at = wordscan.spread(a, n)
+        key, owner = least[at], np.repeat(np.arange(len(a)), n)
+        head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])))
+        last = np.append(head[1:], len(at)) - 1
+        return (np.append(own[0], blocks[owner[head]]), np.append(own[1], key[head].view(np.int64)) ^ run, np.append(own[2], at[head]), np.append(own[3], at[last] + run))
+
+    def stream(self, k: int) -> tuple[int, np.ndarray]:
+        """A segment's place in its block, and its tokens."""
+        block = self.block[k]
+        run = RUN if self.loose[block] else FIRM_RUN
+        t = self.tokens[self.start[k] : self.end[k]]
+        if len(t) < run:
+            t = np.append(t, wordscan.mix(np.uint64(self.key[k].view(np.uint64)) + np.arange(1, run - len(t) + 1, dtype=np.uint64)))
+        return int(self.start[k] - self.first[block]), t
+
+
+def _of_pages(batch: pa.RecordBatch, pages: int = 128) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, Segments]]:
+    """Some pages at a time: rows, the page of each block, its number there, and the segments."""
+    for at in range(0, len(batch), pages):
+        part = batch.slice(at, pages)
+        each = [b or [] for b in part.column("blocks").to_pylist()]
+        n = np.array([len(b) for b in each], np.int64)
+        texts, loose = [x["text"] for b in each for x in b], np.array([x["loose"] for b in each for x in b], bool)
+        if texts:
+            yield part, np.repeat(np.arange(len(n)), n), wordscan.spread(np.zeros(len(n), np.int64), n), Segments(texts, loose)
 
 
 def _left(found: list[dict], spans: list[dict]) -> str:
@@ -243,42 +311,42 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     parsed = stash(parsed.withColumn("content", content), "pages")
     sizes = stash(parsed.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES), "hosts")
 
-    # a firm block can only be covered where its first tokens begin blocks of enough pages
-    each = parsed.select("host", "row", F.posexplode("blocks").alias("block", "b")).where("NOT b.loose")
-    heads = each.select("host", "row", "block", F.xxhash64(F.substring_index("b.text", " ", RUN)).alias("head"))
-    often = heads.groupBy("host", "head").agg(F.count("*").alias("times")).where(F.col("times") >= FIRM_PAGES).join(sizes, "host")
-    often = stash(often.where(F.col("times") >= SHARE * F.col("n")).select("host", "head"), "heads")
-    firm = stash(heads.join(often, ["host", "head"], "left_semi").groupBy("row").agg(F.collect_set("block").alias("firm")), "firm")
-    marked = parsed.join(firm, "row", "left")
-    searched = F.col("firm").isNotNull() | F.exists("blocks", lambda b: b["loose"])
-    done = marked.where(~searched).select("page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n").alias("text"))
-    open_pages = marked.where(searched)
-    piece = pa.schema([("host", pa.int64()), ("key", pa.int64()), ("row", pa.int64()), ("content", pa.int64()), ("block", pa.int32()), ("at", pa.int32()), ("tokens", pa.binary())])
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, page, _, cut in _of_pages(batch):
+                both = np.unique(np.stack([page[cut.block], cut.key], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([part.column("host").take(pa.array(both[:, 0])), pa.array(both[:, 1])], ["host", "key"])
+
+    # pages with the hash, copies included: at least as many as the distinct contents that a run needs
+    often = parsed.select("host", "blocks").mapInArrow(keys, "host long, key long").groupBy("host", "key").agg(F.count("*").alias("times")).where(F.col("times") >= PAGES)
+    often = stash(often.join(sizes, "host").where(F.col("times") >= SHARE * F.col("n")).select("host", "key"), "keys")
+    marks = spark.sparkContext.broadcast(bit_map(often, F.col("host").bitwiseXOR(F.col("key"))))
+    piece = pa.schema([("host", pa.int64()), ("key", pa.int64()), ("row", pa.int64()), ("content", pa.int64()), ("block", pa.int32()), ("at", pa.int32()), ("firm", pa.bool_()), ("tokens", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for h, row, content, found, firm in zip(*(batch.column(c).to_pylist() for c in ("host", "row", "content", "blocks", "firm")), strict=True):
-                for i, b in enumerate(found):
-                    if b["loose"] or i in (firm or ()):
-                        t = _stream(b["text"])
-                        out += [(h, key, row, content, i, s, t[s:e].tobytes()) for key, s, e in segments(t)]
-                if len(out) > 100_000:
-                    yield _batch(out, piece)
-                    out = []
-            yield _batch(out, piece)
-
-    pieces = stash(open_pages.select("host", "row", "content", "blocks", "firm").mapInArrow(cut, "host long, key long, row long, content long, block int, at int, tokens binary"), "segments")
+            for part, page, number, cut in _of_pages(batch):
+                host, row, content = (part.column(c).to_numpy() for c in ("host", "row", "content"))
+                own = page[cut.block]
+                out = []
+                for k in np.flatnonzero(marked(marks.value, host[own] ^ cut.key)).tolist():
+                    at, t = cut.stream(k)
+                    p, b = own[k], cut.block[k]
+                    out.append((host[p], cut.key[k], row[p], content[p], number[b], at, not cut.loose[b], t.tobytes()))
+                yield _batch(out, piece)
+
+    pieces = parsed.select("host", "row", "content", "blocks").mapInArrow(cut, "host long, key long, row long, content long, block int, at int, firm boolean, tokens binary")
+    pieces = stash(pieces.join(often, ["host", "key"], "left_semi"), "segments")
     # one stream for each page and least hash, so that a page counts once for a run
-    streams = pieces.groupBy("host", "key", "content").agg(F.sort_array(F.collect_set("tokens")).alias("parts")).groupBy("host", "key", "parts").agg(F.count("*").alias("pages"))
-    groups = streams.join(sizes, "host").select("host", "key", "parts", "pages", "n").repartition(width(spark), "host", "key").sortWithinPartitions("host", "key")
+    streams = pieces.groupBy("host", "key", "firm", "content").agg(F.sort_array(F.collect_set("tokens")).alias("parts")).groupBy("host", "key", "firm", "parts").agg(F.count("*").alias("pages"))
+    groups = streams.join(sizes, "host").select("host", "key", "firm", "parts", "pages", "n").repartition(width(spark), "host", "key").sortWithinPartitions("host", "key", "firm")
     cover = pa.schema([("host", pa.int64()), ("key", pa.int64()), ("tokens", pa.binary()), ("firm", pa.bool_()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, []
 
         def out() -> pa.RecordBatch:
-            host, key, size = name
+            host, key, firm, size = name
             rows = set()
             joined, breaks = [], 0
             for parts, _ in held:
@@ -287,33 +355,36 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                     s += [np.frombuffer(t, np.uint64), wordscan.mix(np.array([breaks], np.uint64))]  # a value that no other stream has
                     breaks += 1
                 joined.append(np.concatenate(s))
-            for firm, pages in enumerate(max(p, math.ceil(SHARE * size)) for p in (PAGES, FIRM_PAGES)):
-                for (parts, _), m in zip(held, repeated(joined, [n for _, n in held], RUN, pages), strict=True):
-                    at = 0
-                    for t in parts:
-                        end = at + len(t) // 8
-                        edge = np.flatnonzero(np.diff(np.concatenate([[0], m[at:end].astype(np.int8), [0]])))
-                        rows.update((host, key, t, bool(firm), int(a), int(b)) for a, b in edge.reshape(-1, 2))
-                        at = end + 1
+            run, least = (FIRM_RUN, FIRM_PAGES) if firm else (RUN, PAGES)
+            for (parts, _), m in zip(held, repeated(joined, [n for _, n in held], run, max(least, math.ceil(SHARE * size))), strict=True):
+                at = 0
+                for t in parts:
+                    end = at + len(t) // 8
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], m[at:end].astype(np.int8), [0]])))
+                    rows.update((host, key, t, firm, int(a), int(b)) for a, b in edge.reshape(-1, 2))
+                    at = end + 1
             return _batch(list(rows), cover)
 
         for batch in batches:
-            for h, key, parts, n, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (h, key, size) != name and held:
+            for h, key, firm, parts, n, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (h, key, firm, size) != name and held:
                     yield out()
                     held = []
-                name = (h, key, size)
+                name = (h, key, firm, size)
                 held.append((parts, n))
         if held:
             yield out()
 
     covered = groups.mapInArrow(search, "host long, key long, tokens binary, firm boolean, lo int, hi int")
-    spans = pieces.join(covered, ["host", "key", "tokens"]).groupBy("row").agg(F.collect_list(F.struct("block", "firm", (F.col("at") + F.col("lo")).alias("from"), (F.col("at") + F.col("hi")).alias("to"))).alias("spans"))
+    spans = pieces.join(covered, ["host", "key", "firm", "tokens"]).groupBy("row").agg(F.collect_list(F.struct("block", "firm", (F.col("at") + F.col("lo")).alias("from"), (F.col("at") + F.col("hi")).alias("to"))).alias("spans"))
+    # small where little repeats: then the planner may broadcast it, and no text is shuffled
+    joined = parsed.join(stash(spans, "spans"), "row", "left")
+    done = joined.where("spans IS NULL").select("page_id", "url", F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n").alias("text"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [_left(found, gone or []) for found, gone in zip(batch.column("blocks").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    rest = open_pages.join(spans, "row", "left").select("page_id", "url", "blocks", "spans").mapInArrow(finish, f"page_id {kind}, url string, text string")
+    rest = joined.where("spans IS NOT NULL").select("page_id", "url", "blocks", "spans").mapInArrow(finish, f"page_id {kind}, url string, text string")
     return done.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))

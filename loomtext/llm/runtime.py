@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from loomtext.llm.wordscan import small
 from loomtext.scratch import claim, release, shared_folder, stash, width
 
-__all__ = ["claim", "components", "release", "remainder", "scored", "shared_folder", "stash", "table", "width"]
+__all__ = ["bit_map", "claim", "components", "marked", "release", "remainder", "scored", "shared_folder", "stash", "table", "width"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,25 @@ def scored(docs: DataFrame, names: Sequence[str] | None, scorer: Callable[[], Ca
     return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in own), T.StructField("x", T.DoubleType())]))
 
 
+SLOT_BITS = 24
+
+
+def bit_map(rows: DataFrame, code: Column) -> np.ndarray:
+    """A bit for the lowest bits of each row's code: 2 MB at any number of rows. Codes that share a bit only cost a check that a join then makes."""
+    slot = code.bitwiseAND((1 << SLOT_BITS) - 1).alias("s")
+    words = rows.select(slot).select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, CAST(s & 63 AS INT))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(1 << SLOT_BITS - 6, np.int64)
+    for r in words.collect():
+        out[r["w"]] = r["b"]
+    return out.view(np.uint64)
+
+
+def marked(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each code is set."""
+    slot = codes & ((1 << SLOT_BITS) - 1)
+    return ((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of `edges` reaches.
 
@@ -64,7 +83,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
         # small star: a node and its smaller neighbours link to the least of them
         floor = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(floor, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = stash(linked.unionByName(floor.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
+        last, e = e, stash(linked.unionByName(floor.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
+        release(last)
         # each node has one link when nothing is left to do: the links are stars
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
