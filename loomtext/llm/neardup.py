@@ -30,7 +30,7 @@ from loomtext.llm.vectors import matrix, packed, rotation, usable
 
 COSINE = 0.9
 BLOCKS, GRID, CELL_ROWS = 4, 2, 65536
-TILE = 512
+TILE, DENSE = 512, 16  # rows and columns of a tile; one in so many pairs near makes it dense
 _SEED = 77
 
 
@@ -86,8 +86,8 @@ class _Forest:
 def _near(w: np.ndarray, left: np.ndarray, right: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """Tiles of (left rows, right rows) with the pairs whose squared distance in a block may be within its share.
 
-    One matrix product gives the distances: (w, |w|^2, 1) times (-2 w, 1, |w|^2). True stands for a tile of which more than a
-    sixteenth is near; then the pairs are left to the caller.
+    One matrix product gives the distances: (w, |w|^2, 1) times (-2 w, 1, |w|^2). True stands for a dense tile; its pairs are left
+    to the caller.
     """
     ww = (w * w).sum(1, keepdims=True)
     one = np.ones_like(ww)
@@ -100,7 +100,7 @@ def _near(w: np.ndarray, left: np.ndarray, right: np.ndarray, share: float) -> I
                 continue
             i, j = np.nonzero(gap[some] <= share + 1e-5)
             rows, columns = left[s : s + TILE], right[r : r + TILE]
-            if len(i) * 16 > gap.size:
+            if len(i) * DENSE > gap.size:
                 yield rows, columns, True
             else:
                 yield rows[some[i]], columns[j], False
