@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out a single time, also where f uses it often or inside another function's lambda."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def tokens(text: str | Column) -> Column:
     """The default token measure: UTF-8 bytes divided by 3, rounded down; null counts as empty."""
     return F.floor(F.octet_length(F.coalesce(_c(text), F.lit(""))) / 3).cast("long")

@@ -165,7 +165,8 @@ def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: st
 
         return pd.Series([split_text(*x, limits) for x in zip(stems, dbs, headers, bodies)])
 
-    made = over.withColumn("_c", chunks(F.col(stem), F.coalesce(F.col(db), F.lit("")), F.col("_p.header"), F.col("_p.body")))
+    # nondeterministic to the planner, so that it never runs twice for a row
+    made = over.withColumn("_c", chunks.asNondeterministic()(F.col(stem), F.coalesce(F.col(db), F.lit("")), F.col("_p.header"), F.col("_p.body")))
     rows = made.select(*docs.columns, F.size("_c").alias("chunk_total"), F.posexplode("_c").alias("_n", "_t"))
     name = F.when(F.col("_n") == 0, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), (F.col("_n") + 1).cast("string")))
     cols = [F.col("_t").alias(text) if c == text else name.alias(stem) if c == stem else F.col(c) for c in docs.columns]

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import first_lines, lines, strip, unlines
+from loomtext.functions.text import first_lines, lines, once, strip, unlines
 
 # How the header of each db ends.
 DIALECT = {"law": "blank", "tsutatsu": "blank", "hanketsu": "yaml_or_blank", "qa": "dashes", "guide": "blank", "paper": "yaml_or_blank", "treaty": "yaml_or_blank", "accounting": "blank"}
@@ -47,10 +47,15 @@ def header_end(text: str | Column, dialect: str) -> Column:
 
 def split_header(text: str | Column, dialect: str) -> Column:
     """header (with its end and a line break) and body; an empty header if nothing ends it."""
-    ls, n = lines(text), header_end(text, dialect)
-    whole = F.when(n > 0, F.concat(unlines(F.slice(ls, 1, F.greatest(n, F.lit(1)))), F.when(n < F.size(ls), F.lit("\n")).otherwise(F.lit("")))).otherwise(F.lit(""))
-    body = F.when(n > 0, unlines(F.slice(ls, (n + 1).cast("int"), F.greatest(F.lit(0), F.size(ls) - n).cast("int")))).otherwise(F.col(text) if isinstance(text, str) else text)
-    return F.struct(whole.alias("header"), body.alias("body"))
+    whole = F.col(text) if isinstance(text, str) else text
+
+    def parts(s: Column) -> Column:
+        ls, n = s["ls"], s["n"]
+        head = F.concat(unlines(F.slice(ls, 1, F.greatest(n, F.lit(1)))), F.when(n < F.size(ls), F.lit("\n")).otherwise(F.lit("")))
+        body = unlines(F.slice(ls, (n + 1).cast("int"), F.greatest(F.lit(0), F.size(ls) - n).cast("int")))
+        return F.struct(F.when(n > 0, head).otherwise(F.lit("")).alias("header"), F.when(n > 0, body).otherwise(whole).alias("body"))
+
+    return once(F.struct(lines(text).alias("ls"), header_end(text, dialect).alias("n")), parts)
 
 
 def drop_lines(text: str | Column, prefixes: Sequence[str]) -> Column:
@@ -99,7 +104,7 @@ def trim_yaml(text: str | Column, fields: Sequence[str], drop_pid_all: bool = Fa
         return F.struct((acc["k"] + 1).alias("k"), marks.alias("marks"), (inside & (heads | below)).alias("cut"), F.when(gone, F.array_append(acc["gone"], acc["k"])).otherwise(acc["gone"]).alias("gone"))
 
     gone = F.aggregate(ls, start, step, lambda acc: acc["gone"])
-    return unlines(F.filter(ls, lambda x, i: ~F.array_contains(gone, i)))
+    return once(gone, lambda g: unlines(F.filter(ls, lambda x, i: ~F.array_contains(g, i))))
 
 
 def trim_treaty(text: str | Column) -> Column:
@@ -116,14 +121,18 @@ def trim_hanketsu(text: str | Column) -> Column:
 
 def trim_qa(text: str | Column) -> Column:
     """Without two header fields and the breadcrumb above the body; unchanged if nothing ends the header."""
-    ls, n = lines(text), header_end(text, "dashes")
-    head = F.filter(F.slice(ls, 1, F.greatest(n, F.lit(1)).cast("int")), lambda x: ~F.startswith(x, F.lit("doc_title: ")) & ~F.startswith(x, F.lit("source_kind: ")))
-    body = F.slice(ls, (n + 1).cast("int"), F.greatest(F.lit(0), F.size(ls) - n).cast("int"))
-    first = F.coalesce(F.get(body, F.lit(0)), F.lit(""))
-    skip = F.when(F.startswith(first, F.lit("法令等")) | F.startswith(first, F.lit("税の情報")), 4).when(F.startswith(first, F.lit("国税庁等について")), 5).otherwise(0)
-    skip = F.when(F.size(body) > skip, skip).otherwise(0)
-    rest = F.slice(body, (skip + 1).cast("int"), F.greatest(F.lit(0), F.size(body) - skip).cast("int"))
-    return F.when(n > 0, unlines(F.concat(head, rest))).otherwise(F.col(text) if isinstance(text, str) else text)
+    whole = F.col(text) if isinstance(text, str) else text
+
+    def kept(s: Column) -> Column:
+        ls, n = s["ls"], s["n"]
+        head = F.filter(F.slice(ls, 1, F.greatest(n, F.lit(1)).cast("int")), lambda x: ~F.startswith(x, F.lit("doc_title: ")) & ~F.startswith(x, F.lit("source_kind: ")))
+        first, left = F.coalesce(F.get(ls, n), F.lit("")), F.size(ls) - n
+        skip = F.when(F.startswith(first, F.lit("法令等")) | F.startswith(first, F.lit("税の情報")), 4).when(F.startswith(first, F.lit("国税庁等について")), 5).otherwise(0)
+        skip = F.when(left > skip, skip).otherwise(0)
+        rest = F.slice(ls, (n + skip + 1).cast("int"), F.greatest(F.lit(0), left - skip).cast("int"))
+        return F.when(n > 0, unlines(F.concat(head, rest))).otherwise(whole)
+
+    return once(F.struct(lines(text).alias("ls"), header_end(text, "dashes").cast("int").alias("n")), kept)
 
 
 TRIM = {"law": trim_law, "accounting": trim_guide, "guide": trim_guide, "tsutatsu": trim_tsutatsu, "treaty": trim_treaty, "paper": trim_paper, "qa": trim_qa, "hanketsu": trim_hanketsu}

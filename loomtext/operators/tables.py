@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import rstrip, strip
+from loomtext.functions.text import once, rstrip, strip
 from loomtext.operators.chunking import Limits, split
 from loomtext.operators.tree import SUPPLEMENT, Node, child_text, collect, first, parse, text_of
 
@@ -179,14 +179,17 @@ def insert(text: Column | str, tables: Column | str) -> Column:
     own = blocks(t)
     numbers = F.filter(F.transform(own, lambda b, i: F.when(is_ref(b), i)), lambda i: i.isNotNull())
 
-    def filled(b: Column, i: Column) -> Column:
-        k, body = F.array_position(numbers, i), rstrip(b)
+    def filled(b: Column, k: Column) -> Column:
+        body = rstrip(b)
         return F.when((k > 0) & (k <= F.size(md)), F.concat(body, F.get(md, (k - 1).cast("int")), F.substr(b, F.length(body) + 1))).otherwise(b)
 
-    joined = F.array_join(F.transform(own, filled), "")
-    ls = F.split(joined, "\n", -1)
-    at = F.array_position(F.transform(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), lambda x: strip(x) == ""), True)
-    marked = F.when(at > 0, F.array_join(F.array_insert(ls, F.greatest(at + 2, F.lit(1)).cast("int"), F.lit(MARKER)), "\n")).otherwise(joined)
+    joined = once(numbers, lambda ns: F.array_join(F.transform(own, lambda b, i: filled(b, F.array_position(ns, i))), ""))
+
+    def marked_(ls: Column) -> Column:
+        at = F.array_position(F.transform(F.slice(ls, 2, F.greatest(F.size(ls), F.lit(1))), lambda x: strip(x) == ""), True)
+        return F.array_join(once(at, lambda k: F.when(k > 0, F.array_insert(ls, F.greatest(k + 2, F.lit(1)).cast("int"), F.lit(MARKER))).otherwise(ls)), "\n")
+
+    marked = once(F.split(joined, "\n", -1), marked_)
     return F.when(status(t, md) == "inserted", marked).otherwise(t)
 
 

@@ -67,7 +67,7 @@ SELECT 'shard-' || lpad(CAST(shard AS VARCHAR), CAST(greatest(2, length(CAST((SE
 def shard_files(spark, d):
     """Shards written twice, the second time fewer and larger ones: only these are left."""
     path = claim(spark, "shards")
-    _written(spark, d, path, 1_000)
+    _written(spark, d, path, 4_000)
     _written(spark, d, path, 9_500)
     return spark.read.parquet(path).select("file", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
