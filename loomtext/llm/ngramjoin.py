@@ -3,7 +3,7 @@
 A text is the set of its distinct word n-grams (shingles). Shingles hash into GROUPS groups; how many a text
 has in each group is its count vector, a point. For two texts the sum of the smaller coordinates bounds their
 overlap from above, and so does, for a node of an R-tree over points, the sum with the node's largest
-coordinates. What passes the bound is verified on the sets.
+coordinates. What passes the bound is verified on the sets. A coordinate is a byte; a full one bounds nothing.
 
 An R-tree over all points can't be dealt over executors without sending each point to most parts, because a
 size-proportional ball covers most of the low coordinates. So points are first dealt by shingles: two linked
@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.llm import wordscan
-from loomtext.llm.runtime import components, stash, width
+from loomtext.llm.runtime import bit_map, components, marked, release, stash, width
 
 GROUPS = 256
+FULL = 255  # a coordinate that says no more than "so many or more"
 FREQUENT = 400_000  # shingles known as frequent, at most: they only set the order
-BLOOM_BITS = 24
 BLOCK_ROWS = 4096
-BEST_ROUNDS = 2
+BEST_ROUNDS = 1
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -79,7 +79,7 @@ def class_key(x: np.ndarray) -> int:
 
 
 def counts(x: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((x >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535).astype("<u2")
+    return np.minimum(np.bincount((x >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS), FULL).astype(np.uint8)
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -88,7 +88,7 @@ def least_overlap(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarra
 
 
 def prefix(x: np.ndarray, frequent: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The shingles of which two linked sets share one."""
+    """The shingles of which two linked sets share one; the frequent ones come last."""
     take = len(x) - -(-num * len(x) // den) + 1
     if len(frequent) and len(x):
         common = frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] == x
@@ -118,7 +118,7 @@ def _frequent(src: DataFrame, n: int) -> np.ndarray:
             many = c >= 3
             return pa.RecordBatch.from_arrays([pa.array(keys[many].view(np.int64)), pa.array(c[many])], ["key", "n"])
 
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(0)):
             for x in shingle_sets(batch.column(0).to_pylist(), n):
                 held.append(x)
                 size += len(x)
@@ -131,41 +131,27 @@ def _frequent(src: DataFrame, n: int) -> np.ndarray:
     return np.sort(np.array(top.select("key").toArrow()["key"].to_numpy(), np.int64).view(np.uint64))
 
 
-def _sets(src: DataFrame, n: int, keep: Sequence[int] | None = None) -> DataFrame:
+def _sets(src: DataFrame, n: int, keep: np.ndarray) -> DataFrame:
     """class, set (little-endian uint64) of the documents whose id is in the bit map `keep`."""
-    shared = src.sparkSession.sparkContext.broadcast(np.array(keep, np.int64).view(np.uint64))
+    shared = src.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array(((bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)))
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
+            batch = batch.filter(pa.array(marked(bits, batch.column("code").to_numpy())))
             sets = list(shingle_sets(batch.column(1).to_pylist(), n))
             yield pa.RecordBatch.from_arrays([pa.array([class_key(x) for x in sets], pa.int64()), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], ["class", "set"])
 
-    return src.withColumn("slot", _slot("doc_id")).mapInArrow(run, "class long, set binary")
-
-
-def _slot(c: str):
-    return F.xxhash64(c).bitwiseAND((1 << BLOOM_BITS) - 1)
+    return src.withColumn("code", F.xxhash64("doc_id")).mapInArrow(run, "class long, set binary")
 
 
-def _bit_map(ids: DataFrame) -> list[int]:
-    """A bit for each id's hash: 2 MB at any number of ids. Ids that share a bit only cost a set that a join then drops."""
-    got = ids.select(_slot("doc_id").alias("s")).select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, CAST(s & 63 AS INT))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = [0] * (1 << BLOOM_BITS - 6)
-    for r in got.collect():
-        out[r["w"]] = r["b"]
-    return out
-
-
-def _verified(src: DataFrame, edges: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The edges (a, b) whose sets link. A class's set meets those of its partners in runs of some hundred partners, whose order lets
+def _verified(src: DataFrame, edges: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The edges (a, b) whose sets link, and the table of sets that this reads. A class's set meets those of its partners in runs of some hundred partners, whose order lets
     a task hold one set of a at a time."""
     spark = src.sparkSession
     ends = edges.select(F.col("a").alias("class")).unionByName(edges.select(F.col("b").alias("class"))).distinct()
     needed = classes.join(ends, "class").select("class", "doc_id")
-    sets = _sets(src, n, _bit_map(needed)).join(ends, "class").dropDuplicates(["class"])
+    sets = _sets(src, n, bit_map(needed, F.xxhash64("doc_id"))).join(ends, "class").dropDuplicates(["class"])
     sets = stash(sets, "sets")
     salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("deg") / 512))))
     members = salted.join(sets.withColumnRenamed("class", "b"), "b").select("a", "salt", F.col("b"), "set")
@@ -188,7 +174,7 @@ def _verified(src: DataFrame, edges: DataFrame, classes: DataFrame, n: int, num:
                     b_.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_, pa.int64()), pa.array(b_, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long"), sets
 
 
 class RTree:
@@ -216,7 +202,7 @@ class RTree:
             if depth < len(self.levels) - 1 or len(self.levels) == 1 or len(live):
                 bound = np.minimum(level[live], point).sum(1)
                 # a saturated coordinate bounds nothing
-                bound = np.where((level[live] == 65535).any(1) | (point == 65535).any(), 1 << 40, bound)
+                bound = np.where((level[live] == FULL).any(1) | (point == FULL).any(), 1 << 40, bound)
                 live = live[bound >= least_overlap(low[live], size, num, den)]
             if depth:
                 below = len(self.levels[depth - 1][0])
@@ -227,45 +213,50 @@ class RTree:
 
 def _overlapping(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     """Which of x may link with which of y by the bound."""
-    x, y = x.astype(np.int64), y.astype(np.int64)
-    bound = np.minimum(x[:, None, :], y[None, :, :]).sum(2)
-    bound[(x == 65535).any(1)] = bound[:, (y == 65535).any(1)] = 1 << 40
+    bound = np.stack([np.minimum(x, v).sum(1, dtype=np.int64) for v in y], axis=1)
+    bound[(x == FULL).any(1)] = bound[:, (y == FULL).any(1)] = 1 << 40
     return bound >= least_overlap(n[:, None], m[None, :], num, den)
 
 
 def _across(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
-    """Pairs of classes of one bucket part in different components that pass the bound. rows: bucket, lo, hi, block, class, component, n, vec.
+    """Pairs of classes of one bucket part in different components that pass the bound. rows: bucket, lo, hi, block, minor, class, component, n, vec.
 
-    With `best` only each class's most similar partner by the bound.
+    Each such pair has a member outside the component of the bucket's head (minor); only those search, so a large component
+    in a bucket costs no pairs of its own. With `best` each of them gives only its most similar partner by the bound.
     """
 
-    def pairs(block: np.ndarray, lo: int, hi: int, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, vec: np.ndarray) -> Iterator[tuple[int, int]]:
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        if not len(left) or not len(right) or (comp == comp[0]).all():
+    def searched(own: np.ndarray, others: np.ndarray, once: bool, minor: np.ndarray, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, vec: np.ndarray) -> Iterator[tuple[int, int]]:
+        if not len(own) or not len(others):
             return
-        small = len(right) <= 32  # a tree of one node
-        near = _overlapping(vec[left], n[left], vec[right], n[right], num, den) if small else None
-        tree = None if small else RTree(vec[right], n[right])
-        for k, i in enumerate(left.tolist()):
-            found = right[np.flatnonzero(near[k]) if small else tree.search(vec[i].astype(np.int64), int(n[i]), num, den)]
+        small = len(others) <= 32  # a tree of one node
+        near = _overlapping(vec[own], n[own], vec[others], n[others], num, den) if small else None
+        tree = None if small else RTree(vec[others], n[others])
+        for k, i in enumerate(own.tolist()):
+            found = others[np.flatnonzero(near[k]) if small else tree.search(vec[i].astype(np.int64), int(n[i]), num, den)]
             found = found[comp[found] != comp[i]]
             if best and len(found) > 1:
                 shared = np.minimum(vec[found], vec[i]).sum(1, dtype=np.int64)
                 found = found[[np.argmax(shared / (n[found] + n[i] - shared))]]
-            elif lo == hi and not best:
-                found = found[cls[found] > cls[i]]
+            elif once and not best:
+                found = found[~minor[found] | (cls[found] > cls[i])]
             for j in found.tolist():
                 yield (int(cls[i]), int(cls[j])) if cls[i] < cls[j] else (int(cls[j]), int(cls[i]))
 
+    def pairs(block: np.ndarray, lo: int, hi: int, minor: np.ndarray, *rest: np.ndarray) -> Iterator[tuple[int, int]]:
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        yield from searched(left[minor[left]], right, lo == hi, minor, *rest)
+        if lo != hi:
+            yield from searched(right[minor[right]], left if best else left[~minor[left]], False, minor, *rest)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def out(t: pa.Table, cut: int) -> pa.RecordBatch:
             keys = np.stack([t[c].to_numpy() for c in ("bucket", "lo", "hi")], axis=1)[:cut]
-            block, cls, comp, n = (t[c].to_numpy()[:cut] for c in ("block", "class", "component", "n"))
-            vec = np.frombuffer(b"".join(t["vec"].slice(0, cut).to_pylist()), "<u2").reshape(-1, GROUPS)
+            block, minor, cls, comp, n = (t[c].to_numpy()[:cut] for c in ("block", "minor", "class", "component", "n"))
+            vec = np.frombuffer(b"".join(t["vec"].slice(0, cut).to_pylist()), np.uint8).reshape(-1, GROUPS)
             head = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), cut] if cut else []
-            pairs_found = {p for a, b in zip(head, head[1:]) for p in pairs(block[a:b], keys[a, 1], keys[a, 2], cls[a:b], comp[a:b], n[a:b], vec[a:b])}
+            pairs_found = {p for a, b in zip(head, head[1:]) for p in pairs(block[a:b], keys[a, 1], keys[a, 2], minor[a:b], cls[a:b], comp[a:b], n[a:b], vec[a:b])}
             a, b = zip(*pairs_found, strict=True) if pairs_found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -293,31 +284,20 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     frequent = spark.sparkContext.broadcast(_frequent(src, n))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
             sets = list(shingle_sets(batch.column(1).to_pylist(), n))
             values = [pa.array([class_key(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([counts(x).tobytes() for x in sets], pa.binary()), pa.array([prefix(x, frequent.value, num, den).astype("<u8").tobytes() for x in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *values], ["doc_id", "row_key", "class", "n", "vec", "prefix"])
 
     rows = stash(src.mapInArrow(describe, "doc_id long, row_key long, class long, n long, vec binary, prefix binary"), "sets")
-    classes = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("prefix").alias("prefix"))
-    classes = stash(classes, "classes")
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bodies = batch.column(1).to_pylist()
-            each = np.array([len(x) // 8 for x in bodies], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(bodies), "<i8")), pa.array(np.repeat(batch.column(0).to_numpy(), each))], ["bucket", "class"])
-
-    keys = classes.select("class", "prefix").mapInArrow(keyed, "bucket long, class long")
-    # buckets of the same classes are one: members are compared by number, least class and sum of hashes
-    shared = keys.groupBy("bucket").agg(F.min("class").alias("head"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("class")).alias("sign")).where("size > 1")
-    shared = shared.groupBy("head", "size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket", "head", "size")
-    buckets = stash(keys.join(shared, "bucket"), "buckets")
+    classes = _classes(rows)
+    buckets = _buckets(classes, frequent)
+    wide, rows, classes = (rows, classes), stash(rows.drop("vec", "prefix"), "rows"), stash(classes.drop("prefix"), "points")
+    release(*wide)
 
     points = classes.select("class", "n", "vec")
     stars = buckets.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-    first = _verified(src, _degrees(_bounded(stars, points, num, den)), classes, n, num, den)
-    first = stash(first, "links")
+    first = _links(src, _bounded(stars, points, num, den), classes, n, num, den)
     parts = components(first, "a", "b")
 
     # most of what still links does so with its best partner elsewhere; those are tried first, so that few pairs are left for the full search
@@ -327,23 +307,102 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
         pairs = stash(_across(_open(buckets, parts, points), num, den, not full).distinct(), "pairs")
         if pairs.isEmpty():
             break
-        more = stash(_verified(src, _degrees(pairs), classes, n, num, den), "links")
+        more = _links(src, pairs, classes, n, num, den)
+        release(pairs)
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = components(links, "a", "b")
 
     member = rows.select("doc_id", "row_key", "class", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "class")))
+    # written, so that the join below may split a component that many documents share
     names = classes.select("class", "doc_id").join(parts.withColumnRenamed("node", "class"), "class", "left").groupBy(F.coalesce("component", "class").alias("component")).agg(F.min("doc_id").alias("component_id"))
+    names = stash(names, "names")
     return member.join(names, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.col("class").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", F.col("component").alias("component_class"))
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """class, doc_id (the least), n, vec, prefix: one row for each set. Only rows whose class may have others are shuffled."""
+    some = rows.where("n > 0")
+    many = stash(some.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")).where("rows > 1").select("class", "doc_id"), "copies")
+    shared = rows.sparkSession.sparkContext.broadcast(bit_map(many, F.col("class")))
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(marked(shared.value, batch.column("code").to_numpy()))], [*batch.schema.names[:-1], "doubtful"])
+
+    names = ["class", "doc_id", "n", "vec", "prefix"]
+    flagged = some.select(*names, F.col("class").alias("code")).mapInArrow(flag, "class long, doc_id long, n long, vec binary, prefix binary, doubtful boolean")
+    doubtful = flagged.where("doubtful").groupBy("class").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in names[2:]))
+    classes = stash(flagged.where("NOT doubtful").select(*names).unionByName(doubtful), "classes")
+    release(many)
+    return classes
+
+
+def _buckets(classes: DataFrame, frequent) -> DataFrame:
+    """bucket, class, head, size: the members of shingles that more than one class has in its prefix, and the least of them.
+
+    A shingle that is not among the frequent ones has few members in any part of the corpus, so its members may meet in one
+    task, which needs one shuffle of the keys alone. Frequent ones are counted first and joined, and the join may split them.
+    """
+
+    def keyed(common: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = frequent.value
+            for batch in batches:
+                bodies = batch.column(1).to_pylist()
+                each = np.array([len(x) // 8 for x in bodies], np.int64)
+                keys, owner = np.frombuffer(b"".join(bodies), "<u8"), np.repeat(batch.column(0).to_numpy(), each)
+                often = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
+                keep = often == common
+                yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(owner[keep])], ["bucket", "class"])
+
+        return run
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members of keys that come more than once, with the first and the number of them; the rows are in order."""
+        rest = np.zeros((0, 2), np.int64)
+
+        def out(x: np.ndarray) -> pa.RecordBatch:
+            head = np.flatnonzero(np.append(True, x[1:, 0] != x[:-1, 0])) if len(x) else np.zeros(0, np.int64)
+            size = np.diff(np.append(head, len(x)))
+            first, size = np.repeat(x[head, 1], size), np.repeat(size, size)
+            more = size > 1
+            return pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (x[:, 0], x[:, 1], first, size)], ["bucket", "class", "head", "size"])
+
+        for batch in batches:
+            x = np.concatenate([rest, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)])
+            last = np.searchsorted(x[:, 0], x[-1, 0]) if len(x) else 0
+            yield out(x[:last])
+            rest = x[last:]
+        yield out(rest)
+
+    src, kinds = classes.select("class", "prefix"), "bucket long, class long, head long, size long"
+    rare = src.mapInArrow(keyed(False), "bucket long, class long").repartition(2 * width(classes.sparkSession), "bucket").sortWithinPartitions("bucket", "class").mapInArrow(runs, kinds)
+    keys = stash(src.mapInArrow(keyed(True), "bucket long, class long"), "keys")
+    counted = keys.groupBy("bucket").agg(F.min("class").alias("head"), F.count("*").alias("size")).where("size > 1")
+    both = rare.unionByName(keys.join(counted, "bucket").select("bucket", "class", "head", "size"))
+    both = stash(both, "members")
+    release(keys)
+    # buckets of the same classes are one: members are compared by number, least class and sum of hashes
+    signs = both.groupBy("bucket", "head", "size").agg(F.bit_xor(F.xxhash64("class")).alias("sign"))
+    one = signs.groupBy("head", "size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket")
+    buckets = stash(both.join(one, "bucket"), "buckets")
+    release(both)
+    return buckets
+
+
 def _open(buckets: DataFrame, parts: DataFrame, points: DataFrame) -> DataFrame:
     """The members of buckets with more than one component, dealt as pairs of blocks where a bucket is large."""
     placed = buckets.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
-    rows = placed.join(mixed, "bucket").join(points, "class").withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    placed = stash(placed, "placed")
+    of_head = F.min(F.when(F.col("class") == F.col("head"), F.col("component")))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), of_head.alias("main")).where("c0 <> c1").select("bucket", "main")
+    # written, so that the join below may split a bucket that many classes share
+    mixed = stash(mixed, "mixed")
+    rows = placed.join(mixed, "bucket").withColumn("minor", F.col("component") != F.col("main")).withColumn("blocks", F.ceil(F.col("size") / BLOCK_ROWS).cast("int"))
+    rows = rows.join(points.select("class", "n", "vec"), "class")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "component", "n", "vec")
+    dealt = rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "minor", "class", "component", "n", "vec")
     return dealt.repartition(width(buckets.sparkSession) * 2, "bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
 
 
@@ -355,18 +414,22 @@ def _bounded(edges: DataFrame, points: DataFrame, num: int, den: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int64) for c in ("vec_a", "vec_b"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int64) for c in ("vec_a", "vec_b"))
             need = least_overlap(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), num, den)
-            good = (np.minimum(x, y).sum(1) >= need) | (x == 65535).any(1) | (y == 65535).any(1)
+            good = (np.minimum(x, y).sum(1) >= need) | (x == FULL).any(1) | (y == FULL).any(1)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return both.select("a", "b", "n_a", "n_b", "vec_a", "vec_b").mapInArrow(run, "a long, b long")
 
 
-def _degrees(edges: DataFrame) -> DataFrame:
-    """Edges with how many there are of each a."""
+def _links(src: DataFrame, edges: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The edges whose sets link, written; what it takes to find them goes at once."""
     edges = stash(edges, "edges")
-    return edges.join(edges.groupBy("a").agg(F.count("*").alias("deg")), "a")
+    edges_of = edges.join(edges.groupBy("a").agg(F.count("*").alias("deg")), "a")
+    links, sets = _verified(src, edges_of, classes, n, num, den)
+    links = stash(links, "links")
+    release(edges, sets)
+    return links
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -380,20 +443,19 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     keys = found.groupBy("row_key").agg(F.count("*").alias("n"))
     losers = stash(keys.join(best, "row_key", "left_anti").select("row_key"), "losers")
     doubt = losers.unionByName(keys.where("n > 1").select("row_key"))
-    bits = spark.sparkContext.broadcast(np.array(_bit_map(doubt.withColumnRenamed("row_key", "doc_id")), np.int64).view(np.uint64))
+    bits = spark.sparkContext.broadcast(bit_map(doubt, F.col("row_key")))
     whole = F.struct(*(docs[c] for c in docs.columns))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(whole.alias("row"), _row_key(F.col("doc_id").cast("long"), text).alias("row_key"), text.rlike(r"[^\x20\x09-\x0D]").alias("words"))
-    rows = rows.withColumn("slot", _slot("row_key"))
+    rows = rows.withColumn("code", F.col("row_key"))
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            doubtful = ((bits.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+            doubtful = marked(bits.value, batch.column("code").to_numpy())
             doubtful &= np.array(batch.column("words").to_pylist(), bool)
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row_key"), pa.array(doubtful)], ["row", "row_key", "doubtful"])
 
-    marked = rows.mapInArrow(flag, T.StructType([rows.schema["row"], rows.schema["row_key"], T.StructField("doubtful", T.BooleanType())]))
-    sure = marked.where("NOT doubtful").select("row.*")
-    rest = marked.where("doubtful").join(losers, "row_key", "left_anti").dropDuplicates(["row_key"]).select("row.*")
+    flagged = rows.mapInArrow(flag, T.StructType([rows.schema["row"], rows.schema["row_key"], T.StructField("doubtful", T.BooleanType())]))
+    sure = flagged.where("NOT doubtful").select("row.*")
+    rest = flagged.where("doubtful").join(losers, "row_key", "left_anti").dropDuplicates(["row_key"]).select("row.*")
     return sure.unionByName(rest)
