@@ -1,21 +1,20 @@
 """Cross-tokenizer alignment, relationally: where the tokens of two vocabularies end together, and which overlap.
 
-No token of either vocabulary reaches over the border between a letter, digit or sign and a space after it, so texts
-fall into units there (" alpha", " beta,") whose tokens don't depend on their neighbours, and every such border is a
-cut of both. A unit that occurs often in a slab of texts is aligned once:
+No token of either vocabulary reaches over the border between something other than white space and a space after it, so
+texts fall into units there (" alpha", " beta,") whose tokens don't depend on their neighbours, and every such border
+is a cut of both. Each distinct unit of the corpus is aligned once:
 
 * posexplode its ids, look up the byte length of each (both vocabularies are small, fixed tables), and sum these over
   a window: where each token ends;
-* equi-join both sides on slab, unit and end. Ends that only one side has come along as outer rows;
+* equi-join both sides on unit and end. Ends that only one side has come along as outer rows;
 * running counts of the common ends number the groups;
 * two tokens overlap exactly where one stretch between neighbouring ends (of either side) lies in both, and no two
   stretches lie in the same two tokens. So a link is a row of the join, with the first token of each side that ends
   there or later: the range join needs no pairs of a group to be tried.
 
-Documents hold their units as numbers. In how many documents an id pair is linked is counted from distinct
-(document, pair) rows within each slab, then summed over slabs; the counts go back to the pairs of each slab, one
-row of a pair for each slab, so no pair is a hot key. A slab is `SLAB_BYTES` of texts, or one longer text, and stays in
-one task from its exchange on.
+Documents hold their units as numbers of a slab: `SLAB_BYTES` of texts, or one longer text. A slab's units and
+documents meet in one task. In how many documents an id pair is linked is counted in each slab and summed over
+slabs; the counts go back as one row for each slab and pair, so no unit and no pair is a hot key anywhere.
 
 Defined results: null and empty texts, and texts whose tokens' bytes are not a space and the text, have no tokens;
 texts are whole, of any length; a row gives a row, so repeated rows repeat and count as documents each; an empty table
@@ -31,6 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,9 +40,10 @@ from loomtext.llm.bpe import byte_letters, vocabulary_path
 from loomtext.llm.runtime import stash
 
 PIECES = "piece_bpe_32k.model"
-SLAB_BYTES = 4 << 20
-_KEPT = 200_000  # units whose ids a task remembers from one slab to the next
+SLAB_BYTES = 32 << 20
 _SLAB_BITS = 31
+_B_BITS = 24
+_A_ENDS, _B_ENDS = 1, 2
 
 
 class Pair(NamedTuple):
@@ -88,85 +89,53 @@ def unit_cuts(cp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, np.append(s[1:], len(cp))
 
 
-class _Units:
-    """Ids of units; remembers some."""
-
-    def __init__(self, pair: Pair) -> None:
-        self.pair, self.known = pair, {}
-
-    def __call__(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """None: the bytes of the tokens are not the unit."""
-        if len(self.known) > _KEPT:
-            self.known.clear()
-        known, p = self.known, self.pair
-        new = [u for u in units if u not in known]
-        for u, a, b in zip(new, p.encode_a(new), p.encode_b(new), strict=True):
-            raw = u.encode()
-            sound = b"".join([p.bytes_a[i] for i in a]) == raw == b"".join([p.bytes_b[i] for i in b])
-            known[u] = (a, b) if sound else None
-        return [known[u] for u in units]
-
-
-_ENCODED = "s long, u int, a array<int>, b array<int>, docs array<int>, d int, seq array<int>"
-
-
-def encoded(docs: DataFrame, path_a: str, path_b: str, slab_bytes: int = SLAB_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of two kinds, for each slab s. Units: u, the ids of both sides, the documents d that hold it. Documents: d, doc_id, the units in order."""
+def cut(docs: DataFrame, slab_bytes: int = SLAB_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of two kinds, for each slab s. Units: u and the text. Documents: doc_id and the units in order."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    id_type = src.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "s", "u", "a", "b", "docs", "d", "seq"]
-    lists = pa.list_(pa.int32())
-
-    def slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in wordscan.small(batches, lambda b: b.column(1), min(slab_bytes, wordscan.SLICE_BYTES)):
-            n = batch.column(1).nbytes
-            if held and size + n > slab_bytes:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held, size = [], 0
-            held.append(batch)
+    names = ["doc_id", "s", "u", "unit", "seq"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slab, size, number = TaskContext.get().partitionId() << _SLAB_BITS, 0, {}
+
+        def units() -> pa.RecordBatch:
+            n = len(number)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, kind), pa.array(np.full(n, slab)), pa.array(range(n), pa.int32()), pa.array(number, pa.string()), pa.nulls(n, pa.list_(pa.int32()))], names)
+
+        for batch in wordscan.small(batches, lambda b: b.column(1)):
+            kind = batch.column(0).type
+            texts = batch.column(1).to_pylist()
+            n = sum(map(len, texts))
+            if size and size + n > slab_bytes:
+                yield units()
+                slab, size, number = slab + 1, 0, {}
             size += n
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks()
+            cp, at = wordscan.points([" " + t if t else "" for t in texts])
+            s, e = unit_cuts(cp, at)
+            letters, get = cp.tobytes().decode("utf-32-le"), number.setdefault
+            seq = np.fromiter((get(letters[i:j], len(number)) for i, j in zip(s.tolist(), e.tolist())), np.int32, len(s))
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(s, at), pa.int32()), pa.array(seq))
+            n = len(texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(n, slab)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), lists], names)
+        if number:
+            yield units()
 
-    def table(n: int, kind: pa.DataType, **columns) -> pa.RecordBatch:
-        types = dict(zip(names, [kind, pa.int64(), pa.int32(), lists, lists, lists, pa.int32(), lists]))
-        return pa.RecordBatch.from_arrays([columns[c].cast(types[c]) if c in columns else pa.nulls(n, types[c]) for c in names], names)
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, s long, u int, unit string, seq array<int>")
 
-    def listed(flat: np.ndarray, cuts: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
+
+def encoded(units: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """unit and its ids a and b; null ids where the bytes of the tokens are not the unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, slab = _Units(tokenizers(path_a, path_b)), TaskContext.get().partitionId() << _SLAB_BITS
-        for rows in slabs(batches):
-            ids = rows.column("doc_id").combine_chunks()
-            texts = rows.column("text").to_pylist()
-            cp, at = wordscan.points([" " + t if t else "" for t in texts])
-            s, e = unit_cuts(cp, at)
-            letters = cp.tobytes().decode("utf-32-le")
-            number: dict[str, int] = {}
-            seq = np.fromiter((number.setdefault(letters[i:j], len(number)) for i, j in zip(s.tolist(), e.tolist())), np.int32, len(s))
-            coded = look(list(number))
-            cuts = np.searchsorted(s, at)
-            owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
-            bad = np.array([x is None for x in coded], bool)
-            odd = np.zeros(len(texts), bool)
-            if bad.any():
-                odd[owner[bad[seq]]] = True
-                keep = ~odd[owner]
-                seq, owner = seq[keep], owner[keep]
-                cuts = np.append(0, np.cumsum(np.bincount(owner, minlength=len(texts))))
-            pairs = np.unique(seq.astype(np.int64) * len(texts) + owner)
-            used, where = np.unique(pairs // max(len(texts), 1), return_index=True)
-            if len(used):
-                flat = lambda side: np.fromiter((i for u in used.tolist() for i in coded[u][side]), np.int32)
-                ends = lambda side: np.append(0, np.cumsum([len(coded[u][side]) for u in used.tolist()]))
-                holders = listed(pairs % len(texts), np.append(where, len(pairs)))
-                yield table(len(used), ids.type, s=pa.array(np.full(len(used), slab)), u=pa.array(used), a=listed(flat(0), ends(0)), b=listed(flat(1), ends(1)), docs=holders)
-            yield table(len(texts), ids.type, doc_id=ids, s=pa.array(np.full(len(texts), slab)), d=pa.array(np.arange(len(texts))), seq=listed(seq, cuts))
-            slab += 1
-
-    return src.mapInArrow(run, f"doc_id {id_type}, {_ENCODED}")
+        p, lists = tokenizers(path_a, path_b), pa.list_(pa.int32())
+        for batch in wordscan.small(batches, lambda b: b.column(0), 1 << 18):
+            texts = batch.column(0).to_pylist()
+            a, b = p.encode_a(texts), p.encode_b(texts)
+            for i, t in enumerate(texts):
+                if not b"".join([p.bytes_a[x] for x in a[i]]) == t.encode() == b"".join([p.bytes_b[x] for x in b[i]]):
+                    a[i] = b[i] = None
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, lists), pa.array(b, lists)], ["unit", "a", "b"])
+
+    return units.mapInArrow(run, "unit string, a array<int>, b array<int>")
 
 
 def _lengths(spark: SparkSession, bytes_of: list[bytes]) -> DataFrame:
@@ -175,117 +144,166 @@ def _lengths(spark: SparkSession, bytes_of: list[bytes]) -> DataFrame:
 
 
 def ends(units: DataFrame, side: str, lengths: DataFrame) -> DataFrame:
-    """s, u, the id of each token of that side, and the byte offset where it ends."""
-    tokens = units.repartition("s").select("s", "u", F.posexplode(side).alias("pos", "id")).join(F.broadcast(lengths), "id")
-    so_far = Window.partitionBy("s", "u").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return tokens.select("s", "u", F.col("id").alias(side), F.sum("n").over(so_far).alias("end"))
+    """v, the id of each token of that side, and the byte offset where it ends."""
+    tokens = units.repartition("v").select("v", F.posexplode(side).alias("pos", "id")).join(F.broadcast(lengths), "id")
+    so_far = Window.partitionBy("v").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return tokens.select("v", F.col("id").alias(side), F.sum("n").over(so_far).cast("int").alias("end"))
 
 
 def links(units: DataFrame, lengths_a: DataFrame, lengths_b: DataFrame) -> DataFrame:
-    """A row for each linked pair of tokens of a unit: s, u, where their common stretch ends, ids a and b, which of them end
+    """A row for each linked pair of tokens of a unit v: where their common stretch ends, ids a and b, which of them end
     there, and g, the number of the group (from the unit's end, from 1)."""
-    both = ends(units, "a", lengths_a).join(ends(units, "b", lengths_b), ["s", "u", "end"], "full")
-    from_end = Window.partitionBy("s", "u").orderBy(F.col("end").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    both = ends(units, "a", lengths_a).join(ends(units, "b", lengths_b), ["v", "end"], "full")
+    from_end = Window.partitionBy("v").orderBy(F.col("end").desc()).rowsBetween(Window.unboundedPreceding, 0)
     a_ends, b_ends = F.col("a").isNotNull(), F.col("b").isNotNull()
     covering = lambda c: F.last(c, ignorenulls=True).over(from_end).alias(c)
-    return both.select(
-        "s", "u", "end", covering("a"), covering("b"), a_ends.alias("a_ends"), b_ends.alias("b_ends"), F.sum((a_ends & b_ends).cast("int")).over(from_end).alias("g")
-    )
+    return both.select("v", "end", covering("a"), covering("b"), a_ends.alias("a_ends"), b_ends.alias("b_ends"), F.sum((a_ends & b_ends).cast("int")).over(from_end).alias("g"))
 
 
-def _group_texts(side: str, sep: str) -> Column:
-    """The ids of one side, joined by commas, of each group."""
-    own = F.filter("links", lambda x: x[f"{side}_ends"])
-    text = F.array_join(F.transform(own, lambda x: F.concat(x[side].cast("string"), F.when(x["a_ends"] & x["b_ends"], F.lit(sep)).otherwise(F.lit(",")))), "")
-    return F.split(F.rtrim(text, F.lit(sep)), sep)
+def _code(a: Column, b: Column, a_ends: Column, b_ends: Column) -> Column:
+    """A link as one number: the pair, and which tokens end with it."""
+    pair = F.shiftleft(a.cast("long"), _B_BITS).bitwiseOR(b.cast("long"))
+    return F.shiftleft(pair, 2).bitwiseOR(a_ends.cast("long") * _A_ENDS + b_ends.cast("long") * _B_ENDS)
 
 
 def aligned(units: DataFrame, lengths_a: DataFrame, lengths_b: DataFrame) -> DataFrame:
-    """A row for each unit: s, u, its numbers of tokens, groups and links, its linked pairs (a, b) in order, and its groups as text (`a1,a2|b1;a3|b2,b3`)."""
-    row = F.struct("end", "a", "b", "a_ends", "b_ends")
-    found = links(units, lengths_a, lengths_b).groupBy("s", "u").agg(F.sort_array(F.collect_list(row)).alias("links"), F.max("g").cast("long").alias("n_groups"))
-    count = lambda side: F.size(F.filter("links", lambda x: x[f"{side}_ends"])).cast("long").alias(f"n_{side}")
-    return found.select(
-        "s", "u", count("a"), count("b"), "n_groups", F.size("links").cast("long").alias("n_links"),
-        F.transform("links", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))).alias("pairs"),
-        F.array_join(F.zip_with(_group_texts("a", ";"), _group_texts("b", ";"), lambda x, y: F.concat_ws("|", x, y)), ";").alias("text"),
-    )
-
-
-def pair_counts(found: DataFrame) -> DataFrame:
-    """s, a, b, the number of documents of the corpus that hold the pair linked, and whether a has no pair with more.
-
-    `found`: s, a, b and n, the documents of each slab.
-    """
-    total = found.groupBy("a", "b").agg(F.sum("n").alias("count"))
-    best = total.groupBy("a").agg(F.max("count").alias("most"))
-    return found.select("s", "a", "b").join(total, ["a", "b"]).join(best, "a").select("s", "a", "b", "count", (F.col("count") == F.col("most")).alias("best"))
-
-
-_PER_UNIT = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    """v and the codes of its links in order."""
+    row = F.struct("end", _code(F.col("a"), F.col("b"), F.col("a_ends"), F.col("b_ends")).alias("code"))
+    return links(units, lengths_a, lengths_b).groupBy("v").agg(F.sort_array(F.collect_list(row))["code"].alias("codes"))
 
 
 class Alignment(NamedTuple):
-    """units: what `aligned` gives, without the pairs, and for each unit n_best and count_sum. documents: s, d, doc_id, seq (units in order)."""
+    """units: s, u, unit (its text), codes (null: no tokens fit it). documents: s, doc_id, seq (units in order)."""
 
     units: DataFrame
     documents: DataFrame
 
 
 def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, slab_bytes: int = SLAB_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Alignment:
-    spark = docs.sparkSession
     path_a, path_b = path_a or vocabulary_path(), path_b or vocabulary_path(PIECES)
     pair = tokenizers(path_a, path_b)
-    lengths_a, lengths_b = _lengths(spark, pair.bytes_a), _lengths(spark, pair.bytes_b)
-    rows = stash(encoded(docs, path_a, path_b, slab_bytes, id_col, text_col), "tokens")
-    coded, held = rows.where("u IS NOT NULL"), rows.where("d IS NOT NULL").select("s", "d", "doc_id", "seq")
-    units = stash(aligned(coded.select("s", "u", "a", "b"), lengths_a, lengths_b), "links")
-    # documents of a slab that hold a pair: each once, however many of its units have the pair
-    pairs = units.repartition("s").select("s", "u", F.array_distinct("pairs").alias("pairs"))
-    holders = coded.repartition("s").select("s", "u", "docs")
-    each = holders.join(pairs, ["s", "u"]).select("s", "docs", F.inline("pairs")).select("s", "a", "b", F.explode("docs").alias("d"))
-    in_slab = stash(each.distinct().groupBy("s", "a", "b").agg(F.count("*").alias("n")), "pairs")
-    counted = pair_counts(in_slab).repartition("s")
-    split = units.repartition("s").select("s", "u", F.inline("pairs"))
-    scores = split.join(counted, ["s", "a", "b"]).groupBy("s", "u").agg(F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
-    return Alignment(units.repartition("s").drop("pairs").join(scores, ["s", "u"]), held)
-
-
-def groups(found: Alignment) -> DataFrame:
-    """doc_id, row (a document's own number), group (from 0), and the ids a_ids and b_ids of each group of each document, in order."""
-    places = found.documents.repartition("s").select("s", "d", "doc_id", F.posexplode("seq").alias("at", "u"))
-    so_far = Window.partitionBy("s", "d").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = places.join(found.units.select("s", "u", "n_groups", "text"), ["s", "u"]).withColumn("before", F.coalesce(F.sum("n_groups").over(so_far), F.lit(0)))
-    each = placed.select("s", "d", "doc_id", "before", F.posexplode(F.split("text", ";")).alias("k", "x"))
-    ids = lambda i: F.split(F.split("x", r"\|")[i], ",").cast("array<int>")
-    return each.select("doc_id", F.struct("s", "d").alias("row"), (F.col("before") + F.col("k")).alias("group"), ids(0).alias("a_ids"), ids(1).alias("b_ids"))
-
+    lengths = [_lengths(docs.sparkSession, x) for x in (pair.bytes_a, pair.bytes_b)]
+    rows = stash(cut(docs, slab_bytes, id_col, text_col), "slabs")
+    held = rows.where("u IS NOT NULL")
+    distinct = stash(encoded(held.select("unit").distinct(), path_a, path_b).withColumn("v", F.monotonically_increasing_id()), "units")
+    coded = distinct.select("v", "unit").join(aligned(distinct, *lengths), "v", "left").select("unit", "codes")
+    return Alignment(held.select("s", "u", "unit").join(coded, "unit"), rows.where("u IS NULL").select(F.col("s").alias("s"), "doc_id", "seq"))
 
-def digests(found: Alignment) -> DataFrame:
-    """A row for each document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
-    A slab's units and documents meet in one task: sums over a document's units, and the hash of their texts in order.
-    """
-    units, documents = found.units.select("s", "u", "text", *_PER_UNIT), found.documents.select("s", "doc_id", "seq")
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", *_PER_UNIT, "groups_sha256"]
+class _Slab:
+    """A slab's units and documents as arrays: the links of all units, and for each document where its units are in them."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        u = left.column("u").to_numpy()
+    def __init__(self, units: pa.Table, documents: pa.Table) -> None:
+        codes = _one(units, "codes")
+        u = units.column("u").to_numpy()
         place = np.zeros(int(u.max()) + 1 if len(u) else 1, np.int64)
         place[u] = np.arange(len(u))
-        text = left.column("text").to_pylist()
-        seq = right.column("seq").combine_chunks()
-        cuts = seq.offsets.to_numpy().astype(np.int64)
-        at = place[seq.values.to_numpy()[cuts[0] : cuts[-1]]]
-        cuts = cuts - cuts[0]
+        n = pc.fill_null(pc.list_value_length(codes), 0).to_numpy().astype(np.int64)
+        self.cuts = np.append(0, np.cumsum(n))
+        self.codes = codes.flatten().to_numpy()
+        seq = _one(documents, "seq")
+        self.seq = place[seq.flatten().to_numpy()]
+        owner_cuts = np.append(0, np.cumsum(pc.list_value_length(seq).to_numpy().astype(np.int64)))
+        odd = n == 0  # a unit without tokens leaves its documents without any
+        if odd.any():
+            owner = np.repeat(np.arange(len(seq)), np.diff(owner_cuts))
+            bad = np.zeros(len(seq), bool)
+            bad[owner[odd[self.seq]]] = True
+            keep = ~bad[owner]
+            self.seq = self.seq[keep]
+            owner_cuts = np.append(0, np.cumsum(np.bincount(owner[keep], minlength=len(seq))))
+        self.doc_cuts = owner_cuts
+
+
+def _one(table: pa.Table, name: str) -> pa.Array:
+    got = table.column(name).combine_chunks()
+    return got.chunk(0) if isinstance(got, pa.ChunkedArray) else got
+
+
+def _in_slab(units: pa.Table, documents: pa.Table) -> pa.Table:
+    """s, pair, and how many of the slab's documents hold it linked."""
+    x = _Slab(units, documents)
+    pairs, number = np.unique(x.codes >> 2, return_inverse=True)
+    total = np.zeros(len(pairs), np.int64)
+    docs = len(x.doc_cuts) - 1
+    owner = np.repeat(np.arange(docs), np.diff(x.doc_cuts))
+    once = np.unique(owner * (len(x.cuts) - 1) + x.seq)  # a unit of a document once
+    owner, unit = np.divmod(once, max(1, len(x.cuts) - 1))
+    n = np.diff(x.cuts)[unit]
+    size = np.cumsum(n)
+    at = 0
+    while at < len(unit):
+        # whole documents, of about a million links at a time
+        stop = int(np.searchsorted(size, (size[at - 1] if at else 0) + (1 << 20), "right"))
+        stop = int(np.searchsorted(owner, owner[max(stop - 1, at)], "right"))
+        links_at = wordscan.spread(x.cuts[unit[at:stop]], n[at:stop])
+        seen = np.unique(np.repeat(owner[at:stop], n[at:stop]) * len(pairs) + number[links_at])
+        total += np.bincount(seen % len(pairs), minlength=len(pairs))
+        at = stop
+    some = total > 0
+    s = documents.column("s")[0].as_py() if len(documents) else 0
+    return pa.table({"s": pa.array(np.full(int(some.sum()), s)), "pair": pa.array(pairs[some]), "n": pa.array(total[some])})
+
+
+def pair_counts(found: Alignment) -> DataFrame:
+    """For each slab s and pair in it: the number of documents of the corpus that hold the pair linked, and whether its A id has no pair with more."""
+    in_slab = found.units.select("s", "u", "codes").groupBy("s").cogroup(found.documents.groupBy("s")).applyInArrow(_in_slab, "s long, pair long, n long")
+    total = in_slab.select("s", "pair", F.shiftright("pair", _B_BITS).alias("a"), F.sum("n").over(Window.partitionBy("pair")).alias("count"))
+    most = total.groupBy("a").agg(F.max("count").alias("most"))  # no more rows than the vocabulary has entries
+    return total.join(F.broadcast(most), "a").select("s", "pair", "count", (F.col("count") == F.col("most")).alias("best"))
+
+
+@cache
+def _labels(n: int) -> list[str]:
+    """Ids in decimal with what may follow them: a comma, a bar, a semicolon; n of each."""
+    return [f"{i}{x}" for x in ",|;" for i in range(n)]
+
+
+def _texts(codes: np.ndarray, cuts: np.ndarray) -> list[str]:
+    """The groups of each unit as text, with a semicolon at the end."""
+    pair, a_ends, b_ends = codes >> 2, codes & _A_ENDS > 0, codes & _B_ENDS > 0
+    both = a_ends & b_ends
+    group = np.cumsum(both) - both
+    i, j = np.flatnonzero(a_ends), np.flatnonzero(b_ends)
+    a, b = pair[i] >> _B_BITS, pair[j] & ((1 << _B_BITS) - 1)
+    n = 1 + int(max(a.max(initial=0), b.max(initial=0)))
+    label = np.concatenate([a + np.where(both[i], n, 0), b + np.where(both[j], 2 * n, 0)])
+    order = np.argsort(np.concatenate([2 * group[i], 2 * group[j] + 1]), kind="stable")
+    size = np.append(0, np.cumsum(a_ends.astype(np.int64) + b_ends))[cuts]
+    names = _labels(n)
+    words = [names[x] for x in label[order].tolist()]
+    at = size.tolist()
+    return ["".join(words[x:y]) for x, y in zip(at, at[1:])]
+
+
+_SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+def digests(found: Alignment) -> DataFrame:
+    """A row for each document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    counts = pair_counts(found)
+    id_type = found.documents.schema["doc_id"].dataType
+    right = found.documents.unionByName(counts, allowMissingColumns=True)
+    names = ["doc_id", *_SUMS, "groups_sha256"]
+
+    def run(units: pa.Table, mixed: pa.Table) -> pa.Table:
+        told = pc.is_valid(mixed.column("pair"))
+        documents, counted = mixed.filter(pc.invert(told)), mixed.filter(told)
+        x = _Slab(units, documents)
+        order = np.argsort(counted.column("pair").to_numpy())
+        at = np.searchsorted(counted.column("pair").to_numpy()[order], x.codes >> 2)
+        at = order[np.minimum(at, len(order) - 1)] if len(order) else at * 0
+        values = {
+            "n_a": x.codes & _A_ENDS > 0, "n_b": x.codes & _B_ENDS > 0, "n_groups": x.codes & 3 == 3, "n_links": np.ones(len(x.codes), np.int64),
+            "n_best": counted.column("best").to_numpy(zero_copy_only=False)[at] if len(order) else at, "count_sum": counted.column("count").to_numpy()[at] if len(order) else at,
+        }
         sums = []
-        for c in _PER_UNIT:
-            running = np.append(0, np.cumsum(left.column(c).to_numpy()[at])) if len(at) else np.zeros(1, np.int64)
-            sums.append(pa.array(running[cuts[1:]] - running[cuts[:-1]], pa.int64()))
-        at, c = at.tolist(), cuts.tolist()
-        hashed = [hashlib.sha256(";".join([text[i] for i in at[x:y]]).encode()).hexdigest() if y > x else "" for x, y in zip(c, c[1:])]
-        return pa.Table.from_arrays([right.column("doc_id").combine_chunks(), *sums, pa.array(hashed, pa.string())], names)
-
-    schema = f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in _PER_UNIT) + ", groups_sha256 string"
-    return units.groupBy("s").cogroup(documents.groupBy("s")).applyInArrow(run, schema)
+        for c in _SUMS:
+            unit = np.diff(np.append(0, np.cumsum(values[c].astype(np.int64)))[x.cuts])
+            sums.append(pa.array(np.diff(np.append(0, np.cumsum(unit[x.seq]))[x.doc_cuts]), pa.int64()))
+        text, seq, c = _texts(x.codes, x.cuts), x.seq.tolist(), x.doc_cuts.tolist()
+        hashed = [hashlib.sha256("".join([text[i] for i in seq[p:q]])[:-1].encode()).hexdigest() if q > p else "" for p, q in zip(c, c[1:])]
+        return pa.Table.from_arrays([_one(documents, "doc_id"), *sums, pa.array(hashed, pa.string())], names)
+
+    schema = f"doc_id {id_type.simpleString()}, " + ", ".join(f"{c} long" for c in _SUMS) + ", groups_sha256 string"
+    return found.units.select("s", "u", "codes").groupBy("s").cogroup(right.groupBy("s")).applyInArrow(run, schema)
