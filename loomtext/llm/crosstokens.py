@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from typing import NamedTuple
 
@@ -37,10 +38,10 @@ from pyspark.sql import functions as F
 
 from loomtext.llm import wordscan
 from loomtext.llm.bpe import byte_letters, vocabulary_path
-from loomtext.llm.runtime import stash
+from loomtext.llm.runtime import release, stash
 
 PIECES = "piece_bpe_32k.model"
-SLAB_BYTES = 32 << 20
+SLAB_BYTES = 64 << 20
 _SLAB_BITS = 31
 _B_BITS = 24
 _A_ENDS, _B_ENDS = 1, 2
@@ -74,7 +75,9 @@ def tokenizers(path_a: str, path_b: str) -> Pair:
     if crossing:
         raise ValueError(f"pieces reach over a space, so units would not be independent: {crossing[:3]}")
     encode_a = lambda units: [x.ids for x in a.encode_batch_fast(units, add_special_tokens=False)]
-    return Pair(encode_a, lambda units: b.encode([u[1:] for u in units], num_threads=1), bytes_a, bytes_b)
+    space = [b.piece_to_id("▁")]  # the library gives an empty text no piece, but a last space has one
+    encode_b = lambda units: [space if u == " " else ids for u, ids in zip(units, b.encode([u[1:] for u in units], num_threads=1), strict=True)]
+    return Pair(encode_a, encode_b, bytes_a, bytes_b)
 
 
 def unit_cuts(cp: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,10 +189,24 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     rows = stash(cut(docs, slab_bytes, id_col, text_col), "slabs")
     held = rows.where("u IS NOT NULL")
     distinct = stash(encoded(held.select("unit").distinct(), path_a, path_b).withColumn("v", F.monotonically_increasing_id()), "units")
-    coded = distinct.select("v", "unit").join(aligned(distinct, *lengths), "v", "left").select("unit", "codes")
+    with _dealt_once(docs.sparkSession):
+        coded = stash(distinct.select("v", "unit").join(aligned(distinct, *lengths), "v", "left").select("unit", "codes"), "aligned")
+    release(distinct)
     return Alignment(held.select("s", "u", "unit").join(coded, "unit"), rows.where("u IS NULL").select(F.col("s").alias("s"), "doc_id", "seq"))
 
 
+@contextmanager
+def _dealt_once(spark: SparkSession) -> Iterator[None]:
+    """Tokens dealt by their unit stay where they are for the join on unit and end: units are many, so the join needs no second exchange."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class _Slab:
     """A slab's units and documents as arrays: the links of all units, and for each document where its units are in them."""
 
@@ -260,20 +277,23 @@ def _labels(n: int) -> list[str]:
 
 
 def _texts(codes: np.ndarray, cuts: np.ndarray) -> list[str]:
-    """The groups of each unit as text, with a semicolon at the end."""
-    pair, a_ends, b_ends = codes >> 2, codes & _A_ENDS > 0, codes & _B_ENDS > 0
-    both = a_ends & b_ends
-    group = np.cumsum(both) - both
-    i, j = np.flatnonzero(a_ends), np.flatnonzero(b_ends)
-    a, b = pair[i] >> _B_BITS, pair[j] & ((1 << _B_BITS) - 1)
-    n = 1 + int(max(a.max(initial=0), b.max(initial=0)))
-    label = np.concatenate([a + np.where(both[i], n, 0), b + np.where(both[j], 2 * n, 0)])
-    order = np.argsort(np.concatenate([2 * group[i], 2 * group[j] + 1]), kind="stable")
-    size = np.append(0, np.cumsum(a_ends.astype(np.int64) + b_ends))[cuts]
-    names = _labels(n)
-    words = [names[x] for x in label[order].tolist()]
-    at = size.tolist()
-    return ["".join(words[x:y]) for x, y in zip(at, at[1:])]
+    """The groups of each unit as text, with a semicolon at the end; about a million links at a time."""
+    n = 1 + int(max((codes >> _B_BITS + 2).max(initial=0), (codes >> 2 & ((1 << _B_BITS) - 1)).max(initial=0)))
+    names, out, first = _labels(n), [], 0
+    while first < len(cuts) - 1:
+        last = max(first + 1, int(np.searchsorted(cuts, cuts[first] + (1 << 20), "right")) - 1)
+        part = codes[cuts[first] : cuts[last]]
+        pair, a_ends, b_ends = part >> 2, part & _A_ENDS > 0, part & _B_ENDS > 0
+        both = a_ends & b_ends
+        group = np.cumsum(both) - both
+        i, j = np.flatnonzero(a_ends), np.flatnonzero(b_ends)
+        label = np.concatenate([(pair[i] >> _B_BITS) + np.where(both[i], n, 0), (pair[j] & ((1 << _B_BITS) - 1)) + np.where(both[j], 2 * n, 0)])
+        order = np.argsort(np.concatenate([2 * group[i], 2 * group[j] + 1]), kind="stable")
+        words = [names[x] for x in label[order].tolist()]
+        at = np.append(0, np.cumsum(a_ends.astype(np.int64) + b_ends))[cuts[first : last + 1] - cuts[first]].tolist()
+        out += ["".join(words[x:y]) for x, y in zip(at, at[1:])]
+        first = last
+    return out
 
 
 _SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -301,8 +321,8 @@ def digests(found: Alignment) -> DataFrame:
         for c in _SUMS:
             unit = np.diff(np.append(0, np.cumsum(values[c].astype(np.int64)))[x.cuts])
             sums.append(pa.array(np.diff(np.append(0, np.cumsum(unit[x.seq]))[x.doc_cuts]), pa.int64()))
-        text, seq, c = _texts(x.codes, x.cuts), x.seq.tolist(), x.doc_cuts.tolist()
-        hashed = [hashlib.sha256("".join([text[i] for i in seq[p:q]])[:-1].encode()).hexdigest() if q > p else "" for p, q in zip(c, c[1:])]
+        text, c = _texts(x.codes, x.cuts), x.doc_cuts.tolist()
+        hashed = [hashlib.sha256("".join([text[i] for i in x.seq[p:q].tolist()])[:-1].encode()).hexdigest() if q > p else "" for p, q in zip(c, c[1:])]
         return pa.Table.from_arrays([_one(documents, "doc_id"), *sums, pa.array(hashed, pa.string())], names)
 
     schema = f"doc_id {id_type.simpleString()}, " + ", ".join(f"{c} long" for c in _SUMS) + ", groups_sha256 string"

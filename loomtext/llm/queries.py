@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, crosstokens, curves, neardup, ngramjoin, packing, pagetext, quality, sharding, tokenfiles, toxicity
+from loomtext.llm import bpe, crosstokens, curves, neardup, ngramjoin, packing, pagetext, quality, sharding, spelling, tokenfiles, toxicity, windows
 from loomtext.llm.runtime import remainder, table
 
 
@@ -62,6 +62,14 @@ def op11_crosstokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstokens.digests(crosstokens.align(table(spark, sf_dir, "documents")))
 
 
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_curves, op2_ngram_join, op3_bpe, op4_page_text, op5_token_files, op6_sharding, op7_toxicity, op8_neardup, op9_packing, op10_quality, op11_crosstokens)
+    f.__name__: f for f in (op1_curves, op2_ngram_join, op3_bpe, op4_page_text, op5_token_files, op6_sharding, op7_toxicity, op8_neardup, op9_packing, op10_quality, op11_crosstokens, op12_windows, op13_spelling)
 }
