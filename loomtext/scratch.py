@@ -10,6 +10,7 @@ from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: dict[str, SparkSession] = {}
 _path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
@@ -48,7 +49,13 @@ def stash(df: DataFrame, tag: str, by: Sequence[str] = ()) -> DataFrame:
     spark = df.sparkSession
     path = claim(spark, tag)
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    # what the write shuffles is deleted with it, not when the driver happens to collect garbage
+    kept = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (writer.partitionBy(*by) if by else writer).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, kept)
     back = spark.read.schema(df.schema).parquet(path)
     _path_of[back] = path
     return back
