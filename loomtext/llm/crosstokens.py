@@ -187,12 +187,14 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     pair = tokenizers(path_a, path_b)
     lengths = [_lengths(docs.sparkSession, x) for x in (pair.bytes_a, pair.bytes_b)]
     rows = stash(cut(docs, slab_bytes, id_col, text_col), "slabs")
-    held = rows.where("u IS NOT NULL")
+    held = rows.where("u IS NOT NULL").select("s", "u", "unit")
     distinct = stash(encoded(held.select("unit").distinct(), path_a, path_b).withColumn("v", F.monotonically_increasing_id()), "units")
     with _dealt_once(docs.sparkSession):
         coded = stash(distinct.select("v", "unit").join(aligned(distinct, *lengths), "v", "left").select("unit", "codes"), "aligned")
     release(distinct)
-    return Alignment(held.select("s", "u", "unit").join(coded, "unit"), rows.where("u IS NULL").select(F.col("s").alias("s"), "doc_id", "seq"))
+    units = stash(held.join(coded, "unit"), "links")
+    release(coded)
+    return Alignment(units, rows.where("u IS NULL").select(F.col("s").alias("s"), "doc_id", "seq"))
 
 
 @contextmanager
@@ -265,6 +267,7 @@ def _in_slab(units: pa.Table, documents: pa.Table) -> pa.Table:
 def pair_counts(found: Alignment) -> DataFrame:
     """For each slab s and pair in it: the number of documents of the corpus that hold the pair linked, and whether its A id has no pair with more."""
     in_slab = found.units.select("s", "u", "codes").groupBy("s").cogroup(found.documents.groupBy("s")).applyInArrow(_in_slab, "s long, pair long, n long")
+    in_slab = stash(in_slab, "pairs")
     total = in_slab.select("s", "pair", F.shiftright("pair", _B_BITS).alias("a"), F.sum("n").over(Window.partitionBy("pair")).alias("count"))
     most = total.groupBy("a").agg(F.max("count").alias("most"))  # no more rows than the vocabulary has entries
     return total.join(F.broadcast(most), "a").select("s", "pair", "count", (F.col("count") == F.col("most")).alias("best"))
