@@ -84,7 +84,8 @@ def trim_tsutatsu(text: str | Column, site: str = OWN_SITE) -> Column:
 def trim_yaml(text: str | Column, fields: Sequence[str], drop_pid_all: bool = False, blocks: Sequence[str] = (), exact: Sequence[str] = ()) -> Column:
     """Without the fields in the YAML header (between the first two --- lines; body lines stay).
 
-    Fields in `blocks` also lose the indented lines below them; `exact` lines go if equal.
+    Fields in `blocks` also lose the lines below them that begin with two spaces, up to the first that doesn't; `exact`
+    lines go if they are equal but for white space around them. drop_pid_all: pid goes if its value is all, in quotes or not.
     """
     ls = lines(text)
     # the fold writes down only which lines go: a few of the header
@@ -94,12 +95,13 @@ def trim_yaml(text: str | Column, fields: Sequence[str], drop_pid_all: bool = Fa
         mark = strip(x) == "---"
         marks = acc["marks"] + mark.cast("int")
         inside = (acc["marks"] == 1) & ~mark
-        name = F.regexp_extract(x, r"^(\w[\w_]*):", 1)
-        goes = name.isin(list(fields)) | x.isin(list(exact)) if exact else name.isin(list(fields))
+        name = F.regexp_extract(x, r"(?U)^(\w+):", 1)
+        goes = name.isin(list(fields)) | strip(x).isin(list(exact)) if exact else name.isin(list(fields))
         if drop_pid_all:
-            goes = goes | (strip(x) == 'pid: "all"')
+            value = F.btrim(F.btrim(strip(F.regexp_replace(x, "^[^:]*:", "")), F.lit('"')), F.lit("'"))
+            goes = goes | ((name == "pid") & (value == "all"))
         heads = name.isin(list(blocks)) if blocks else F.lit(False)
-        below = acc["cut"] & x.rlike(r"^[ \t]")
+        below = acc["cut"] & F.startswith(x, F.lit("  "))
         gone = inside & (goes | heads | below)
         return F.struct((acc["k"] + 1).alias("k"), marks.alias("marks"), (inside & (heads | below)).alias("cut"), F.when(gone, F.array_append(acc["gone"], acc["k"])).otherwise(acc["gone"]).alias("gone"))
 
@@ -120,7 +122,7 @@ def trim_hanketsu(text: str | Column) -> Column:
 
 
 def trim_qa(text: str | Column) -> Column:
-    """Without two header fields and the breadcrumb above the body; unchanged if nothing ends the header."""
+    """Without two header fields and the breadcrumb above the body; unchanged if no --- line, the first included, ends the header."""
     whole = F.col(text) if isinstance(text, str) else text
 
     def kept(s: Column) -> Column:
@@ -132,7 +134,8 @@ def trim_qa(text: str | Column) -> Column:
         rest = F.slice(ls, (n + skip + 1).cast("int"), F.greatest(F.lit(0), left - skip).cast("int"))
         return F.when(n > 0, unlines(F.concat(head, rest))).otherwise(whole)
 
-    return once(F.struct(lines(text).alias("ls"), header_end(text, "dashes").cast("int").alias("n")), kept)
+    end = F.array_position(F.transform(lines(text), lambda x: strip(x) == "---"), True)
+    return once(F.struct(lines(text).alias("ls"), end.cast("int").alias("n")), kept)
 
 
 TRIM = {"law": trim_law, "accounting": trim_guide, "guide": trim_guide, "tsutatsu": trim_tsutatsu, "treaty": trim_treaty, "paper": trim_paper, "qa": trim_qa, "hanketsu": trim_hanketsu}

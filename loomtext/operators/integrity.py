@@ -1,6 +1,7 @@
 """Integrity checks over documents and chunks as one long table of issues.
 
-Input: db, path, stem, text (null where a file could not be read). What a document shows by itself is one array that is
+Input: db, path, stem, text (null where a file could not be read). Each issue is listed; `counted` is what it adds to
+the count of its check: 1, but 0 for all chunks of a lost base after the first, since a base is lost once. What a document shows by itself is one array that is
 exploded, so the input is read once for all these checks; a base and its chunks meet in one grouping by path and stem, which
 moves names and numbers only.
 """
@@ -42,15 +43,17 @@ def described(docs: DataFrame) -> DataFrame:
         "n": F.when(chunk, F.try_to_number(F.nullif(F.regexp_extract("stem", r"^(.+)_(\d+)$", 2), F.lit("")), F.lit("999999999")).cast("int")),
         "note_n": number(1),
         "note_total": number(2),
+        # a base's total is what its note for part 1 says, wherever that stands
+        "base_total": F.try_to_number(F.nullif(F.regexp_extract(t, r"--- split 1/(\d+)", 1), F.lit("")), F.lit("999999999")).cast("int"),
     })
 
 
-ISSUE = "struct<check: string, severity: string, subject: string, detail: string>"
+ISSUE = "struct<check: string, severity: string, subject: string, detail: string, counted: int>"
 
 
-def _issue(check: str, detail: Column, path: Column | str = "path", stem: Column | str = "stem") -> Column:
+def _issue(check: str, detail: Column, path: Column | str = "path", stem: Column | str = "stem", counted: Column | None = None) -> Column:
     severity = "CRITICAL" if check in CRITICAL else "WARNING"
-    return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), F.concat_ws("/", path, stem).alias("subject"), detail.cast("string").alias("detail"))
+    return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"), F.concat_ws("/", path, stem).alias("subject"), detail.cast("string").alias("detail"), (F.lit(1) if counted is None else counted).alias("counted"))
 
 
 def _listed(*found: Column) -> Column:
@@ -59,7 +62,7 @@ def _listed(*found: Column) -> Column:
 
 
 def _shown(rows: DataFrame, found: Column) -> DataFrame:
-    return rows.select("db", F.explode(found).alias("i")).select("i.check", "i.severity", "db", "i.subject", "i.detail")
+    return rows.select("db", F.explode(found).alias("i")).select("i.check", "i.severity", "db", "i.subject", "i.detail", "i.counted")
 
 
 def _of_row(most: int = MAX_TOKENS, tiny: int = TINY) -> Column:
@@ -82,7 +85,7 @@ def sizes(d: DataFrame, most: int = MAX_TOKENS, tiny: int = TINY) -> DataFrame:
 def chunks(d: DataFrame) -> DataFrame:
     """Issues of bases and their chunks. A group is one document's files."""
     noted = F.coalesce("text", F.lit("")).rlike(r"--- split \d+/\d+")
-    base = F.struct(F.when(F.col("note_n") == 1, F.col("note_total")).alias("total"), "stem", noted.alias("noted"))
+    base = F.struct(F.col("base_total").alias("total"), "stem", noted.alias("noted"))
     groups = d.where("NOT is_chunk OR n IS NOT NULL").groupBy("db", "path", "base").agg(
         F.collect_list(F.when(~F.col("is_chunk"), base)).alias("bases"),
         F.sort_array(F.collect_list(F.when(F.col("is_chunk"), F.struct("n", "stem", "note_n", "note_total")))).alias("parts"),
@@ -103,7 +106,7 @@ def chunks(d: DataFrame) -> DataFrame:
         )
         return F.when(F.size("parts") > 0, with_parts).otherwise(_listed(F.when(b["noted"], _issue("split_note_remnants", F.lit(""), stem=own))))
 
-    orphans = F.transform("parts", lambda p: _issue("orphan_chunks", p["n"], stem=p["stem"]))
+    orphans = F.transform("parts", lambda p, i: _issue("orphan_chunks", p["n"], stem=p["stem"], counted=(i == 0).cast("int")))
     return _shown(groups, F.when(F.size("bases") == 0, orphans).otherwise(F.flatten(F.transform("bases", of_base))))
 
 
@@ -137,7 +140,7 @@ def trims(d: DataFrame, table: DataFrame | None = None, n: int = 30) -> DataFram
 
 
 def issues(docs: DataFrame) -> DataFrame:
-    """check, severity, db, subject, detail of everything wrong: one pass over the documents, one grouping of names and numbers."""
+    """check, severity, db, subject, detail, counted of everything wrong: one pass over the documents, one grouping of names and numbers."""
     d = described(docs)
     return _shown(_with_lines(d), F.concat(_of_row(), _trimmed())).unionByName(chunks(d))
 
@@ -157,4 +160,5 @@ def counters(docs: DataFrame) -> DataFrame:
 
 def passed(found: DataFrame) -> DataFrame:
     """One row: whether no check is critical, and the counts of both severities."""
-    return found.agg((F.count_if(F.col("severity") == "CRITICAL") == 0).alias("passed"), F.count_if(F.col("severity") == "CRITICAL").alias("critical"), F.count_if(F.col("severity") == "WARNING").alias("warnings"))
+    of = lambda s: F.coalesce(F.sum(F.when(F.col("severity") == s, F.col("counted"))), F.lit(0)).cast("long")
+    return found.agg((of("CRITICAL") == 0).alias("passed"), of("CRITICAL").alias("critical"), of("WARNING").alias("warnings"))

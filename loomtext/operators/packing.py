@@ -3,8 +3,9 @@
 The fold over records looks sequential, but what a run of records does to a bin depends only on how full the bin is
 when the run begins. So the ordered records are range-partitioned and written; each partition tabulates, for every
 fill that it may be entered with, the fill it leaves and the bins it opens (fills meet after the first new bin, so
-few differ for long, and a table is a few spans); the driver chains the tables as they come, one partition after the
-other; and a second pass numbers the bins. No task holds a group, whatever its share of the rows.
+few differ for long, and a table is a few spans); a group that lies in two partitions is the last of one and the first of
+the next, so the driver chains the tables of first and last groups alone, one partition after the other; and a second
+pass numbers the bins. No task holds a group, whatever its share of the rows.
 """
 
 from __future__ import annotations
@@ -82,37 +83,42 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
                     yield from each(int(p[a]), g[a], batch.slice(a, b - a))
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tables of each part's first and last group; the groups between them lie in no other part."""
         now: list = []
 
-        def done() -> pa.RecordBatch:
-            part, g, spans = now
+        def done(last: bool) -> pa.RecordBatch:
+            part, g, spans, first = now
             lists = [pa.array([[int(getattr(s, c)) for s in spans]], pa.list_(pa.int64())) for c in ("start", "value", "opened", "grown")]
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([g]), *lists], ["part", "g", "start", "value", "opened", "grown"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([g]), pa.array([first]), pa.array([last]), *lists], ["part", "g", "first", "last", "start", "value", "opened", "grown"])
 
         def each(part, g, batch):
             nonlocal now
             if not now or now[:2] != [part, g]:
-                if now:
-                    yield done()
-                now = [part, g, [_Span(0, -1), _Span(1, 0, grown=True)]]
+                other = not now or now[0] != part
+                if now and (other or now[3]):
+                    yield done(other)
+                now = [part, g, [_Span(0, -1), _Span(1, 0, grown=True)], other]
             for t in batch.column(3).to_pylist():
                 now[2] = _step(now[2], entries_of, t, cap, header_tokens)
 
         yield from by_part(batches, each)
         if now:
-            yield done()
-
-    tables = deal(ordered.select("_group", "_part", "_at", "_tok")).mapInArrow(tabulate, "part int, g string, start array<long>, value array<long>, opened array<long>, grown array<long>")
-    # one row of a few spans for each partition and group that it holds; of those before only each group's last fill and count are kept
-    entries: dict[tuple[int, str], tuple[int, int]] = {}
-    last: dict[str, tuple[int, int]] = {}
-    for r in tables.orderBy("part").toLocalIterator():
-        fill, count = last.get(r["g"], (-1, 0))
-        entries[r["part"], r["g"]] = (fill, count)
-        # a bin above the cap: the first record opens a new one, as if none had been there
-        over = fill > last_fill
-        k = bisect.bisect_right(r["start"], 0 if fill < 0 or over else fill - header_tokens + 1) - 1
-        last[r["g"]] = (r["value"][k] + (fill if r["grown"][k] else 0), count + r["opened"][k] + over)
+            yield done(True)
+
+    tables = deal(ordered.select("_group", "_part", "_at", "_tok")).mapInArrow(tabulate, "part int, g string, first boolean, last boolean, start array<long>, value array<long>, opened array<long>, grown array<long>")
+    # two rows of a few spans for each part at most, however many groups there are; a part's first group may go on from the part before
+    entries: dict[int, tuple[str, int, int]] = {}
+    left, fill, count = None, -1, 0
+    for r in tables.orderBy("part", F.desc("first")).toLocalIterator():
+        if not r["first"] or r["g"] != left:
+            fill, count = -1, 0
+        elif r["g"] == left:
+            entries[r["part"]] = (left, fill, count)
+        if r["last"]:
+            # a bin above the cap: the first record opens a new one, as if none had been there
+            over = fill > last_fill
+            k = bisect.bisect_right(r["start"], 0 if fill < 0 or over else fill - header_tokens + 1) - 1
+            left, fill, count = r["g"], r["value"][k] + (fill if r["grown"][k] else 0), count + r["opened"][k] + over
     shared = spark.sparkContext.broadcast(entries)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +127,8 @@ def pack(rows: DataFrame, group: Sequence[str], order: Sequence[str], tokens: Co
         def each(part, g, batch):
             nonlocal now
             if now[:2] != [part, g]:
-                now = [part, g, *shared.value[part, g]]
+                before = shared.value.get(part)
+                now = [part, g, *(before[1:] if before and before[0] == g else (-1, 0))]
             fill, shard, out = now[2], now[3], []
             for t in batch.column(3).to_pylist():
                 if fill >= 0 and fill + t > cap:

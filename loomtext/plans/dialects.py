@@ -14,9 +14,9 @@ SITE = "https://site.example"
 LAW = Text("law: L (c)\nlaw_type: act / law_num: 昭和", ID, "年", choose(("doc_id % 2 = 0", " / egov_id:  / as_of: x"), other=" / egov_id: 3AC / as_of: x"), "\narticle: ", ID, choose(("doc_id % 3 = 0", f"\nurl: {SITE}/a"), other="\nurl: http://other.example/"), "\n\n", BODY, choose(("doc_id % 5 = 0", f"\nurl: {SITE}/end")))
 GUIDE = Text("doc: G (c)\nsection: ", ID, f"\nurl: {SITE}/g\nitem: ", ID, "\n\n", BODY, choose(("doc_id % 4 = 0", "\nsection: late\nsectional")))
 TSUTATSU = Text("doc: T\nitem: ", ID, " / id: X", ID, " / title: t\nsnapshot: 2024\nurl: ", choose(("doc_id % 2 = 0", SITE), other="http://o"), "\n\nitem: in the body / id: Y\n", BODY)
-YAML = Text("---\nid: ", ID, '\nurl: u\nprev: a\nnext: b\nsection_id: s\npage_start: 1\npage_end: 2\npara_count: 3\nsection_title: t\npid: "', choose(("doc_id % 3 = 0", "all"), other="p1"), '"\n---\nurl: stays\n', BODY, "\n---\nprev: stays too")
-COURT = Text("---\nid: ", ID, "\nsummary_status: s\nsource:\n  court: c\n\tdate: d\nlaws: []\nlaws: [x]\nsummary_source: q\n", choose(("doc_id % 2 = 0", "source: one line\n")), "title: t\n  more: kept\n---\nsource:\n  kept: y\n", BODY)
-QA = Text("doc_title: d", ID, "\nq: ", ID, "\nsource_kind: k\n", choose(("doc_id % 7 <> 0", "---\n")), choose(("doc_id % 4 = 0", "法令等\nx\ny\nz\n"), ("doc_id % 4 = 1", "国税庁等について\na\nb\nc\nd\n"), ("doc_id % 4 = 2", "税の情報\n")), BODY)
+YAML = Text("---\nid: ", ID, '\nurl: u\nprev: a\nnext: b\nsection_id: s\npage_start: 1\npage_end: 2\npara_count: 3\nsection_title: t\npid: ', choose(("doc_id % 5 = 0", '"all"'), ("doc_id % 5 = 1", "all"), ("doc_id % 5 = 2", "'all' "), ("doc_id % 5 = 3", '"all of it"'), other='"p1"'), '\npids: all\n---\npid: all\nurl: stays\n', BODY, "\n---\nprev: stays too")
+COURT = Text("---\nid: ", ID, "\nsummary_status: s\nsource:\n  court: c\n   deeper: c\n\tdate: tabbed lines stay\n  after: and what follows them\nsource: again\n one: space\nlaws: []\n laws: [] \nlaws: [x]\nsummary_source: q\n", choose(("doc_id % 2 = 0", "source: one line\n")), "title: t\n  more: kept\n---\nsource:\n  kept: y\n", BODY)
+QA = Text(choose(("doc_id % 11 = 3", "---\n")), "doc_title: d", ID, "\nq: ", ID, "\nsource_kind: k\n", choose(("doc_id % 7 <> 0", "---\n")), choose(("doc_id % 4 = 0", "法令等\nx\ny\nz\n"), ("doc_id % 4 = 1", "国税庁等について\na\nb\nc\nd\n"), ("doc_id % 4 = 2", "税の情報\n")), BODY)
 
 
 def _rows(spark, d, made: Column):
@@ -51,7 +51,7 @@ def _yaml(text: Text, goes: str) -> str:
     lines = f"string_split({text.sql}, chr(10))"
     return f"""WITH l AS (SELECT doc_id, unnest({lines}) AS line, unnest(range(len({lines}))) AS k FROM documents
 ), m AS (SELECT *, trim(line) = '---' AS mark, sum(CASE WHEN trim(line) = '---' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS marks FROM l
-), n AS (SELECT *, marks = 1 AND NOT mark AS inside, regexp_extract(line, '^(\\w[\\w_]*):', 1) AS name, regexp_matches(line, '^[ \\t]') AS indented FROM m
+), n AS (SELECT *, marks = 1 AND NOT mark AS inside, regexp_extract(line, '^(\\w[\\w_]*):', 1) AS name, starts_with(line, '  ') AS indented FROM m
 ), g AS (SELECT *, max(CASE WHEN NOT indented THEN k END) OVER (PARTITION BY doc_id ORDER BY k) AS above FROM n
 ), h AS (SELECT g.*, n.name AS head FROM g LEFT JOIN n ON n.doc_id = g.doc_id AND n.k = g.above)
 SELECT doc_id, string_agg(line, chr(10) ORDER BY k) AS text FROM h WHERE NOT (inside AND ({goes})) GROUP BY doc_id"""
@@ -61,7 +61,7 @@ def _names(fields) -> str:
     return "name IN (" + ", ".join(f"'{f}'" for f in fields) + ")"
 
 
-@held(_yaml(YAML, _names(headers.TREATY_FIELDS) + " OR trim(line) = 'pid: \"all\"'"))
+@held(_yaml(YAML, _names(headers.TREATY_FIELDS) + r''' OR (name = 'pid' AND trim(trim(trim(substr(line, 5)), '"'), chr(39)) = 'all')'''))
 def trim_treaty(spark, d):
     return _rows(spark, d, headers.trim_treaty(YAML.column))
 
@@ -76,13 +76,13 @@ def trim_yaml_fields(spark, d):
     return _rows(spark, d, headers.trim_yaml(YAML.column, ("url", "para_count")))
 
 
-@held(_yaml(COURT, _names(("summary_status", "summary_source")) + " OR line = 'laws: []' OR name = 'source' OR (indented AND head = 'source')"))
+@held(_yaml(COURT, _names(("summary_status", "summary_source")) + " OR trim(line) = 'laws: []' OR name = 'source' OR (indented AND head = 'source')"))
 def trim_hanketsu(spark, d):
     return _rows(spark, d, headers.trim_hanketsu(COURT.column))
 
 
 _QA = f"""WITH l AS (SELECT doc_id, {QA.sql} AS t, string_split({QA.sql}, chr(10)) AS w FROM documents
-), e AS (SELECT *, coalesce(list_min(list_filter(range(2, len(w) + 1), lambda i: trim(w[i]) = '---')), 0) AS n FROM l
+), e AS (SELECT *, coalesce(list_min(list_filter(range(1, len(w) + 1), lambda i: trim(w[i]) = '---')), 0) AS n FROM l
 ), b AS (SELECT *, w[n + 1:] AS body FROM e
 ), s AS (SELECT *, CASE WHEN starts_with(body[1], '法令等') OR starts_with(body[1], '税の情報') THEN 4 WHEN starts_with(body[1], '国税庁等について') THEN 5 ELSE 0 END AS skip FROM b)
 SELECT doc_id, CASE WHEN n = 0 THEN t ELSE array_to_string(list_concat(list_filter(w[1:n], lambda x: NOT starts_with(x, 'doc_title: ') AND NOT starts_with(x, 'source_kind: ')), CASE WHEN len(body) > skip THEN body[skip + 1:] ELSE body END), chr(10)) END AS text FROM s"""

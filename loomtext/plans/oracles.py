@@ -71,7 +71,7 @@ SELECT * FROM k UNION ALL SELECT m.* FROM m ANTI JOIN k ON m.path = k.path AND m
     "orphan_docs": "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)",
     "turn_continuity": f"SELECT conv_id, array_to_string(found, ',') AS found, last + 1 - len(found) AS missing FROM (SELECT conv_id, list(turn ORDER BY turn) AS found, max(turn) AS last FROM ({_TURNS}) GROUP BY conv_id) WHERE found <> range(0, last + 1)",
     "turn_annotation": f"""WITH {_CHUNKS}, i AS (
-  SELECT 'orphan_chunks' AS c, 'CRITICAL' AS s, count(*) AS n FROM orphan UNION ALL SELECT 'missing_chunks', 'CRITICAL', count(*) FROM missing
+  SELECT 'orphan_chunks' AS c, 'CRITICAL' AS s, count(DISTINCT conv_id) AS n FROM orphan UNION ALL SELECT 'missing_chunks', 'CRITICAL', count(*) FROM missing
   UNION ALL SELECT 'annotation_mismatch', 'CRITICAL', count(*) FROM wrong UNION ALL SELECT 'split_note_remnants', 'WARNING', count(*) FROM remnant
   UNION ALL SELECT 'tiny_files', 'WARNING', count(*) FROM tiny)
 SELECT c AS "check", s AS severity, n AS issues FROM i WHERE n > 0""",

@@ -180,7 +180,7 @@ def _noted(spark, d):
 @query
 def turn_annotation(spark, d):
     found = integrity.issues(_noted(spark, d).select("db", "path", "stem", "text"))
-    return found.groupBy("check", "severity").agg(F.count("*").alias("issues"))
+    return found.groupBy("check", "severity").agg(F.sum("counted").cast("long").alias("issues"))
 
 
 @query
