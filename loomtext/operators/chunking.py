@@ -3,7 +3,10 @@
 A body is cut at the boundaries of three levels, coarse to fine: markers, blank lines or headings, then lines. Each
 chunk ends at the furthest boundary that fits; a unit that does not fit is cut at the next finer level. The end of
 the text is no boundary, so the last unit is a chunk of its own unless it is small (kept for equal chunk layouts).
-Token counts are UTF-8 bytes div 3 of a span, so prefix sums of bytes make a cut O(log n) and a document O(n log n).
+By default tokens are UTF-8 bytes div 3 of a span, so prefix sums of bytes make a cut O(log n) and a document O(n log n).
+With a vocabulary (`Limits.vocabulary`, a file of the tokenizers library) they are the tokens that it gives. These don't add up
+over spans, so a cut gallops: from the boundary that the tokens of the whole text suggest, and never below the one that bytes
+alone guarantee, ever larger steps are measured, then halved; each chunk has been measured as it is when it is cut.
 
 A document is one row of one task; nothing is collected across documents.
 """
@@ -14,6 +17,7 @@ import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +43,11 @@ class Limits:
     small: int = SMALL
     least_budget: int = LEAST_BUDGET
     heading: str = r"^##\s"
+    vocabulary: str = ""
+
+    @property
+    def token_method(self) -> str:
+        return self.vocabulary.rsplit("/", 1)[-1].removesuffix(".json") or "bytes_div_3"
 
 
 def boundaries(body: str, db: str, heading: str = Limits.heading) -> list[list[int]]:
@@ -63,9 +72,88 @@ class Sizes:
     def __call__(self, a: int, b: int) -> int:
         return int(self.at[b] - self.at[a]) // 3
 
-    def furthest(self, a: int, budget: int) -> int:
-        """The last offset to which a span from a keeps the budget."""
-        return int(np.searchsorted(self.at, self.at[a] + 3 * budget + 2, "right")) - 1
+    def fit(self, a: int, own: list[int], lo: int, hi: int, budget: int) -> int:
+        """The number k, lo <= k <= hi, for which own[k - 1] is the last boundary up to which a span from a keeps the budget."""
+        furthest = int(np.searchsorted(self.at, self.at[a] + 3 * budget + 2, "right")) - 1
+        return max(lo, min(bisect.bisect_right(own, furthest), hi))
+
+
+    def even(self, own: list[int], end: int, first: int, second: int) -> int:
+        """The boundary that divides the text up to `end` most evenly into spans within both budgets, or 0."""
+        fits = [(abs(self(0, b) - self(b, end)), b) for b in own if self(0, b) <= first and self(b, end) <= second]
+        return min(fits, default=(0, 0))[1]
+
+
+@cache
+def _encoder(path: str):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+@lru_cache(256)
+def count_tokens(text: str, vocabulary: str = "") -> int:
+    """Tokens of a text: bytes div 3, or what the vocabulary gives."""
+    return len(_encoder(vocabulary).encode_batch_fast([text], add_special_tokens=False)[0].ids) if vocabulary else len(text.encode()) // 3
+
+
+class TokenSizes(Sizes):
+    """Tokens of any span by a vocabulary. A token has a byte at least, so as many bytes as the budget has tokens always fit."""
+
+    def __init__(self, text: str, vocabulary: str) -> None:
+        super().__init__(text)
+        self.text, self.vocabulary = text, vocabulary
+        self.ends = np.array([e for _, e in _encoder(vocabulary).encode(text, add_special_tokens=False).offsets], np.int64)
+
+    def __call__(self, a: int, b: int) -> int:
+        return count_tokens(self.text[a:b], self.vocabulary)
+
+    def fit(self, a: int, own: list[int], lo: int, hi: int, budget: int) -> int:
+        sure = int(np.searchsorted(self.at, self.at[a] + budget, "right")) - 1
+        good, bad = max(lo, min(bisect.bisect_right(own, sure), hi)), hi + 1
+        fits = lambda k: self(a, own[k - 1]) <= budget
+        # the tokens of the whole text tell about where to look; what is measured there decides
+        k = min(bisect.bisect_right(own, self._after(a, budget)), hi)
+        step = 1
+        if k > good and not fits(k):
+            bad = k
+            while (k := max(good, bad - step)) > good and not fits(k):
+                bad, step = k, 2 * step
+            good = k
+        else:
+            good = max(good, k)
+            while good < hi and fits(k := min(good + step, hi)):
+                good, step = k, 2 * step
+            bad = min(good + step, hi) if good < hi else hi + 1
+        while bad - good > 1:
+            k = (good + bad) // 2
+            good, bad = (k, bad) if fits(k) else (good, k)
+        return good
+
+    def _after(self, a: int, budget: int) -> int:
+        """Where the token ends that is about the budget's last one from a on."""
+        if not len(self.ends):
+            return a
+        k = int(np.searchsorted(self.ends, a, "right")) + budget - 1
+        return int(self.ends[min(max(k, 0), len(self.ends) - 1)])
+
+    def even(self, own: list[int], end: int, first: int, second: int) -> int:
+        """By halving: what lies before a boundary grows with it, what lies behind it shrinks."""
+        last = self.fit(0, own, 0, len(own), first)
+        # a cut changes no more than the tokens of the piece that it divides, so a rest of twice the budget needs no count
+        if not last or len(self.ends) - np.searchsorted(self.ends, own[last - 1], "right") > 2 * second + 64 or self(own[last - 1], end) > second:
+            return 0
+        least = bisect.bisect_left(range(last), True, key=lambda k: self(own[k], end) <= second)
+        k = bisect.bisect_left(range(least, last), True, key=lambda k: self(0, own[k]) >= self(own[k], end)) + least
+        near = [own[i] for i in (k - 1, k) if least <= i < last]
+        return min((abs(self(0, b) - self(b, end)), b) for b in near)[1]
+
+
+def sizes_of(text: str, vocabulary: str = "") -> Sizes:
+    return TokenSizes(text, vocabulary) if vocabulary else Sizes(text)
 
 
 def cut(body: str, budget: int, levels: list[list[int]], size: Sizes | None = None) -> list[str]:
@@ -83,7 +171,7 @@ def cut(body: str, budget: int, levels: list[list[int]], size: Sizes | None = No
             return
         at = a
         while lo < hi:
-            fit = min(bisect.bisect_right(own, size.furthest(at, budget)), hi)
+            fit = size.fit(at, own, lo, hi, budget)
             if fit > lo:
                 yield at, own[fit - 1]
                 at, lo = own[fit - 1], fit
@@ -98,10 +186,10 @@ def cut(body: str, budget: int, levels: list[list[int]], size: Sizes | None = No
     return [body[a:b] for a, b in spans(0, len(body), 0) if a < b]
 
 
-def merge_small(chunks: list[str], small: int = SMALL) -> list[str]:
+def merge_small(chunks: list[str], small: int = SMALL, vocabulary: str = "") -> list[str]:
     out = chunks[:1]
     for c in chunks[1:]:
-        if len(c.encode()) // 3 < small:
+        if count_tokens(c, vocabulary) < small:
             out[-1] += c
         else:
             out.append(c)
@@ -112,18 +200,17 @@ def halves(body: str, first: int, second: int, levels: list[list[int]], size: Si
     """The most even cut into two parts within the budgets, at the coarsest level that has one."""
     if min(first, second) < 100:
         return None
-    size, n = size or Sizes(body), len(body)
+    size = size or Sizes(body)
     for own in levels:
-        fits = [(abs(size(0, b) - size(b, n)), b) for b in own if size(0, b) <= first and size(b, n) <= second]
-        if fits:
-            b = min(fits)[1]
+        b = size.even(own, len(body), first, second)
+        if b:
             return [body[:b], body[b:]]
     return None
 
 
 def split_text(stem: str, db: str, header: str, body: str, limits: Limits = Limits()) -> list[str]:
     """The noted chunks of a document; one element if it stays whole."""
-    count = lambda s: len(s.encode()) // 3
+    count = lambda s: count_tokens(s, limits.vocabulary)
     whole = header + body
     if count(whole) <= limits.most:
         return [whole]
@@ -133,8 +220,8 @@ def split_text(stem: str, db: str, header: str, body: str, limits: Limits = Limi
         budget = limits.target - count(header) - NOTE
     if count(header + body) <= limits.target:
         return [whole]
-    levels, size = boundaries(body, db, limits.heading), Sizes(body)
-    parts = merge_small(cut(body, budget, levels, size), limits.small)
+    levels, size = boundaries(body, db, limits.heading), sizes_of(body, limits.vocabulary)
+    parts = merge_small(cut(body, budget, levels, size), limits.small, limits.vocabulary)
     if len(parts) <= 1:
         return [whole]
     if len(parts) >= 3:
@@ -151,13 +238,15 @@ def is_chunk(text: Column | str) -> Column:
 def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: str = "db", text: str = "text") -> DataFrame:
     """Each document's chunks: its columns with stem and text of the chunk, base_id, chunk_n and chunk_total.
 
-    Chunks are not split again; a null text is empty and stays whole.
+    Chunks are not split again; a null text is empty and stays whole. With a vocabulary in the limits its tokens count, and
+    `token_method` names it.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     parts = F.when(F.col(db).isin("qa"), split_header(body, "dashes")).when(F.col(db).isin([d for d, k in DIALECT.items() if k == "yaml_or_blank"]), split_header(body, "yaml_or_blank")).otherwise(split_header(body, "blank"))
-    # a document that keeps its limit never leaves the JVM
-    over = docs.where((tokens(body) > limits.most) & ~is_chunk(body)).withColumn("_p", parts)
-    whole = docs.where((tokens(body) <= limits.most) | is_chunk(body)).select(*docs.columns, F.col(stem).alias("base_id"), F.lit(1).alias("chunk_n"), F.lit(1).alias("chunk_total"))
+    # a document that keeps its limit never leaves the JVM; with a vocabulary, one that has no more bytes than the limit has tokens
+    large = (F.octet_length(body) if limits.vocabulary else tokens(body)) > limits.most
+    over = docs.where(large & ~is_chunk(body)).withColumn("_p", parts)
+    whole = docs.where(~large | is_chunk(body)).select(*docs.columns, F.col(stem).alias("base_id"), F.lit(1).alias("chunk_n"), F.lit(1).alias("chunk_total"))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def chunks(stems, dbs, headers, bodies):
@@ -170,7 +259,20 @@ def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: st
     rows = made.select(*docs.columns, F.size("_c").alias("chunk_total"), F.posexplode("_c").alias("_n", "_t"))
     name = F.when(F.col("_n") == 0, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), (F.col("_n") + 1).cast("string")))
     cols = [F.col("_t").alias(text) if c == text else name.alias(stem) if c == stem else F.col(c) for c in docs.columns]
-    return rows.select(*cols, F.col(stem).alias("base_id"), (F.col("_n") + 1).alias("chunk_n"), "chunk_total").unionByName(whole)
+    out = rows.select(*cols, F.col(stem).alias("base_id"), (F.col("_n") + 1).alias("chunk_n"), "chunk_total").unionByName(whole)
+    return out.withColumn("token_method", F.lit(limits.token_method)) if limits.vocabulary else out
+
+
+def measured(text: Column | str, vocabulary: str) -> Column:
+    """Tokens of each text by a vocabulary of the tokenizers library; of a null text 0."""
+
+    @F.pandas_udf("long")
+    def run(texts):
+        import pandas as pd
+
+        return pd.Series([count_tokens(t or "", vocabulary) for t in texts])
+
+    return run(F.col(text) if isinstance(text, str) else text)
 
 
 def unsplit(chunks: DataFrame, base: str = "base_id", n: str = "chunk_n", text: str = "text") -> DataFrame:

@@ -163,6 +163,38 @@ def article_grids(tree: Column | str, num: Column | str, fixed: bool = True, kee
     return run(c(tree), c(num))
 
 
+def law_tables(laws: DataFrame, key: str, tree: str = "tree", fixed: bool = True) -> DataFrame:
+    """key, article (its number), at (0), grids: the tables of each article of each law, in document order. Each law is parsed once.
+
+    Of articles with the same number the first counts; an article without tables has an empty list, so that it differs from one that isn't there.
+    """
+
+    @F.pandas_udf("array<struct<article: string, grids: array<array<array<string>>>>>")
+    def run(trees: pd.Series) -> pd.Series:
+        out = []
+        for x in trees:
+            found: dict[str, list] = {}
+            t = parse(x)
+            for a in collect(t, "Article") if t else ():
+                found.setdefault(a.attr.get("Num") or "", [expand(raw_rows(s, True, True, False), fixed) for s in collect(a, "TableStruct")])
+            out.append([{"article": n, "grids": g} for n, g in found.items()])
+        return pd.Series(out)
+
+    return laws.select(key, F.inline(run(F.col(tree))))
+
+
+def with_grids(docs: DataFrame, laws: DataFrame, key: str, article: str = "article", tree: str = "tree", fixed: bool = True) -> DataFrame:
+    """The documents with the grids of the article that they name, by an equi-join on law and number; null where the law or the article isn't there."""
+    found = law_tables(laws, key, tree, fixed).withColumnRenamed("article", article)
+    return docs.join(found, [key, article], "left")
+
+
+def rendered(grids: Column | str) -> Column:
+    """Each grid that has rows, as a Markdown table on lines of its own."""
+    g = F.col(grids) if isinstance(grids, str) else grids
+    return F.transform(F.filter(g, lambda x: F.size(x) > 0), lambda x: F.concat(F.lit("\n"), compact_markdown(x), F.lit("\n")))
+
+
 def blocks(text: Column | str) -> Column:
     """The text before the first [pN…] line, then each block, which starts with one."""
     t = F.col(text) if isinstance(text, str) else text

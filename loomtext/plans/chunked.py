@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
 from loomtext.operators import chunking, headers, tables
-from loomtext.plans.registry import BODY, Text, docs, held, long
+from loomtext.plans.registry import BODY, Text, docs, held, long, query
 
 LIMITS = chunking.Limits(most=600, target=560, small=20, least_budget=100)
 TRIMMED = ("The ", "Le ", "Der ")
@@ -112,3 +112,20 @@ def boundary_levels(spark, d):
 
     marked = F.transform(X.lines(F.coalesce("text", F.lit(""))), lambda x, i: F.concat(F.when(i % 3 == 0, "[p00] ").when(i % 3 == 1, "[p00-i0]").otherwise(""), F.when(i % 3 == 1, F.lit("x")).otherwise(F.lit("")), x))
     return docs(spark, d).select("doc_id", counted(X.unlines(marked)).alias("c")).select("doc_id", "c.*")
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def chunk_tokens(spark, d):
+    """Whole documents of three dbs under a budget of a vocabulary's tokens, and what each chunk measures. SQL has no tokenizer."""
+    limits = chunking.Limits(most=600, target=560, small=20, least_budget=100, vocabulary=vocabulary())
+    db = F.element_at(F.array(F.lit("qa"), F.lit("law"), F.lit("paper")), (F.col("doc_id") % 3 + 1).cast("int"))
+    head = F.when(F.col("doc_id") % 3 == 1, F.concat(F.lit("law: L"), "doc_id", F.lit("\narticle: 1\n\n"))).when(F.col("doc_id") % 3 == 2, F.concat(F.lit("---\nid: "), "doc_id", F.lit("\n---\n"))).otherwise("")
+    got = chunking.split(docs(spark, d).select("doc_id", db.alias("db"), F.col("doc_id").cast("string").alias("stem"), F.concat(head, F.coalesce("text", F.lit(""))).alias("text")), limits)
+    shown = got.withColumn("tokens", chunking.measured("text", limits.vocabulary))
+    return shown.select("base_id", long("chunk_n").alias("chunk_n"), long("chunk_total").alias("chunk_total"), "tokens", "token_method", F.md5(F.col("text").cast("binary")).alias("text_md5"))

@@ -109,11 +109,6 @@ UNION ALL SELECT 'https://h/p' || page_id || '.htm', 2, '3', '終', '[p1] 末' F
 CASE WHEN doc_id % 5 = 0 OR id IS NOT NULL THEN 'v2' WHEN num IS NOT NULL OR doc_id % 7 = 0 THEN 'v1' ELSE 'unknown' END AS mode
 FROM documents LEFT JOIN (VALUES ('src1', 'A1'), ('src2', 'A2'), ('src3', 'A3')) i(s, id) ON source = i.s LEFT JOIN (VALUES ('src2', 'N2'), ('src4', 'N4')) n(s, num) ON source = n.s""",
     "positional_join": "WITH s AS (SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS ord FROM conversations) SELECT u.conv_id, u.ord, u.turn AS ask, a.turn AS answer FROM s u JOIN s a ON u.conv_id = a.conv_id AND u.ord = a.ord WHERE u.role = 'user' AND a.role = 'assistant'",
-    "law_tree_walk": "SELECT * FROM (VALUES ('AppdxTable', 1, 2, 0), ('AppdxTableTitle', 1, 3, 0), ('Article', 3, 3, 1), ('ArticleTitle', 2, 4, 0), ('Item', 1, 5, 0), ('ItemSentence', 1, 6, 0), ('ItemTitle', 1, 6, 0), ('Law', 1, 1, 0), ('MainProvision', 1, 2, 0), ('Paragraph', 3, 4, 0), ('ParagraphSentence', 3, 5, 0), ('RelatedArticleNum', 1, 3, 0), ('Rt', 1, 7, 0), ('Ruby', 1, 6, 0), ('Subitem1', 1, 6, 0), ('Subitem1Sentence', 1, 7, 0), ('Subitem1Title', 1, 7, 0), ('SupplProvision', 1, 2, 1), ('Table', 1, 4, 0), ('TableColumn', 3, 6, 0), ('TableRow', 2, 5, 0), ('TableStruct', 1, 3, 0)) t(tag, nodes, depth, in_supplement)",
-    "law_articles": "SELECT * FROM (VALUES ('law1', '1', '第一条', '[p1] 甲乙丙' || chr(10) || '[p1-i1] 一 号' || chr(10) || '[p1-i1-s1] イ 細'), ('law1', '2_3', '第二条の三', '[p1] 1 a' || chr(10) || '[p2] 2 b')) t(law, num, title, body)",
-    "xml_articles": "SELECT * FROM (VALUES ('law1', '1', 'T1', '[p1] abd'), ('law1', '2_1', 'C2', '[p1] 1 e' || chr(10) || '[p2] 2 f' || chr(10) || '[p2-i1] i g')) t(law, num, title, body)",
-    "law_appendix": "SELECT 'law1' AS law, 'beppyo-1' AS name, '別表' AS title, '（第一条関係）' || chr(10) || chr(10) || '| A | B |' || chr(10) || '| --- | --- |' || chr(10) || '| A | C |' AS body",
-    "rowspan_expand": "SELECT * FROM (VALUES (1, 'A,B;A,C', 'A,B;A,C,D'), (2, 'A,B;C,', 'A,B;C')) t(id, fixed, growing)",
     "markdown_render": "SELECT n_regionkey, '| key | name |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |', chr(10) ORDER BY n_nationkey) AS markdown FROM nation GROUP BY n_regionkey",
     "markdown_padded": "SELECT n_nationkey, chr(10) || '| ' || rpad('k', 3, ' ') || ' | ' || rpad('name', CAST(greatest(4, length(n_name) + 1) AS INT), ' ') || ' |' || chr(10) || '| --- | ' || repeat('-', greatest(4, length(n_name) + 1)) || ' |' || chr(10) || '| ' || rpad(CAST(n_nationkey AS VARCHAR), 3, ' ') || ' | ' || rpad(n_name || '｜', CAST(greatest(4, length(n_name) + 1) AS INT), ' ') || ' |' || chr(10) AS markdown FROM nation",
     "table_insert": """SELECT r_regionkey, CASE WHEN r_regionkey = 4 THEN 'no_tables' ELSE 'inserted' END AS status,

@@ -297,44 +297,6 @@ def positional_join(spark, d):
 
 # tables and trees
 
-_LAW = """{"law_full_text": {"tag": "Law", "attr": {}, "children": [{"tag": "MainProvision", "children": [
-{"tag": "Article", "attr": {"Num": "1"}, "children": [{"tag": "ArticleTitle", "children": ["第一条"]}, {"tag": "Paragraph", "attr": {"Num": "1"}, "children": [{"tag": "ParagraphSentence", "children": ["甲", {"tag": "Ruby", "children": ["乙", {"tag": "Rt", "children": ["おつ"]}]}, "丙"]},
- {"tag": "Item", "attr": {"Num": "1"}, "children": [{"tag": "ItemTitle", "children": ["一"]}, {"tag": "ItemSentence", "children": ["号"]}, {"tag": "Subitem1", "attr": {}, "children": [{"tag": "Subitem1Title", "children": ["イ"]}, {"tag": "Subitem1Sentence", "children": ["細"]}]}]}]}]},
-{"tag": "Article", "attr": {"Num": "2_3"}, "children": [{"tag": "ArticleTitle", "children": ["第二条の三"]}, {"tag": "Paragraph", "attr": {"Num": "1"}, "children": [{"tag": "ParagraphSentence", "children": ["a"]}]}, {"tag": "Paragraph", "attr": {"Num": "2"}, "children": [{"tag": "ParagraphSentence", "children": ["b"]}]}]}]},
-{"tag": "SupplProvision", "children": [{"tag": "Article", "attr": {"Num": "9"}, "children": []}]},
-{"tag": "AppdxTable", "children": [{"tag": "AppdxTableTitle", "children": ["別表"]}, {"tag": "RelatedArticleNum", "children": ["（第一条関係）"]}, {"tag": "TableStruct", "children": [{"tag": "Table", "children": [{"tag": "TableRow", "children": [{"tag": "TableColumn", "attr": {"rowspan": "2"}, "children": ["A"]}, {"tag": "TableColumn", "children": ["B"]}]}, {"tag": "TableRow", "children": [{"tag": "TableColumn", "children": ["C"]}]}]}]}]}]}}"""
-_XML = "<Law><MainProvision><Article Num='1'><ArticleTitle>T1</ArticleTitle><Paragraph Num='1'><ParagraphSentence>a<Ruby>b<Rt>c</Rt></Ruby>d</ParagraphSentence></Paragraph></Article><Article Num='2_1'><ArticleCaption>(C2)</ArticleCaption><Paragraph Num='1'><ParagraphSentence>e</ParagraphSentence></Paragraph><Paragraph Num='2'><ParagraphSentence>f</ParagraphSentence><Item Num='1'><ItemTitle>i</ItemTitle><ItemSentence>g</ItemSentence></Item></Paragraph></Article></MainProvision></Law>"
-
-
-@query
-def law_tree_walk(spark, d):
-    laws = spark.createDataFrame([("law1", _LAW)], "law string, tree string")
-    return tree.nodes(laws, "law", "tree").groupBy("tag").agg(F.count("*").alias("nodes"), long(F.max(F.size("path"))).alias("depth"), F.count_if("in_supplement").alias("in_supplement"))
-
-
-@query
-def law_articles(spark, d):
-    laws = spark.createDataFrame([("law1", _LAW), ("law2", None), ("law3", "{")], "law string, tree string")
-    return tree.articles(laws)
-
-
-@query
-def xml_articles(spark, d):
-    return tree.articles(spark.createDataFrame([("law1", _XML)], "law string, tree string"))
-
-
-@query
-def law_appendix(spark, d):
-    return tables.appendices(spark.createDataFrame([("law1", _LAW)], "law string, tree string")).select("law", "name", "title", "body")
-
-
-@query
-def rowspan_expand(spark, d):
-    rows = spark.createDataFrame([(1, [[("A", 2), ("B", 1)], [("C", 1), ("D", 1)]]), (2, [[("A", 1), ("B", 1)], [("C", 1)]])], f"id int, grid {tables.RAW_GRID}")
-    flat = lambda c: F.array_join(F.transform(c, lambda r: F.array_join(r, ",")), ";")
-    return rows.select("id", flat(tables.expand_rowspan("grid", True)).alias("fixed"), flat(tables.expand_rowspan("grid")).alias("growing"))
-
-
 @query
 def markdown_render(spark, d):
     n = read(spark, d, "nation")

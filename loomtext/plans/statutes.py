@@ -145,6 +145,59 @@ def article_tables(spark, d):
     return rows.select("n_regionkey", flat(F.col("f")).alias("fixed"), flat(F.col("g")).alias("growing"), size("second").alias("in_second"), size("third").alias("in_third"))
 
 
+# tables of laws found once and joined to the documents that name them
+
+
+def _tabled(spark, d):
+    """A law for each conversation: an article for each turn, every second one with a table of one row for each of its first words."""
+    cell = lambda c: F.concat(F.lit('{"tag":"TableColumn","attr":{},"children":[{"tag":"Sentence","children":['), _text(c), F.lit("]}]}"))
+    n = F.col("turn").cast("string")
+    rows = _join(_node("TableRow", _join(cell(F.col("role")), cell(n))), _node("TableRow", _join(cell(F.lit("w")), cell(F.length("text").cast("string")))))
+    table = _node("TableStruct", _node("Table", rows))
+    article = _node("Article", _join(_node("ArticleTitle", _text(F.col("role"))), F.when(F.col("turn") % 2 == 0, _node("Paragraph", table, F.lit("1")))), n)
+    made = read(spark, d, "conversations").select("conv_id", F.struct("turn", article.alias("a")).alias("x")).groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["a"]), ",").alias("all"))
+    return made.where("conv_id % 7 <> 3").select("conv_id", _node("Law", _node("MainProvision", F.col("all"))).alias("tree"))
+
+
+def _citing(spark, d):
+    """A document for each turn, which names its law and article (none where conv_id + turn is a multiple of 11, one that isn't there of 13)."""
+    k = F.col("conv_id") + F.col("turn")
+    article = F.when(k % 11 == 0, "").when(k % 13 == 0, "999").otherwise(F.col("turn").cast("string"))
+    body = F.concat(F.when(k % 17 == 0, f"{tables.MARKER}\n").otherwise(""), F.lit("law: x\n\n[p1] "), F.when(F.col("role") == "user", "左の表").otherwise("none"), F.lit("\n[p2] "), F.trim("text"))
+    return read(spark, d, "conversations").select("conv_id", "turn", article.alias("article"), body.alias("text"))
+
+
+_CITED = """WITH c AS (SELECT conv_id, turn, role, length(text) AS n, conv_id + turn AS k FROM conversations
+), a AS (SELECT *, CASE WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN '999' ELSE CAST(turn AS VARCHAR) END AS article FROM c
+), g AS (SELECT a.*, a.conv_id % 7 <> 3 AND t.turn IS NOT NULL AS there, t.turn % 2 = 0 AS has, t.role AS r, t.n AS m, t.turn AS tt FROM a LEFT JOIN c t ON t.conv_id = a.conv_id AND CAST(t.turn AS VARCHAR) = a.article)"""
+
+
+@held(f"{_CITED} SELECT conv_id, turn, article, CASE WHEN there THEN CASE WHEN has THEN r || ',' || tt || ';w,' || m ELSE '' END END AS grid FROM g")
+def article_tables_joined(spark, d):
+    """The tables that each document's article has, from one parse of each law."""
+    got = tables.with_grids(_citing(spark, d), _tabled(spark, d), "conv_id")
+    flat = F.array_join(F.transform("grids", lambda g: F.array_join(F.transform(g, lambda r: F.array_join(r, ",")), ";")), "/")
+    return got.select("conv_id", "turn", "article", flat.alias("grid"))
+
+
+@held(f"""{_CITED} SELECT CASE WHEN k % 17 = 0 THEN 'already_done' WHEN article = '' THEN 'error_no_article' WHEN conv_id % 7 = 3 THEN 'error_api' WHEN NOT there OR NOT has THEN 'error_no_tables'
+  WHEN role = 'user' THEN 'inserted' ELSE 'no_points' END AS status, count(*) AS n FROM g GROUP BY 1""")
+def insert_statuses_joined(spark, d):
+    """What inserting gives for documents whose tables come from that join: how many of each status."""
+    laws = _tabled(spark, d)
+    rows = tables.with_grids(_citing(spark, d), laws, "conv_id").join(laws.select("conv_id", F.lit("s").alias("source")), "conv_id", "left")
+    status = tables.process_status(F.col("article"), F.lit("v2"), F.col("source"), tables.rendered("grids"), F.col("text"))
+    return rows.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+@held(f"""{_CITED} SELECT conv_id, turn, CASE WHEN k % 17 <> 0 AND article <> '' AND there AND has AND role = 'user' THEN 'law: x' || chr(10) || chr(10) || '{tables.MARKER}' || chr(10) || '[p1] 左の表' || chr(10) || '| ' || r || ' | ' || tt || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| w | ' || m || ' |' || chr(10) || chr(10)
+  ELSE CASE WHEN k % 17 = 0 THEN '{tables.MARKER}' || chr(10) ELSE '' END || 'law: x' || chr(10) || chr(10) || '[p1] ' || CASE WHEN role = 'user' THEN '左の表' ELSE 'none' END || chr(10) END || '[p2] ' || trim((SELECT text FROM conversations t WHERE t.conv_id = g.conv_id AND t.turn = g.turn)) AS text FROM g""")
+def insert_joined(spark, d):
+    """The texts with their tables in place, from the same join."""
+    rows = tables.with_grids(_citing(spark, d), _tabled(spark, d), "conv_id")
+    return rows.select("conv_id", "turn", tables.insert("text", tables.rendered("grids")).alias("text"))
+
+
 # the status of table insertion, and its histogram
 
 

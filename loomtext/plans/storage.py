@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
-from loomtext.operators import packing, routing
+from loomtext.operators import integrity, packing, routing
 from loomtext.plans.registry import docs, held, long, read
 from loomtext.scratch import claim
 from loomtext.sources import corpus, sinks
@@ -157,3 +157,16 @@ def move_documents(spark, d):
     """Collections renamed, with the whole texts of all their documents."""
     rows = docs(spark, d).select(F.col("source").alias("path"), (F.col("doc_id") % 200).cast("string").alias("stem"), F.concat(F.lit("doc_code: "), "source", F.lit("\n"), F.coalesce("text", F.lit(""))).alias("text"))
     return sinks.move_collections(rows, {"src0": "src1", "src2": "moved"}).select("path", "stem", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@held("""SELECT CASE WHEN doc_id % 9 = 4 THEN 'read_error' ELSE 'good' END AS kind, count(*) AS n, CAST(sum(CASE WHEN doc_id % 9 = 4 THEN 0 ELSE octet_length(encode(coalesce(text, ''))) END) AS BIGINT) AS bytes
+FROM documents GROUP BY 1""")
+def unreadable_records(spark, d):
+    """Records of whole documents written as JSON lines, every ninth one cut short: each of these is a read error, the others come back whole."""
+    path = claim(spark, "json")
+    record = F.to_json(F.struct(F.lit("qa").alias("db"), F.col("source").alias("path"), F.col("doc_id").cast("string").alias("stem"), F.coalesce("text", F.lit("")).alias("text")))
+    docs(spark, d).select(F.when(F.col("doc_id") % 9 == 4, F.substring(record, F.lit(1), F.length(record) - 3)).otherwise(record).alias("value")).write.text(path)
+    back = corpus.json_records(spark, path)
+    errors = integrity.issues(back).where("check = 'read_error'").select(F.lit("read_error").alias("kind"), F.lit(0).alias("b"))
+    good = corpus.quarantined(back)[0].select(F.lit("good").alias("kind"), F.octet_length("text").alias("b"))
+    return errors.unionByName(good).groupBy("kind").agg(F.count("*").alias("n"), long(F.sum("b")).alias("bytes"))

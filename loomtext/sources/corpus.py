@@ -100,6 +100,22 @@ def json_documents(spark: SparkSession, path: str, whole_files: bool = True) ->
     return spark.read.json(path, multiLine=whole_files)
 
 
+def json_records(spark: SparkSession, path: str, schema: str = "db string, path string, stem string, text string") -> DataFrame:
+    """JSON records, one a line, with `broken`: the line itself where it is no record of the schema, else null.
+
+    A broken line keeps its row, so a check can list it: its text is null, its path the file's name, its stem the line's hash.
+    """
+    rows = spark.read.schema(f"{schema}, broken string").option("columnNameOfCorruptRecord", "broken").json(path)
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    bad = F.col("broken").isNotNull()
+    return rows.withColumns({"path": F.when(bad, file).otherwise(F.col("path")), "stem": F.when(bad, F.sha2("broken", 256)).otherwise(F.col("stem")), "text": F.when(~bad, F.col("text"))})
+
+
+def quarantined(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good records, and the broken ones as they were read: path, stem, broken."""
+    return rows.where("broken IS NULL").drop("broken"), rows.where("broken IS NOT NULL").select("path", "stem", "broken")
+
+
 class RateLimiter:
     """Spaces calls of an ingest job on the driver; never used inside a query."""
 
