@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm.runtime import components, stash, width
@@ -30,10 +30,16 @@ from loomtext.llm.vectors import matrix, packed, rotation, usable
 
 COSINE = 0.9
 BLOCKS, GRID, CELL_ROWS = 4, 2, 65536
+CELL_BYTES = 48 << 20  # of the vectors of one part of a cell, as doubles
 TILE, DENSE = 512, 16  # rows and columns of a tile; one in so many pairs near makes it dense
 _SEED = 77
 
 
+def _name(v: Column) -> Column:
+    """What tells distinct vectors apart: SHA-256, so no two of them are taken for one."""
+    return F.unhex(F.sha2(v, 256))
+
+
 def _edges_of(dim: int) -> list[tuple[int, int]]:
     cut = np.linspace(0, dim, min(BLOCKS, dim) + 1).astype(int).tolist()
     return list(zip(cut, cut[1:]))
@@ -182,13 +188,14 @@ def _once(i: np.ndarray, j: np.ndarray, home: np.ndarray, same_part: bool) -> np
 def join(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for each row."""
     spark = rows.sparkSession
-    base = stash(packed(rows, id_col, vec_col).withColumn("class", F.xxhash64("v")), "vectors")
-    classes = stash(base.groupBy("class").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"), F.first("v").alias("v"), F.first("dim").alias("dim")), "classes")
+    base = stash(packed(rows, id_col, vec_col).withColumn("same", _name(F.col("v"))), "vectors")
+    classes = base.groupBy("same").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"), F.first("v").alias("v"), F.first("dim").alias("dim"))
+    classes = stash(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
 
     visits = classes.select("class", "n", "v", "dim").mapInArrow(lambda it: _cells(it, cosine), "dim int, block int, cell long, home boolean, class long, n long, v binary")
     sizes = visits.groupBy("dim", "block", "cell").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes")).where("homes > 0 AND rows > 1")
     # coordinates of unit vectors lie between -1 and 1, so a block has at most (2 / radius + 2) ** GRID cells at any number of vectors
-    dealt = visits.join(F.broadcast(stash(sizes, "cells")), ["dim", "block", "cell"]).withColumn("parts", F.ceil(F.col("rows") / CELL_ROWS).cast("int"))
+    dealt = visits.join(F.broadcast(stash(sizes, "cells")), ["dim", "block", "cell"]).withColumn("parts", F.ceil(F.col("rows") / F.greatest(F.lit(1), F.least(F.lit(CELL_ROWS), F.floor(F.lit(CELL_BYTES) / (8 * F.col("dim")))))).cast("int"))
     dealt = dealt.withColumn("side", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["dim", "block", "cell", "lo", "hi"]
     dealt = dealt.select("dim", "block", "cell", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "class", "n", "home", "side", "v")
@@ -223,9 +230,9 @@ def join(rows: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vec_co
     got = stash(dealt.mapInArrow(run, "a long, b long, n long"), "links")
     parts = components(got.where("b IS NOT NULL"), "a", "b")
     links = got.where("b IS NULL").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
-    named = classes.select("class", "first", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = classes.select("class", "same", "first", "n").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    known = named.join(least, "component").join(links, "class", "left").select("class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    linked = base.select("vec_id", "class").join(known, "class").select("vec_id", "n_links", "component_id")
+    known = named.join(least, "component").join(links, "class", "left").select("same", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    linked = base.select("vec_id", "same").join(known, "same").select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable(vec_col)).select(F.col(id_col).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col(id_col).cast("long").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

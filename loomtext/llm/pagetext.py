@@ -44,31 +44,34 @@ SHARE, FIRM_PAGES = 0.3, 5
 NEARLY, HALF = 0.9, 0.5
 CLEARED = 0.25  # of a page's text that must be left when suspect blocks go
 
-_RAW = frozenset("script style noscript template textarea title iframe svg canvas object math".split())
-_DROP = frozenset("nav header footer aside form button select option label dialog menu head fieldset audio video map".split())
+_RAW = frozenset("script style noscript template textarea title iframe svg canvas object".split())
+_DROP = frozenset("nav header footer aside select option dialog menu head audio video map".split())
+_FORM = frozenset("form fieldset".split())
+_CONTROL = frozenset("label button".split())
 _FIRM = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dt dd td th caption figcaption address summary".split())
-_BLOCK = _FIRM | frozenset("div section article main body html ul ol dl table thead tbody tfoot tr figure details hr center".split()) | _DROP
+_BLOCK = _FIRM | frozenset("div section article main body html ul ol dl table thead tbody tfoot tr figure details hr center".split()) | _DROP | _FORM
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
-_ENDS_P = _BLOCK
 _WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer header masthead share sharing social related recommended newsletter subscribe subscription signup login search pagination pager skip toc tags".split())
 _REMARKS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>|<[/!?a-zA-Z][^<]*\Z""", re.S)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+# an attribute, or the end of the tag; a quoted value is read on from its quote
+_ATTR = re.compile(r"""[\s/]*(?:(>)|([^\s/>][^\s/>=]*)(?:\s*=\s*(?:(["'])|([^\s>"'][^\s>]*))?)?)""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_ENDS = {x: re.compile(rf"</{x}\s*>", re.I) for x in _RAW}
 
 
 GONE, REMARK, SUSPECT, PLAIN = range(4)
 
 
-def _kind(name: str, attrs: str) -> int:
-    """What an element's name and attributes say of its text."""
-    if name in _DROP:
+def _kind(name: str, attrs: list[tuple[str, str]], firm: bool) -> int:
+    """What an element's name and attributes say of its text. Labels and buttons within sentences are words of these."""
+    if name in _DROP or name in _CONTROL and not firm:
         return GONE
-    kind = PLAIN
-    for key, a, b, c, hidden in _ATTR.findall(attrs) if attrs else ():
-        key, value = key.lower(), (a or b or c).lower()
-        if hidden or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value) or key == "role" and value in _ROLES:
+    kind = SUSPECT if name in _FORM else PLAIN
+    for key, value in attrs:
+        value = value.lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value) or key == "role" and value in _ROLES:
             return GONE
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
             words = _SPLIT.split(value)
@@ -76,83 +79,146 @@ def _kind(name: str, attrs: str) -> int:
     return kind
 
 
-def _cleared(found: list[tuple[str, bool, tuple[int, ...], bool]]) -> list[tuple[str, bool]]:
-    """The blocks (text, loose, suspect elements around them from the outside in, remark) without suspect ones."""
-    size = [len(t) for t, *_ in found]
-    plain = sum(n for n, b in zip(size, found) if not b[3])
-    clear: set[int] = set()
-    while True:
-        good = [not b[3] and all(e in clear for e in b[2]) for b in found]
-        if not plain:  # remarks alone
-            good = [True] * len(found)
-        left = sum(n for n, g in zip(size, good) if g)
-        layer = {next(e for e in b[2] if e not in clear) for b, g in zip(found, good) if not g and not b[3]}
-        if left >= CLEARED * plain or not layer:
-            return [b[:2] for b, g in zip(found, good) if g]
-        clear |= layer
+def _cleared(found: list[tuple[str, bool, int, bool]]) -> list[tuple[str, bool]]:
+    """The blocks (text, loose, how many suspect elements are around them, remark) without suspect ones.
+
+    Where too little is left, elements count as clear from the outside in, layer by layer.
+    """
+    plain = sum(len(t) for t, _, _, remark in found if not remark)
+    if not plain:  # remarks alone
+        return [b[:2] for b in found]
+    left, deepest = 0, 0
+    for n, size in sorted((n, len(t)) for t, _, n, remark in found if not remark):
+        if n > deepest and left >= CLEARED * plain:
+            break
+        left, deepest = left + size, n
+    return [b[:2] for b in found if not b[3] and b[2] <= deepest]
+
+
+class _Reader:
+    """Goes through a page once. What was searched for in vain is not searched for again, so the work grows with the page alone."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.missing = page, set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        k = self.page.find(what, at)
+        if k < 0:
+            self.missing.add(what)
+        return k
+
+    def tags(self) -> Iterator[tuple[int, int, str, bool, list[tuple[str, str]], bool]]:
+        """Start and end of each piece of markup; name (empty for comments and such), whether it closes, attributes, whether it closes itself."""
+        page, at = self.page, 0
+        while (k := self.find("<", at)) >= 0:
+            closing = page.startswith("</", k)
+            m = _NAME.match(page, k + 1 + closing)
+            if m:
+                attrs, end = self._attributes(m.end())
+                yield k, end, m[0].lower(), closing, attrs, page[end - 2 : end] == "/>"
+            elif page.startswith("<!--", k):
+                e = self.find("-->", k + 4)
+                end = e + 3 if e >= 0 else len(page)
+                yield k, end, "", False, [], False
+            elif closing or page.startswith(("<!", "<?"), k):
+                e = self.find(">", k)
+                end = e + 1 if e >= 0 else len(page)
+                yield k, end, "", False, [], False
+            else:
+                at = k + 1
+                continue
+            at = end
+            if m and not closing and m[0].lower() in _RAW and page[end - 2 : end] != "/>":
+                name = m[0].lower()
+                e = None if name in self.missing else _ENDS[name].search(page, end)
+                at = e.start() if e else len(page)
+                if e is None:
+                    self.missing.add(name)
+                yield end, at, "", False, [], False
+
+    def _attributes(self, at: int) -> tuple[list[tuple[str, str]], int]:
+        """Names and values up to the end of the tag. A quote that nothing closes ends at the next >; a tag without end takes the rest."""
+        page, out = self.page, []
+        while m := _ATTR.match(page, at):
+            at = m.end()
+            if m[1]:
+                return out, at
+            value = m[4] or ""
+            if m[3]:
+                e = self.find(m[3], at)
+                if e < 0:
+                    e = self.find(">", at)
+                    return out, e + 1 if e >= 0 else len(page)
+                value, at = page[at:e], e + 1
+            out.append((m[2].lower(), value))
+        return out, len(page)
 
 
 def blocks(page: str) -> list[tuple[str, bool]]:
     """The text and looseness of each block of the main part of a page, in order."""
-    out: list[tuple[str, bool, bool, tuple[int, ...], bool]] = []
-    # element, left out, inside the article, suspect elements around, in remarks
-    top = ("", False, False, (), False)
-    stack: list[tuple[str, bool, bool, tuple[int, ...], bool]] = []
+    out: list[tuple[str, bool, int, bool, bool]] = []
+    # element, left out, inside the article, suspect elements around, in remarks, in a firm element
+    top = ("", False, False, 0, False, False)
+    stack = [top]
+    opened: dict[str, int] = {}
+    nearest: list[str] = []  # the block elements of the stack
     parts: list[str] = []
-    state, at, main = top, 0, False
+    at, main = 0, False
 
     def flush() -> None:
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text and not state[1]:
-                firm = any(x[0] in _FIRM for x in stack)
-                out.append((text, not firm and not state[2], *state[2:]))
+            _, gone, inside, suspects, remark, firm = stack[-1]
+            text = "" if gone else " ".join(html.unescape("".join(parts)).split())
+            if text:
+                out.append((text, not firm and not inside, suspects, remark, inside))
             parts.clear()
 
-    for m in _TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            continue
-        name, closing, attrs = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
-        if name in _RAW:
-            if not closing and not attrs.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+    def close(name: str) -> None:
+        while True:
+            last = stack.pop()[0]
+            opened[last] -= 1
+            if last in _BLOCK:
+                nearest.pop()
+            if last == name:
+                return
+
+    for start, end, name, closing, attrs, itself in _Reader(page).tags():
+        if start > at:
+            parts.append(page[at:start])
+        at = end
+        if not name or name in _RAW:
             continue
         if name == "br":
             parts.append(" ")
             continue
-        if name in _BLOCK:
+        block = name in _BLOCK or name in _CONTROL and not stack[-1][5]
+        if block or closing and stack[-1][0] == name in _CONTROL and stack[-1][1]:
             flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        elif name not in _VOID and not attrs.endswith("/"):
-            if name in _ENDS_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p" or stack[i][0] == name == "li":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in _BLOCK:
-                        break
-            _, gone, inside, suspects, remark = stack[-1] if stack else top
-            kind = _kind(name, attrs)
+            if opened.get(name):
+                close(name)
+        elif name not in _VOID and not itself:
+            if name in _BLOCK and nearest and (nearest[-1] == "p" or nearest[-1] == name == "li"):
+                close(nearest[-1])
+            _, gone, inside, suspects, remark, firm = stack[-1]
+            kind = _kind(name, attrs, firm)
             if name in ("article", "main") and not gone and not remark:
-                inside, suspects = True, ()  # what wraps an article is no boilerplate
+                inside, suspects = True, 0  # what wraps an article is no boilerplate
                 main = True
-            stack.append((name, gone or kind == GONE, inside, (*suspects, m.start()) if kind == SUSPECT else suspects, remark or kind == REMARK))
-        state = stack[-1] if stack else top
+            stack.append((name, gone or kind == GONE, inside, suspects + (kind == SUSPECT), remark or kind == REMARK, firm or name in _FIRM))
+            opened[name] = opened.get(name, 0) + 1
+            if name in _BLOCK:
+                nearest.append(name)
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return _cleared([(t, loose, suspects, remark) for t, loose, inside, suspects, remark in out if inside or not main])
+    if main:
+        # an article that is small beside plain text around it is a card, not the page's main part
+        size = lambda own: sum(len(t) for t, _, n, remark, inside in out if inside == own and not n and not remark)
+        main = size(True) >= CLEARED * size(False)
+    return _cleared([b[:4] for b in out if b[4] or not main])
 
 
 def suffix_array(x: np.ndarray) -> np.ndarray:

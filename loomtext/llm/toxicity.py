@@ -226,11 +226,14 @@ def _matcher(model: Model) -> Matcher:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE) -> DataFrame:
-    """doc_id, text, y of `bound` labelled documents at most: those with the smallest hashes of ids. Documents with contrary labels are left out."""
+    """doc_id, text, y of `bound` labelled documents at most: those with the smallest hashes of ids. Documents with contrary labels are left out.
+
+    Of rows with the same id the least text counts, so the bound is one of rows.
+    """
     known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"), F.max(F.col(label).cast("int")).alias("other")).where("y = other").drop("other")
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")  # labels of other documents must not use up the bound
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)  # `bound` rows: small enough to broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def _apart(rows: DataFrame) -> DataFrame:
@@ -248,7 +251,10 @@ def _apart(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.int64()) for x in signs)], ["text", "y", "a", "b"])
 
     got = rows.select(F.coalesce("text", F.lit("")).alias("text"), "y").mapInArrow(run, "text string, y int, a long, b long")
-    return got.dropDuplicates(["a", "y"]).dropDuplicates(["b", "y"]).select("text", "y")
+    # the least text stays, so what is learned does not depend on partitions
+    for sign in ("a", "b"):
+        got = got.groupBy(sign, "y").agg(F.min(F.struct("text", "a", "b")).alias("least")).select("y", "least.*")
+    return got.select("text", "y")
 
 
 def _tally(rows: DataFrame) -> DataFrame:
