@@ -41,7 +41,7 @@ from loomtext.llm.bpe import byte_letters, vocabulary_path
 from loomtext.llm.runtime import release, stash
 
 PIECES = "piece_bpe_32k.model"
-SLAB_BYTES = 64 << 20
+SLAB_BYTES = 16 << 20
 _SLAB_BITS = 31
 _B_BITS = 24
 _A_ENDS, _B_ENDS = 1, 2
