@@ -9,7 +9,7 @@ from loomtext.functions import text as X
 from loomtext.operators import integrity, packing, routing
 from loomtext.plans.registry import docs, held, long, read
 from loomtext.scratch import claim
-from loomtext.sources import corpus, sinks
+from loomtext.sources import corpus, sinks, versions
 
 _TOK = "octet_length(encode(text)) // 3"
 
@@ -170,3 +170,45 @@ def unreadable_records(spark, d):
     errors = integrity.issues(back).where("check = 'read_error'").select(F.lit("read_error").alias("kind"), F.lit(0).alias("b"))
     good = corpus.quarantined(back)[0].select(F.lit("good").alias("kind"), F.octet_length("text").alias("b"))
     return errors.unionByName(good).groupBy("kind").agg(F.count("*").alias("n"), long(F.sum("b")).alias("bytes"))
+
+
+@held("""WITH a AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS key, coalesce(text, '') AS t FROM documents
+), w AS (SELECT key, CASE WHEN doc_id % 5 = 3 THEN 'b2' ELSE 'b1' END AS batch, CASE WHEN doc_id % 5 = 3 THEN t || ' again' ELSE t END AS tree, t, doc_id FROM a)
+SELECT key, CASE WHEN doc_id % 11 = 7 OR NOT regexp_matches(tree, '\\S') THEN NULL ELSE batch END AS batch, CASE WHEN doc_id % 11 = 7 OR NOT regexp_matches(tree, '\\S') THEN NULL ELSE md5(tree) END AS tree_md5,
+CASE WHEN doc_id % 11 = 7 THEN 'absent' WHEN NOT regexp_matches(tree, '\\S') THEN 'empty' END AS reason FROM w""")
+def newest_answers(spark, d):
+    """Whole documents landed in two batches: every fifth comes again, changed; another fifth comes again empty, so that its first
+    answer stays; every eleventh never comes, and has a row with the reason."""
+    path = claim(spark, "batches")
+    i, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    came = docs(spark, d).where(i % 11 != 7)
+    came.select(i.cast("string").alias("key"), text.alias("tree")).write.parquet(f"{path}/batch=b1")
+    again = came.where((i % 5).isin(3, 4))
+    again.select(i.cast("string").alias("key"), F.when(i % 5 == 3, F.concat(text, F.lit(" again"))).otherwise(" ").alias("tree")).write.parquet(f"{path}/batch=b2")
+    wanted = docs(spark, d).select(i.cast("string").alias("key"))
+    return corpus.newest(spark.read.parquet(path), wanted).select("key", "batch", F.md5(F.col("tree").cast("binary")).alias("tree_md5"), "reason")
+
+
+@held("""WITH v AS (SELECT unnest(['after a run that failed', 'newest', 'older']) AS seen)
+SELECT seen, lang, count(*) AS n, CAST(sum(octet_length(encode(coalesce(text, ''))) + CASE WHEN seen = 'newest' THEN 4 ELSE 0 END) AS BIGINT) AS bytes FROM documents, v GROUP BY seen, lang""")
+def published_versions(spark, d):
+    """Whole documents published twice, with a run in between that fails half-way: readers see the first version until the second is there, and can still name it then."""
+    root = claim(spark, "versions")
+    rows = docs(spark, d).select("lang", F.coalesce("text", F.lit("")).alias("text"))
+
+    def seen(name: str, version: str | None = None) -> DataFrame:
+        table = versions.read(spark, root, "documents", version)
+        return table.groupBy("lang").agg(F.count("*").alias("n"), long(F.sum(F.octet_length("text"))).alias("bytes")).select(F.lit(name).alias("seen"), "lang", "n", "bytes")
+
+    with versions.draft(spark, root) as at:
+        rows.write.parquet(f"{at}/documents")
+    first = versions.published(spark, root)[0]
+    try:
+        with versions.draft(spark, root) as at:
+            rows.where("lang = 'en'").write.parquet(f"{at}/documents")
+            raise InterruptedError
+    except InterruptedError:
+        between = seen("after a run that failed")
+    with versions.draft(spark, root) as at:
+        rows.withColumn("text", F.concat("text", F.lit(" new"))).write.parquet(f"{at}/documents")
+    return between.unionByName(seen("newest")).unionByName(seen("older", first))

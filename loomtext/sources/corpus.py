@@ -88,11 +88,35 @@ def resolve(targets: DataFrame, ids: DataFrame, numbers: DataFrame, key: str = "
     return rows.withColumns({"source": source, "mode": mode}).drop("id", "num")
 
 
-def landed(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    """key and tree of files that an ingest job has put into a folder, named by key (percent-encoded)."""
+def landed_batches(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """key, batch and tree of files that an ingest job has put into a folder for each batch, named by key (percent-encoded)."""
     raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
+    at = F.url_decode(F.col("_metadata.file_path"))
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
-    return raw.select(F.url_decode(F.replace(F.url_decode(name), F.lit(suffix), F.lit(""))).alias("key"), F.col("value").alias("tree"))
+    return raw.select(F.url_decode(F.replace(F.url_decode(name), F.lit(suffix), F.lit(""))).alias("key"), F.regexp_extract(at, r"([^/]+)/[^/]+$", 1).alias("batch"), F.col("value").alias("tree"))
+
+
+def landed(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """key and tree of files that an ingest job has put into a folder, named by key (percent-encoded)."""
+    return landed_batches(spark, path, suffix).select("key", "tree")
+
+
+def newest(answers: DataFrame, wanted: DataFrame, valid: Column | None = None) -> DataFrame:
+    """key, batch, tree and reason for each distinct key of `wanted`: the answer of the last batch that isn't empty.
+
+    answers: key, batch (later ones sort later), tree. A key has a row in any case; reason is null where its tree is
+    there, `absent` where nothing has landed, `empty` where all that has landed is null or blank, `unreadable` where
+    the newest tree isn't `valid` (batch names where it lies; tree is null, older ones don't stand in). Two
+    answers for a key in one batch: the greater text. A null key is absent. Answers are reduced before they are shuffled,
+    so a key that has landed many times is no hot key.
+    """
+    said = F.when(F.col("tree").rlike(r"\S"), F.struct("batch", "tree"))
+    best = answers.where("key IS NOT NULL").groupBy("key").agg(F.max(said).alias("_b"), F.lit(True).alias("_landed"))
+    rows = wanted.select("key").distinct().join(best, "key", "left").select("key", F.col("_b.batch").alias("batch"), F.col("_b.tree").alias("tree"), "_landed")
+    there = F.col("tree").isNotNull()
+    bad = there & ~F.coalesce(valid, F.lit(False)) if valid is not None else F.lit(False)
+    reason = F.when(bad, "unreadable").when(there, None).when(F.col("_landed"), "empty").otherwise("absent")
+    return rows.select("key", "batch", F.when(~bad, F.col("tree")).alias("tree"), reason.alias("reason"))
 
 
 def json_documents(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
