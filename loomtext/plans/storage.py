@@ -212,3 +212,16 @@ def published_versions(spark, d):
     with versions.draft(spark, root) as at:
         rows.withColumn("text", F.concat("text", F.lit(" new"))).write.parquet(f"{at}/documents")
     return between.unionByName(seen("newest")).unionByName(seen("older", first))
+
+
+@held("""WITH l AS (SELECT page_id, url, unnest(range(len(m))) AS ord, unnest(m) AS link FROM (SELECT page_id, url, regexp_extract_all(html, 'href="(/[^"]*)"', 1) AS m FROM pages)
+), r AS (SELECT *, substr(link, 2) AS rel, regexp_extract(url, '^[a-z]+://[^/?#]+') AS host, regexp_extract(url, '^[a-z]+://[^/?#]+[^?#]*/') AS folder FROM l)
+SELECT page_id, CAST(ord AS BIGINT) AS ord, regexp_replace(host || link, '[?#]$', '') AS from_root,
+CASE WHEN rel = '' THEN url WHEN regexp_matches(rel, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN rel ELSE regexp_replace(folder || rel, '[?#]$', '') END AS from_page, regexp_extract(url, '^[a-z]+:') || '/' || link AS from_scheme FROM r""")
+def page_addresses(spark, d):
+    """Every link of each whole page against the page's own address: as it stands, below the page's folder, and as a host of its own."""
+    from loomtext.operators import pages
+
+    found = pages.links(read(spark, d, "pages").select("page_id", "url", "html"), pattern='href="(/[^"]*)"')
+    other = F.when(F.col("link").rlike("^/[^/?#]"), pages.absolute("url", F.concat(F.lit("/"), "link"))).otherwise(F.concat(F.regexp_extract("url", "^[a-z]+:", 0), F.lit("/"), "link"))
+    return found.select("page_id", "ord", pages.absolute("url", "link").alias("from_root"), pages.absolute("url", F.substr("link", F.lit(2))).alias("from_page"), other.alias("from_scheme"))
