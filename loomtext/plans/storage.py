@@ -225,3 +225,18 @@ def page_addresses(spark, d):
     found = pages.links(read(spark, d, "pages").select("page_id", "url", "html"), pattern='href="(/[^"]*)"')
     other = F.when(F.col("link").rlike("^/[^/?#]"), pages.absolute("url", F.concat(F.lit("/"), "link"))).otherwise(F.concat(F.regexp_extract("url", "^[a-z]+:", 0), F.lit("/"), "link"))
     return found.select("page_id", "ord", pages.absolute("url", "link").alias("from_root"), pages.absolute("url", F.substr("link", F.lit(2))).alias("from_page"), other.alias("from_scheme"))
+
+
+@held("""SELECT CASE WHEN doc_id % 7 = 2 THEN 'broken' ELSE 'good' END AS kind, CASE WHEN doc_id % 7 = 2 THEN NULL ELSE 'L' || doc_id END AS law, CASE WHEN doc_id % 7 = 2 THEN NULL ELSE CAST(doc_id % 3 + 1 AS BIGINT) END AS articles,
+CASE WHEN doc_id % 7 = 2 THEN NULL ELSE md5(' ' || replace(coalesce(text, ''), chr(10), ' ') || ' & <end> ') END AS text_md5 FROM documents""")
+def xml_records(spark, d):
+    """Laws written as XML, each with a whole document as its last article and one or two before it; every seventh doesn't close an article and comes back as it stands."""
+    path = claim(spark, "xml")
+    i, esc = F.col("doc_id"), lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    short = F.repeat(F.lit("<Article Num='0'><Sentence>x</Sentence></Article>"), (i % 3).cast("int"))
+    whole = F.concat(F.lit("<Article Num='1'><Sentence> "), esc(F.translate(F.coalesce("text", F.lit("")), "\n", " ")), F.lit(" &amp; &lt;end&gt; </Sentence>"), F.when(i % 7 == 2, "").otherwise("</Article>"))
+    docs(spark, d).select(F.concat(F.lit("<Law Id='L"), i.cast("string"), F.lit("'>"), short, whole, F.lit("</Law>")).alias("value")).write.text(path)
+    back = corpus.xml_records(spark, path, "Law", "_Id string, Article array<struct<_Num: int, Sentence: string>>")
+    good = F.col("broken").isNull()
+    last = F.when(good, F.element_at("Article", -1)["Sentence"])
+    return back.select(F.when(good, "good").otherwise("broken").alias("kind"), F.when(good, F.col("_Id")).alias("law"), F.when(good, long(F.size("Article"))).alias("articles"), F.md5(last.cast("binary")).alias("text_md5"))

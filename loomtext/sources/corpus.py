@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Mapping, Sequence
 
@@ -135,6 +136,23 @@ def json_records(spark: SparkSession, path: str, schema: str = "db string, path
     return rows.withColumns({"path": F.when(bad, file).otherwise(F.col("path")), "stem": F.when(bad, F.sha2("broken", 256)).otherwise(F.col("stem")), "text": F.when(~bad, F.col("text"))})
 
 
+def xml_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """XML elements of the tag as rows, with `broken`: the element itself where it is malformed, else null (its columns are null then).
+
+    Files are cut behind each closing tag while they are read, so a large file is dealt over tasks, and a malformed element
+    takes none of those after it along (Spark's own reader of row tags ends at the first). Attributes are columns named with
+    an underscore before; text keeps white space around it. Elements may close themselves, not lie in one another; closing tags
+    hold no blanks. What lies between elements is no record; an element cut off by the end of its file is broken, unless
+    nothing but its closing tag is missing.
+    """
+    end = f"</{tag}>"
+    start = rf"<{re.escape(tag)}[\s/>]"
+    elements = F.filter(F.split(F.concat("value", F.lit(end)), f"(?={start})", -1), lambda x: x.rlike(f"^{start}"))
+    rows = spark.read.option("lineSep", end).text(path).select(F.explode(elements).alias("_x"))
+    options = {"rowTag": tag, "columnNameOfCorruptRecord": "broken", "ignoreSurroundingSpaces": "false"}
+    return rows.select(F.from_xml("_x", f"{schema}, broken string", options).alias("_r")).select("_r.*")
+
+
 def quarantined(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The good records, and the broken ones as they were read: path, stem, broken."""
     return rows.where("broken IS NULL").drop("broken"), rows.where("broken IS NOT NULL").select("path", "stem", "broken")

@@ -70,3 +70,14 @@ def test_newest_of_ties_and_empty_tables(spark):
     assert {r["key"]: tuple(r)[1:] for r in corpus.newest(answers, wanted).collect()} == {"a": ("1", "y", None), "hot": ("6", max(str(i) for i in range(500) if i % 7 == 6), None)}
     assert {r["reason"] for r in corpus.newest(answers.limit(0), wanted).collect()} == {"absent"}
     assert corpus.newest(answers, wanted.limit(0)).count() == 0
+
+
+def test_xml_records_of_broken_files(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<?xml version="1.0"?>\n<Laws>\n<Law Id="1"><T> a &amp; b\n</T></Law>\n<Law Id="2"><T>open</Law>\n<LawNum>9</LawNum><Law Id="3"/><Law Id="4"><T>第一</T></Law></Laws>\n')
+    (tmp_path / "b.xml").write_text('<Law Id="5"><T>x</T></Law><Law Id="6"><T>cut o')
+    (tmp_path / "c.xml").write_text("")
+    got = corpus.xml_records(spark, str(tmp_path), "Law", "_Id string, T string").collect()
+    assert sorted((r["_Id"], r["T"]) for r in got if r["broken"] is None) == [("1", " a & b\n"), ("3", None), ("4", "第一"), ("5", "x")]
+    broken = sorted(r["broken"] for r in got if r["broken"] is not None)
+    assert broken == ['<Law Id="2"><T>open</Law>', '<Law Id="6"><T>cut o</Law>']
+    assert all(r["_Id"] is None or r["broken"] is None for r in got)
