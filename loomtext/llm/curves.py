@@ -10,8 +10,9 @@ What travels with the orderings is a code of a class, a byte for each coordinate
 the codes; the SURVIVORS nearest by code, over all orderings, are fetched whole and ranked by exact distance.
 
 A window holds WINDOW * n ** (2 / 3) of n classes, and a few more, to either side: the work of a query grows slower than
-the table. Sorted classes are cut into blocks; a query goes to each block that its window touches, so no task holds more
-than some blocks and a run of queries, and only the best of each block are shuffled.
+the table. An ordering is cut into ranges of SPAN windows, SPAN_MOST classes at most. A query goes to its own range, once
+an ordering; a run of classes goes, as codes, to each range that holds places a window away: one or two in most cases. A task
+keeps the queries of one range with their best so far, meets the runs one by one, and only the best of a range are shuffled.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors
 of different lengths are never compared; a query does not find its own row but finds rows with the same id or
@@ -34,6 +35,7 @@ from loomtext.llm.vectors import matrix, packed, rotation
 
 ORDERINGS, AXES, BITS = 18, 6, 8
 WINDOW, SURVIVORS, BLOCK = 0.75, 64, 1024
+SPAN, SPAN_MOST = 4, 1 << 18
 _CODE_SPAN = 12  # deviations that the 256 values of a coordinate's code cover
 
 
@@ -95,6 +97,11 @@ def window(n: int, share: float, least: int) -> int:
     return int(share * n ** (2 / 3)) + least
 
 
+def span(window: int) -> int:
+    """Places of an ordering that form one range; a task holds the queries among them."""
+    return -(-min(SPAN * window, SPAN_MOST) // BLOCK) * BLOCK
+
+
 def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", share: float = WINDOW, least: int | None = None, survivors: int = SURVIVORS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for each row for which is_query (an expression on vec_id) holds.
 
@@ -151,47 +158,44 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id
         starts[lane, part] = totals.get(lane, 0)
         totals[lane] = starts[lane, part] + n
     shared = spark.sparkContext.broadcast((starts, {lane: window(n, share, least) for lane, n in totals.items()}, totals))
-    pieces = pa.schema([("lane", pa.int64()), ("block", pa.int64()), ("asks", pa.bool_()), ("asking", pa.int64()), ("pos", pa.int64()), ("rows", pa.binary()), ("codes", pa.binary())])
+    pieces = pa.schema([("lane", pa.int64()), ("range", pa.int64()), ("asks", pa.bool_()), ("asking", pa.int64()), ("pos", pa.int64()), ("rows", pa.binary()), ("codes", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The runs cut at the borders of blocks, and each query once for every block that its window touches."""
+        """Each run once for every range whose windows touch it, and each query once for its own range."""
         starts, windows, totals = shared.value
         for batch in batches:
             for lane, part, at, n, rows, asks, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                first, size, out = starts[lane, part] + at, len(codes) // n, []
-                for block in range(first // BLOCK, (first + n - 1) // BLOCK + 1):
-                    a, b = max(block * BLOCK - first, 0), min((block + 1) * BLOCK - first, n)
-                    out.append((lane, block, False, None, first + a, rows[8 * a : 8 * b], codes[size * a : size * b]))
+                first, w = starts[lane, part] + at, windows[lane]
+                size = span(w)
+                out = [(lane, r, False, None, first, rows, codes) for r in range(max(first - w, 0) // size, min(first + n - 1 + w, totals[lane] - 1) // size + 1)]
                 for i in np.flatnonzero(np.frombuffer(asks, np.uint8)).tolist():
-                    pos, w, own = first + i, windows[lane], rows[8 * i : 8 * i + 8]
-                    out += [(lane, block, True, int.from_bytes(own, "little"), pos, own, None) for block in range(max(pos - w, 0) // BLOCK, min(pos + w, totals[lane] - 1) // BLOCK + 1)]
+                    own = rows[8 * i : 8 * i + 8]
+                    out.append((lane, (first + i) // size, True, int.from_bytes(own, "little"), first + i, own, None))
                 yield _batch(out, pieces)
 
-    dealt = placed.mapInArrow(deal, "lane long, block long, asks boolean, asking long, pos long, rows binary, codes binary")
+    dealt = placed.mapInArrow(deal, "lane long, range long, asks boolean, asking long, pos long, rows binary, codes binary")
     # a query travels as its own vector
     query = base.where("query").select(F.col("row").alias("asking"), "v")
-    asking = dealt.where("asks").drop("codes").join(query, "asking").select("lane", "block", "asks", "pos", "rows", F.col("v").alias("codes"))
-    dealt = dealt.where("NOT asks").drop("asking").unionByName(asking).repartition(width(spark) * 2, "lane", "block").sortWithinPartitions("lane", "block", "asks", "pos")
+    asking = dealt.where("asks").drop("codes").join(query, "asking").select("lane", "range", "asks", "pos", "rows", F.col("v").alias("codes"))
+    dealt = dealt.where("NOT asks").drop("asking").unionByName(asking).repartition(width(spark) * 2, "lane", "range").sortWithinPartitions("lane", "range", F.desc("asks"), "pos")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value[1]
-        key, held, asked = None, [], []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held and asked:
-                yield _nearest(held, asked, key[0] // ORDERINGS, windows[key[0]], survivors, spreads.value)
-            asked.clear()
-
+        key, asked, best = None, [], None
         for batch in batches:
-            for lane, block, asks, pos, rows, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (lane, block) != key:
-                    yield from flush()
-                    key = (lane, block)
-                    held.clear()
-                (asked if asks else held).append((pos, rows, codes))
-                if len(asked) >= 256:
-                    yield from flush()
-        yield from flush()
+            for lane, r, asks, pos, rows, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lane, r) != key:
+                    if best:
+                        yield best.found()
+                    key, asked, best = (lane, r), [], None
+                if asks:
+                    asked.append((pos, rows, codes))
+                elif asked or best:
+                    if best is None:
+                        best, asked = _Nearest(asked, lane // ORDERINGS, windows[lane], survivors, spreads.value), []
+                    best.meet(pos, rows, codes)
+        if best:
+            yield best.found()
 
     near = dealt.mapInArrow(rank, "query_row long, row long, gap float")
     # the nearest by code over all orderings, then their vectors
@@ -230,20 +234,36 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _nearest(held: list, asked: list, dim: int, window: int, most: int, spreads: dict[int, np.ndarray]) -> pa.RecordBatch:
-    """For each query the classes of a block and of its window that are nearest by code, `most` at most."""
-    mean, dev = spreads[dim][-dim:].T
-    rows = np.concatenate([np.frombuffer(r, np.int64) for _, r, _ in held])
-    pos = np.concatenate([p + np.arange(len(r) // 8) for p, r, _ in held])
-    x = (np.concatenate([np.frombuffer(c, np.uint8) for _, _, c in held]).reshape(-1, dim) - 127.5) * (_CODE_SPAN / 256) * dev
-    q = matrix([v for _, _, v in asked], dim) @ rotation(dim, 999) - mean
-    gaps = (q * q).sum(1)[:, None] + (x * x).sum(1) - 2 * (q @ x.T)
-    out: list[list[np.ndarray]] = [[], [], []]
-    for i, (at, r, _) in enumerate(asked):
-        own = int.from_bytes(r, "little")
-        near = np.flatnonzero((np.abs(pos - at) <= window) & (rows != own))
-        if len(near) > most:
-            near = near[np.argpartition(gaps[i, near], most - 1)[:most]]
-        for values, v in zip(out, (np.full(len(near), own), rows[near], gaps[i, near].astype(np.float32)), strict=True):
-            values.append(v)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["query_row", "row", "gap"])
+class _Nearest:
+    """The queries of a range, in the order of their places, and the classes of their windows that are nearest by code so far, `most` at most."""
+
+    def __init__(self, asked: list, dim: int, window: int, most: int, spreads: dict[int, np.ndarray]) -> None:
+        self.dim, self.window, self.most = dim, window, most
+        mean, dev = spreads[dim][-dim:].T
+        # in units of the widest coordinate, so that no square is out of range
+        self.unit, self.dev = dev.max(), dev / dev.max()
+        self.at = np.array([p for p, _, _ in asked])
+        self.own = np.frombuffer(b"".join(r for _, r, _ in asked), np.int64)
+        self.q = (matrix([v for _, _, v in asked], dim) @ rotation(dim, 999) - mean) / self.unit
+        self.gaps = np.full((len(asked), most), np.inf, np.float32)
+        self.rows = np.zeros((len(asked), most), np.int64)
+
+    def meet(self, pos: int, rows: bytes, codes: bytes) -> None:
+        """The classes of a run, at pos and the places behind it, for the queries whose windows touch it."""
+        rows = np.frombuffer(rows, np.int64)
+        a, b = np.searchsorted(self.at, [pos - self.window, pos + len(rows) + self.window]).tolist()
+        x = (np.frombuffer(codes, np.uint8).reshape(-1, self.dim) - 127.5) * (_CODE_SPAN / 256) * self.dev
+        places = pos + np.arange(len(rows))
+        for s in range(a, b, 256):
+            part = slice(s, min(s + 256, b))
+            q = self.q[part]
+            gaps = (q * q).sum(1)[:, None] + (x * x).sum(1) - 2 * (q @ x.T)
+            gaps[(np.abs(places - self.at[part, None]) > self.window) | (rows == self.own[part, None])] = np.inf
+            gaps = np.concatenate([self.gaps[part], gaps], axis=1)
+            seen = np.concatenate([self.rows[part], np.broadcast_to(rows, (len(q), len(rows)))], axis=1)
+            keep = np.argpartition(gaps, self.most - 1, axis=1)[:, : self.most]
+            self.gaps[part], self.rows[part] = np.take_along_axis(gaps, keep, 1), np.take_along_axis(seen, keep, 1)
+
+    def found(self) -> pa.RecordBatch:
+        i, j = np.nonzero(np.isfinite(self.gaps))
+        return pa.RecordBatch.from_arrays([pa.array(self.own[i]), pa.array(self.rows[i, j]), pa.array(self.gaps[i, j])], ["query_row", "row", "gap"])

@@ -104,6 +104,32 @@ def test_recall_where_windows_prune(spark):
     assert 2 * curves.window(classes, curves.WINDOW, 40) < 0.1 * classes and curves.SURVIVORS < 0.01 * classes
 
 
+def test_runs_of_a_range_meet_its_queries():
+    """Nearest by code within the window, whatever the runs are; values far apart in size stay in range."""
+    r = np.random.default_rng(5)
+    for scale in (1.0, 1e200):
+        n, dim, w, most = 700, 8, 90, 12
+        v = r.standard_normal((n, dim))
+        spreads = {dim: np.column_stack([np.zeros(dim), np.full(dim, scale)])}
+        codes = np.clip(np.floor(v @ curves.rotation(dim, 999) * (256 / curves._CODE_SPAN)) + 128, 0, 255).astype(np.uint8)
+        back = (codes - 127.5) * (curves._CODE_SPAN / 256)
+        at = sorted(r.choice(n, 150, replace=False).tolist())
+        best = curves._Nearest([(p, np.int64(p).tobytes(), (v[p] * scale).tobytes()) for p in at], dim, w, most, spreads)
+        a = 0
+        while a < n:
+            b = min(a + int(r.integers(1, 60)), n)
+            best.meet(a, np.arange(a, b).tobytes(), codes[a:b].tobytes())
+            a = b
+        got = defaultdict(set)
+        for q, row in zip(*(best.found().column(c).to_pylist() for c in ("query_row", "row")), strict=True):
+            got[q].add(row)
+        for p in at:
+            near = [i for i in range(max(p - w, 0), min(p + w + 1, n)) if i != p]
+            gap = ((v[p] @ curves.rotation(dim, 999) - back[near]) ** 2).sum(1)
+            assert got[p] == {near[i] for i in np.argsort(gap)[:most]}
+    assert curves.span(100) == curves.BLOCK and curves.span(10**9) == curves.SPAN_MOST
+
+
 # 8
 
 
