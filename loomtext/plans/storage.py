@@ -40,6 +40,20 @@ def shard_scan(spark, d):
     return corpus.shards(spark, path, ["id", "pid", "core"], "*.csv", least=3).select("id", "pid", "core")
 
 
+@held("""WITH t AS (SELECT coalesce(conv_id, -1) AS conv, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, regexp_replace(coalesce(text, ''), '[\\t\\r\\n]', ' ', 'g') AS line FROM conversations)
+SELECT CAST(conv // 200 AS BIGINT) AS bucket, CAST(row_number() OVER (PARTITION BY conv // 200 ORDER BY conv, turn, role, line) - 1 AS BIGINT) AS ord, conv, turn, md5(line) AS line_md5 FROM t""")
+def line_numbers(spark, d):
+    """Whole turns written as sorted lines, a file for each 200 conversations, and read with their numbers by blocks."""
+    path = claim(spark, "lines")
+    either = lambda c, other: F.coalesce(F.col(c), F.lit(other)).alias(c)
+    t = read(spark, d, "conversations").select(either("conv_id", -1), either("turn", -1), either("role", ""), F.regexp_replace(either("text", ""), r"[\t\r\n]", " ").alias("line"))
+    t = t.withColumn("bucket", F.floor(F.col("conv_id") / 200)).repartition("bucket").sortWithinPartitions("bucket", "conv_id", "turn", "role", "line")
+    t.select("bucket", F.concat_ws("\t", "conv_id", "turn", "line").alias("value")).write.partitionBy("bucket").text(path)
+    f = F.split("line", "\t", -1)
+    back = corpus.numbered_lines(spark, path)
+    return back.select(long(F.regexp_extract("at", r"bucket=(-?\d+)", 1)).alias("bucket"), "ord", long(f[0]).alias("conv"), long(f[1]).alias("turn"), F.md5(f[2].cast("binary")).alias("line_md5"))
+
+
 @held("SELECT count(*) AS n FROM conversations WHERE false")
 def shard_arity(spark, d):
     """The same with a least number of fields that no record has."""

@@ -6,18 +6,28 @@ import re
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import newlines
 from loomtext.operators.chunking import is_chunk
 from loomtext.operators.headers import parse
 from loomtext.operators.tables import MARKER, TABLE_REF
+from loomtext.scratch import stash
 
 
-def documents(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
-    """db, path, stem, text of every text file below root/{db}/text, whole, with LF line ends."""
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+def documents(spark: SparkSession, root: str, pattern: str = "*.txt", dbs: Sequence[str] | None = None) -> DataFrame:
+    """db, path, stem, text of every text file below root/{db}/text, whole, with LF line ends.
+
+    With `dbs` only their folders are listed and read; an unknown one among them has no rows, none known is an error of the reader.
+    """
+    if dbs is not None:
+        if not dbs or any(not d or set(d) & set("{}[]*?,\\/") for d in dbs):
+            raise ValueError("dbs: names of folders")
+        at = f"{root}/{{{','.join(dbs)}}}/text"
+    else:
+        at = root
+    raw = spark.read.text(at, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     at = F.url_decode(F.col("_metadata.file_path"))
     rows = raw.select(at.alias("file"), newlines("value").alias("text"))
     return rows.select(
@@ -29,16 +39,32 @@ def documents(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFra
     )
 
 
+def numbered_lines(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
+    """at (the file's address), ord (from 0, empty lines counted) and line of text files; LF, CRLF and CR end lines.
+
+    Files are read in blocks, so a large one is dealt over tasks. A first pass counts the lines of each block without keeping
+    them; a line's number is its place in its block plus the lines of the blocks before. Lines are not shuffled as long as the
+    table of blocks is small enough for the planner to broadcast (its size is known, as it is written first). A file that
+    changes between the passes is an error, unless its blocks keep their numbers of lines. No matching file: no rows.
+    """
+    raw = spark.read.text(root, recursiveFileLookup=True, pathGlobFilter=pattern)
+    lines = raw.select(F.col("_metadata.file_path").alias("at"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+    blocks = lines.groupBy("at", "block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("at").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = stash(blocks.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "blocks")
+    place = F.col("_id") - F.col("_first")
+    number = F.when((place >= 0) & (place < F.col("_n")), place + F.col("_before")).otherwise(F.raise_error(F.concat(F.lit("changed while it was read: "), "at")).cast("long"))
+    return lines.join(blocks, ["at", "block"], "left").select("at", number.alias("ord"), "line")
+
+
 def shards(spark: SparkSession, root: str, columns: Sequence[str], pattern: str = "shard-*.txt", least: int | None = None) -> DataFrame:
     """The tab-separated records of shard files with their file and line number; short records (below `least` fields) are left out.
 
     Only line ends are stripped, so empty fields at the end still count.
     """
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-    lines = raw.select(F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"([^/]+)$", 1).alias("file"), F.posexplode(F.split(newlines("value"), "\n", -1)).alias("ord", "line"))
     f = F.split("line", "\t", -1)
-    rows = lines.where((F.col("ord") > 0) & (F.col("line") != "") & (F.size(f) >= (least or 1)))
-    return rows.select("file", F.col("ord").cast("long"), *(F.get(f, F.lit(i)).alias(c) for i, c in enumerate(columns)))
+    rows = numbered_lines(spark, root, pattern).where((F.col("ord") > 0) & (F.col("line") != "") & (F.size(f) >= (least or 1)))
+    return rows.select(F.regexp_extract(F.url_decode("at"), r"([^/]+)$", 1).alias("file"), "ord", *(F.get(f, F.lit(i)).alias(c) for i, c in enumerate(columns)))
 
 
 def tsv(spark: SparkSession, path: str) -> DataFrame:

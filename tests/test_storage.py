@@ -1,6 +1,8 @@
 """Stores and running numbers: what a run leaves behind, landed trees, groups spread over partitions, packing against a loop."""
 
 import random
+import re
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +27,61 @@ def test_dry_runs_write_nothing(spark, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
+def _with(spark, **settings):
+    """Sets options and returns the ones to put back."""
+    keys = {k.replace("__", "."): v for k, v in settings.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return old
+
+
+def test_lines_of_many_blocks_equal_a_loop(spark, tmp_path):
+    r = random.Random(4)
+    want = {}
+    for name, n in (("shard-00.txt", 4000), ("shard 01%.txt", 300), ("shard-02.txt", 0), ("shard-03.txt", 1)):
+        body = "".join(r.choice(["", "x", "\u00e9\t", "\u6cd5" * r.randint(1, 40), "\t\ty\t"]) + r.choice(["\n", "\n", "\r\n", "\r"]) for _ in range(n)) + r.choice(["", "last"])
+        (tmp_path / name).write_bytes(body.encode())
+        lines = re.split(r"\r\n?|\n", body)
+        want |= {(name, i): x for i, x in enumerate(lines) if i < len(lines) - 1 or x}
+    old = _with(spark, spark__sql__files__maxPartitionBytes="3000", spark__sql__files__openCostInBytes="10")
+    try:
+        lines = corpus.numbered_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 8
+        got = [(unquote(x["at"]).rsplit("/", 1)[1], x["ord"], x["line"]) for x in lines.collect()]
+        assert len(got) == len(want) and {(f, i): x for f, i, x in got} == want
+        rows = corpus.shards(spark, str(tmp_path), ["a", "b"], "shard-00.txt", least=2).collect()
+        assert [(x["ord"], x["a"], x["b"]) for x in sorted(rows, key=lambda x: x["ord"])] == [(i, *x.split("\t")[:2]) for (f, i), x in sorted(want.items()) if f == "shard-00.txt" and i and "\t" in x]
+    finally:
+        _with(spark, **old)
+    assert corpus.numbered_lines(spark, str(tmp_path), "none*.txt").count() == 0
+
+
+def test_other_blocks_in_the_second_pass_are_an_error(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("some words\n" * 2000)
+    old = _with(spark, spark__sql__files__maxPartitionBytes="3000", spark__sql__files__openCostInBytes="10")
+    try:
+        lines = corpus.numbered_lines(spark, str(tmp_path))
+        _with(spark, spark__sql__files__maxPartitionBytes="5000")
+        with pytest.raises(Exception, match="changed while it was read"):
+            lines.collect()
+    finally:
+        _with(spark, **old)
+
+
+def test_only_named_folders_are_read(spark, tmp_path):
+    for db in ("law", "qa", "paper"):
+        (tmp_path / db / "text" / "p").mkdir(parents=True)
+        (tmp_path / db / "text" / "p" / "1.txt").write_text(db)
+    got = corpus.documents(spark, str(tmp_path), dbs=["law", "qa", "none"])
+    assert sorted((x["db"], x["path"], x["stem"], x["text"]) for x in got.collect()) == [("law", "p", "1", "law"), ("qa", "p", "1", "qa")]
+    assert len(got.inputFiles()) == 2
+    assert corpus.documents(spark, str(tmp_path)).count() == 3
+    for bad in ([], ["*"], ["a,b"], [""]):
+        with pytest.raises(ValueError):
+            corpus.documents(spark, str(tmp_path), dbs=bad)
+
+
 def test_landed_trees(spark, tmp_path):
     (tmp_path / "law%2F1.json").write_text('{"tag": "Law", "children": [{"tag": "Article", "attr": {"Num": "1"}, "children": []}]}')
     (tmp_path / "昭和.xml").write_text("<Law><Article Num='2'/></Law>")
