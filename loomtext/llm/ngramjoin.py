@@ -43,6 +43,7 @@ GROUPS = 256
 FULL = 255  # a coordinate that says no more than "so many or more"
 FREQUENT = 400_000  # shingles known as frequent, at most: they only set the order
 BLOCK_ROWS = 4096
+PAIRS = 1 << 17  # candidates that a task holds at once; the same pair may go out again
 BEST_ROUNDS = 1
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -251,13 +252,22 @@ def _across(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def out(t: pa.Table, cut: int) -> pa.RecordBatch:
+        def out(t: pa.Table, cut: int) -> Iterator[pa.RecordBatch]:
             keys = np.stack([t[c].to_numpy() for c in ("bucket", "lo", "hi")], axis=1)[:cut]
             block, minor, cls, comp, n = (t[c].to_numpy()[:cut] for c in ("block", "minor", "class", "component", "n"))
             vec = np.frombuffer(b"".join(t["vec"].slice(0, cut).to_pylist()), np.uint8).reshape(-1, GROUPS)
             head = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), cut] if cut else []
-            pairs_found = {p for a, b in zip(head, head[1:]) for p in pairs(block[a:b], keys[a, 1], keys[a, 2], minor[a:b], cls[a:b], comp[a:b], n[a:b], vec[a:b])}
-            a, b = zip(*pairs_found, strict=True) if pairs_found else ((), ())
+            some: set[tuple[int, int]] = set()
+            for a, b in zip(head, head[1:]):
+                for pair in pairs(block[a:b], keys[a, 1], keys[a, 2], minor[a:b], cls[a:b], comp[a:b], n[a:b], vec[a:b]):
+                    some.add(pair)
+                    if len(some) == PAIRS:
+                        yield listed(some)
+                        some.clear()
+            yield listed(some)
+
+        def listed(some: set[tuple[int, int]]) -> pa.RecordBatch:
+            a, b = zip(*some, strict=True) if some else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
@@ -266,10 +276,10 @@ def _across(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
             keys = np.stack([held[c].to_numpy() for c in ("bucket", "lo", "hi")], axis=1)
             last = int(np.flatnonzero((keys != keys[-1]).any(1))[-1]) + 1 if (keys != keys[-1]).any() else 0
             if last:
-                yield out(held, last)
+                yield from out(held, last)
                 held = held.slice(last)
         if held is not None and len(held):
-            yield out(held, len(held))
+            yield from out(held, len(held))
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -341,8 +351,8 @@ def _classes(rows: DataFrame) -> DataFrame:
 def _buckets(classes: DataFrame, frequent) -> DataFrame:
     """bucket, class, head, size: the members of shingles that more than one class has in its prefix, and the least of them.
 
-    A shingle that is not among the frequent ones has few members in any part of the corpus, so its members may meet in one
-    task, which needs one shuffle of the keys alone. Frequent ones are counted first and joined, and the join may split them.
+    The members of a shingle that is not among the frequent ones pass through one task, in order and never held together, which
+    needs one shuffle of the keys alone. Frequent ones are counted first and joined, and the join may split them.
     """
 
     def keyed(common: bool):
@@ -358,39 +368,44 @@ def _buckets(classes: DataFrame, frequent) -> DataFrame:
 
         return run
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Members of keys that come more than once, with the first and the number of them; the rows are in order."""
-        rest = np.zeros((0, 2), np.int64)
-
-        def out(x: np.ndarray) -> pa.RecordBatch:
-            head = np.flatnonzero(np.append(True, x[1:, 0] != x[:-1, 0])) if len(x) else np.zeros(0, np.int64)
-            size = np.diff(np.append(head, len(x)))
-            first, size = np.repeat(x[head, 1], size), np.repeat(size, size)
-            more = size > 1
-            return pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (x[:, 0], x[:, 1], first, size)], ["bucket", "class", "head", "size"])
-
-        for batch in batches:
-            x = np.concatenate([rest, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)])
-            last = np.searchsorted(x[:, 0], x[-1, 0]) if len(x) else 0
-            yield out(x[:last])
-            rest = x[last:]
-        yield out(rest)
-
-    src, kinds = classes.select("class", "prefix"), "bucket long, class long, head long, size long"
-    rare = src.mapInArrow(keyed(False), "bucket long, class long").repartition(2 * width(classes.sparkSession), "bucket").sortWithinPartitions("bucket", "class").mapInArrow(runs, kinds)
+    src = classes.select("class", "prefix")
+    rare = src.mapInArrow(keyed(False), "bucket long, class long").repartition(2 * width(classes.sparkSession), "bucket").sortWithinPartitions("bucket", "class").mapInArrow(_runs, "bucket long, class long, head long")
     keys = stash(src.mapInArrow(keyed(True), "bucket long, class long"), "keys")
     counted = keys.groupBy("bucket").agg(F.min("class").alias("head"), F.count("*").alias("size")).where("size > 1")
-    both = rare.unionByName(keys.join(counted, "bucket").select("bucket", "class", "head", "size"))
+    both = rare.unionByName(keys.join(counted, "bucket").select("bucket", "class", "head"))
     both = stash(both, "members")
     release(keys)
     # buckets of the same classes are one: members are compared by number, least class and sum of hashes
-    signs = both.groupBy("bucket", "head", "size").agg(F.bit_xor(F.xxhash64("class")).alias("sign"))
-    one = signs.groupBy("head", "size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket")
+    signs = both.groupBy("bucket", "head").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("class")).alias("sign"))
+    one = signs.groupBy("head", "size", "sign").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
     buckets = stash(both.join(one, "bucket"), "buckets")
     release(both)
     return buckets
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of keys that come more than once, with the first of them; the rows are in order.
+
+    Only the last row is kept from batch to batch, with its head and whether it has gone out, so a key may have any number of members.
+    """
+    kept = None
+    for batch in batches:
+        key, cls = (c.to_numpy() for c in batch.columns)
+        if not len(key):
+            continue
+        if kept:
+            key, cls = np.append(kept[0], key), np.append(kept[1], cls)
+        same = key[1:] == key[:-1]
+        more = np.append(False, same) | np.append(same, False)
+        head = cls[np.maximum.accumulate(np.where(np.append(True, ~same), np.arange(len(key)), 0))]
+        gone = False
+        if kept:
+            head[key == kept[0]], gone = kept[2], kept[3]
+        kept = key[-1], cls[-1], head[-1], bool(more[-1])
+        more[0] &= not gone
+        yield pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (key, cls, head)], ["bucket", "class", "head"])
+
+
 def _open(buckets: DataFrame, parts: DataFrame, points: DataFrame) -> DataFrame:
     """The members of buckets with more than one component, dealt as pairs of blocks where a bucket is large."""
     placed = buckets.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,19 @@ def test_runs_of_a_range_meet_its_queries():
     assert curves.span(100) == curves.BLOCK and curves.span(10**9) == curves.SPAN_MOST
 
 
+def test_members_of_keys_pass_in_any_batches():
+    """Every member of a key with two or more, once, with the least; whatever the batches are."""
+    r = np.random.default_rng(11)
+    for _ in range(60):
+        keys = np.sort(np.concatenate([r.integers(-9, 9, int(r.integers(0, 40))), np.full(int(r.integers(0, 60)), 3)]))
+        cls = np.concatenate([np.sort(r.choice(1000, int((keys == k).sum()), replace=False)) for k in np.unique(keys)]) if len(keys) else np.zeros(0, np.int64)
+        cuts = sorted(r.integers(0, len(keys) + 1, int(r.integers(0, 9))).tolist())
+        parts = [pa.RecordBatch.from_arrays([pa.array(x[a:b].astype(np.int64)) for x in (keys, cls)], ["bucket", "class"]) for a, b in zip([0, *cuts], [*cuts, len(keys)])]
+        got = [tuple(x.values()) for b in ngramjoin._runs(iter(parts)) for x in b.to_pylist()]
+        want = [(k, c, cls[keys == k].min()) for k, c in zip(keys.tolist(), cls.tolist()) if (keys == k).sum() > 1]
+        assert got == want
+
+
 # 8
 
 
