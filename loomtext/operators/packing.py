@@ -152,7 +152,7 @@ def with_names(packed: DataFrame, group: Sequence[str], prefix: str = "shard") -
     keys = [*group, "_all"]
     rows = packed.withColumn("_all", F.lit(0))
     total = rows.groupBy(*keys).agg((F.max("shard") + 1).alias("_n"))
-    return rows.join(total, keys).withColumn("file", shard_name(prefix, F.col("shard"), F.col("_n"))).drop("_n", "_all")
+    return rows.join(total if group else F.broadcast(total), keys).withColumn("file", shard_name(prefix, F.col("shard"), F.col("_n"))).drop("_n", "_all")
 
 
 def _ranged(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -11,15 +11,17 @@ from loomtext.functions.text import tokens
 
 
 def write_shards(packed: DataFrame, columns: Sequence[str], path: str, order: Sequence[str], dry_run: bool = False) -> DataFrame:
-    """One tab-separated text per shard file, header first, as partitions `file=...`; returns file and text.
+    """One tab-separated text per shard file, header first, as rows (file, text) of a table; returns file and text.
 
     The folder holds the shards of one collection and nothing else (indexes lie elsewhere): it is overwritten as a whole, so
     shards of an earlier run with more of them go. A shard holds no more than the token cap, so its lines fit a row.
+    A folder for each shard would have the driver move, list and delete one for each 9,500 tokens; here the tasks decide
+    how many files there are, and within these names are sorted, so a reader of one name skips what lies elsewhere.
     """
     line = F.concat_ws("\t", *(F.coalesce(c, F.lit("")) for c in columns))
     texts = packed.groupBy("file").agg(F.concat(F.lit("\t".join(columns) + "\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, line.alias("_l")))), lambda x: x["_l"]), "\n"), F.lit("\n")).alias("text"))
     if not dry_run:
-        texts.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file").parquet(path)
+        texts.sortWithinPartitions("file").write.mode("overwrite").parquet(path)
     return texts
 
 

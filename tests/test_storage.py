@@ -20,6 +20,14 @@ def test_fewer_shards_leave_no_old_ones(spark, tmp_path):
     assert sorted((r["file"], r["text"]) for r in spark.read.parquet(out).collect()) == [(f"shard-{i:02d}.txt", "x\nv3\n") for i in range(3)]
 
 
+def test_files_follow_tasks_not_shards(spark, tmp_path):
+    out = tmp_path / "s"
+    rows = spark.range(400).select(F.format_string("shard-%03d.txt", F.col("id")).alias("file"), F.col("id").alias("ord"), F.lit("v").alias("x"))
+    sinks.write_shards(rows, ["x"], str(out), ["ord"])
+    assert [p for p in out.iterdir() if p.is_dir()] == [] and len(list(out.glob("*.parquet"))) <= 4
+    assert sorted((r["file"], r["text"]) for r in spark.read.parquet(str(out)).collect()) == [(f"shard-{i:03d}.txt", "x\nv\n") for i in range(400)]
+
+
 def test_dry_runs_write_nothing(spark, tmp_path):
     rows = spark.createDataFrame([("shard-00.txt", 0, "x", "a", "t")], "file string, ord int, x string, db string, stem string")
     sinks.write_shards(rows, ["x"], str(tmp_path / "a"), ["ord"], dry_run=True)
