@@ -20,10 +20,11 @@ from dataclasses import dataclass
 from functools import cache, lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from loomtext.functions.slices import by_slices
 from loomtext.functions.text import tokens
 from loomtext.operators.headers import DIALECT, split_header
 
@@ -94,10 +95,14 @@ def _encoder(path: str):
     return t
 
 
-@lru_cache(256)
 def count_tokens(text: str, vocabulary: str = "") -> int:
     """Tokens of a text: bytes div 3, or what the vocabulary gives."""
-    return len(_encoder(vocabulary).encode_batch_fast([text], add_special_tokens=False)[0].ids) if vocabulary else len(text.encode()) // 3
+    return _library_count(text, vocabulary) if vocabulary else len(text.encode()) // 3
+
+
+@lru_cache(256)
+def _library_count(text: str, vocabulary: str) -> int:
+    return len(_encoder(vocabulary).encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
 
 class TokenSizes(Sizes):
@@ -248,14 +253,11 @@ def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: st
     over = docs.where(large & ~is_chunk(body)).withColumn("_p", parts)
     whole = docs.where(~large | is_chunk(body)).select(*docs.columns, F.col(stem).alias("base_id"), F.lit(1).alias("chunk_n"), F.lit(1).alias("chunk_total"))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def chunks(stems, dbs, headers, bodies):
-        import pandas as pd
-
-        return pd.Series([split_text(*x, limits) for x in zip(stems, dbs, headers, bodies)])
+    def chunks(stems: list[str], dbs: list[str], headers: list[str], bodies: list[str]) -> list[list[str]]:
+        return [split_text(*x, limits) for x in zip(stems, dbs, headers, bodies)]
 
-    # nondeterministic to the planner, so that it never runs twice for a row
-    made = over.withColumn("_c", chunks.asNondeterministic()(F.col(stem), F.coalesce(F.col(db), F.lit("")), F.col("_p.header"), F.col("_p.body")))
+    given = (F.col(stem), F.coalesce(F.col(db), F.lit("")), F.col("_p.header"), F.col("_p.body"))
+    made = over.withColumn("_c", by_slices(chunks, pa.list_(pa.string()), "array<string>", *given))
     rows = made.select(*docs.columns, F.size("_c").alias("chunk_total"), F.posexplode("_c").alias("_n", "_t"))
     name = F.when(F.col("_n") == 0, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), (F.col("_n") + 1).cast("string")))
     cols = [F.col("_t").alias(text) if c == text else name.alias(stem) if c == stem else F.col(c) for c in docs.columns]
