@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomtext.functions.slices import by_slices
 from loomtext.functions.text import once, rstrip, strip
 from loomtext.operators.chunking import Limits, split
 from loomtext.operators.tree import SUPPLEMENT, Node, child_text, collect, first, parse, text_of
 
 RAW_GRID = "array<array<struct<t: string, rs: int>>>"
+_GRIDS = pa.list_(pa.list_(pa.list_(pa.string())))
 TABLE_REF = "次の表|左の表|下の表"
 MARKER = "<!--TABLE_INSERTED-->"
 
@@ -133,34 +134,33 @@ def appendix(node: Node, tables_only: bool = False) -> tuple[str, str]:
 def appendices(laws: DataFrame, tree: str = "tree", drop_supplement: bool = True, tables_only: bool = False) -> DataFrame:
     """The law's columns, idx (counted before empty ones go), name beppyo-idx, title and body of each appendix table."""
 
-    @F.pandas_udf("array<struct<idx: int, title: string, body: string>>")
-    def run(trees: pd.Series) -> pd.Series:
+    def run(trees: list[str | None]) -> list[list[dict]]:
         out = []
         for x in trees:
             t = parse(x)
             found = [appendix(a, tables_only) for a in collect(t, "AppdxTable", SUPPLEMENT if drop_supplement else None)] if t else []
             out.append([{"idx": i, "title": h, "body": b} for i, (h, b) in enumerate(found, 1) if b.strip()])
-        return pd.Series(out)
+        return out
 
-    rows = laws.select(*[c for c in laws.columns if c != tree], F.explode(run(F.col(tree))).alias("a"))
+    kind = pa.list_(pa.struct([("idx", pa.int32()), ("title", pa.string()), ("body", pa.string())]))
+    rows = laws.select(*[c for c in laws.columns if c != tree], F.explode(by_slices(run, kind, "array<struct<idx: int, title: string, body: string>>", F.col(tree))).alias("a"))
     return rows.select("*", "a.idx", F.concat(F.lit("beppyo-"), F.col("a.idx").cast("string")).alias("name"), "a.title", "a.body").drop("a")
 
 
 def article_grids(tree: Column | str, num: Column | str, fixed: bool = True, keep_empty: bool = True) -> Column:
     """The grids of the tables of the article with this number (the first in document order)."""
 
-    @F.pandas_udf("array<array<array<string>>>")
-    def run(trees: pd.Series, nums: pd.Series) -> pd.Series:
+    def run(trees: list[str | None], nums: list[str | None]) -> list[list | None]:
         out = []
         for x, n in zip(trees, nums):
             t = parse(x)
             a = first(t, lambda k: k.tag == "Article" and k.attr.get("Num") == n) if t else None
             grids = [expand(raw_rows(s, True, True, False), fixed) for s in collect(a, "TableStruct")] if a else None
             out.append(grids if grids is None or keep_empty else [g for g in grids if g])
-        return pd.Series(out)
+        return out
 
     c = lambda v: F.col(v) if isinstance(v, str) else v
-    return run(c(tree), c(num))
+    return by_slices(run, _GRIDS, "array<array<array<string>>>", c(tree), c(num))
 
 
 def law_tables(laws: DataFrame, key: str, tree: str = "tree", fixed: bool = True) -> DataFrame:
@@ -169,8 +169,7 @@ def law_tables(laws: DataFrame, key: str, tree: str = "tree", fixed: bool = True
     Of articles with the same number the first counts; an article without tables has an empty list, so that it differs from one that isn't there.
     """
 
-    @F.pandas_udf("array<struct<article: string, grids: array<array<array<string>>>>>")
-    def run(trees: pd.Series) -> pd.Series:
+    def run(trees: list[str | None]) -> list[list[dict]]:
         out = []
         for x in trees:
             found: dict[str, list] = {}
@@ -178,9 +177,10 @@ def law_tables(laws: DataFrame, key: str, tree: str = "tree", fixed: bool = True
             for a in collect(t, "Article") if t else ():
                 found.setdefault(a.attr.get("Num") or "", [expand(raw_rows(s, True, True, False), fixed) for s in collect(a, "TableStruct")])
             out.append([{"article": n, "grids": g} for n, g in found.items()])
-        return pd.Series(out)
+        return out
 
-    return laws.select(key, F.inline(run(F.col(tree))))
+    kind = pa.list_(pa.struct([("article", pa.string()), ("grids", _GRIDS)]))
+    return laws.select(key, F.inline(by_slices(run, kind, "array<struct<article: string, grids: array<array<array<string>>>>>", F.col(tree))))
 
 
 def with_grids(docs: DataFrame, laws: DataFrame, key: str, article: str = "article", tree: str = "tree", fixed: bool = True) -> DataFrame:

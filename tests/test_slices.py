@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from loomtext.functions.slices import by_slices, cuts
-from loomtext.operators import chunking
+from loomtext.operators import chunking, tree
 
 
 def test_a_function_sees_slices(spark):
@@ -24,3 +24,20 @@ def test_split_by_slices_equals_each_document(spark):
     for r in chunking.split(rows, limits).collect():
         by.setdefault(r["base_id"], []).append((r["chunk_n"], r["text"]))
     assert {k: [t for _, t in sorted(v)] for k, v in by.items()} == {k: chunking.split_text(k, "qa", "", t, limits) for k, t in texts.items()}
+
+
+def test_nodes_leave_in_parts(spark):
+    def tree_of(n):
+        return '{"tag":"Law","children":[' + ",".join(['{"tag":"Article","attr":{"Num":"1"},"children":["x",{"tag":"Rt","children":["y"]}]}'] * n) + "]}"
+
+    laws = spark.createDataFrame([(i, tree_of(n)) for i, n in enumerate((3_000, 0, 5_000, 1))] + [(8, None), (9, "broken")], "law int, tree string").coalesce(1)
+    got = tree.nodes(laws, "law", "tree")
+    assert {r["law"]: r["count"] for r in got.groupBy("law").count().collect()} == {0: 6_001, 1: 1, 2: 10_001, 3: 3}
+    last = got.where("law = 3").orderBy("path").collect()
+    assert [(r["path"], r["tag"], r["attr"], r["text"], r["in_supplement"]) for r in last] == [([0], "Law", {}, "", False), ([0, 0], "Article", {"Num": "1"}, "x", False), ([0, 0, 1], "Rt", {}, "y", False)]
+
+
+def test_a_nodes_batch_is_bounded():
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(['{"tag":"a","children":[' + ",".join(['{"tag":"b"}'] * 9_999) + "]}"])], ["law", "tree"])
+    sizes = [b.num_rows for b in tree.listed([batch], "law")]
+    assert max(sizes) == tree.NODE_ROWS and sum(sizes) == 10_000
