@@ -7,8 +7,8 @@ place. So two words one edit apart share max(L, M) - 5 trigrams, at places that
 * Each word goes to its four rarest trigrams: of two words one edit apart, the rarest trigram that both share is
   among the four rarest of each. Trigrams with many words are split into blocks, and pairs of blocks are dealt.
 * In such a cell an inverted index maps (trigram, length, place) to words. Words come from short to long; each
-  heap-merges the postings of its own trigrams at lengths L - 1 and L and at places one apart at most, keeps words
-  that come up L - 5 times or more, verifies these letter by letter, and then enters the index itself.
+  heap-merges the postings, at lengths L - 1 and L and at places one apart at most, of the four of its trigrams that have
+  the shortest (L - 5 of L - 2 come up, so one of any four does), verifies what comes up letter by letter, and enters the index.
 * Forms are followed by doubling: each round joins roots to roots until none changes.
 
 Defined results: null and empty texts have no words; a null id is hashed as the empty text; repeated rows count each; an
@@ -34,7 +34,8 @@ LETTERS = 90  # a to z and U+00C0 to U+00FF
 LEAST_LETTERS, LEAST_COUNT = 6, 5
 RATIO = 5
 MODULUS = 199
-PREFIX = 4
+SPOILED = 3  # trigrams that one edit spoils at most
+PREFIX = SPOILED + 1
 CELL_WORDS, CELL_LETTERS = 4_096, 1 << 18
 
 
@@ -108,8 +109,9 @@ def one_edit(a: str, b: str) -> bool:
     """Whether one inserted, deleted or replaced letter makes one word of the other."""
     if len(a) < len(b):
         a, b = b, a
-    if len(a) - len(b) > 1 or a == b:
-        return False
+    half = len(b) // 2
+    if len(a) - len(b) > 1 or a == b or (a[:half] != b[:half] and a[len(a) - len(b) + half :] != b[half:]):
+        return False  # the edit leaves one half as it was
     i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
     return a[i + 1 :] == b[i + (len(a) == len(b)) :]
 
@@ -127,25 +129,36 @@ def _often(postings: Iterable[list[int]], least: int) -> Iterator[int]:
 
 
 def near_in_cell(texts: list[str], blocks: list[int], i: int, j: int) -> Iterator[tuple[int, int]]:
-    """The pairs of words (by number) of the cell i, j that are one edit apart; in a cell of two blocks only those of both."""
-    index: dict[tuple[str, int, int, int], list[int]] = defaultdict(list)
+    """The pairs of words (by number) of the cell i, j that are one edit apart; in a cell of two blocks only those of both.
+
+    Of the L - 2 trigrams of a word, L - 5 at least are in a word one edit apart that is no longer, so such a word is in the
+    postings of one at least of any four of them. Only those of the four with the shortest postings are merged.
+    """
+    index: dict[tuple[int, int], dict[str, dict[int, list[int]]]] = defaultdict(dict)  # length, block: trigram: place: words
     order = sorted(range(len(texts)), key=lambda k: (len(texts[k]), texts[k]))
     for place, k in enumerate(order):
         w, size = texts[k], len(texts[k])
         own = blocks[k]
-        other = i + j - own
-        found = []
-        for p in range(size - 2):
-            g = w[p : p + 3]
-            for length in (size - 1, size):
-                for q in (p - 1, p, p + 1):
-                    if got := index.get((g, length, q, other)):
-                        found.append(got)
-        for at in _often(found, size - 5):
-            if one_edit(w, texts[order[at]]):
-                yield k, order[at]
-        for p in range(size - 2):
-            index[w[p : p + 3], size, p, own].append(place)
+        grams = [w[p : p + 3] for p in range(size - 2)]
+        near_lengths = [x for x in (index.get((size - 1, i + j - own)), index.get((size, i + j - own))) if x]
+        if near_lengths:
+            found = []
+            for p, g in enumerate(grams):
+                n, lists = 0, []
+                for of in near_lengths:
+                    if at := of.get(g):
+                        for q in (p - 1, p, p + 1):
+                            if got := at.get(q):
+                                lists.append(got)
+                                n += len(got)
+                found.append((n, p, lists))
+            found.sort()
+            for at in _often([x for _, _, lists in found[: SPOILED + 1] for x in lists], 1):
+                if one_edit(w, texts[order[at]]):
+                    yield k, order[at]
+        into = index[size, own]
+        for p, g in enumerate(grams):
+            into.setdefault(g, {}).setdefault(p, []).append(place)
 
 
 def near(vocabulary: DataFrame) -> DataFrame:
