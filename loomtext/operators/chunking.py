@@ -6,7 +6,8 @@ the text is no boundary, so the last unit is a chunk of its own unless it is sma
 By default tokens are UTF-8 bytes div 3 of a span, so prefix sums of bytes make a cut O(log n) and a document O(n log n).
 With a vocabulary (`Limits.vocabulary`, a file of the tokenizers library) they are the tokens that it gives. These don't add up
 over spans, so a cut gallops: from the boundary that the tokens of the whole text suggest, and never below the one that bytes
-alone guarantee, ever larger steps are measured, then halved; each chunk has been measured as it is when it is cut.
+alone guarantee, ever larger steps are measured, then halved; each chunk has been measured as it is when it is cut. Of a plain
+byte-level vocabulary the tokens within a span add up: distinct pieces are encoded once, and of a span only its two edges.
 
 A document is one row of one task; nothing is collected across documents.
 """
@@ -14,10 +15,12 @@ A document is one row of one task; nothing is collected across documents.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +160,72 @@ class TokenSizes(Sizes):
         return min((abs(self(0, b) - self(b, end)), b) for b in near)[1]
 
 
+EDGE = 4  # a cut changes no piece that begins so many letters or more from it, white space that it touches apart
+
+
+@cache
+def _pieces(path: str) -> Pieces | None:
+    """The pieces of a plain byte-level vocabulary; None for any other."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and model.get("type") == "BPE"
+    odd = spec.get("normalizer") or spec.get("post_processor") or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    return Pieces(path, [t["content"] for t in spec.get("added_tokens") or []]) if plain and not odd else None
+
+
+class Pieces:
+    """Where the tokens of texts end, by a vocabulary whose tokens lie in pieces that a pattern cuts: each distinct piece is encoded once."""
+
+    def __init__(self, path: str, added: list[str]) -> None:
+        from loomtext.llm import wordscan
+
+        self.path, self.added, self.scan = path, added, wordscan
+        encoder = _encoder(path)
+        self.coder = wordscan.PieceCoder(lambda pieces: [[e for _, e in encoder.encode(p, add_special_tokens=False).offsets] for p in pieces])
+
+    def sizes(self, texts: list[str]) -> Iterator[PieceSizes | None]:
+        """Of each text; None for one that holds an added token, which the pattern doesn't see."""
+        for a, b in self.scan.slabs(texts):
+            part = texts[a:b]
+            cp, at = self.scan.points(part)
+            s, e = self.scan.byte_level_cuts(cp, at)
+            flat, n = self.coder(cp, s, e)
+            before = np.append(0, np.cumsum(n))
+            ends = flat.astype(np.int64) + np.repeat(s, n)
+            own = np.searchsorted(s, at).tolist()
+            for t, lo, hi, zero in zip(part, own, own[1:], at.tolist()):
+                known = not any(x in t for x in self.added)
+                yield PieceSizes(t, self.path, (s[lo:hi] - zero).tolist(), (before[lo : hi + 1] - before[lo]).tolist(), ends[before[lo] : before[hi]] - zero) if known else None
+
+
+class PieceSizes(TokenSizes):
+    """The same numbers as TokenSizes: the pieces within a span are those of the whole text, only its edges are encoded again."""
+
+    def __init__(self, text: str, vocabulary: str, starts: list[int], before: list[int], ends: np.ndarray) -> None:
+        self.text, self.vocabulary, self.starts, self.before, self.ends = text, vocabulary, starts, before, ends
+
+    @cached_property
+    def at(self) -> np.ndarray:
+        return Sizes(self.text).at
+
+    def __call__(self, a: int, b: int, head: str = "") -> int:
+        """Tokens of the span behind `head`."""
+        i, j = bisect.bisect_left(self.starts, a + EDGE), bisect.bisect_right(self.starts, b - EDGE) - 1
+        while i < j and self.text[self.starts[i] - 1].isspace():
+            i += 1
+        if i >= j:
+            return count_tokens(head + self.text[a:b], self.vocabulary)
+        x, y = self.starts[i], self.starts[j]
+        return count_tokens(head + self.text[a:x], self.vocabulary) + self.before[j] - self.before[i] + count_tokens(self.text[y:b], self.vocabulary)
+
+
+def known_sizes(texts: list[str], vocabulary: str) -> Iterator[PieceSizes | None]:
+    """Sizes of texts that are cheaper made together; None where each is on its own."""
+    pieces = _pieces(vocabulary) if vocabulary else None
+    return pieces.sizes(texts) if pieces else repeat(None, len(texts))
+
+
 def sizes_of(text: str, vocabulary: str = "") -> Sizes:
     return TokenSizes(text, vocabulary) if vocabulary else Sizes(text)
 
@@ -191,10 +260,13 @@ def cut(body: str, budget: int, levels: list[list[int]], size: Sizes | None = No
     return [body[a:b] for a, b in spans(0, len(body), 0) if a < b]
 
 
-def merge_small(chunks: list[str], small: int = SMALL, vocabulary: str = "") -> list[str]:
+def merge_small(chunks: list[str], small: int = SMALL, vocabulary: str = "", size: Sizes | None = None) -> list[str]:
+    """`size` measures the text that the chunks make up."""
     out = chunks[:1]
+    at = len(chunks[0]) if chunks else 0
     for c in chunks[1:]:
-        if count_tokens(c, vocabulary) < small:
+        n, at = size(at, at + len(c)) if size else count_tokens(c, vocabulary), at + len(c)
+        if n < small:
             out[-1] += c
         else:
             out.append(c)
@@ -213,20 +285,21 @@ def halves(body: str, first: int, second: int, levels: list[list[int]], size: Si
     return None
 
 
-def split_text(stem: str, db: str, header: str, body: str, limits: Limits = Limits()) -> list[str]:
-    """The noted chunks of a document; one element if it stays whole."""
+def split_text(stem: str, db: str, header: str, body: str, limits: Limits = Limits(), known: PieceSizes | None = None) -> list[str]:
+    """The noted chunks of a document; one element if it stays whole. `known` are the sizes of the body, if it has been measured."""
     count = lambda s: count_tokens(s, limits.vocabulary)
+    under = lambda head: known(0, len(body), head) if known and not any(t in head for t in _pieces(limits.vocabulary).added) else count(head + body)
     whole = header + body
-    if count(whole) <= limits.most:
+    if under(header) <= limits.most:
         return [whole]
     budget = limits.target - count(header) - NOTE
     if budget < limits.least_budget:
         header = "\n".join(header.split("\n")[:2]) + "\n"
         budget = limits.target - count(header) - NOTE
-    if count(header + body) <= limits.target:
+    if under(header) <= limits.target:
         return [whole]
-    levels, size = boundaries(body, db, limits.heading), sizes_of(body, limits.vocabulary)
-    parts = merge_small(cut(body, budget, levels, size), limits.small, limits.vocabulary)
+    levels, size = boundaries(body, db, limits.heading), known or sizes_of(body, limits.vocabulary)
+    parts = merge_small(cut(body, budget, levels, size), limits.small, limits.vocabulary, known)
     if len(parts) <= 1:
         return [whole]
     if len(parts) >= 3:
@@ -254,7 +327,7 @@ def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: st
     whole = docs.where(~large | is_chunk(body)).select(*docs.columns, F.col(stem).alias("base_id"), F.lit(1).alias("chunk_n"), F.lit(1).alias("chunk_total"))
 
     def chunks(stems: list[str], dbs: list[str], headers: list[str], bodies: list[str]) -> list[list[str]]:
-        return [split_text(*x, limits) for x in zip(stems, dbs, headers, bodies)]
+        return [split_text(*x, limits, known) for *x, known in zip(stems, dbs, headers, bodies, known_sizes(bodies, limits.vocabulary), strict=True)]
 
     given = (F.col(stem), F.coalesce(F.col(db), F.lit("")), F.col("_p.header"), F.col("_p.body"))
     made = over.withColumn("_c", by_slices(chunks, pa.list_(pa.string()), "array<string>", *given))
@@ -268,13 +341,11 @@ def split(docs: DataFrame, limits: Limits = Limits(), stem: str = "stem", db: st
 def measured(text: Column | str, vocabulary: str) -> Column:
     """Tokens of each text by a vocabulary of the tokenizers library; of a null text 0."""
 
-    @F.pandas_udf("long")
-    def run(texts):
-        import pandas as pd
-
-        return pd.Series([count_tokens(t or "", vocabulary) for t in texts])
+    def run(texts: list[str | None]) -> list[int]:
+        whole = [t or "" for t in texts]
+        return [len(s.ends) if s else count_tokens(t, vocabulary) for t, s in zip(whole, known_sizes(whole, vocabulary), strict=True)]
 
-    return run(F.col(text) if isinstance(text, str) else text)
+    return by_slices(run, pa.int64(), "long", F.col(text) if isinstance(text, str) else text)
 
 
 def unsplit(chunks: DataFrame, base: str = "base_id", n: str = "chunk_n", text: str = "text") -> DataFrame:

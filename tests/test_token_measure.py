@@ -83,3 +83,33 @@ def test_short_texts_stay_whole(spark):
     for r in chunking.split(spark.createDataFrame([("qa", str(i), t) for i, t in enumerate([*TEXTS[:4], "", None, "tiny"])], "db string, stem string, text string"), limits).collect():
         by.setdefault(r["base_id"], []).append(r)
     assert all(len(by[str(i)]) == 1 for i in (4, 5, 6))
+
+
+ODD = ["", "a", "\n\n\n\nx \n\n  y\t\n 's'sx're 'll\n'\n", "it's we're\n\n\n'tis 'r 're\n", "12 34\n5   6\u0085\n\n", "héé́ 東京!!\n!?'s x", "a <|endoftext|> b\n" * 9]
+
+
+def test_sizes_by_pieces_equal_the_library():
+    import random
+
+    r = random.Random(5)
+    texts = [*ODD, *TEXTS[:2], *("".join(r.choice(["\n", " ", "'", "s", "re", "'ll", "!", "7", "é", "word", "\n\n", "\t", "東"]) for _ in range(r.randrange(60))) for _ in range(150))]
+    for text, size in zip(texts, chunking.known_sizes(texts, PATH), strict=True):
+        if "<|endoftext|>" in text:
+            assert size is None
+            continue
+        plain = chunking.TokenSizes(text, PATH)
+        assert size.ends.tolist() == plain.ends.tolist()
+        for _ in range(60):
+            a, b = sorted((r.randrange(len(text) + 1), r.randrange(len(text) + 1)))
+            assert size(a, b) == plain(a, b), (text, a, b)
+            head = r.choice(["", "law: x\n\n", "---\n", "a '", "x "])
+            assert size(0, b, head) == chunking.count_tokens(head + text[:b], PATH), (text, b, head)
+
+
+@pytest.mark.parametrize("db", ["qa", "law", "paper"])
+def test_chunks_by_pieces_equal_those_without(db):
+    limits = chunking.Limits(most=600, target=560, small=20, least_budget=100, vocabulary=PATH)
+    for head in ("", "law: L1\narticle: 1\n\n", "x " * 450 + "\n\n"):
+        for text, known in zip(TEXTS, chunking.known_sizes(TEXTS, PATH), strict=True):
+            assert isinstance(known, chunking.PieceSizes)
+            assert chunking.split_text("7", db, head, text, limits, known) == chunking.split_text("7", db, head, text, limits)
