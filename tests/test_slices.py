@@ -3,7 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from loomtext.functions.slices import by_slices, cuts
+from loomtext.functions.slices import SLICE_BYTES, by_slices, cuts
 from loomtext.operators import chunking, tree
 
 
@@ -26,6 +26,21 @@ def test_split_by_slices_equals_each_document(spark):
     assert {k: [t for _, t in sorted(v)] for k, v in by.items()} == {k: chunking.split_text(k, "qa", "", t, limits) for k, t in texts.items()}
 
 
+def test_split_holds_a_slice_of_a_batch(spark, monkeypatch):
+    most = SLICE_BYTES
+
+    def only_a_slice(bodies, vocabulary):
+        assert len(bodies) == 1 or sum(len(b.encode()) for b in bodies) <= most, f"{len(bodies)} documents at once"
+        return [None] * len(bodies)
+
+    monkeypatch.setattr(chunking, "known_sizes", only_a_slice)
+    limits = chunking.Limits(most=600, target=560, small=20, least_budget=100)
+    text = "\n".join(f"line {k}" for k in range(300))
+    rows = spark.range(0, 3_000, 1, 1).select(F.col("id").cast("string").alias("stem"), F.lit("qa").alias("db"), F.lit(text).alias("text"))
+    got = chunking.split(rows, limits)
+    assert len(text) * 3_000 > 4 * SLICE_BYTES and got.select(F.count_distinct("base_id")).first()[0] == 3_000
+
+
 def test_nodes_leave_in_parts(spark):
     def tree_of(n):
         return '{"tag":"Law","children":[' + ",".join(['{"tag":"Article","attr":{"Num":"1"},"children":["x",{"tag":"Rt","children":["y"]}]}'] * n) + "]}"
