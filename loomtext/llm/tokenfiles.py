@@ -68,8 +68,8 @@ def encoder(path: str):
         for a, b in wordscan.slabs(texts):
             part = texts[a:b]
             cp, at = wordscan.points(part)
-            strange = np.append(0, np.cumsum((cp >= _PLAIN) | (cp == 0x130)))
-            odd = {i for i, x in enumerate(part) if strange[at[i]] < strange[at[i + 1]] or any(s in x for s in special)}
+            strange = np.flatnonzero((cp >= _PLAIN) | (cp == 0x130))
+            odd = {*(np.searchsorted(at, strange, "right") - 1).tolist(), *(i for i, x in enumerate(part) if any(s in x for s in special))}
             if odd:
                 cp, at = wordscan.points([x if i not in odd else "" for i, x in enumerate(part)])
             cp = lower[cp]

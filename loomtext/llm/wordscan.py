@@ -203,17 +203,35 @@ def spread(offset: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(offset - (ends - length), length) + np.arange(total)
 
 
+_FILL = np.array([0, (1 << 21) - 1, (1 << 42) - 1, (1 << 63) - 1], np.uint64)
+
+
+def triples(cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each cp[s:e] as words of three letters (code point + 1, so that no letter is 0), one word at least; where its words start and end."""
+    letter = np.zeros(len(cp) + 3, np.uint64)
+    np.add(cp, 1, out=letter[:-3], casting="unsafe")
+    every = letter[:-2] | letter[1:-1] << np.uint64(21)
+    every[:-1] |= letter[2:-1] << np.uint64(42)
+    n = np.maximum(1, (e - s + 2) // 3)
+    end = np.cumsum(n)
+    start = end - n
+    words = every[np.repeat(s - 3 * start, n) + 3 * np.arange(int(end[-1]))]
+    words[end - 1] &= _FILL[e - s - 3 * (n - 1)]
+    return words, start, end
+
+
 class _Buffer:
     """An array that grows at its end."""
 
-    def __init__(self) -> None:
-        self.data, self.used = np.zeros(1 << 12, np.uint32), 0
+    def __init__(self, kind: type = np.uint32, *shape: int) -> None:
+        self.data, self.used = np.zeros((1 << 12, *shape), kind), 0
 
     def add(self, x: np.ndarray) -> int:
         """Where x starts."""
         at, end = self.used, self.used + len(x)
         if end > len(self.data):
-            self.data = np.concatenate([self.data[:at], np.zeros(max(end, 2 * len(self.data)) - at, np.uint32)])
+            more = np.zeros((max(end, 2 * len(self.data)) - at, *self.data.shape[1:]), self.data.dtype)
+            self.data = np.concatenate([self.data[:at], more])
         self.data[at:end] = x
         self.used = end
         return at
@@ -222,7 +240,7 @@ class _Buffer:
 class PieceCoder:
     """Ids of pieces; `encode` gets the strings of the pieces that are new.
 
-    Pieces are found by hash and then compared letter by letter, so equal hashes of different pieces change nothing:
+    Pieces are found by hash and then compared by their letters, so equal hashes of different pieces change nothing:
     such pieces are encoded on their own. About `room` bytes are kept from one slab to the next; what goes is only
     encoded again.
     """
@@ -232,55 +250,86 @@ class PieceCoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.cols = np.zeros((4, 0), np.int32)  # of each key: first letter, letters, first id, ids
-        self.letters, self.ids = _Buffer(), _Buffer()
+        self.slots = np.full(1 << 12, -1, np.int32)  # numbers of pieces, from the lowest bits of the hash on the next free slot
+        self.keys, self.rows = _Buffer(np.uint64), _Buffer(np.int32, 4)  # by number: hash; first word, words, first id, ids
+        self.words, self.ids = _Buffer(np.uint64), _Buffer()
 
     def _bytes(self) -> int:
-        return self.keys.nbytes + self.cols.nbytes + 4 * (self.letters.used + self.ids.used)
+        return self.slots.nbytes + 24 * self.keys.used + 8 * self.words.used + 4 * self.ids.used
 
-    def _strings(self, cp: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[str]]:
-        letters = cp[spread(s, n)]
-        text = letters.tobytes().decode("utf-32-le")
+    def _strings(self, cp: np.ndarray, s: np.ndarray, n: np.ndarray) -> list[str]:
+        text = cp[spread(s, n)].tobytes().decode("utf-32-le")
         cut = np.append(0, np.cumsum(n)).tolist()
-        return letters, [text[a:b] for a, b in zip(cut, cut[1:])]
+        return [text[a:b] for a, b in zip(cut, cut[1:])]
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.encode(pieces)
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum())), n
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        last = len(self.slots) - 1
+        at = (keys & np.uint64(last)).astype(np.int64)
+        out = self.slots[at]
+        live = np.flatnonzero((out >= 0) & (self.keys.data[out] != keys))
+        at = at[live]
+        while len(live):
+            at = at + 1 & last
+            out[live] = n = self.slots[at]
+            go = (n >= 0) & (self.keys.data[n] != keys[live])
+            live, at = live[go], at[go]
+        return out
+
+    def _enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct hashes that have no number yet."""
+        last = len(self.slots) - 1
+        at = (keys & np.uint64(last)).astype(np.int64)
+        while len(at):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = numbers[free]
+            rest = self.slots[at] != numbers  # of several for one slot the last has it
+            at, numbers = at[rest] + 1 & last, numbers[rest]
+
+    def _learn(self, keys: np.ndarray, rows: np.ndarray) -> int:
+        """The number of the first of them."""
+        self.keys.add(keys)
+        at, n = self.rows.add(rows), self.keys.used
+        if 2 * n > len(self.slots):
+            self.slots = np.full(1 << int(4 * n - 1).bit_length(), -1, np.int32)
+            self._enter(self.keys.data[:n], np.arange(n, dtype=np.int32))
+        else:
+            self._enter(keys, np.arange(at, n, dtype=np.int32))
+        return at
+
     def __call__(self, cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each piece has."""
         if not len(s):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if self._bytes() > self.room:
             self.forget()
-        lens = e - s
-        keys, where, back = np.unique(hashes(cp, s, e), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
-        fresh = np.flatnonzero(~known)
+        words, a, b = triples(cp, s, e)
+        keys, size = hashes(words, a, b), b - a
+        number = self._find(keys)
+        fresh = np.flatnonzero(number < 0)
         if len(fresh):
-            w = where[fresh]
-            letters, pieces = self._strings(cp, s[w], lens[w])
-            ids, n = self._encoded(pieces)
-            cols = np.stack([self.letters.add(letters) + np.cumsum(lens[w]) - lens[w], lens[w], self.ids.add(ids) + np.cumsum(n) - n, n])
-            self.cols = np.insert(self.cols, at[fresh], cols.astype(np.int32), axis=1)
-            self.keys = np.insert(self.keys, at[fresh], keys[fresh])
-            at = np.searchsorted(self.keys, keys)
-        first, size, start, n = self.cols[:, at[back.reshape(-1)]].astype(np.int64)
-        same = size == lens
+            new, where, back = np.unique(keys[fresh], return_index=True, return_inverse=True)
+            w = fresh[where]
+            ids, n = self._encoded(self._strings(cp, s[w], e[w] - s[w]))
+            first = self.words.add(words[spread(a[w], size[w])]) + np.cumsum(size[w]) - size[w]
+            rows = np.stack([first, size[w], self.ids.add(ids) + np.cumsum(n) - n, n], 1)
+            number[fresh] = self._learn(new, rows) + back.reshape(-1)
+        row = self.rows.data[number]
+        start, n = row[:, 2].astype(np.int64), row[:, 3].astype(np.int64)
+        same = row[:, 1] == size
         k = np.flatnonzero(same)
-        differ = np.flatnonzero(cp[spread(s[k], lens[k])] != self.letters.data[spread(first[k], lens[k])])
+        differ = np.flatnonzero(words[spread(a[k], size[k])] != self.words.data[spread(row[k, 0], size[k])])
         if len(differ):
-            same[k[np.searchsorted(np.cumsum(lens[k]), differ, "right")]] = False
+            same[k[np.searchsorted(np.cumsum(size[k]), differ, "right")]] = False
         flat = self.ids.data
         if not same.all():
             own = np.flatnonzero(~same)
-            ids, m = self._encoded(self._strings(cp, s[own], lens[own])[1])
+            ids, m = self._encoded(self._strings(cp, s[own], e[own] - s[own]))
             start[own], n[own] = self.ids.used + np.cumsum(m) - m, m
             flat = np.concatenate([flat[: self.ids.used], ids])
         return flat[spread(start, n)], n

@@ -66,6 +66,29 @@ def test_little_room_changes_nothing():
         assert x[0].tolist() == y[0].tolist() and x[1].tolist() == y[1].tolist()
 
 
+def test_known_pieces_are_found_without_sorting(monkeypatch):
+    r = random.Random(6)
+    words = ["", "\0", "\0\0", "a", "a\0", "\U0010ffff" * 4, "x" * 5000, *("".join(r.choice("abcdé東") for _ in range(r.randrange(12))) for _ in range(9000)), ""]
+    cp, at = wordscan.points(words)
+    packed, a, b = wordscan.triples(cp, at[:-1], at[1:])
+    own = [tuple(packed[i:j].tolist()) for i, j in zip(a, b, strict=True)]
+    assert len(set(own)) == len(set(words)) and all(len(x) == max(1, -(-len(w) // 3)) for x, w in zip(own, words, strict=True))
+    for spoilt in (False, True):
+        if spoilt:  # every hash begins its search at the same slot
+            plain = wordscan.hashes
+            monkeypatch.setattr(wordscan, "hashes", lambda units, s, e: plain(units, s, e) << np.uint64(24))
+            words, (cp, at) = words[:800], wordscan.points(words[:800])
+        asked = []
+        coder = wordscan.PieceCoder(lambda pieces: asked.extend(pieces) or [list(map(ord, p)) for p in pieces])
+        for n in (10, 300, len(words), len(words)):
+            if len(asked) == len(set(words)):
+                monkeypatch.setattr(np, "unique", None)
+            flat, ids = coder(cp, at[:n], at[1 : n + 1])
+            assert flat.tolist() == cp[: at[n]].tolist() and ids.tolist() == list(map(len, words[:n]))
+        assert np.unique is None and sorted(asked) == sorted(set(words))
+        monkeypatch.undo()
+
+
 def test_small_batches_hold_all_rows():
     import pyarrow as pa
 
