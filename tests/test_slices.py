@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from loomtext.functions.slices import SLICE_BYTES, by_slices, cuts
-from loomtext.operators import chunking, tree
+from loomtext.operators import chunking, tables, tree
 
 
 def test_a_function_sees_slices(spark):
@@ -39,6 +39,9 @@ def test_split_holds_a_slice_of_a_batch(spark, monkeypatch):
     rows = spark.range(0, 3_000, 1, 1).select(F.col("id").cast("string").alias("stem"), F.lit("qa").alias("db"), F.lit(text).alias("text"))
     got = chunking.split(rows, limits)
     assert len(text) * 3_000 > 4 * SLICE_BYTES and got.select(F.count_distinct("base_id")).first()[0] == 3_000
+    refer = rows.select("stem", "db", F.concat(F.lit("[p1] 次の表\n[p2] "), "text").alias("text"), F.array(F.lit("\n| t |\n| --- |\n| x |")).alias("tables"))
+    got = tables.insert_and_split(refer, limits).where("chunk_n = 1 AND chunk_total > 1 AND status = 'inserted'")
+    assert got.select(F.count_distinct("base_id")).first()[0] == 3_000
 
 
 def test_nodes_leave_in_parts(spark):
